@@ -40,6 +40,10 @@ MULTI_STAR = r"\*{4,}"
 # such as "+1 (743) 555-3824", present in the test tables.
 PHONE_NANP = r"\+1\s?\(?\d{3}\)?[\s.-]?\d{3}[\s.-]?\d{4}\b"
 
+# Python ``str`` semantics as Java classes: \w = letters, numbers, underscore; \s = str.isspace().
+WORD_CLASS = r"\p{L}\p{N}_"
+SPACE_CLASS = r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+
 _UPPER_CLASS = re.compile(r"A-Z")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .regex import SPACE_CLASS
+
 ColumnOrName = Column | str
 
 # Unicode whitespace as Python's str.split()/strip() see it, in Java syntax.
@@ -19,12 +21,12 @@ def col(c: ColumnOrName) -> Column:
 
 def py_strip(c: ColumnOrName) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace (``trim`` only drops spaces)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(col(c), f"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
 
 
 def normalize_ws(c: ColumnOrName) -> Column:
     """Collapse whitespace runs to one space and strip."""
-    return py_strip(F.regexp_replace(col(c), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(col(c), f"[{SPACE_CLASS}]+", " "))
 
 
 def blank_or_broken(c: ColumnOrName) -> Column:
@@ -67,4 +69,4 @@ def first_non_blank(columns: Sequence[ColumnOrName]) -> Column:
 def sentence_pieces(text_norm: Column, enders: str = ".!?") -> Column:
     """Split normalised text after a sentence end followed by whitespace."""
     cls = "".join("\\" + ch if ch in ".?!" else ch for ch in enders)
-    return F.split(text_norm, f"(?U)(?<=[{cls}])\\s+")
+    return F.split(text_norm, f"(?<=[{cls}]) ")

@@ -46,3 +46,165 @@ def score_distribution(spark, sf):
          .where(F.col("metric").isNotNull() | F.col("score").isNull()))
     return g.select(F.coalesce("metric", F.lit("ALL")).alias("metric"),
                     F.coalesce("score", F.lit(-1)).alias("score"), "n_calls")
+
+
+# ------------------------------------------------------------------ text scans and normalisation
+from ..functions import pii as pii_fn  # noqa: E402
+from ..functions.text import first_non_blank, normalize_ws  # noqa: E402
+from ..operators import sentences as sent_op  # noqa: E402
+from ..operators import spans as span_op  # noqa: E402
+from ..operators import tokens as tok_op  # noqa: E402
+from ..sources.tables import profile  # noqa: E402
+
+TEXT_CANDIDATES = ["text", "content", "body", "article", "document", "sentence"]
+
+
+@register("s9_profile_documents")
+def profile_documents(spark, sf):
+    d = read_table(spark, sf, "documents")
+    first = F.min_by(F.substring("text", 1, 250), "doc_id")
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), first.alias("preview")).select(
+        F.lit(",".join(d.columns)).alias("columns"), "n_rows", "preview")
+
+
+@register("s5_first_text_pages")
+def first_text_pages(spark, sf):
+    p = read_table(spark, sf, "pages")
+    strings = [f.name for f in p.schema.fields if f.dataType.simpleString() == "string"]
+    order = [c for c in TEXT_CANDIDATES if c in strings] + [c for c in strings if c not in TEXT_CANDIDATES]
+    return p.select("page_id", first_non_blank(order).alias("text"))
+
+
+@register("n15_normalize_ws")
+def normalize_documents(spark, sf):
+    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return d.select("doc_id", normalize_ws("text").alias("text_norm"))
+
+
+@register("n16_sentences")
+def sentences_documents(spark, sf):
+    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return sent_op.sentences(d, "doc_id", "text", 25, 280)
+
+
+@register("n17_sentences_ellipsis")
+def sentences_ellipsis(spark, sf):
+    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return sent_op.sentences(d, "doc_id", "text", 10, 240, enders=".!?…")
+
+
+# ------------------------------------------------------------------ PII detection and redaction
+def _docs(spark, sf):
+    return read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+
+
+@register("d1_card_numbers")
+def card_numbers(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", F.posexplode(pii_fn.matches("text", "card")).alias("idx", "value"))
+
+
+@register("d2_fin_codes")
+def fin_codes(spark, sf):
+    d = _docs(spark, sf)
+    x = d.select("doc_id", pii_fn.count("text", "fin").alias("n_fin"),
+                 pii_fn.has("text", "fin7").alias("has_fin7"),
+                 pii_fn.count("text", "fin_digit_first").alias("n_fin_digit_first"))
+    return x.where((F.col("n_fin") > 0) | F.col("has_fin7") | (F.col("n_fin_digit_first") > 0))
+
+
+@register("d3_cvv_by_lang")
+def cvv_by_lang(spark, sf):
+    d = _docs(spark, sf)
+    n = pii_fn.count("text", "cvv")
+    return d.groupBy("lang").agg(F.count_if(n > 0).alias("n_docs_cvv"), F.sum(n).alias("n_cvv"),
+                                 F.count(F.lit(1)).alias("n_docs"))
+
+
+@register("d4_phones")
+def phones(spark, sf):
+    d = _docs(spark, sf)
+    x = d.select("doc_id", pii_fn.count("text", "phone").alias("n_phone"),
+                 pii_fn.count("text", "phone_strict").alias("n_phone_strict"))
+    return x.where((F.col("n_phone") > 0) | (F.col("n_phone_strict") > 0))
+
+
+@register("d5_emails")
+def emails(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", F.posexplode(pii_fn.matches("text", "email")).alias("idx", "value"))
+
+
+@register("d6_looks_like_pii")
+def looks_like(spark, sf):
+    d = _docs(spark, sf)
+    return d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"),
+                                 F.count_if(pii_fn.looks_like("text", "corpus")).alias("n_corpus_variant"),
+                                 F.count_if(pii_fn.looks_like("text", "explore")).alias("n_explore_variant"))
+
+
+@register("d7_find_pii")
+def find_pii(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", F.posexplode(pii_fn.find_pii("text")).alias("idx", "f")).select(
+        "doc_id", "idx", F.col("f.kind").alias("kind"), F.col("f.value").alias("value"))
+
+
+@register("d8_redact")
+def redact(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", pii_fn.redact("text").alias("redacted"))
+
+
+@register("d9_conversation_pii")
+def conversation_pii(spark, sf):
+    c = read_table(spark, sf, "conversations", ["conv_id", "text"])
+    hit = pii_fn.contains_pii("text")
+    return c.groupBy("conv_id").agg(F.count_if(hit).alias("n_turns_pii"), F.bool_or(hit).alias("any_pii"))
+
+
+# ------------------------------------------------------------------ tokens, BIO, spans, masking
+def _doc_frame(spark, sf):
+    return tok_op.doc_frame(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id", "text")
+
+
+@register("b1_tokens")
+def tokens(spark, sf):
+    return tok_op.tokens_with_offsets(_doc_frame(spark, sf))
+
+
+def _tagged(spark, sf):
+    docs = _doc_frame(spark, sf)
+    return span_op.entities_to_bio(tok_op.tokens_with_offsets(docs), span_op.regex_entities(docs))
+
+
+@register("b3_bio_tags")
+def bio_tags(spark, sf):
+    return _tagged(spark, sf).where(F.col("tag") != "O").select("doc_id", "ti", "token", "tag")
+
+
+@register("d13_bio_spans")
+def bio_spans(spark, sf):
+    return span_op.bio_to_spans(_tagged(spark, sf))
+
+
+@register("d14_merged_spans")
+def merged_spans(spark, sf):
+    return span_op.merge_spans(span_op.bio_to_spans(_tagged(spark, sf)))
+
+
+@register("d15_masked_documents")
+def masked_documents(spark, sf):
+    docs = _doc_frame(spark, sf)
+    merged = span_op.merge_spans(span_op.bio_to_spans(
+        span_op.entities_to_bio(tok_op.tokens_with_offsets(docs), span_op.regex_entities(docs))))
+    m = span_op.mask_documents(docs, merged)
+    return m.where(F.size("entities") > 0).select("doc_id", "masked_text", F.size("entities").alias("n_entities"))
+
+
+@register("d16_cascade")
+def cascade_documents(spark, sf):
+    docs = _doc_frame(spark, sf)
+    l0, l1 = span_op.regex_guardrail_logits(F.col("text"))
+    out = span_op.cascade(docs, span_op.softmax_p1(l0, l1), threshold=0.5)
+    return out.select("doc_id", "is_unsafe", F.round("guardrail_score", 6).alias("guardrail_score"), "masked_text")

@@ -16,3 +16,155 @@ SELECT coalesce(metric, 'ALL') AS metric, coalesce(score, -1) AS score, count(*)
 FROM sc GROUP BY ROLLUP (metric, score)
 HAVING metric IS NOT NULL OR score IS NULL
 """
+
+# ------------------------------------------------------------------ text scans and normalisation
+from .sql_text import (RE2, UW, UWS, ascii_view, count_of, has, norm_ws, q,  # noqa: E402
+                       spans_list)
+
+ORACLE["s9_profile_documents"] = """
+SELECT 'doc_id,text,lang,source,n_chars' AS columns, count(*) AS n_rows,
+       arg_min(substr(text, 1, 250), doc_id) AS preview
+FROM documents"""
+
+_strip = lambda c: f"regexp_replace({c}, '^[{UWS}]+|[{UWS}]+$', '', 'g')"
+ORACLE["s5_first_text_pages"] = f"""
+SELECT page_id, coalesce(CASE WHEN {_strip('url')} <> '' THEN url END,
+                         CASE WHEN {_strip('html')} <> '' THEN html END) AS text
+FROM pages"""
+
+ORACLE["n15_normalize_ws"] = f"SELECT doc_id, {norm_ws('text')} AS text_norm FROM documents"
+
+
+def _sentences_sql(enders: str, lo: int, hi: int) -> str:
+    return f"""
+WITH n AS (SELECT doc_id, {norm_ws('text')} AS t FROM documents),
+p AS (SELECT doc_id, string_split(regexp_replace(t, '([{enders}]) ', '\\1' || chr(1), 'g'), chr(1)) AS parts
+      FROM n WHERE t <> ''),
+u AS (SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) - 1 AS sent_no FROM p)
+SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, sentence FROM u
+WHERE length(sentence) BETWEEN {max(lo, 1)} AND {hi}"""
+
+
+ORACLE["n16_sentences"] = _sentences_sql(".!?", 25, 280)
+ORACLE["n17_sentences_ellipsis"] = _sentences_sql(".!?…", 10, 240)
+
+# ------------------------------------------------------------------ PII detection and redaction
+_A = ascii_view("text")
+
+
+def _explode_values(list_sql: str) -> str:
+    return f"""
+WITH v AS (SELECT doc_id, {list_sql} AS vals FROM documents)
+SELECT doc_id, CAST(generate_subscripts(vals, 1) - 1 AS INTEGER) AS idx, unnest(vals) AS value FROM v"""
+
+
+ORACLE["d1_card_numbers"] = _explode_values(f"regexp_extract_all({_A}, {q(RE2['card'])})")
+ORACLE["d2_fin_codes"] = f"""
+WITH x AS (SELECT doc_id, CAST({count_of('text', 'fin')} AS BIGINT) AS n_fin, {has('text', 'fin7')} AS has_fin7,
+                  CAST({count_of('text', 'fin_digit_first')} AS BIGINT) AS n_fin_digit_first FROM documents)
+SELECT doc_id, CAST(n_fin AS INTEGER) AS n_fin, has_fin7, CAST(n_fin_digit_first AS INTEGER) AS n_fin_digit_first
+FROM x WHERE n_fin > 0 OR has_fin7 OR n_fin_digit_first > 0"""
+ORACLE["d3_cvv_by_lang"] = f"""
+SELECT lang, CAST(count(*) FILTER (WHERE {count_of('text', 'cvv')} > 0) AS BIGINT) AS n_docs_cvv,
+       CAST(sum({count_of('text', 'cvv')}) AS BIGINT) AS n_cvv, count(*) AS n_docs
+FROM documents GROUP BY lang"""
+ORACLE["d4_phones"] = f"""
+WITH x AS (SELECT doc_id, {count_of('text', 'phone')} AS n_phone, {count_of('text', 'phone_strict')} AS n_phone_strict
+           FROM documents)
+SELECT doc_id, CAST(n_phone AS INTEGER) AS n_phone, CAST(n_phone_strict AS INTEGER) AS n_phone_strict FROM x
+WHERE n_phone > 0 OR n_phone_strict > 0"""
+_email_vals = (f"list_transform(range(1, len(regexp_extract_all({_A}, {q(RE2['email'])})) + 1), lambda i: "
+               f"substr(text, ({spans_list('text', 'email', 'E')})[i].s + 1, "
+               f"({spans_list('text', 'email', 'E')})[i].e - ({spans_list('text', 'email', 'E')})[i].s))")
+ORACLE["d5_emails"] = _explode_values(_email_vals)
+
+
+def _looks(kinds) -> str:
+    return "(" + " OR ".join(has("text", k) for k in kinds) + ")"
+
+
+ORACLE["d6_looks_like_pii"] = f"""
+SELECT lang, count(*) AS n_docs,
+       count(*) FILTER (WHERE {_looks(['email', 'phone', 'card', 'fin7'])}) AS n_corpus_variant,
+       count(*) FILTER (WHERE {_looks(['fin_digit_first', 'phone_strict', 'card'])}) AS n_explore_variant
+FROM documents GROUP BY lang"""
+_find = (f"list_concat(list_transform(regexp_extract_all({_A}, {q(RE2['card'])}), lambda v: {{'kind': 'card_number', 'value': v}}), "
+         f"list_transform(regexp_extract_all({_A}, {q(RE2['fin'])}, 1), lambda v: {{'kind': 'fin_code', 'value': v}}), "
+         f"list_transform(regexp_extract_all({_A}, {q(RE2['cvv'])}), lambda v: {{'kind': 'cvv_mention', 'value': v}}))")
+ORACLE["d7_find_pii"] = f"""
+WITH v AS (SELECT doc_id, {_find} AS f FROM documents),
+u AS (SELECT doc_id, CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS idx, unnest(f) AS x FROM v)
+SELECT doc_id, idx, x.kind AS kind, x.value AS value FROM u"""
+ORACLE["d8_redact"] = f"""
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, {q(RE2['card'])}, '[CARD_NUMBER]', 'g'),
+               {q(RE2['num34'])}, '[NUM]', 'g'), '(?i)\\b([0-9][A-Z0-9]{{6,8}})\\b', '[FIN_CODE]', 'g') AS redacted
+FROM documents"""
+_conv_hit = "(" + " OR ".join(has("text", k) for k in ["card", "fin", "cvv"]) + ")"
+ORACLE["d9_conversation_pii"] = f"""
+SELECT conv_id, count(*) FILTER (WHERE {_conv_hit}) AS n_turns_pii, bool_or({_conv_hit}) AS any_pii
+FROM conversations GROUP BY conv_id"""
+
+# ------------------------------------------------------------------ tokens, BIO, spans, masking
+_PIECES = f"[{UW}]+|[^{UW}{UWS}]|[{UWS}]+"
+TOKENS_CTE = f"""
+tp AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {q(_PIECES)}) AS pieces FROM documents),
+tu AS (SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS pi FROM tp),
+tw AS (SELECT doc_id, pi, piece, NOT regexp_matches(piece, {q('^[' + UWS + ']')}) AS is_tok,
+              coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pi
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s0
+       FROM tu),
+tok AS (SELECT doc_id, CAST(sum(CASE WHEN is_tok THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pi
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS INTEGER) AS ti,
+               piece AS token, CAST(s0 AS INTEGER) AS s, CAST(s0 + length(piece) AS INTEGER) AS e, is_tok
+        FROM tw)"""
+ENTS_CTE = f"""
+el AS (SELECT doc_id, list_concat({spans_list('text', 'card', 'CARD')}, {spans_list('text', 'phone_strict', 'PHONE')},
+                                  {spans_list('text', 'fin7', 'FIN')}) AS l FROM documents),
+eu AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS eo FROM el),
+en AS (SELECT doc_id, eo, upper(x.label) AS label, x.s AS ns, x.e AS ne FROM eu)"""
+TAGS_CTE = f"""{TOKENS_CTE},{ENTS_CTE},
+pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM tok t JOIN en n
+       ON t.doc_id = n.doc_id AND t.is_tok AND t.e > n.ns AND t.s < n.ne),
+pf AS (SELECT *, min(ti) OVER (PARTITION BY doc_id, eo) AS first_ti,
+              row_number() OVER (PARTITION BY doc_id, ti ORDER BY ns DESC, ne DESC, eo DESC) AS rk FROM pr),
+tg AS (SELECT t.doc_id, t.ti, t.token, t.s, t.e,
+              coalesce(CASE WHEN p.ti = p.first_ti THEN 'B-' ELSE 'I-' END || p.label, 'O') AS tag
+       FROM tok t LEFT JOIN (SELECT * FROM pf WHERE rk = 1) p ON t.doc_id = p.doc_id AND t.ti = p.ti
+       WHERE t.is_tok)"""
+SPANS_CTE = f"""{TAGS_CTE},
+sx AS (SELECT doc_id, ti, s, e, tag, CASE WHEN tag LIKE 'B-%' OR tag LIKE 'I-%' THEN substr(tag, 3) END AS typ
+       FROM tg WHERE NOT (s = 0 AND e = 0)),
+sy AS (SELECT *, CASE WHEN typ IS NOT NULL AND (tag LIKE 'B-%' OR lag(typ) OVER w IS NULL OR lag(typ) OVER w <> typ)
+                      THEN 1 ELSE 0 END AS st FROM sx WINDOW w AS (PARTITION BY doc_id ORDER BY ti)),
+sz AS (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY ti ROWS UNBOUNDED PRECEDING) AS span_no FROM sy),
+sp AS (SELECT doc_id, first(typ) AS label, arg_min(s, ti) AS s, arg_max(e, ti) AS e
+       FROM sz WHERE typ IS NOT NULL GROUP BY doc_id, span_no)"""
+MERGED_CTE = f"""{SPANS_CTE},
+m1 AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e, label
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM sp),
+m2 AS (SELECT *, CASE WHEN pm IS NULL OR s > pm + 1 THEN 1 ELSE 0 END AS nw FROM m1),
+m3 AS (SELECT *, sum(nw) OVER (PARTITION BY doc_id ORDER BY s, e, label ROWS UNBOUNDED PRECEDING) AS grp FROM m2),
+mg AS (SELECT doc_id, CASE WHEN count(DISTINCT label) > 1 THEN 'PII' ELSE first(label) END AS label,
+              min(s) AS s, max(e) AS e FROM m3 GROUP BY doc_id, grp)"""
+MASK_CTE = f"""{MERGED_CTE},
+mk1 AS (SELECT m.*, coalesce(lag(m.e) OVER (PARTITION BY m.doc_id ORDER BY m.s, m.e), 0) AS pe, d.text
+        FROM mg m JOIN documents d ON m.doc_id = d.doc_id),
+mk AS (SELECT doc_id, regexp_replace(string_agg(CASE WHEN s > pe THEN substr(text, pe + 1, s - pe) ELSE '' END || '****', ''
+                                                ORDER BY s, e) || substr(max(text), arg_max(e, s) + 1),
+                                     '\\*{{4,}}', '****', 'g') AS masked_text,
+              count(*) AS n_entities
+       FROM mk1 GROUP BY doc_id)"""
+
+ORACLE["b1_tokens"] = f"WITH {TOKENS_CTE}\nSELECT doc_id, ti, token, s, e FROM tok WHERE is_tok"
+ORACLE["b3_bio_tags"] = f"WITH {TAGS_CTE}\nSELECT doc_id, ti, token, tag FROM tg WHERE tag <> 'O'"
+ORACLE["d13_bio_spans"] = f"WITH {SPANS_CTE}\nSELECT doc_id, label, s, e FROM sp"
+ORACLE["d14_merged_spans"] = f"WITH {MERGED_CTE}\nSELECT doc_id, label, s, e FROM mg"
+ORACLE["d15_masked_documents"] = f"WITH {MASK_CTE}\nSELECT doc_id, masked_text, n_entities FROM mk"
+_hits = "(" + " + ".join(count_of("text", k) for k in ["card", "phone_strict", "fin7", "email"]) + ")"
+ORACLE["d16_cascade"] = f"""WITH {MASK_CTE},
+sc AS (SELECT doc_id, text, CAST({_hits} AS DOUBLE) - 0.5 AS l1 FROM documents),
+p AS (SELECT doc_id, text, exp(l1 - greatest(0.0, l1)) / (exp(0.0 - greatest(0.0, l1)) + exp(l1 - greatest(0.0, l1))) AS pr
+      FROM sc)
+SELECT p.doc_id, p.pr >= 0.5 AS is_unsafe, round(p.pr, 6) AS guardrail_score,
+       CASE WHEN p.pr >= 0.5 THEN coalesce(mk.masked_text, p.text) ELSE p.text END AS masked_text
+FROM p LEFT JOIN mk ON p.doc_id = mk.doc_id"""
