@@ -208,3 +208,82 @@ def cascade_documents(spark, sf):
     l0, l1 = span_op.regex_guardrail_logits(F.col("text"))
     out = span_op.cascade(docs, span_op.softmax_p1(l0, l1), threshold=0.5)
     return out.select("doc_id", "is_unsafe", F.round("guardrail_score", 6).alias("guardrail_score"), "masked_text")
+
+
+# ------------------------------------------------------------------ corpus: samples, quotas, splits
+from ..operators import corpus as corp  # noqa: E402
+
+SEED = 42
+
+
+def _labelled_docs(spark, sf):
+    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    lab = read_table(spark, sf, "labels", ["doc_id", "toxic"])
+    return d.join(lab, "doc_id")
+
+
+@register("l1_non_blank_texts")
+def non_blank_texts(spark, sf):
+    return corp.non_blank(read_table(spark, sf, "documents", ["doc_id", "text"]), "text")
+
+
+@register("l2_sample_exact")
+def sample_exact(spark, sf):
+    return corp.sample_exact(read_table(spark, sf, "documents", ["doc_id", "lang"]), "doc_id", 100, SEED)
+
+
+@register("l3_sentence_quota")
+def sentence_quota(spark, sf):
+    """First N safe sentences in source order, N = number of toxic documents."""
+    ld = _labelled_docs(spark, sf)
+    n = ld.where("toxic = 1").count()
+    s = sent_op.sentences(ld.where("toxic = 0"), "doc_id", "text", 25, 280)
+    s = s.withColumn("_d", F.col("doc_id").cast("bigint")).withColumn("_s", F.col("sent_no").cast("bigint"))
+    return corp.take_quota(s, n, ["_d", "_s"]).select("doc_id", "sent_no", "sentence")
+
+
+@register("l6_split_exact")
+def split_exact(spark, sf):
+    return corp.split_exact(read_table(spark, sf, "documents", ["doc_id"]), "doc_id", 0.1, SEED)
+
+
+@register("l8_split_bucket")
+def split_bucket(spark, sf):
+    return corp.split_bucket(read_table(spark, sf, "documents", ["doc_id"]), "doc_id", 0.1, SEED)
+
+
+@register("l9_subset_overlap")
+def subset_overlap(spark, sf):
+    """Train/eval subsets drawn from the same table with different seeds; overlap and disjoint sizes."""
+    d = read_table(spark, sf, "documents", ["doc_id"])
+    n = d.count()
+    k_tr, k_ev = corp.subset_sizes(n, 0.1, 0.05)
+    tr = corp.sample_exact(d, "doc_id", k_tr, SEED)
+    ev = corp.sample_exact(d, "doc_id", k_ev, 123)
+    inter = ev.join(tr, "doc_id", "left_semi").count()
+    disjoint = ev.join(tr, "doc_id", "left_anti").count()
+    return d.sparkSession.createDataFrame([(k_tr, k_ev, inter, disjoint)],
+                                          "n_train long, n_eval long, n_overlap long, n_eval_disjoint long")
+
+
+def _corpus(spark, sf):
+    ld = _labelled_docs(spark, sf)
+    unsafe = ld.where("toxic = 1").select(F.col("doc_id").alias("key"), "text")
+    safe = sent_op.sentences(ld.where("toxic = 0"), "doc_id", "text", 25, 280)
+    # quorum floor is a parameter: the small test tables hold far fewer than 1000 sentences
+    return corp.balanced_corpus(unsafe, safe, seed=SEED, val_ratio=0.1, filter_safe_pii=True, quorum_floor=0)
+
+
+@register("l5_balanced_corpus")
+def balanced_corpus(spark, sf):
+    return _corpus(spark, sf)
+
+
+@register("k2_corpus_meta")
+def corpus_meta(spark, sf):
+    return corp.corpus_meta(_corpus(spark, sf), SEED, 0.1, True)
+
+
+@register("l7_validation_split")
+def validation_split(spark, sf):
+    return _corpus(spark, sf).where(F.col("split") == "validation")

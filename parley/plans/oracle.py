@@ -168,3 +168,66 @@ p AS (SELECT doc_id, text, exp(l1 - greatest(0.0, l1)) / (exp(0.0 - greatest(0.0
 SELECT p.doc_id, p.pr >= 0.5 AS is_unsafe, round(p.pr, 6) AS guardrail_score,
        CASE WHEN p.pr >= 0.5 THEN coalesce(mk.masked_text, p.text) ELSE p.text END AS masked_text
 FROM p LEFT JOIN mk ON p.doc_id = mk.doc_id"""
+
+# ------------------------------------------------------------------ corpus: samples, quotas, splits
+from . import sql_text as st  # noqa: E402
+
+
+def _md5(expr: str, seed: int) -> str:
+    return f"md5(CAST({expr} AS VARCHAR) || '#{seed}')"
+
+
+def _looks_corpus(t: str) -> str:
+    return "(" + " OR ".join(st.has(t, k) for k in ["email", "phone", "card", "fin7"]) + ")"
+
+
+def _sent_cte(src: str) -> str:
+    return f"""
+sn AS (SELECT doc_id, {st.norm_ws('text')} AS t FROM {src}),
+sp_ AS (SELECT doc_id, string_split(regexp_replace(t, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM sn WHERE t <> ''),
+su AS (SELECT doc_id, unnest(parts) AS sentence, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS sent_no FROM sp_),
+sents AS (SELECT * FROM su WHERE length(sentence) BETWEEN 25 AND 280)"""
+
+
+ORACLE["l1_non_blank_texts"] = f"""
+SELECT doc_id, text FROM (SELECT doc_id, {st.norm_ws('text')} AS text FROM documents) WHERE text <> ''"""
+ORACLE["l2_sample_exact"] = f"SELECT doc_id, lang FROM documents ORDER BY {_md5('doc_id', 42)} LIMIT 100"
+ORACLE["l3_sentence_quota"] = f"""
+WITH ld AS (SELECT d.doc_id, d.text, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+safe AS (SELECT doc_id, text FROM ld WHERE toxic = 0), {_sent_cte('safe')},
+r AS (SELECT *, row_number() OVER (ORDER BY doc_id, sent_no) AS rn FROM sents)
+SELECT doc_id, sent_no, sentence FROM r WHERE rn <= (SELECT count(*) FROM ld WHERE toxic = 1)"""
+ORACLE["l6_split_exact"] = f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {_md5('doc_id', 42)}) AS rn, count(*) OVER () AS n FROM documents)
+SELECT doc_id, CASE WHEN rn <= greatest(1, floor(n * 0.1)) THEN 'validation' ELSE 'train' END AS split FROM r"""
+ORACLE["l8_split_bucket"] = f"""
+SELECT doc_id, CASE WHEN (('0x' || substr({_md5('doc_id', 42)}, 1, 15))::BIGINT % 10000) < 1000 THEN 'test' ELSE 'train' END AS split
+FROM documents"""
+ORACLE["l9_subset_overlap"] = f"""
+WITH n AS (SELECT count(*) AS n FROM documents),
+k AS (SELECT greatest(50, CAST(floor(n * 0.1) AS BIGINT)) AS kt, greatest(20, CAST(floor(n * 0.05) AS BIGINT)) AS ke FROM n),
+tr AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY {_md5('doc_id', 42)}) AS rn FROM documents)
+       WHERE rn <= (SELECT kt FROM k)),
+ev AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY {_md5('doc_id', 123)}) AS rn FROM documents)
+       WHERE rn <= (SELECT ke FROM k))
+SELECT (SELECT kt FROM k) AS n_train, (SELECT ke FROM k) AS n_eval,
+       (SELECT count(*) FROM ev WHERE doc_id IN (SELECT doc_id FROM tr)) AS n_overlap,
+       (SELECT count(*) FROM ev WHERE doc_id NOT IN (SELECT doc_id FROM tr)) AS n_eval_disjoint"""
+CORPUS_CTE = f"""
+ld AS (SELECT d.doc_id, d.text, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+u AS (SELECT doc_id AS key, {st.norm_ws('text')} AS text FROM ld WHERE toxic = 1),
+u2 AS (SELECT * FROM u WHERE text <> ''),
+safe AS (SELECT doc_id, text FROM ld WHERE toxic = 0), {_sent_cte('safe')},
+sf AS (SELECT *, row_number() OVER (ORDER BY doc_id, sent_no) AS rn FROM sents WHERE NOT {_looks_corpus('sentence')}),
+sq AS (SELECT * FROM sf WHERE rn <= (SELECT count(*) FROM u2)),
+bo AS (SELECT text, 1 AS label, 'u' || CAST(key AS VARCHAR) AS rid FROM u2
+       UNION ALL SELECT sentence, 0, 's' || CAST(doc_id AS VARCHAR) || '_' || CAST(sent_no AS VARCHAR) FROM sq),
+rr AS (SELECT *, row_number() OVER (ORDER BY {_md5('rid', 42)}) AS r, count(*) OVER () AS n FROM bo),
+corpus AS (SELECT text, label, CASE WHEN r <= greatest(1, floor(n * 0.1)) THEN 'validation' ELSE 'train' END AS split FROM rr)"""
+ORACLE["l5_balanced_corpus"] = f"WITH {CORPUS_CTE}\nSELECT text, label, split FROM corpus"
+ORACLE["l7_validation_split"] = f"WITH {CORPUS_CTE}\nSELECT text, label, split FROM corpus WHERE split = 'validation'"
+ORACLE["k2_corpus_meta"] = f"""WITH {CORPUS_CTE}
+SELECT count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'validation') AS validation,
+       count(*) FILTER (WHERE label = 1) AS unsafe_total_used, count(*) FILTER (WHERE label = 0) AS safe_total_used,
+       CAST(0.1 AS DOUBLE) AS val_ratio, TRUE AS filter_safe_pii, 42 AS seed
+FROM corpus"""
