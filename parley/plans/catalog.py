@@ -287,3 +287,85 @@ def corpus_meta(spark, sf):
 @register("l7_validation_split")
 def validation_split(spark, sf):
     return _corpus(spark, sf).where(F.col("split") == "validation")
+
+
+# ------------------------------------------------------------------ evaluation metrics
+from ..operators import metrics as met  # noqa: E402
+
+
+def _two_configs(spark, sf):
+    seg = conv_segments(spark, sf)
+    pred = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=60.0))
+    exp = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=30.0))
+    return pred, exp
+
+
+@register("m1_rule_agreement")
+def rule_agreement(spark, sf):
+    """Agreement of the 60 s silence rule with a 30 s variant, per metric and overall."""
+    pred, exp = _two_configs(spark, sf)
+    return met.accuracy(pred, exp)
+
+
+@register("m2_mismatches")
+def rule_mismatches(spark, sf):
+    pred, exp = _two_configs(spark, sf)
+    return met.mismatches(pred, exp, metric="KR2.3", max_rows=50).select(
+        "call_id", "metric", "score", "expected", "probability", "evidence_snippet")
+
+
+def _guardrail_preds(spark, sf):
+    ld = _labelled_docs(spark, sf)
+    l0, l1 = span_op.regex_guardrail_logits(F.col("text"))
+    return ld.select("doc_id", F.col("toxic").alias("label"),
+                     (span_op.softmax_p1(l0, l1) >= 0.5).cast("int").alias("pred"))
+
+
+@register("m3_guardrail_macro_f1")
+def guardrail_f1(spark, sf):
+    return met.macro_f1(_guardrail_preds(spark, sf))
+
+
+@register("m4_entity_f1")
+def entity_f1(spark, sf):
+    """Entity F1 of an alternative detector set against the tagger's tags on the same tokens."""
+    from ..functions import regex as rxx
+    docs = _doc_frame(spark, sf)
+    toks = tok_op.tokens_with_offsets(docs)
+    gold = span_op.entities_to_bio(toks, span_op.regex_entities(docs))
+    alt = {"CARD": rxx.J_CARD, "PHONE": rxx.J_PHONE_LOOSE, "FIN": rxx.J_FIN_CALL}
+    pred = span_op.entities_to_bio(toks, span_op.regex_entities(docs, alt))
+    return met.entity_f1(gold, pred)
+
+
+@register("m5_wer_turns")
+def wer_turns(spark, sf):
+    """Corpus WER of each turn against the previous turn of the same conversation."""
+    c = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    return met.wer(met.consecutive_pairs(c, "conv_id", ["turn"], "text"))
+
+
+def _events(spark, sf):
+    return read_table(spark, sf, "events", ["event_id", "ts", "event_type", "value"])
+
+
+@register("m6_latency_means")
+def latency_means(spark, sf):
+    return met.latency_means(_events(spark, sf), "event_type", ["ts", "event_id"], "value", warmup=1)
+
+
+@register("m8_speedups")
+def speedups(spark, sf):
+    return met.speedups(met.latency_means(_events(spark, sf), "event_type", ["ts", "event_id"], "value", 1),
+                        "event_type", "click")
+
+
+@register("m9_load_summary")
+def load_summary(spark, sf):
+    e = _events(spark, sf)
+    return met.load_summary(e, "ts", "value", F.col("event_type") == "error")
+
+
+@register("m11_conformance")
+def conformance(spark, sf):
+    return met.conformance(score_calls_long(spark, sf))

@@ -231,3 +231,53 @@ SELECT count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE
        count(*) FILTER (WHERE label = 1) AS unsafe_total_used, count(*) FILTER (WHERE label = 0) AS safe_total_used,
        CAST(0.1 AS DOUBLE) AS val_ratio, TRUE AS filter_safe_pii, 42 AS seed
 FROM corpus"""
+
+# ------------------------------------------------------------------ evaluation metrics
+_P60 = sql_rules.score_sql(TEST_LEXICON, AGENT_ROLE, gap_s=60.0)
+_P30 = sql_rules.score_sql(TEST_LEXICON, AGENT_ROLE, gap_s=30.0)
+ORACLE["m1_rule_agreement"] = f"""
+WITH p AS ({_P60}), x AS ({_P30}),
+j AS (SELECT p.metric, CASE WHEN p.score = x.score THEN 1 ELSE 0 END AS ok FROM p JOIN x ON p.call_id = x.call_id AND p.metric = x.metric),
+g AS (SELECT metric, sum(ok) AS correct, count(*) AS total FROM j GROUP BY ROLLUP (metric))
+SELECT coalesce(metric, 'ALL') AS metric, CAST(correct AS BIGINT) AS correct, total,
+       CASE WHEN metric IS NULL THEN round(correct / greatest(total, 1), 4) ELSE round(correct / greatest(total, 1), 6) END AS accuracy
+FROM g"""
+ORACLE["m2_mismatches"] = f"""
+WITH p AS ({_P60}), x AS ({_P30})
+SELECT p.call_id, p.metric, p.score, x.score AS expected, p.probability, p.evidence_snippet
+FROM p JOIN x ON p.call_id = x.call_id AND p.metric = x.metric
+WHERE p.score <> x.score AND p.metric = 'KR2.3' ORDER BY p.call_id, p.metric LIMIT 50"""
+_HITS = "(" + " + ".join(st.count_of("d.text", k) for k in ["card", "phone_strict", "fin7", "email"]) + ")"
+ORACLE["m3_guardrail_macro_f1"] = f"""
+WITH pr AS (SELECT l.toxic AS y, CASE WHEN {_HITS} >= 1 THEN 1 ELSE 0 END AS p
+            FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+cm AS (SELECT y, p, count(*) AS n FROM pr GROUP BY y, p),
+cl AS (SELECT y AS c FROM cm UNION SELECT p FROM cm),
+per AS (SELECT c, coalesce((SELECT sum(n) FROM cm WHERE y = c AND p = c), 0) AS tp,
+               coalesce((SELECT sum(n) FROM cm WHERE y = c), 0) AS nt, coalesce((SELECT sum(n) FROM cm WHERE p = c), 0) AS np
+        FROM cl)
+SELECT round(sum(tp) / greatest(sum(nt), 1), 6) AS accuracy,
+       round(avg(CASE WHEN nt + np > 0 THEN 2 * tp / (nt + np) ELSE 0.0 END), 6) AS macro_f1, count(*) AS n_classes
+FROM per"""
+ORACLE["m6_latency_means"] = """
+WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS run_no FROM events)
+SELECT event_type, count(*) AS n_runs, round(avg(value), 6) AS mean FROM r WHERE run_no > 1 GROUP BY event_type"""
+ORACLE["m8_speedups"] = f"""
+WITH m AS ({ORACLE["m6_latency_means"]})
+SELECT event_type, mean, round((SELECT mean FROM m WHERE event_type = 'click') / nullif(mean, 0.0), 6) AS speedup FROM m"""
+ORACLE["m9_load_summary"] = """
+SELECT count(*) AS n, round(100.0 * count(*) FILTER (WHERE event_type = 'error') / count(*), 6) AS fail_pct,
+       round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95,
+       round(avg(value), 6) AS mean, round(count(*) / nullif(epoch(max(ts)) - epoch(min(ts)), 0.0), 6) AS rps
+FROM events"""
+ORACLE["m11_conformance"] = f"""
+WITH s AS ({sql_rules.score_sql(TEST_LEXICON, AGENT_ROLE)}),
+pc AS (SELECT call_id, count(DISTINCT metric) AS n_keys, count(*) AS n_rows,
+              count(*) FILTER (WHERE metric NOT IN ('KR2.1','KR2.2','KR2.3','KR2.4','KR2.5')) AS bad_keys,
+              count(*) FILTER (WHERE NOT (score BETWEEN 0 AND 3)) AS bad_scores,
+              count(*) FILTER (WHERE probability NOT IN ('HIGH', 'LOW')) AS bad_probs
+       FROM s GROUP BY call_id)
+SELECT count(*) AS n_calls, count(*) FILTER (WHERE NOT (n_keys = 5 AND n_rows = 5 AND bad_keys = 0)) AS bad_key_sets,
+       count(*) FILTER (WHERE call_id IS NULL OR call_id = '') AS missing_call_id,
+       CAST(sum(bad_scores) AS BIGINT) AS score_out_of_range, CAST(sum(bad_probs) AS BIGINT) AS bad_probability
+FROM pc"""
