@@ -75,7 +75,11 @@ def entity_f1(gold: DataFrame, pred: DataFrame, tag_gold: str = "tag", tag_pred:
 
 
 def _word_chars(words: Column, vocab: Column) -> Column:
-    """Each word -> one BMP code point (its index in ``vocab``; surrogates skipped), joined."""
+    """Each word -> one BMP code point (its index in ``vocab``; surrogates skipped), joined.
+
+    ``vocab`` must be a plain column reference: lambdas get no common-subexpression elimination,
+    so an expression here would be recomputed for every word.
+    """
     def ch(w):
         i = F.array_position(vocab, w) - 1
         cp = F.when(i < 0xD700, i + 0x100).otherwise(i - 0xD700 + 0xE000)
@@ -83,23 +87,31 @@ def _word_chars(words: Column, vocab: Column) -> Column:
     return F.array_join(F.transform(words, ch), "")
 
 
-def word_edits(ref: Column, hyp: Column) -> tuple[Column, Column]:
-    """Word-level edit distance and reference word count (whitespace words, as the WER metric splits).
+def _words(c: Column) -> Column:
+    n = normalize_ws(c)
+    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " "))
+
+
+def word_edits(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
+    """Adds ``edits`` (word-level edit distance) and ``ref_words`` (whitespace words, as WER splits).
 
     The distinct words of the pair map to single characters, so the built-in character
-    ``levenshtein`` computes the word distance (up to 63,488 distinct words per pair).
+    ``levenshtein`` computes the word distance (up to 63,488 distinct words per pair). Word arrays
+    and the vocabulary are materialised as columns first.
     """
-    rw = F.when(normalize_ws(ref) == "", F.array().cast("array<string>")).otherwise(F.split(normalize_ws(ref), " "))
-    hw = F.when(normalize_ws(hyp) == "", F.array().cast("array<string>")).otherwise(F.split(normalize_ws(hyp), " "))
-    vocab = F.array_distinct(F.concat(rw, hw))
-    return F.levenshtein(_word_chars(rw, vocab), _word_chars(hw, vocab)), F.size(rw)
+    x = pairs.withColumn("_rw", _words(F.col(ref))).withColumn("_hw", _words(F.col(hyp)))
+    x = x.withColumn("_vocab", F.array_distinct(F.concat("_rw", "_hw")))
+    x = x.withColumn("_rs", _word_chars(F.col("_rw"), F.col("_vocab"))).withColumn(
+        "_hs", _word_chars(F.col("_hw"), F.col("_vocab")))
+    return x.withColumn("edits", F.levenshtein("_rs", "_hs")).withColumn("ref_words", F.size("_rw")).drop(
+        "_rw", "_hw", "_vocab", "_rs", "_hs")
 
 
 def wer(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
     """M5: corpus WER = total word edits / total reference words."""
-    ed, n = word_edits(F.col(ref), F.col(hyp))
-    x = pairs.select(ed.alias("ed"), n.alias("n"))
-    return x.agg(F.sum("ed").alias("edits"), F.sum("n").alias("ref_words"), F.count(F.lit(1)).alias("n_pairs")).select(
+    x = word_edits(pairs, ref, hyp)
+    return x.agg(F.sum("edits").alias("edits"), F.sum("ref_words").alias("ref_words"),
+                 F.count(F.lit(1)).alias("n_pairs")).select(
         "edits", "ref_words", "n_pairs", F.round(F.col("edits") / F.greatest(F.col("ref_words"), F.lit(1)), 6).alias("wer"))
 
 

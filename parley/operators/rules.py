@@ -28,7 +28,7 @@ from ..functions.text import contains_any, fmt_segment, py_float_str
 from ..sources.lexicon import (DEFAULT_LEXICON, NO_AGENT_EVIDENCE, SILENCE_EVIDENCE_TEXT,
                                max_pattern_chars)
 from .segments import ORDER, is_agent
-from .sequence import ordered_context
+from .sequence import decide_chunks, ordered_context
 
 METRICS = ["KR2.1", "KR2.2", "KR2.3", "KR2.4", "KR2.5"]
 METRIC_COLS = ["kr2_1", "kr2_2", "kr2_3", "kr2_4", "kr2_5"]
@@ -195,6 +195,8 @@ def score_calls(segments: DataFrame, lexicon: dict | None = None, role: str = "o
     ``calls`` (``call_id``) adds calls without any segment (they score as too short).
     """
     lex = {**DEFAULT_LEXICON, **(lexicon or {})}
+    if "chunks" not in seq_kw:
+        seq_kw["chunks"] = decide_chunks(segments, seq_kw.pop("split_min_rows", 2_000_000))
     feats = segment_features(segments, lex, role, **seq_kw)
     cf = call_features(feats, lex, gap_s)
     if calls is not None:

@@ -67,6 +67,12 @@ def chunk_column(df: DataFrame, cols: Sequence[str], points: list[tuple]) -> Col
     return tree(0, len(points))
 
 
+def decide_chunks(df: DataFrame, split_min_rows: int = 2_000_000) -> int:
+    """Chunk count for ``ordered_context``: 1 below ``split_min_rows`` rows, else the shuffle partitions.
+    Compute once per job and pass it to every ``ordered_context`` over the same rows."""
+    return shuffle_partitions(df.sparkSession) if df.count() >= split_min_rows else 1
+
+
 def ordered_context(df: DataFrame, key: str, order: Sequence[str], *, lags: Sequence[str] = (),
                     sums: Sequence[str] = (), tail: str | None = None, tail_chars: int = 0,
                     chunks: int | None = None, split_min_rows: int = 2_000_000, per_chunk: int = 64,

@@ -369,3 +369,30 @@ def load_summary(spark, sf):
 @register("m11_conformance")
 def conformance(spark, sf):
     return met.conformance(score_calls_long(spark, sf))
+
+
+# ------------------------------------------------------------------ raw payload ingestion
+from ..sources import calls as call_src  # noqa: E402
+
+
+def _payload_calls(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return call_src.normalize_payloads(call_src.payloads_from_conversations(conv))
+
+
+@register("s6_payload_scores")
+def payload_scores(spark, sf):
+    """JSON payloads (derived per turn, mixed shapes) -> VARIANT normalisation -> long-form scores."""
+    calls, _ = _payload_calls(spark, sf)
+    return rules.to_long(rules.score_calls(call_src.segments_long(calls), TEST_LEXICON, role=AGENT_ROLE))
+
+
+@register("n1_payload_rejects")
+def payload_rejects(spark, sf):
+    _, rejects = _payload_calls(spark, sf)
+    return rejects
+
+
+@register("n7_call_profile")
+def call_profile(spark, sf):
+    return segments.call_profile(conv_segments(spark, sf), role=AGENT_ROLE)

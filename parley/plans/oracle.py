@@ -281,3 +281,14 @@ SELECT count(*) AS n_calls, count(*) FILTER (WHERE NOT (n_keys = 5 AND n_rows =
        count(*) FILTER (WHERE call_id IS NULL OR call_id = '') AS missing_call_id,
        CAST(sum(bad_scores) AS BIGINT) AS score_out_of_range, CAST(sum(bad_probs) AS BIGINT) AS bad_probability
 FROM pc"""
+
+# ------------------------------------------------------------------ raw payload ingestion
+ORACLE["s6_payload_scores"] = ORACLE["r6_score_calls"]
+ORACLE["n1_payload_rejects"] = "SELECT CAST(NULL AS VARCHAR) AS payload, CAST(NULL AS VARCHAR) AS reason WHERE FALSE"
+ORACLE["n7_call_profile"] = f"""
+WITH {sql_rules.segments_sql()}
+SELECT call_id, count(*) AS n_segments,
+       count(*) FILTER (WHERE regexp_replace(text, '^[{st.UWS}]+|[{st.UWS}]+$', '', 'g') IN ('', '.', '..', '...')) AS n_blank,
+       count(*) FILTER (WHERE contains(lower(speaker), 'assistant')) AS n_agent,
+       max("end") - min(start) AS duration_s
+FROM seg GROUP BY call_id"""
