@@ -396,3 +396,91 @@ def payload_rejects(spark, sf):
 @register("n7_call_profile")
 def call_profile(spark, sf):
     return segments.call_profile(conv_segments(spark, sf), role=AGENT_ROLE)
+
+
+# ------------------------------------------------------------------ models and decoding
+from ..operators import models as mdl  # noqa: E402
+
+HEAD = mdl.linear_head_weights(64, 2)
+CTC_VOCAB = ["_", "a", " ", "b", "c", "d", "e", "f"]
+
+
+def _emb(spark, sf):
+    return read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+
+
+@register("d10_linear_head_softmax")
+def linear_head_softmax(spark, sf):
+    """D10 + D11: native linear head over ``embeddings``, stable two-class softmax, threshold 0.5."""
+    e = _emb(spark, sf)
+    l0, l1 = mdl.linear_logits(F.col("embedding"), HEAD)
+    p = span_op.softmax_p1(l0, l1)
+    return e.select("vec_id", F.round(p, 6).alias("p_unsafe"), (p >= 0.5).alias("is_unsafe"))
+
+
+@register("g3_batch_predict")
+def batch_predict(spark, sf):
+    """The same head through the pluggable Arrow-batched scorer (numpy backend)."""
+    e = _emb(spark, sf)
+    out = mdl.batch_predict(e, "embedding", mdl.numpy_linear_head(HEAD))
+    return out.select("vec_id", F.round(F.get("prediction", 1), 6).alias("p_unsafe"))
+
+
+@register("d12_token_labels")
+def token_labels(spark, sf):
+    """The first 63 scores of each embedding as 7 tokens x 9 label scores -> argmax -> label."""
+    e = _emb(spark, sf)
+    rows = mdl.frames(F.slice("embedding", 1, 63), 9)
+    tags = mdl.ids_to_labels(mdl.argmax_rows(rows))
+    return e.select("vec_id", F.posexplode(tags).alias("t", "tag"))
+
+
+@register("g5_ctc_decode")
+def ctc_decode(spark, sf):
+    """Each embedding as 8 frames x 8 symbol scores, greedy CTC decode with blank id 0."""
+    e = _emb(spark, sf)
+    ids = mdl.argmax_rows(mdl.frames("embedding", 8))
+    return e.select("vec_id", mdl.ctc_greedy(ids, CTC_VOCAB, blank=0).alias("text"))
+
+
+@register("g1_train_guardrail")
+def train_guardrail(spark, sf):
+    """G1 + G2 + M3: fit the TF-IDF/LR guardrail on the exact train split of documents x labels,
+    score the validation split, report accuracy and macro-F1."""
+    ld = _labelled_docs(spark, sf).select("doc_id", "text", F.col("toxic").alias("label"))
+    split = corp.split_exact(ld, "doc_id", 0.2, SEED)
+    model = mdl.train_guardrail(split.where("split = 'train'"))
+    scored = mdl.score_guardrail(model, split.where("split = 'validation'"))
+    return met.macro_f1(scored.select("label", F.col("is_unsafe").cast("int").alias("pred")))
+
+
+# ------------------------------------------------------------------ LLM answers as tables
+from ..operators import llm as llm_op  # noqa: E402
+
+LLM_MODEL = "offline-batch-scorer"
+
+
+@register("r9_llm_requests")
+def llm_requests(spark, sf):
+    req, _ = llm_op.llm_requests(conv_segments(spark, sf))
+    return req.select("call_id", F.length("user").alias("prompt_chars"), F.sha2("user", 256).alias("prompt_sha256"))
+
+
+def _validated(spark, sf):
+    seg = conv_segments(spark, sf)
+    wide = rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE)
+    answers = llm_op.answers_from_rules(rules.to_long(wide), seg, AGENT_ROLE)
+    return seg, wide, llm_op.validate_answers(llm_op.parse_answers(answers), seg)
+
+
+@register("r11_llm_validation")
+def llm_validation(spark, sf):
+    _, _, v = _validated(spark, sf)
+    return v.select("call_id", "valid")
+
+
+@register("r12_llm_merge")
+def llm_merge(spark, sf):
+    _, wide, v = _validated(spark, sf)
+    merged = llm_op.merge_scores(wide, v, LLM_MODEL)
+    return rules.to_long(merged).join(merged.select("call_id", "llm_used"), "call_id")

@@ -292,3 +292,52 @@ SELECT call_id, count(*) AS n_segments,
        count(*) FILTER (WHERE contains(lower(speaker), 'assistant')) AS n_agent,
        max("end") - min(start) AS duration_s
 FROM seg GROUP BY call_id"""
+
+# ------------------------------------------------------------------ models and decoding
+from ..operators.models import linear_head_weights  # noqa: E402
+
+_W = linear_head_weights(64, 2)
+_w0 = "[" + ", ".join(repr(float(x)) for x in _W[0]) + "]::DOUBLE[]"
+_w1 = "[" + ", ".join(repr(float(x)) for x in _W[1]) + "]::DOUBLE[]"
+_HEAD = f"""
+h AS (SELECT vec_id, list_dot_product(CAST(embedding AS DOUBLE[]), {_w0}) AS l0,
+             list_dot_product(CAST(embedding AS DOUBLE[]), {_w1}) AS l1 FROM embeddings),
+p AS (SELECT vec_id, exp(l1 - greatest(l0, l1)) / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) AS pr FROM h)"""
+ORACLE["d10_linear_head_softmax"] = f"WITH {_HEAD}\nSELECT vec_id, round(pr, 6) AS p_unsafe, pr >= 0.5 AS is_unsafe FROM p"
+ORACLE["g3_batch_predict"] = f"WITH {_HEAD}\nSELECT vec_id, round(pr, 6) AS p_unsafe FROM p"
+_LABELS = "['O', 'B-FIN', 'I-FIN', 'B-CARD', 'I-CARD', 'B-PHONE', 'I-PHONE', 'B-PERSON', 'I-PERSON']"
+ORACLE["d12_token_labels"] = f"""
+WITH t AS (SELECT vec_id, r - 1 AS t, embedding[(r - 1) * 9 + 1:(r - 1) * 9 + 9] AS sc FROM embeddings, range(1, 8) AS g(r))
+SELECT vec_id, CAST(t AS INTEGER) AS t, coalesce(({_LABELS})[list_position(sc, list_max(sc))], 'O') AS tag FROM t"""
+ORACLE["g5_ctc_decode"] = """
+WITH f AS (SELECT vec_id, r - 1 AS fr, embedding[(r - 1) * 8 + 1:(r - 1) * 8 + 8] AS sc FROM embeddings, range(1, 9) AS g(r)),
+a AS (SELECT vec_id, fr, list_position(sc, list_max(sc)) - 1 AS id FROM f),
+b AS (SELECT *, lag(id) OVER (PARTITION BY vec_id ORDER BY fr) AS pid FROM a)
+SELECT e.vec_id, coalesce(string_agg(CASE WHEN b.id <> 0 AND (b.pid IS NULL OR b.pid <> b.id)
+                                      THEN (['_', 'a', ' ', 'b', 'c', 'd', 'e', 'f'])[b.id + 1] END, '' ORDER BY b.fr), '') AS text
+FROM embeddings e JOIN b ON e.vec_id = b.vec_id GROUP BY e.vec_id"""
+
+# ------------------------------------------------------------------ LLM answers as tables
+_LLM_CTE = f"""
+sc AS ({sql_rules.score_sql(TEST_LEXICON, AGENT_ROLE)}),
+{sql_rules.segments_sql()},
+ft AS (SELECT call_id, string_agg(speaker || ': ' || text, ' ' ORDER BY start, "end", pos) AS full_text FROM seg GROUP BY call_id),
+qq AS (SELECT call_id, first(speaker || ': ' || substr(text, 1, 40) ORDER BY start, "end", pos)
+                         FILTER (WHERE contains(lower(speaker), 'assistant')) AS quote FROM seg GROUP BY call_id),
+an AS (SELECT sc.call_id, sc.metric, sc.score, sc.probability, sc.reasoning, sc.evidence_snippet,
+              CASE WHEN CAST(sc.call_id AS BIGINT) % 7 = 0 AND sc.metric = 'KR2.2' THEN 4
+                   WHEN CAST(sc.call_id AS BIGINT) % 11 = 0 AND sc.metric = 'KR2.5' THEN 2 ELSE sc.score END AS a_score,
+              regexp_replace(CASE WHEN CAST(sc.call_id AS BIGINT) % 5 = 0 AND sc.metric = 'KR2.3' THEN sc.evidence_snippet
+                                  ELSE coalesce(qq.quote, '') END, '^[{st.UWS}]+|[{st.UWS}]+$', '', 'g') AS ev
+       FROM sc LEFT JOIN qq ON sc.call_id = qq.call_id),
+vv AS (SELECT an.call_id, bool_and(a_score BETWEEN 0 AND 3 AND (ev = '' OR contains(ft.full_text, ev))) AS valid
+       FROM an JOIN ft ON an.call_id = ft.call_id GROUP BY an.call_id)"""
+ORACLE["r11_llm_validation"] = f"WITH {_LLM_CTE}\nSELECT call_id, valid FROM vv"
+ORACLE["r12_llm_merge"] = f"""WITH {_LLM_CTE}
+SELECT an.call_id, an.metric,
+       CASE WHEN vv.valid THEN CAST(an.a_score AS INTEGER) ELSE an.score END AS score,
+       an.probability,
+       CASE WHEN vv.valid THEN 'LLM qiymətləndirməsi' ELSE an.reasoning END AS reasoning,
+       CASE WHEN vv.valid THEN an.ev ELSE an.evidence_snippet END AS evidence_snippet,
+       coalesce(vv.valid, FALSE) AS llm_used
+FROM an LEFT JOIN vv ON an.call_id = vv.call_id"""
