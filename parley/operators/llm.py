@@ -13,6 +13,7 @@ from ..functions.pii import redact
 from ..functions.text import py_strip
 from .rules import METRIC_COLS, METRICS
 from .segments import ORDER
+from ..session import cut_lineage
 from .sequence import decide_chunks, ordered_context
 
 # ---------------------------------------------------------------------------------------------
@@ -102,22 +103,38 @@ def validate_answers(parsed: DataFrame, segments: DataFrame, **seq_kw) -> DataFr
     tested per segment and across boundaries with the skew-safe ordered scan (tail of the length
     of the longest evidence), so the joined text is never built.
     """
+    # Staged projections: each VARIANT field is extracted once into its own column (lambdas and
+    # collapsed projections would otherwise repeat the extraction per use).
+    x = parsed.select("call_id", *[F.try_variant_get(F.col("answer"), f"$['{m}']", "variant").alias(f"it{i}")
+                                   for i, m in enumerate(METRICS)])
+    fields = []
+    for i in range(len(METRICS)):
+        it = F.col(f"it{i}")
+        fields += [F.coalesce(F.schema_of_variant(it).startswith("OBJECT"), F.lit(False)).alias(f"obj{i}")]
+        fields += [F.try_variant_get(it, f"$.{k}", "variant").alias(f"{k}{i}")
+                   for k in ("score", "probability", "reasoning", "evidence_snippet")]
+    x = x.select("call_id", *fields)
+    vals = []
+    for i in range(len(METRICS)):
+        score = _py_int(F.col(f"score{i}"))
+        vals += [F.col(f"obj{i}").alias(f"obj{i}"), score.alias(f"sc{i}"),
+                 F.upper(py_strip(F.coalesce(_py_str(F.col(f"probability{i}")), F.lit("LOW")))).alias(f"pr{i}"),
+                 py_strip(F.coalesce(_py_str(F.col(f"reasoning{i}")), F.lit(""))).alias(f"rs{i}"),
+                 py_strip(F.coalesce(_py_str(F.col(f"evidence_snippet{i}")), F.lit(""))).alias(f"ev{i}")]
+    x = x.select("call_id", *vals)
     items = []
-    for m, cn in zip(METRICS, METRIC_COLS):
-        it = F.try_variant_get(F.col("answer"), f"$['{m}']", "variant")
-        is_obj = F.coalesce(F.schema_of_variant(it).startswith("OBJECT"), F.lit(False))
-        score = _py_int(F.try_variant_get(it, "$.score", "variant"))
-        prob_raw = F.upper(py_strip(F.coalesce(_py_str(F.try_variant_get(it, "$.probability", "variant")), F.lit("LOW"))))
-        prob = F.when(prob_raw.isin("HIGH", "LOW"), prob_raw).otherwise(F.lit("LOW"))
-        reason = py_strip(F.coalesce(_py_str(F.try_variant_get(it, "$.reasoning", "variant")), F.lit("")))
-        ev = py_strip(F.coalesce(_py_str(F.try_variant_get(it, "$.evidence_snippet", "variant")), F.lit("")))
-        ok = is_obj & score.isNotNull() & score.between(0, 3)
+    for i, m in enumerate(METRICS):
+        sc, pr, rs = F.col(f"sc{i}"), F.col(f"pr{i}"), F.col(f"rs{i}")
+        ok = F.col(f"obj{i}") & sc.isNotNull() & sc.between(0, 3)
         items.append(F.struct(F.lit(m).alias("metric"), ok.alias("ok"),
-                              F.struct(score.cast("int").alias("score"), prob.alias("probability"),
-                                       F.when(reason == "", F.lit(DEFAULT_REASONING)).otherwise(reason).alias("reasoning"),
-                                       ev.alias("evidence_snippet")).alias("r")))
-    x = parsed.select("call_id", F.array(*items).alias("items"))
-    struct_ok = x.select("call_id", "items", F.forall("items", lambda i: i["ok"]).alias("shape_ok"))
+                              F.struct(sc.cast("int").alias("score"),
+                                       F.when(pr.isin("HIGH", "LOW"), pr).otherwise(F.lit("LOW")).alias("probability"),
+                                       F.when(rs == "", F.lit(DEFAULT_REASONING)).otherwise(rs).alias("reasoning"),
+                                       F.col(f"ev{i}").alias("evidence_snippet")).alias("r")))
+    x = x.select("call_id", F.array(*items).alias("items"))
+    struct_ok = x.select("call_id", "items", F.forall("items", lambda it: it["ok"]).alias("shape_ok"))
+    # one row per answered call, read by three branches below: materialise it once (reliable checkpoint)
+    struct_ok = cut_lineage(struct_ok)
     evid = (struct_ok.where("shape_ok").select("call_id", F.explode("items").alias("i"))
             .select("call_id", F.col("i.metric").alias("metric"), F.col("i.r.evidence_snippet").alias("ev"))
             .where(F.col("ev") != ""))

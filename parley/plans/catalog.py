@@ -467,8 +467,10 @@ def llm_requests(spark, sf):
 
 
 def _validated(spark, sf):
+    from ..session import cut_lineage
     seg = conv_segments(spark, sf)
-    wide = rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE)
+    # read by the answer derivation and by the merge: materialise once in the checkpoint folder
+    wide = cut_lineage(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE))
     answers = llm_op.answers_from_rules(rules.to_long(wide), seg, AGENT_ROLE)
     return seg, wide, llm_op.validate_answers(llm_op.parse_answers(answers), seg)
 
