@@ -486,3 +486,57 @@ def llm_merge(spark, sf):
     _, wide, v = _validated(spark, sf)
     merged = llm_op.merge_scores(wide, v, LLM_MODEL)
     return rules.to_long(merged).join(merged.select("call_id", "llm_used"), "call_id")
+
+
+# ------------------------------------------------------------------ files, BIO corpora
+from ..operators import bio as bio_op  # noqa: E402
+from ..sources import files as file_src  # noqa: E402
+
+
+@register("m7_table_sizes_mb")
+def table_sizes(spark, sf):
+    """M7 over the given tables' files (binaryFile listing; contents are not read)."""
+    return file_src.sizes_mb(file_src.list_files(spark, sf), by_directory=False).select(
+        F.regexp_extract("path", r"([^/]*)$", 1).alias("file"), "size_mb")
+
+
+@register("s7_file_manifest")
+def file_manifest(spark, sf):
+    """S7 on the table folder: every parquet file is rejected as an unsupported audio type."""
+    acc, rej = file_src.audio_manifest(file_src.list_files(spark, sf))
+    return rej.groupBy("reason").agg(F.count(F.lit(1)).alias("n_files")).unionByName(
+        acc.agg(F.count(F.lit(1)).alias("n_files")).select(F.lit("accepted").alias("reason"), "n_files"))
+
+
+@register("b4_spans_to_bio_rows")
+def spans_to_bio_rows(spark, sf):
+    """Documents with their regex entity spans as a span-annotated corpus, converted to BIO rows."""
+    docs = _doc_frame(spark, sf)
+    ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
+    corpus = docs.join(ents, "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities")
+    out = bio_op.spans_corpus_to_bio(corpus)
+    return out.select("row_id", F.size("tokens").alias("n_tokens"),
+                      F.size(F.filter("tags", lambda t: t != "O")).alias("n_tagged"),
+                      F.array_join(F.filter("tags", lambda t: t != "O"), " ").alias("tag_seq"))
+
+
+@register("b8_synthetic_ner")
+def synthetic_ner(spark, sf):
+    """B7/B8 (+B2, B5, B6): one template row per document id, whitespace-token BIO tags."""
+    keys = read_table(spark, sf, "documents", ["doc_id"])
+    out = bio_op.synthesize_ner(keys, "doc_id", seed=SEED)
+    return out.select("row_id", "text", F.array_join("tags", " ").alias("tags"))
+
+
+@register("b11_align_labels")
+def align_labels(spark, sf):
+    """B11 on the BIO rows of b4: labels per sub-word piece (4-character pieces, special tokens -100)."""
+    docs = _doc_frame(spark, sf)
+    ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
+    rows = bio_op.spans_corpus_to_bio(docs.join(ents, "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities"))
+    wid = bio_op.subword_ids(F.col("tokens"))
+    lab = mdl.align_labels(F.col("wid"), F.col("tags"))
+    return rows.withColumn("wid", wid).select("row_id", F.posexplode(lab).alias("i", "label_id")).where(
+        F.col("label_id") != 0)

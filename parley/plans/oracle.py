@@ -341,3 +341,7 @@ SELECT an.call_id, an.metric,
        CASE WHEN vv.valid THEN an.ev ELSE an.evidence_snippet END AS evidence_snippet,
        coalesce(vv.valid, FALSE) AS llm_used
 FROM an LEFT JOIN vv ON an.call_id = vv.call_id"""
+ORACLE["b4_spans_to_bio_rows"] = f"""WITH {TAGS_CTE}
+SELECT tg.doc_id AS row_id, count(*) AS n_tokens, count(*) FILTER (WHERE tag <> 'O') AS n_tagged,
+       coalesce(string_agg(tag, ' ' ORDER BY ti) FILTER (WHERE tag <> 'O'), '') AS tag_seq
+FROM tg WHERE tg.doc_id IN (SELECT doc_id FROM en) GROUP BY tg.doc_id"""
