@@ -3,8 +3,9 @@
 The patterns below are written in Python's ``re`` dialect as the behaviour to match. Spark runs
 ``java.util.regex``: ``\\w \\d \\s \\b`` are ASCII there unless the ``(?U)`` flag is set, so every
 pattern handed to Spark goes through :func:`java` which adds ``(?U)`` (and ``i`` for
-case-insensitive patterns). Python's ``re.IGNORECASE`` lets ``[A-Z]`` also match ``İ``; Java's
-``(?iU)`` does not, so the Java forms spell ``İ`` out inside those classes.
+case-insensitive patterns). Python's ``re.IGNORECASE`` lets ``[A-Z]`` also match ``İ`` (U+0130) and
+the Kelvin sign (U+212A); Java's ``(?iU)`` matches neither, so the Java forms spell both out inside
+those classes (checked: ``ı`` and ``ſ`` already match in both).
 
 Always pass these as literals: ``RLike``/``RegExpReplace``/``RegExpExtract`` compile a literal
 pattern once per task, a pattern column would be recompiled per row.
@@ -51,8 +52,8 @@ def java(pattern: str, ignore_case: bool = False) -> str:
     """Translate a Python-dialect pattern to the equivalent ``java.util.regex`` pattern."""
     p = pattern
     if ignore_case:
-        # Python re.I matches U+0130 against [A-Z]; Java (?iU) does not.
-        p = _UPPER_CLASS.sub("A-Zİ", p)
+        # Python re.I matches U+0130 and U+212A against [A-Z]; Java (?iU) does not.
+        p = _UPPER_CLASS.sub("A-Z\u0130\u212a", p)
         return "(?iU)" + p
     return "(?U)" + p
 
