@@ -23,7 +23,11 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def audio_manifest(files: DataFrame, extensions: Sequence[str] = AUDIO_EXTENSIONS) -> tuple[DataFrame, DataFrame]:
-    """Accepted audio files and rejects with a reason (no name, unsupported type, empty file)."""
+    """Accepted audio files and rejects with a reason (no name, unsupported type, empty file).
+
+    Spark's file scan already skips zero-length files, so from ``binaryFile`` an empty file is never
+    accepted but also not listed; the ``empty file`` reason covers manifests built from other listings.
+    """
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
     reason = (F.when(name == "", F.lit("missing file name"))
