@@ -62,12 +62,14 @@ def is_agent(role: str = "operator", speaker: Column | str = "speaker") -> Colum
 
 
 def call_profile(segments: DataFrame, role: str = "operator") -> DataFrame:
-    """N7 + N9 per call: segment count, blank/broken count, agent count, duration (max end - min start)."""
+    """N7 + N9 + N10 per call: segment count, blank/broken count, agent count, duration
+    (max end - min start) and the agent's talk time (sum of ``max(0, end - start)``)."""
     return segments.groupBy("call_id").agg(
         F.count(F.lit(1)).alias("n_segments"),
         F.count_if(blank_or_broken("text")).alias("n_blank"),
         F.count_if(is_agent(role)).alias("n_agent"),
         (F.max("end") - F.min("start")).alias("duration_s"),
+        F.round(F.sum(F.when(is_agent(role), segment_duration())), 6).alias("agent_talk_s"),
     )
 
 

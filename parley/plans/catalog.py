@@ -540,3 +540,36 @@ def align_labels(spark, sf):
     lab = mdl.align_labels(F.col("wid"), F.col("tags"))
     return rows.withColumn("wid", wid).select("row_id", F.posexplode(lab).alias("i", "label_id")).where(
         F.col("label_id") != 0)
+
+
+@register("b9_span_corpus")
+def span_corpus(spark, sf):
+    """B9/B10 -> B4: one span-annotated synthetic row per document id, converted to BIO rows."""
+    keys = read_table(spark, sf, "documents", ["doc_id"])
+    rows = bio_op.synthesize_spans(keys, "doc_id", seed=SEED)
+    out = bio_op.spans_corpus_to_bio(rows)
+    return out.select("row_id", "text", F.array_join("tags", " ").alias("tags"))
+
+
+@register("l12_explore_candidates")
+def explore_candidates(spark, sf):
+    """L12 over all documents: sentences (10..240, ellipsis enders), how many look like PII, and the
+    first five flagged ones in document order (a top-5 report)."""
+    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    s = sent_op.sentences(d, "doc_id", "text", 10, 240, enders=".!?…")
+    flag = pii_fn.looks_like("sentence", "explore")
+    first5 = s.where(flag).orderBy("doc_id", "sent_no").limit(5)
+    counts = s.agg(F.count(F.lit(1)).alias("n_sentences"), F.count_if(flag).alias("n_flagged"))
+    summary = counts.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("sent_no"),
+                            F.lit(None).cast("string").alias("sentence"), "n_sentences", "n_flagged")
+    examples = first5.select("doc_id", "sent_no", "sentence", F.lit(None).cast("long").alias("n_sentences"),
+                             F.lit(None).cast("long").alias("n_flagged"))
+    return summary.unionByName(examples)
+
+
+@register("k4_results_json")
+def results_json(spark, sf):
+    """K4: the scoring response record per call as JSON (results keyed by metric)."""
+    wide = rules.score_calls(conv_segments(spark, sf), TEST_LEXICON, role=AGENT_ROLE)
+    return rules.results_json(wide).select("call_id", F.length("json").alias("json_chars"),
+                                           F.get_json_object("json", "$.results['KR2.3'].score").alias("kr2_3_score"))

@@ -290,7 +290,8 @@ WITH {sql_rules.segments_sql()}
 SELECT call_id, count(*) AS n_segments,
        count(*) FILTER (WHERE regexp_replace(text, '^[{st.UWS}]+|[{st.UWS}]+$', '', 'g') IN ('', '.', '..', '...')) AS n_blank,
        count(*) FILTER (WHERE contains(lower(speaker), 'assistant')) AS n_agent,
-       max("end") - min(start) AS duration_s
+       max("end") - min(start) AS duration_s,
+       round(sum(CASE WHEN contains(lower(speaker), 'assistant') THEN greatest(0.0, "end" - start) END), 6) AS agent_talk_s
 FROM seg GROUP BY call_id"""
 
 # ------------------------------------------------------------------ models and decoding
@@ -345,3 +346,15 @@ ORACLE["b4_spans_to_bio_rows"] = f"""WITH {TAGS_CTE}
 SELECT tg.doc_id AS row_id, count(*) AS n_tokens, count(*) FILTER (WHERE tag <> 'O') AS n_tagged,
        coalesce(string_agg(tag, ' ' ORDER BY ti) FILTER (WHERE tag <> 'O'), '') AS tag_seq
 FROM tg WHERE tg.doc_id IN (SELECT doc_id FROM en) GROUP BY tg.doc_id"""
+
+_EXPLORE = "(" + " OR ".join(st.has("sentence", k) for k in ["fin_digit_first", "phone_strict", "card"]) + ")"
+ORACLE["l12_explore_candidates"] = f"""
+WITH n AS (SELECT doc_id, {st.norm_ws('text')} AS t FROM documents),
+p AS (SELECT doc_id, string_split(regexp_replace(t, '([.!?…]) ', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM n WHERE t <> ''),
+u AS (SELECT doc_id, unnest(parts) AS sentence, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS sent_no FROM p),
+s AS (SELECT * FROM u WHERE length(sentence) BETWEEN 10 AND 240),
+f AS (SELECT * FROM s WHERE {_EXPLORE} ORDER BY doc_id, sent_no LIMIT 5)
+SELECT CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS INTEGER) AS sent_no, CAST(NULL AS VARCHAR) AS sentence,
+       count(*) AS n_sentences, count(*) FILTER (WHERE {_EXPLORE}) AS n_flagged FROM s
+UNION ALL
+SELECT doc_id, sent_no, sentence, NULL, NULL FROM f"""

@@ -29,7 +29,7 @@ def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_payload_array(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array file of payloads (``multiLine``; such a file is read by one task, prefer JSONL)."""
     arr = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
-    return arr.selectExpr("variant_explode(v) AS (pos, key, v)").select("v")
+    return arr.select(F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v"))
 
 
 def payloads_from_strings(df: DataFrame, col: str) -> DataFrame:
