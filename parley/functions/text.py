@@ -11,22 +11,23 @@ from .regex import SPACE_CLASS
 
 ColumnOrName = Column | str
 
-# Unicode whitespace as Python's str.split()/strip() see it, in Java syntax.
-_WS = r"(?U)\s"
-
-
 def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def py_strip(c: ColumnOrName) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace (``trim`` only drops spaces)."""
-    return F.regexp_replace(col(c), f"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
+    return F.regexp_replace(col(c), f"(?U)^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
 
 
 def normalize_ws(c: ColumnOrName) -> Column:
     """Collapse whitespace runs to one space and strip."""
-    return F.trim(F.regexp_replace(col(c), f"[{SPACE_CLASS}]+", " "))
+    return F.trim(F.regexp_replace(col(c), f"(?U)[{SPACE_CLASS}]+", " "))
+
+
+def has_non_space(c: ColumnOrName) -> Column:
+    """True when ``normalize_ws(c) != ''`` (stops at the first non-space character)."""
+    return col(c).rlike(f"(?U)[^{SPACE_CLASS}]")
 
 
 def blank_or_broken(c: ColumnOrName) -> Column:

@@ -18,7 +18,9 @@ def sentences(df: DataFrame, id_col: str, text_col: str, min_chars: int = 25, ma
     """
     norm = normalize_ws(F.col(text_col))
     x = df.select(F.col(id_col), norm.alias("_n"))
-    x = x.where(F.col("_n") != "").select(id_col, F.posexplode(sentence_pieces(F.col("_n"), enders)).alias("sent_no", "sentence"))
+    # an empty text splits into one empty piece, which the length band drops (no extra filter that
+    # the optimizer would evaluate on a second copy of the normalisation)
+    x = x.select(id_col, F.posexplode(sentence_pieces(F.col("_n"), enders)).alias("sent_no", "sentence"))
     lo = max(min_chars, 1)
     return x.where(F.length("sentence").between(lo, max_chars)).select(
         id_col, F.col("sent_no").cast("int").alias("sent_no"), "sentence")

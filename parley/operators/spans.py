@@ -165,17 +165,25 @@ def regex_guardrail_logits(text: Column) -> tuple[Column, Column]:
 
 
 def cascade(docs: DataFrame, score: Column, threshold: float = 0.5, max_tokens: int | None = None,
-            names: DataFrame | None = None, detectors: dict[str, str] | None = None) -> DataFrame:
+            names: DataFrame | None = None, detectors: dict[str, str] | None = None,
+            partitions: int | None = None) -> DataFrame:
     """D16 (+D11, D17): score every row; only rows with ``p >= threshold`` are tokenised, tagged,
     merged and masked; safe rows pass through untouched. Output
     ``doc_id, is_unsafe, guardrail_score, masked_text, entities, truncated``.
 
     ``score`` is a probability column over ``docs`` (e.g. ``softmax_p1`` of model logits).
     ``max_tokens`` inspects only the first tokens (flagged as ``truncated``).
+
+    The score is computed *before* the single exchange on ``doc_id``: all branches below (safe rows,
+    tokens, entities, masking) read the same shuffle output, so the guardrail runs once per row.
     """
+    from ..session import shuffle_partitions
     from .tokens import tokens_with_offsets
 
-    scored = docs.withColumn("guardrail_score", score).withColumn("is_unsafe", F.col("guardrail_score") >= threshold)
+    n = partitions or shuffle_partitions(docs.sparkSession)
+    scored = (docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+              .withColumn("guardrail_score", score).withColumn("is_unsafe", F.col("guardrail_score") >= threshold)
+              .repartition(n, "doc_id"))
     unsafe = scored.where("is_unsafe")
     toks = tokens_with_offsets(unsafe)
     truncated = None

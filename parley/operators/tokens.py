@@ -16,9 +16,8 @@ from ..functions.text import normalize_ws
 from ..session import shuffle_partitions
 
 # Python's str semantics: \w = letters, numbers, underscore; \s = str.isspace() characters.
-WORD = r"\p{L}\p{N}_"
-SPACE = r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-PIECES = f"[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
+WORD, SPACE = rx.WORD_CLASS, rx.SPACE_CLASS
+PIECES = f"(?U)[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
 
 
 def doc_frame(df: DataFrame, id_col: str, text_col: str, partitions: int | None = None) -> DataFrame:
@@ -36,7 +35,7 @@ def tokens_with_offsets(docs: DataFrame) -> DataFrame:
     """
     p = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(PIECES), 0)).alias("pi", "piece"))
     w = Window.partitionBy("doc_id").orderBy("pi")
-    is_tok = ~F.col("piece").rlike(f"^[{SPACE}]")
+    is_tok = ~F.col("piece").rlike(f"(?U)^[{SPACE}]")
     p = p.select("doc_id", "pi", "piece", is_tok.alias("is_tok"),
                  F.coalesce(F.sum(F.length("piece")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)).alias("s"),
@@ -49,7 +48,7 @@ def tokens_with_offsets(docs: DataFrame) -> DataFrame:
 
 def token_array(text) -> "F.Column":
     """B1 without offsets, as one array column (``\\w+|[^\\w\\s]``)."""
-    return F.regexp_extract_all(text if not isinstance(text, str) else F.col(text), F.lit(f"[{WORD}]+|[^{WORD}{SPACE}]"), 0)
+    return F.regexp_extract_all(text if not isinstance(text, str) else F.col(text), F.lit(f"(?U)[{WORD}]+|[^{WORD}{SPACE}]"), 0)
 
 
 def whitespace_tokens(text) -> "F.Column":

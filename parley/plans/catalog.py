@@ -54,7 +54,7 @@ from ..functions.text import first_non_blank, normalize_ws  # noqa: E402
 from ..operators import sentences as sent_op  # noqa: E402
 from ..operators import spans as span_op  # noqa: E402
 from ..operators import tokens as tok_op  # noqa: E402
-from ..sources.tables import profile  # noqa: E402
+from ..sources.tables import balanced, profile  # noqa: E402
 
 TEXT_CANDIDATES = ["text", "content", "body", "article", "document", "sentence"]
 
@@ -77,25 +77,25 @@ def first_text_pages(spark, sf):
 
 @register("n15_normalize_ws")
 def normalize_documents(spark, sf):
-    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    d = balanced(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return d.select("doc_id", normalize_ws("text").alias("text_norm"))
 
 
 @register("n16_sentences")
 def sentences_documents(spark, sf):
-    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    d = balanced(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return sent_op.sentences(d, "doc_id", "text", 25, 280)
 
 
 @register("n17_sentences_ellipsis")
 def sentences_ellipsis(spark, sf):
-    d = read_table(spark, sf, "documents", ["doc_id", "text"])
+    d = balanced(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return sent_op.sentences(d, "doc_id", "text", 10, 240, enders=".!?…")
 
 
 # ------------------------------------------------------------------ PII detection and redaction
 def _docs(spark, sf):
-    return read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    return balanced(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), "doc_id")
 
 
 @register("d1_card_numbers")
@@ -204,7 +204,7 @@ def masked_documents(spark, sf):
 
 @register("d16_cascade")
 def cascade_documents(spark, sf):
-    docs = _doc_frame(spark, sf)
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     l0, l1 = span_op.regex_guardrail_logits(F.col("text"))
     out = span_op.cascade(docs, span_op.softmax_p1(l0, l1), threshold=0.5)
     return out.select("doc_id", "is_unsafe", F.round("guardrail_score", 6).alias("guardrail_score"), "masked_text")

@@ -16,6 +16,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
     return df.select(*columns) if columns else df
 
 
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over all cores when it yields fewer partitions than the cluster's parallelism
+    (one small file read by a few tasks); large inputs already have many splits and pass through.
+    Hash on ``key`` keeps the placement deterministic when a task is retried."""
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
 def find_text_column(df: DataFrame, candidates: Sequence[str] = ("sentence", "text", "transcript", "transcription")) -> str:
     """First candidate present in the schema (a driver-side schema check, no job)."""
     for c in candidates:
