@@ -139,15 +139,17 @@ def span_texts(text: Column, spans: Column) -> Column:
 
 
 def mask_documents(docs: DataFrame, merged: DataFrame) -> DataFrame:
-    """D15 per document: ``doc_id, masked_text, entities`` (spans per document are bounded by its text)."""
+    """D15 per document: ``doc_id, text, masked_text, entities`` plus any other columns of ``docs``
+    (spans per document are bounded by its text)."""
     per = merged.groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("s", "e", "label"))).alias("sp"))
     per = per.select("doc_id", F.transform("sp", lambda x: F.struct(x["label"].alias("label"), x["s"].alias("s"),
                                                                     x["e"].alias("e"))).alias("spans"))
     j = docs.join(per, "doc_id", "left")
     sp = F.coalesce(F.col("spans"), F.array().cast(SPAN_TYPE))
+    extra = [c for c in docs.columns if c not in ("doc_id", "text")]
     return j.select("doc_id", "text", mask_text(F.col("text"), sp).alias("masked_text"),
-                    span_texts(F.col("text"), sp).alias("entities"))
+                    span_texts(F.col("text"), sp).alias("entities"), *extra)
 
 
 def softmax_p1(logit0: Column, logit1: Column) -> Column:
@@ -174,17 +176,21 @@ def cascade(docs: DataFrame, score: Column, threshold: float = 0.5, max_tokens:
     ``score`` is a probability column over ``docs`` (e.g. ``softmax_p1`` of model logits).
     ``max_tokens`` inspects only the first tokens (flagged as ``truncated``).
 
-    The score is computed *before* the single exchange on ``doc_id``: all branches below (safe rows,
-    tokens, entities, masking) read the same shuffle output, so the guardrail runs once per row.
+    The guardrail (in general a model) runs once per row: scored rows are written as a Parquet
+    table in the shared checkpoint folder, partitioned by ``is_unsafe``; the extractor branch reads
+    only the unsafe partition (co-partitioned by ``doc_id`` for the per-document steps), the pass-
+    through branch only the safe one.
     """
-    from ..session import shuffle_partitions
+    from ..session import materialize, shuffle_partitions
     from .tokens import tokens_with_offsets
 
     n = partitions or shuffle_partitions(docs.sparkSession)
-    scored = (docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-              .withColumn("guardrail_score", score).withColumn("is_unsafe", F.col("guardrail_score") >= threshold)
-              .repartition(n, "doc_id"))
-    unsafe = scored.where("is_unsafe")
+    scored = (docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), score.alias("guardrail_score"))
+              .withColumn("is_unsafe", F.col("guardrail_score") >= threshold)
+              .withColumn("_u", F.col("is_unsafe").cast("int")))
+    # partition values come back typed as numbers, not booleans: partition on the 0/1 copy
+    scored = materialize(scored, "cascade-scored", partition_by=["_u"])
+    unsafe = scored.where(F.col("_u") == 1).drop("_u").repartition(n, "doc_id")
     toks = tokens_with_offsets(unsafe)
     truncated = None
     if max_tokens is not None:
@@ -196,13 +202,12 @@ def cascade(docs: DataFrame, score: Column, threshold: float = 0.5, max_tokens:
         ents = ents.unionByName(gazetteer_entities(toks, names))
     tagged = entities_to_bio(toks, ents)
     merged = merge_spans(bio_to_spans(tagged))
-    masked = mask_documents(unsafe.select("doc_id", "text"), merged)
-    out_unsafe = masked.join(unsafe.select("doc_id", "guardrail_score", "is_unsafe"), "doc_id")
+    out_unsafe = mask_documents(unsafe, merged)
     if truncated is not None:
         out_unsafe = out_unsafe.join(truncated, "doc_id", "left")
     else:
         out_unsafe = out_unsafe.withColumn("truncated", F.lit(False))
-    safe = scored.where(~F.col("is_unsafe")).select(
+    safe = scored.where(F.col("_u") == 0).select(
         "doc_id", "text", F.col("text").alias("masked_text"),
         F.array().cast("array<struct<label:string,text:string>>").alias("entities"),
         "guardrail_score", "is_unsafe", F.lit(False).alias("truncated"))
