@@ -569,7 +569,10 @@ def explore_candidates(spark, sf):
 
 @register("k4_results_json")
 def results_json(spark, sf):
-    """K4: the scoring response record per call as JSON (results keyed by metric)."""
+    """K4: scoring response records as JSON (results keyed by metric), read back with a typed schema."""
     wide = rules.score_calls(conv_segments(spark, sf), TEST_LEXICON, role=AGENT_ROLE)
-    return rules.results_json(wide).select("call_id", F.length("json").alias("json_chars"),
-                                           F.get_json_object("json", "$.results['KR2.3'].score").alias("kr2_3_score"))
+    schema = ("struct<dataset_id:string,call_id:string,results:map<string,"
+              "struct<score:int,probability:string,reasoning:string,evidence_snippet:string>>>")
+    back = rules.results_json(wide).select(F.from_json("json", schema).alias("r"))
+    return back.select("r.call_id", F.explode("r.results").alias("metric", "x")).select(
+        "call_id", "metric", "x.score", "x.probability", "x.reasoning", "x.evidence_snippet")

@@ -358,3 +358,42 @@ SELECT CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS INTEGER) AS sent_no, CAST(NU
        count(*) AS n_sentences, count(*) FILTER (WHERE {_EXPLORE}) AS n_flagged FROM s
 UNION ALL
 SELECT doc_id, sent_no, sentence, NULL, NULL FROM f"""
+
+ORACLE["k4_results_json"] = ORACLE["r6_score_calls"]
+
+
+def _tags_cte(p: str, dets: list[tuple[str, str]]) -> str:
+    lists = ", ".join(st.spans_list("text", k, lab) for k, lab in dets)
+    return f"""
+{p}el AS (SELECT doc_id, list_concat({lists}) AS l FROM documents),
+{p}eu AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS eo FROM {p}el),
+{p}en AS (SELECT doc_id, eo, upper(x.label) AS label, x.s AS ns, x.e AS ne FROM {p}eu),
+{p}pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM tok t JOIN {p}en n
+          ON t.doc_id = n.doc_id AND t.is_tok AND t.e > n.ns AND t.s < n.ne),
+{p}pf AS (SELECT *, min(ti) OVER (PARTITION BY doc_id, eo) AS first_ti,
+                 row_number() OVER (PARTITION BY doc_id, ti ORDER BY ns DESC, ne DESC, eo DESC) AS rk FROM {p}pr),
+{p}tg AS (SELECT t.doc_id, t.ti, t.s, t.e,
+                 coalesce(CASE WHEN q.ti = q.first_ti THEN 'B-' ELSE 'I-' END || q.label, 'O') AS tag
+          FROM tok t LEFT JOIN (SELECT * FROM {p}pf WHERE rk = 1) q ON t.doc_id = q.doc_id AND t.ti = q.ti
+          WHERE t.is_tok),
+{p}sx AS (SELECT doc_id, ti, s, e, tag, CASE WHEN tag LIKE 'B-%' OR tag LIKE 'I-%' THEN substr(tag, 3) END AS typ
+          FROM {p}tg WHERE NOT (s = 0 AND e = 0)),
+{p}sy AS (SELECT *, CASE WHEN typ IS NOT NULL AND (tag LIKE 'B-%' OR lag(typ) OVER w IS NULL OR lag(typ) OVER w <> typ)
+                         THEN 1 ELSE 0 END AS st FROM {p}sx WINDOW w AS (PARTITION BY doc_id ORDER BY ti)),
+{p}sz AS (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY ti ROWS UNBOUNDED PRECEDING) AS span_no FROM {p}sy),
+{p}sp AS (SELECT doc_id, first(typ) AS label, arg_min(s, ti) AS s, arg_max(e, ti) AS e
+          FROM {p}sz WHERE typ IS NOT NULL GROUP BY doc_id, span_no)"""
+
+
+ORACLE["m4_entity_f1"] = f"""WITH {TOKENS_CTE},
+{_tags_cte('g_', [('card', 'CARD'), ('phone_strict', 'PHONE'), ('fin7', 'FIN')])},
+{_tags_cte('a_', [('card', 'CARD'), ('phone', 'PHONE'), ('fin', 'FIN')])},
+c AS (SELECT (SELECT count(*) FROM g_sp JOIN a_sp ON g_sp.doc_id = a_sp.doc_id AND g_sp.label = a_sp.label
+                                     AND g_sp.s = a_sp.s AND g_sp.e = a_sp.e) AS tp,
+             (SELECT count(*) FROM a_sp) AS n_pred, (SELECT count(*) FROM g_sp) AS n_gold,
+             (SELECT avg(CASE WHEN g.tag = a.tag THEN 1.0 ELSE 0.0 END) FROM g_tg g JOIN a_tg a
+                     ON g.doc_id = a.doc_id AND g.ti = a.ti) AS acc),
+m AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS p,
+             CASE WHEN n_gold > 0 THEN tp / n_gold ELSE 0.0 END AS r FROM c)
+SELECT tp, n_pred, n_gold, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1, round(acc, 6) AS accuracy FROM m"""

@@ -43,3 +43,39 @@ def test_tail_matches_python_join(spark):
         for i in range(len(rows)):
             want = " ".join(texts[:i])[-4:] if i else None
             assert out[i] == want, (chunks, i, out[i], want)
+
+
+def test_scoring_split_path_equals_plain(spark):
+    """The full scorer with the range-split ordered scan forced on equals the plain per-call windows."""
+    from parley.operators import rules, segments
+    from parley.sources.lexicon import TEST_LEXICON
+    conv = read_table(spark, SF01, "conversations")
+    seg = segments.conversation_segments(conv, chunks=1)
+    plain = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role="assistant", chunks=1))
+    split = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role="assistant", chunks=6, per_chunk=8))
+    a = sorted(tuple(r) for r in plain.collect())
+    b = sorted(tuple(r) for r in split.collect())
+    assert a == b and len(a) == 500
+
+
+def test_scoring_one_hot_call(spark):
+    """Every segment in one call: split scoring equals plain scoring (the worst skew)."""
+    from parley.operators import rules, segments
+    from parley.sources.lexicon import TEST_LEXICON
+    conv = read_table(spark, SF01, "conversations")
+    seg = segments.conversation_segments(conv, chunks=1)
+    hot = seg.withColumn("pos", (F.col("call_id").cast("int") * 100 + F.col("pos")).cast("int")) \
+             .withColumn("start", F.col("start") + F.col("call_id").cast("double") * 10000) \
+             .withColumn("end", F.col("end") + F.col("call_id").cast("double") * 10000) \
+             .withColumn("call_id", F.lit("hot"))
+    plain = rules.to_long(rules.score_calls(hot, TEST_LEXICON, role="assistant", chunks=1)).collect()
+    split = rules.to_long(rules.score_calls(hot, TEST_LEXICON, role="assistant", chunks=8, per_chunk=8)).collect()
+    assert sorted(tuple(r) for r in plain) == sorted(tuple(r) for r in split)
+
+
+def test_derived_times_split(spark):
+    from parley.operators import segments
+    conv = read_table(spark, SF01, "conversations")
+    a = sorted(tuple(r) for r in segments.derive_times(conv, chunks=1).collect())
+    b = sorted(tuple(r) for r in segments.derive_times(conv, chunks=5, per_chunk=8).collect())
+    assert a == b
