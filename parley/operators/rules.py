@@ -180,7 +180,7 @@ def score_cascade(cf: DataFrame, lexicon: dict | None = None, min_duration: floa
     zero = F.struct(F.lit(0).cast("int").alias("score"), F.lit("LOW").alias("probability"),
                     F.lit(REASON["too_short"]).alias("reasoning"), F.lit("").alias("evidence_snippet"))
     out = base.select(
-        "call_id", dur.alias("duration_s"),
+        F.col("call_id").cast("string").alias("call_id"), dur.alias("duration_s"),
         *[F.when(short, zero).otherwise(e).alias(n)
           for n, e in [("kr2_1", c("kr2_1")), ("kr2_2", kr22), ("kr2_3", c("kr2_3")),
                        ("kr2_4", kr24), ("kr2_5", c("kr2_5"))]],

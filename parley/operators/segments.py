@@ -35,11 +35,16 @@ def derive_times(conversations: DataFrame, **seq_kw) -> DataFrame:
     )
 
 
-def conversation_segments(conversations: DataFrame, **seq_kw) -> DataFrame:
-    """Long-form segments (seconds) from ``conversations``: ``call_id = string(conv_id)``, ``pos = turn``."""
+def conversation_segments(conversations: DataFrame, numeric_id: bool = False, **seq_kw) -> DataFrame:
+    """Long-form segments (seconds) from ``conversations``: ``call_id = string(conv_id)``, ``pos = turn``.
+
+    ``numeric_id`` keeps ``call_id`` as the bigint ``conv_id``: the derived-times window is then
+    already partitioned by the call key, and a scorer that casts at its output needs no re-shuffle.
+    """
     t = derive_times(conversations, **seq_kw)
+    cid = F.col("conv_id") if numeric_id else F.col("conv_id").cast("string")
     return t.select(
-        F.col("conv_id").cast("string").alias("call_id"),
+        cid.alias("call_id"),
         F.col("turn").cast("int").alias("pos"),
         F.col("role").alias("speaker"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),

@@ -101,7 +101,8 @@ def ordered_context(df: DataFrame, key: str, order: Sequence[str], *, lags: Sequ
     base = df.withColumn("_chunk", chunk_column(df, sort_cols, points))
     if tail:
         base = base.withColumn("_tv", _right(F.coalesce(F.col(tail), F.lit("")), tail_chars))
-    w = Window.partitionBy(key, "_chunk").orderBy(*order)
+    # unsplit: partition by the key alone, so a later groupBy/window on the key reuses the exchange
+    w = (Window.partitionBy(key, "_chunk") if split else Window.partitionBy(key)).orderBy(*order)
     adds = [F.row_number().over(w).alias("_rn")]
     adds += [F.lag(c).over(w).alias(f"_l_{c}") for c in lags]
     adds += [F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_c_{c}")

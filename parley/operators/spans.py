@@ -54,11 +54,12 @@ def entities_to_bio(tokens: DataFrame, entities: DataFrame) -> DataFrame:
     ``I-``; a later entity overwrites an earlier one. Output ``doc_id, ti, token, s, e, tag``.
 
     The join is an equi-join on ``doc_id`` (co-partitioned, no exchange) with the overlap test as
-    residual; it only evaluates token x entity pairs of one document.
+    residual; it only evaluates token x entity pairs of one document. The entity side grows with
+    the data, so it is hinted to a per-partition hash join rather than left to an estimated broadcast.
     """
     t = tokens.alias("t")
     n = entities.select("doc_id", F.col("eo").alias("n_eo"), F.upper("label").alias("n_label"),
-                        F.col("s").alias("n_s"), F.col("e").alias("n_e")).alias("n")
+                        F.col("s").alias("n_s"), F.col("e").alias("n_e")).alias("n").hint("shuffle_hash")
     cond = (F.col("t.doc_id") == F.col("n.doc_id")) & (F.col("t.e") > F.col("n.n_s")) & (F.col("t.s") < F.col("n.n_e"))
     pairs = t.join(n, cond, "left").select("t.doc_id", "ti", "token", "s", "e", "n_eo", "n_label", "n_s", "n_e")
     wf = Window.partitionBy("doc_id", "n_eo")

@@ -23,8 +23,10 @@ PIECES = f"(?U)[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
 def doc_frame(df: DataFrame, id_col: str, text_col: str, partitions: int | None = None) -> DataFrame:
     """Co-partition text rows by id (one exchange); downstream per-id operators reuse it."""
     n = partitions or shuffle_partitions(df.sparkSession)
+    # rows without an id cannot be joined back; dropping them here also keeps every branch's
+    # subtree identical (joins infer the same filter), so the one exchange is reused
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .repartition(n, "doc_id")
+        .where(F.col("doc_id").isNotNull()).repartition(n, "doc_id")
 
 
 def tokens_with_offsets(docs: DataFrame) -> DataFrame:

@@ -28,13 +28,13 @@ def register(name: str):
     return deco
 
 
-def conv_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return segments.conversation_segments(read_table(spark, sf, "conversations"))
+def conv_segments(spark: SparkSession, sf: str, numeric_id: bool = False) -> DataFrame:
+    return segments.conversation_segments(read_table(spark, sf, "conversations"), numeric_id=numeric_id)
 
 
 @register("r6_score_calls")
 def score_calls_long(spark, sf):
-    wide = rules.score_calls(conv_segments(spark, sf), TEST_LEXICON, role=AGENT_ROLE)
+    wide = rules.score_calls(conv_segments(spark, sf, numeric_id=True), TEST_LEXICON, role=AGENT_ROLE)
     return rules.to_long(wide)
 
 
@@ -294,7 +294,7 @@ from ..operators import metrics as met  # noqa: E402
 
 
 def _two_configs(spark, sf):
-    seg = conv_segments(spark, sf)
+    seg = conv_segments(spark, sf, numeric_id=True)
     pred = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=60.0))
     exp = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=30.0))
     return pred, exp
@@ -570,7 +570,7 @@ def explore_candidates(spark, sf):
 @register("k4_results_json")
 def results_json(spark, sf):
     """K4: scoring response records as JSON (results keyed by metric), read back with a typed schema."""
-    wide = rules.score_calls(conv_segments(spark, sf), TEST_LEXICON, role=AGENT_ROLE)
+    wide = rules.score_calls(conv_segments(spark, sf, numeric_id=True), TEST_LEXICON, role=AGENT_ROLE)
     schema = ("struct<dataset_id:string,call_id:string,results:map<string,"
               "struct<score:int,probability:string,reasoning:string,evidence_snippet:string>>>")
     back = rules.results_json(wide).select(F.from_json("json", schema).alias("r"))
