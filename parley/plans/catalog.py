@@ -382,9 +382,14 @@ def _payload_calls(spark, sf):
 
 @register("s6_payload_scores")
 def payload_scores(spark, sf):
-    """JSON payloads (derived per turn, mixed shapes) -> VARIANT normalisation -> long-form scores."""
+    """JSON payloads (derived per turn, mixed shapes) -> VARIANT normalisation -> long-form scores.
+
+    The normalised segments are read by the scorer's split decision and by both of its branches:
+    they are written once to the checkpoint folder instead of re-parsing the JSON each time."""
+    from ..session import materialize
     calls, _ = _payload_calls(spark, sf)
-    return rules.to_long(rules.score_calls(call_src.segments_long(calls), TEST_LEXICON, role=AGENT_ROLE))
+    seg = materialize(call_src.segments_long(calls), "payload-segments")
+    return rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE))
 
 
 @register("n1_payload_rejects")

@@ -22,6 +22,9 @@ def build_session(master: str | None = None, app: str = "parley", shuffle_partit
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Text work after a shuffle is CPU-heavy per byte: let AQE keep small shuffles spread over
+        # the cores (a floor only; large shuffles are sized by the 64 MB advisory target).
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
