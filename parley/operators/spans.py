@@ -26,12 +26,33 @@ SPAN_TYPE = "array<struct<label:string,s:int,e:int>>"
 
 
 def regex_entities(docs: DataFrame, detectors: dict[str, str] | None = None) -> DataFrame:
-    """Entity spans from regex detectors: ``doc_id, eo, label, s, e`` (``eo`` = detection order)."""
+    """Entity spans from regex detectors: ``doc_id, eo, label, s, e`` (``eo`` = detection order).
+
+    Positions in long form: the pieces between matches (``split``) and the matches
+    (``regexp_extract_all``) alternate, so a match starts at the running sum of the earlier piece
+    and match lengths - a window per (document, detector), linear in the number of matches and,
+    on ``doc_frame`` input, without another exchange.
+    """
+    from pyspark.sql import Window
+
     det = detectors or TAGGER_DETECTORS
-    arr = F.concat(*[pii.spans("text", p, label) for label, p in det.items()])
-    return (docs.select("doc_id", F.posexplode(arr).alias("eo", "x"))
-            .select("doc_id", F.col("eo").cast("int").alias("eo"), F.col("x.label").alias("label"),
-                    F.col("x.s").alias("s"), F.col("x.e").alias("e")))
+    parts = []
+    for d_i, (label, p) in enumerate(det.items()):
+        m = F.regexp_extract_all(F.col("text"), F.lit(p), 0)
+        gaps = F.split(F.col("text"), p, -1)
+        pairs = F.arrays_zip(F.slice(gaps, 1, F.size(m)).alias("g"), m.alias("m"))
+        parts.append(docs.select("doc_id", F.lit(d_i).alias("det"), F.lit(label).alias("label"),
+                                 F.posexplode(pairs).alias("k", "x")))
+    x = parts[0]
+    for other in parts[1:]:
+        x = x.unionByName(other)
+    x = x.select("doc_id", "det", "label", "k", F.length(F.col("x.g")).alias("gl"), F.length(F.col("x.m")).alias("ml"))
+    w = Window.partitionBy("doc_id", "det").orderBy("k")
+    before = F.coalesce(F.sum(F.col("gl") + F.col("ml")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = x.select("doc_id", "det", "label", "k", (before + F.col("gl")).cast("int").alias("s"), "ml")
+    wo = Window.partitionBy("doc_id").orderBy("det", "k")
+    return x.select("doc_id", (F.row_number().over(wo) - 1).cast("int").alias("eo"), "label", "s",
+                    (F.col("s") + F.col("ml")).cast("int").alias("e"))
 
 
 def gazetteer_entities(tokens: DataFrame, names: DataFrame, label: str = "PERSON",
@@ -119,17 +140,19 @@ def merge_spans(spans: DataFrame) -> DataFrame:
 
 
 def mask_text(text: Column, spans: Column) -> Column:
-    """Replace each span (sorted, non-overlapping) by ``****`` and collapse runs of 4+ ``*``."""
-    init = F.struct(F.lit("").alias("out"), F.lit(0).alias("last"))
+    """Replace each span (sorted by start) by ``****`` and collapse runs of 4+ ``*``.
 
-    def step(acc, sp):
-        piece = F.when(sp["s"] > acc["last"], F.substring(text, acc["last"] + 1, sp["s"] - acc["last"])).otherwise(F.lit(""))
-        return F.struct(F.concat(acc["out"], piece, F.lit(MASK)).alias("out"), sp["e"].alias("last"))
-
-    def finish(acc):
-        return F.concat(acc["out"], F.substring(text, acc["last"] + 1, 1 << 30))
+    Linear in the text: every output piece is ``text[prev.e : s] + '****'`` with ``prev`` the span
+    before it (as the reference's loop keeps ``last = e``), built independently by ``transform``
+    and joined once. Without spans the text is returned unchanged (no collapse).
+    """
+    def piece(sp, i):
+        prev_e = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["e"])
+        head = F.when(sp["s"] > prev_e, F.substring(text, prev_e + 1, sp["s"] - prev_e)).otherwise(F.lit(""))
+        return F.concat(head, F.lit(MASK))
 
-    raw = F.aggregate(spans, init, step, finish)
+    last_e = F.get(spans, F.size(spans) - 1)["e"]
+    raw = F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, last_e + 1, 1 << 30))
     return F.when(F.coalesce(F.size(spans), F.lit(0)) == 0, text).otherwise(F.regexp_replace(raw, rx.J_MULTI_STAR, MASK))
 
 
