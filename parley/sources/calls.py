@@ -156,3 +156,20 @@ def payloads_from_conversations(conversations: DataFrame) -> DataFrame:
                        F.lit("}"))
     js = F.when(F.col("conv_id") % 3 == 0, wrapped).otherwise(inner)
     return t.select(F.parse_json(js).alias("v"))
+
+
+def payloads_per_call(segments: DataFrame, max_chars: int = 1_000_000) -> DataFrame:
+    """One complete-transcript payload per call, ``{call_id, segments: [...]}`` as JSON text.
+
+    A payload carries a whole call, as the service contract does; calls larger than ``max_chars``
+    of text are left out (their sizes come from a partial aggregate first, so no oversized call is
+    collected).
+    """
+    size = segments.groupBy("call_id").agg(F.sum(F.length("text")).alias("chars"))
+    ok = segments.join(size.where(F.col("chars") <= max_chars).select("call_id"), "call_id", "left_semi")
+    s = F.struct(F.col("start").alias("_a"), F.col("end").alias("_b"), F.col("pos").alias("_c"),
+                 F.struct("speaker", "text", "start", "end").alias("seg"))
+    per = ok.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("_s"))
+    body = F.struct(F.col("call_id").cast("string").alias("call_id"),
+                    F.transform("_s", lambda x: x["seg"]).alias("segments"))
+    return per.select(F.to_json(body).alias("value"))

@@ -21,18 +21,18 @@ def _tmp():
 
 def test_score_stream_equals_batch(spark):
     conv = read_table(spark, SF001, "conversations")
+    seg = segments.conversation_segments(conv)
     src = _tmp()
-    # payload JSONL written in two files so the stream sees more than one batch
-    p = call_src.payloads_from_conversations(conv).select(F.to_json("v").alias("value"))
-    p.repartition(2).write.mode("overwrite").text(os.path.join(src, "in"))
+    # complete transcripts, one payload per call, spread over several files (several micro-batches)
+    call_src.payloads_per_call(seg).repartition(3).write.mode("overwrite").text(os.path.join(src, "in"))
     out = _tmp()
-    q = jobs.score_stream(spark, os.path.join(src, "in"), out, os.path.join(out, "_ck"), TEST_LEXICON, role="assistant")
+    q = jobs.score_stream(spark, os.path.join(src, "in"), out, os.path.join(out, "_ck"), TEST_LEXICON, role="assistant",
+                          trigger={"availableNow": True})
     q.awaitTermination(300)
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "scores")).drop("epoch").collect())
-    # a stream batch holds a subset of a call's payloads: compare with the batch scoring per file batch
-    want_calls = {r.call_id for r in conv.select(F.col("conv_id").cast("string").alias("call_id")).distinct().collect()}
-    assert {g[0] for g in got} == want_calls
-    assert all(0 <= g[2] <= 3 for g in got)
+    want = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg, TEST_LEXICON, role="assistant")).collect())
+    assert got == want and len(got) == 5 * conv.select("conv_id").distinct().count()
+    assert spark.read.parquet(os.path.join(out, "rejects")).count() == 0
 
 
 def test_redact_stream_equals_batch(spark):
