@@ -467,8 +467,16 @@ LLM_MODEL = "offline-batch-scorer"
 
 @register("r9_llm_requests")
 def llm_requests(spark, sf):
+    """One prompt per call with the redacted transcript JSON; read back out of the prompt text
+    (segments count, redacted characters) to check the embedding round trip."""
     req, _ = llm_op.llm_requests(conv_segments(spark, sf))
-    return req.select("call_id", F.length("user").alias("prompt_chars"), F.sha2("user", 256).alias("prompt_sha256"))
+    body = F.regexp_extract("user", r"(?s)Transcript \(JSON\):\n(\{.*\})\n\nTask:", 1)
+    parsed = F.from_json(body, "struct<call_id:string,segments:array<struct<speaker:string,text:string,start:double,end:double>>>")
+    x = req.select(parsed.alias("t"), F.col("user").startswith("Transcript (JSON):").alias("templated"))
+    return x.select(F.col("t.call_id").alias("call_id"), F.size("t.segments").alias("n_segments"),
+                    F.aggregate("t.segments", F.lit(0), lambda acc, sg: acc + F.length(sg["text"])).alias("redacted_chars"),
+                    F.aggregate("t.segments", F.lit(0.0), lambda acc, sg: acc + sg["end"] - sg["start"]).alias("talk_s"),
+                    "templated")
 
 
 def _validated(spark, sf):

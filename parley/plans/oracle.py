@@ -397,3 +397,11 @@ m AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS p,
              CASE WHEN n_gold > 0 THEN tp / n_gold ELSE 0.0 END AS r FROM c)
 SELECT tp, n_pred, n_gold, round(p, 6) AS precision, round(r, 6) AS recall,
        round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1, round(acc, 6) AS accuracy FROM m"""
+
+_REDACT_SQL = ("regexp_replace(regexp_replace(regexp_replace(text, " + q(RE2['card']) + ", '[CARD_NUMBER]', 'g'), "
+               + q(RE2['num34']) + ", '[NUM]', 'g'), '(?i)\\b([0-9][A-Z0-9]{6,8})\\b', '[FIN_CODE]', 'g')")
+ORACLE["r9_llm_requests"] = f"""
+WITH {sql_rules.segments_sql()}
+SELECT call_id, count(*) AS n_segments, CAST(sum(length({_REDACT_SQL})) AS INTEGER) AS redacted_chars,
+       sum("end" - start) AS talk_s, TRUE AS templated
+FROM seg GROUP BY call_id"""
