@@ -25,6 +25,13 @@ TAGGER_DETECTORS = {"CARD": rx.J_CARD, "PHONE": rx.J_PHONE_STRICT, "FIN": rx.J_F
 SPAN_TYPE = "array<struct<label:string,s:int,e:int>>"
 
 
+def _match_row(d_i: int, label: str):
+    def row(z, k):
+        return F.struct(F.lit(d_i).alias("det"), F.lit(label).alias("label"), k.alias("k"),
+                        F.length(z["g"]).alias("gl"), F.length(z["m"]).alias("ml"))
+    return row
+
+
 def regex_entities(docs: DataFrame, detectors: dict[str, str] | None = None) -> DataFrame:
     """Entity spans from regex detectors: ``doc_id, eo, label, s, e`` (``eo`` = detection order).
 
@@ -36,17 +43,14 @@ def regex_entities(docs: DataFrame, detectors: dict[str, str] | None = None) ->
     from pyspark.sql import Window
 
     det = detectors or TAGGER_DETECTORS
-    parts = []
+    arrs = []
     for d_i, (label, p) in enumerate(det.items()):
         m = F.regexp_extract_all(F.col("text"), F.lit(p), 0)
         gaps = F.split(F.col("text"), p, -1)
         pairs = F.arrays_zip(F.slice(gaps, 1, F.size(m)).alias("g"), m.alias("m"))
-        parts.append(docs.select("doc_id", F.lit(d_i).alias("det"), F.lit(label).alias("label"),
-                                 F.posexplode(pairs).alias("k", "x")))
-    x = parts[0]
-    for other in parts[1:]:
-        x = x.unionByName(other)
-    x = x.select("doc_id", "det", "label", "k", F.length(F.col("x.g")).alias("gl"), F.length(F.col("x.m")).alias("ml"))
+        arrs.append(F.transform(pairs, _match_row(d_i, label)))
+    # one projection, one explode: every detector reads the same (co-partitioned) rows once
+    x = docs.select("doc_id", F.explode(F.concat(*arrs)).alias("x")).select("doc_id", "x.*")
     w = Window.partitionBy("doc_id", "det").orderBy("k")
     before = F.coalesce(F.sum(F.col("gl") + F.col("ml")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     x = x.select("doc_id", "det", "label", "k", (before + F.col("gl")).cast("int").alias("s"), "ml")
