@@ -7,10 +7,12 @@ which sends a whole call to one task: a call holding a third of all rows would b
 
 Here a group is split into contiguous *chunks* of the global (key, order) sort:
 
-1. a bounded sample of (key, order) picks ``n - 1`` split points (at most ``n * per_chunk * 3``
-   rows reach the driver, independent of the data size);
-2. each row gets its chunk from a log2(n)-deep comparison tree against those split points, so a
-   hot key is spread over many chunks; windows run per (key, chunk);
+1. (key, order) is encoded as one order-preserving string; a sample of at most one million such
+   keys picks ``n - 1`` split points, with ``n`` growing with the row count so that no chunk holds
+   more than about four million rows (a chunk is one window task);
+2. each row finds its chunk by binary search in one constant array of split points (an
+   ``aggregate`` over powers of two, log2(n) comparisons), so a hot key is spread over many chunks
+   and the expression size does not grow with ``n``; windows run per (key, chunk);
 3. each chunk boundary cuts at most one key, so the "carry" table that feeds the first rows of a
    chunk with the state of the earlier chunks has at most ``n - 1`` rows: it is broadcast with that
    size bound, never the data.
@@ -32,16 +34,46 @@ def _right(c: Column, n: int) -> Column:
     return F.substring(c, -n, n)
 
 
-def _split_points(df: DataFrame, cols: Sequence[str], n_chunks: int, per_chunk: int, seed: int,
-                  total: int) -> list[tuple]:
-    want = n_chunks * per_chunk
+_MIN_LONG = -9223372036854775808
+_SAMPLE_CAP = 1_000_000
+
+
+def _enc_field(c: Column, dtype: str) -> Column:
+    """Order-preserving string for one sort field (non-strict where noted; chunking only needs
+    chunk numbers that never decrease along the sort order)."""
+    if dtype in ("bigint", "int", "smallint", "tinyint", "date", "timestamp", "timestamp_ntz", "double", "float"):
+        if dtype in ("timestamp", "timestamp_ntz"):
+            v = F.unix_micros(c.cast("timestamp"))
+        elif dtype == "date":
+            v = F.unix_date(c).cast("long")
+        elif dtype in ("double", "float"):
+            # micro-unit floor: monotone, coarser than the value (ties allowed); NaN sorts last
+            v = F.when(F.isnan(c), F.lit(9223372036854775807)).otherwise(
+                F.floor(F.greatest(F.least(c.cast("double") * 1e6, F.lit(9.2e18)), F.lit(-9.2e18))).cast("long"))
+        else:
+            v = c.cast("long")
+        v = F.coalesce(v, F.lit(_MIN_LONG))          # nulls first, as the window sorts them
+        return F.lpad(F.hex(v.bitwiseXOR(F.lit(_MIN_LONG))), 16, "0")
+    # strings: escape U+0000 and terminate with two U+0000 so prefixes sort first
+    sv = F.coalesce(c.cast("string"), F.lit(""))
+    return F.concat(F.regexp_replace(sv, "\u0000", "\u0000\u0001"), F.lit("\u0000\u0000"))
+
+
+def sort_key(df: DataFrame, cols: Sequence[str]) -> Column:
+    """One string whose byte order follows the (non-strict) order of ``struct(cols)``."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return F.concat(*[_enc_field(F.col(c), types[c]) for c in cols])
+
+
+def _split_points(df: DataFrame, key_col: str, n_chunks: int, seed: int, total: int) -> list[str]:
+    """n_chunks - 1 split points from a sample of at most _SAMPLE_CAP sort keys (driver-bounded)."""
+    want = min(n_chunks * 64, _SAMPLE_CAP)
     frac = min(1.0, 1.5 * want / max(total, 1))
-    rows = (df.select(*cols).sample(False, frac, seed).limit(3 * want).collect())
-    pts = sorted(tuple(r) for r in rows if all(v is not None for v in r))
+    pts = sorted(r[0] for r in df.select(key_col).sample(False, frac, seed).limit(2 * want).collect())
     if len(pts) < 2:
         return []
     step = len(pts) / n_chunks
-    out = []
+    out: list[str] = []
     for i in range(1, n_chunks):
         p = pts[min(len(pts) - 1, int(i * step))]
         if not out or p > out[-1]:
@@ -49,34 +81,37 @@ def _split_points(df: DataFrame, cols: Sequence[str], n_chunks: int, per_chunk:
     return out
 
 
-def chunk_column(df: DataFrame, cols: Sequence[str], points: list[tuple]) -> Column:
-    """Index of the range of ``struct(cols)`` among sorted split ``points`` (binary comparison tree)."""
+def chunk_column(key: Column, points: list[str]) -> Column:
+    """Number of split points <= ``key``: a binary search (``aggregate`` over powers of two) in one
+    constant array, so the expression stays the same size whatever the number of chunks."""
     if not points:
         return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    s = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(cols)])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(f"f{i}") for i, (c, v) in enumerate(zip(cols, p))])
-            for p in points]
+    import json as _json
+    arr = F.from_json(F.lit(_json.dumps(points)), "array<string>")   # folded to one array literal
+    n = len(points)
+    steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length(), -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda acc, st: F.when(
+        (acc + st <= n) & (F.get(arr, acc + st - 1) <= key), acc + st).otherwise(acc))
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(s < lits[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
 
-    return tree(0, len(points))
+def chunk_count(total: int, spark, split_min_rows: int = 2_000_000, rows_per_chunk: int = 4_000_000) -> int:
+    """1 below ``split_min_rows`` rows; else enough chunks that none holds more than about
+    ``rows_per_chunk`` rows (a chunk is one window task), and at least the shuffle partitions."""
+    if total < split_min_rows:
+        return 1
+    return max(shuffle_partitions(spark), -(-total // rows_per_chunk))
 
 
-def decide_chunks(df: DataFrame, split_min_rows: int = 2_000_000) -> int:
-    """Chunk count for ``ordered_context``: 1 below ``split_min_rows`` rows, else the shuffle partitions.
-    Compute once per job and pass it to every ``ordered_context`` over the same rows."""
-    return shuffle_partitions(df.sparkSession) if df.count() >= split_min_rows else 1
+def decide_chunks(df: DataFrame, split_min_rows: int = 2_000_000, rows_per_chunk: int = 4_000_000) -> int:
+    """Chunk count for ``ordered_context`` from one count; compute once per job and pass it to every
+    ``ordered_context`` over the same rows."""
+    return chunk_count(df.count(), df.sparkSession, split_min_rows, rows_per_chunk)
 
 
 def ordered_context(df: DataFrame, key: str, order: Sequence[str], *, lags: Sequence[str] = (),
                     sums: Sequence[str] = (), tail: str | None = None, tail_chars: int = 0,
                     chunks: int | None = None, split_min_rows: int = 2_000_000, per_chunk: int = 64,
-                    seed: int = 17) -> DataFrame:
+                    seed: int = 17) -> DataFrame:  # per_chunk kept for callers; the sample is capped globally
     """Add ``prev_<c>`` (value of ``c`` on the previous row of the same key in ``order``), ``cum_<c>``
     (inclusive running sum) and ``prev_tail`` (last ``tail_chars`` characters of the previous rows'
     ``tail`` values joined by one space; null on a key's first row).
@@ -87,18 +122,21 @@ def ordered_context(df: DataFrame, key: str, order: Sequence[str], *, lags: Sequ
     order = list(order)
     sort_cols = [key] + order
     if chunks is None:
-        total = df.count() if split_min_rows > 0 else split_min_rows
-        n = shuffle_partitions(df.sparkSession) if total >= split_min_rows else 1
+        total = df.count()
+        n = chunk_count(total, df.sparkSession, split_min_rows)
     else:
         n, total = chunks, None
-    points: list[tuple] = []
+    points: list[str] = []
+    keyed = df
     if n > 1:
+        keyed = df.withColumn("_sk", sort_key(df, sort_cols))
         if total is None:
             total = df.count()
-        points = _split_points(df, sort_cols, n, per_chunk, seed, total)
+        points = _split_points(keyed, "_sk", n, seed, total)
     split = bool(points)
 
-    base = df.withColumn("_chunk", chunk_column(df, sort_cols, points))
+    base = (keyed.withColumn("_chunk", chunk_column(F.col("_sk"), points)).drop("_sk") if split
+            else df.withColumn("_chunk", F.lit(0)))
     if tail:
         base = base.withColumn("_tv", _right(F.coalesce(F.col(tail), F.lit("")), tail_chars))
     # unsplit: partition by the key alone, so a later groupBy/window on the key reuses the exchange

@@ -204,7 +204,7 @@ def masked_documents(spark, sf):
 
 @register("d16_cascade")
 def cascade_documents(spark, sf):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    docs = balanced(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     l0, l1 = span_op.regex_guardrail_logits(F.col("text"))
     out = span_op.cascade(docs, span_op.softmax_p1(l0, l1), threshold=0.5)
     return out.select("doc_id", "is_unsafe", F.round("guardrail_score", 6).alias("guardrail_score"), "masked_text")
