@@ -405,3 +405,16 @@ WITH {sql_rules.segments_sql()}
 SELECT call_id, count(*) AS n_segments, CAST(sum(length({_REDACT_SQL})) AS INTEGER) AS redacted_chars,
        sum("end" - start) AS talk_s, TRUE AS templated
 FROM seg GROUP BY call_id"""
+
+ORACLE["b11_align_labels"] = f"""WITH {TAGS_CTE},
+t AS (SELECT tg.*, greatest(CAST(ceil(length(token) / 4.0) AS INTEGER), 1) AS np
+      FROM tg WHERE doc_id IN (SELECT doc_id FROM en)),
+c AS (SELECT *, coalesce(sum(np) OVER (PARTITION BY doc_id ORDER BY ti ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS before, sum(np) OVER (PARTITION BY doc_id) AS total FROM t),
+p AS (SELECT doc_id, 1 + before + j AS i,
+             CASE WHEN j = 0 THEN tag WHEN tag LIKE 'B-%' THEN 'I-' || substr(tag, 3) ELSE tag END AS lab
+      FROM (SELECT *, unnest(range(np)) AS j FROM c)),
+lab AS (SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(list_position({_LABELS}, lab) - 1 AS INTEGER) AS label_id FROM p
+        UNION ALL SELECT DISTINCT doc_id, 0, -100 FROM c
+        UNION ALL SELECT DISTINCT doc_id, CAST(total + 1 AS INTEGER), -100 FROM c)
+SELECT doc_id AS row_id, i, label_id FROM lab WHERE label_id <> 0"""
