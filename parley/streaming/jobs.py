@@ -124,3 +124,39 @@ def manifest_stream(spark: SparkSession, folder: str, out_dir: str, checkpoint:
 
     return (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+SILENCE_OUT = "call_id string, silence_from double, silence_to double, gap_s double"
+SILENCE_STATE = "last_end double"
+
+
+def _silence_fn(gap_s: float, idle_ms: int):
+    def fn(key, batches, state):
+        import pandas as pd
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["start", "end", "pos"], kind="mergesort")
+        prev = pdf["end"].shift(1)
+        if state.exists:
+            prev.iloc[0] = state.get[0]
+        gap = pdf["start"] - prev
+        hit = gap >= gap_s
+        out = pd.DataFrame({"call_id": pdf["call_id"][hit].astype(str), "silence_from": prev[hit],
+                            "silence_to": pdf["start"][hit], "gap_s": gap[hit]})
+        state.update((float(pdf["end"].iloc[-1]),))
+        due = int(pd.Timestamp(pdf["ts"].max()).timestamp() * 1000) + idle_ms
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        yield out
+    return fn
+
+
+def silence_gaps_stream(segments: DataFrame, gap_s: float = 60.0, watermark: str = "10 minutes",
+                        idle_ms: int = 3_600_000) -> DataFrame:
+    """T3 with segment end times: per call, the gap between a segment's start and the previous
+    segment's end (time order) is a silence when ``>= gap_s``. Custom state holds one number per
+    call (the last end) and is dropped after ``idle_ms`` of event time without segments. Segments of
+    a call are assumed to arrive in time order across micro-batches (within one they are sorted)."""
+    return (segments.withWatermark("ts", watermark).groupBy("call_id")
+            .applyInPandasWithState(_silence_fn(gap_s, idle_ms), SILENCE_OUT, SILENCE_STATE, "append",
+                                    "EventTimeTimeout"))

@@ -109,3 +109,25 @@ def test_manifest_stream(spark):
     assert acc == ["a.WAV", "b.mp3"]
     # Spark's file scan skips zero-length files, so the empty one is never accepted (nor listed)
     assert rej == [("c.txt", "unsupported file type")]
+
+
+def test_silence_gaps_stateful_equals_batch(spark):
+    conv = read_table(spark, SF01, "conversations")
+    seg = segments.conversation_segments(conv)
+    # event time = segment start on one shared clock (calls run concurrently); one file per turn range
+    seg = seg.withColumn("ts", F.timestamp_seconds(F.col("start")))
+    src, out = _tmp(), _tmp()
+    for lo, hi in [(0, 2), (2, 4), (4, 100)]:
+        seg.where((F.col("pos") >= lo) & (F.col("pos") < hi)).write.mode("append").parquet(os.path.join(src, "in"))
+    s = spark.readStream.schema(seg.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "in"))
+    q = (jobs.silence_gaps_stream(s).writeStream.format("parquet").option("path", os.path.join(out, "o"))
+         .option("checkpointLocation", os.path.join(out, "_ck")).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = sorted((r.call_id, round(r.silence_from, 3), round(r.silence_to, 3)) for r in spark.read.parquet(os.path.join(out, "o")).collect())
+    con = duckdb.connect()
+    pq = os.path.join(src, "in")
+    want = sorted((str(a), round(b, 3), round(c, 3)) for a, b, c in con.execute(f"""
+        WITH s AS (SELECT call_id, start, "end", pos, lag("end") OVER (PARTITION BY call_id ORDER BY start, "end", pos) AS pe
+                   FROM read_parquet('{pq}/*.parquet'))
+        SELECT call_id, pe, start FROM s WHERE start - pe >= 60""").fetchall())
+    assert got == want and len(got) > 100
