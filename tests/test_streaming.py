@@ -131,3 +131,28 @@ def test_silence_gaps_stateful_equals_batch(spark):
                    FROM read_parquet('{pq}/*.parquet'))
         SELECT call_id, pe, start FROM s WHERE start - pe >= 60""").fetchall())
     assert got == want and len(got) > 100
+
+
+def test_health_windows_drop_late_rows(spark):
+    """Append mode: a window is emitted once the watermark passes it; rows older than the watermark
+    arriving later are dropped (complete mode would keep them)."""
+    src, out = _tmp(), _tmp()
+    base = "2024-01-01 00:"
+    first = spark.createDataFrame([(f"{base}00:10", "ok", 1.0), (f"{base}10:00", "ok", 2.0), (f"{base}40:00", "error", 3.0),
+                                   (f"{base}59:00", "ok", 1.0)], "ts string, event_type string, value double")
+    advance = spark.createDataFrame([("2024-01-01 03:30:00", "ok", 5.0)], "ts string, event_type string, value double")
+    late = spark.createDataFrame([("2024-01-01 00:20:00", "error", 9.0)], "ts string, event_type string, value double")
+    cast = lambda d: d.withColumn("ts", F.to_timestamp("ts"))
+    cast(first).write.mode("append").parquet(os.path.join(src, "in"))
+    s = spark.readStream.schema("ts timestamp, event_type string, value double").option("maxFilesPerTrigger", 1) \
+        .parquet(os.path.join(src, "in"))
+    q = (jobs.health_windows(s, "ts", "value", F.col("event_type") == "error", window="1 hour", watermark="1 hour")
+         .writeStream.format("memory").queryName("health_late").outputMode("append").start())
+    q.processAllAvailable()
+    cast(advance).write.mode("append").parquet(os.path.join(src, "in"))
+    q.processAllAvailable()          # watermark -> 02:30: the 00:00 window is emitted
+    cast(late).write.mode("append").parquet(os.path.join(src, "in"))
+    q.processAllAvailable()          # 00:20 is behind the watermark: dropped
+    q.stop()
+    rows = {r.w.start.hour: (r.n, round(r.fail_pct, 3)) for r in spark.sql("select * from health_late").collect()}
+    assert rows[0] == (4, 25.0)   # the late 00:20 error row was dropped: 4 rows, 1 failure
