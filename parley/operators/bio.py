@@ -68,8 +68,10 @@ def overlay(base: Column, add: Column) -> Column:
 
 
 def _pick(seed_col: Column, salt: str, n: int) -> Column:
-    """Deterministic choice in [0, n) from a row key and a salt (stable under repartitioning)."""
-    return F.pmod(F.xxhash64(seed_col, F.lit(salt)), F.lit(n)).cast("int")
+    """Deterministic choice in [0, n) from a row key and a salt (stable under repartitioning):
+    the first 32 bits of ``md5(key || '|' || salt)`` modulo ``n`` (md5 so other engines can replay it)."""
+    h = F.conv(F.substring(F.md5(F.concat(seed_col, F.lit("|" + salt))), 1, 8), 16, 10).cast("long")
+    return F.pmod(h, F.lit(n)).cast("int")
 
 
 def _choice(seed_col: Column, salt: str, values: list[str]) -> Column:
@@ -99,16 +101,16 @@ def synthesize_ner(keys: DataFrame, key_col: str, seed: int = 42, templates: lis
 
     Tags follow the reference generator: whitespace tokens, first exact occurrence of each slot's
     tokens, overlays in PERSON, FIN, PHONE, CARD order (so punctuation glued to a token hides it).
+    Slot values are staged into columns before they are used several times.
     """
-    key = F.concat(F.col(key_col).cast("string"), F.lit(f"#{seed}"))
+    x = keys.select(F.col(key_col).alias("row_id"), F.concat(F.col(key_col).cast("string"), F.lit(f"#{seed}")).alias("_key"))
+    key = F.col("_key")
     slots = slot_values(key)
-    tpl = _choice(key, "template", templates)
-    text = tpl
-    for name, val in slots.items():
-        text = F.replace(text, F.lit("{" + name + "}"), val)
-    x = keys.select(F.col(key_col).alias("row_id"), text.alias("text"),
-                    *[v.alias(f"_{k}") for k, v in slots.items()])
-    x = x.withColumn("tokens", whitespace_tokens(F.col("text")))
+    x = x.select("row_id", *[v.alias(f"_{k}") for k, v in slots.items()], _choice(key, "template", templates).alias("_tpl"))
+    text = F.col("_tpl")
+    for name in slots:
+        text = F.replace(text, F.lit("{" + name + "}"), F.col(f"_{name}"))
+    x = x.withColumn("text", text).withColumn("tokens", whitespace_tokens(F.col("text")))
     tags = F.transform("tokens", lambda t: F.lit("O"))
     for name in ["PERSON", "FIN", "PHONE", "CARD"]:
         tags = overlay(tags, match_bio(F.col("tokens"), whitespace_tokens(F.col(f"_{name}")), name))
@@ -149,19 +151,20 @@ def _digits(key: Column, salt: str, n: int) -> Column:
     return F.concat(*[_rand_int(key, f"{salt}{i}", 0, 9) for i in range(n)])
 
 
-def span_slot_values(key: Column, names: DataFrame | None = None) -> dict[str, Column]:
+def span_slot_values(key: Column, num: Column | None = None, digits: Column | None = None) -> dict[str, Column]:
     """B9 slots: 7-character FIN of upper letters/digits, phone in four formats, 16-digit card joined
-    or in groups of four, person from the fixed first/last name lists."""
+    or in groups of four, person from the fixed first/last name lists. ``num`` (7 digits) and
+    ``digits`` (16 digits) may be passed as already materialised columns; they are cut several times."""
     fin = F.concat(*[_choice(key, f"f{i}", list(FIN_UPPER_DIGITS)) for i in range(7)])
     op = _choice(key, "op", SPAN_PHONE_OPS)
-    num = _digits(key, "n", 7)
+    num = num if num is not None else _digits(key, "n", 7)
     forms = [F.concat(F.lit("+994"), F.substring(op, 2, 2), num),
              F.concat(F.lit("("), op, F.lit(") "), F.substring(num, 1, 3), F.lit(" "), F.substring(num, 4, 4)),
              F.concat(op, F.lit("-"), F.substring(num, 1, 3), F.lit("-"), F.substring(num, 4, 2), F.lit("-"),
                       F.substring(num, 6, 2)),
              F.concat(op, F.lit(" "), num)]
     phone = F.get(F.array(*forms), _pick(key, "pform", 4))
-    digits = _digits(key, "c", 16)
+    digits = digits if digits is not None else _digits(key, "c", 16)
     spaced = F.concat_ws(" ", *[F.substring(digits, 4 * i + 1, 4) for i in range(4)])
     card = F.when(_pick(key, "cform", 2) == 0, digits).otherwise(spaced)
     person = F.concat(_choice(key, "first", FIRST_NAMES), F.lit(" "), _choice(key, "last", LAST_NAMES))
@@ -181,21 +184,29 @@ def safe_text(key: Column) -> Column:
 def synthesize_spans(keys: DataFrame, key_col: str, seed: int, pii_share: float = 0.6) -> DataFrame:
     """``row_id, text, entities ARRAY<STRUCT<start,end,label>>``; a hash bucket below
     ``pii_share`` gives a PII template, the rest a safe text with no entities. Offsets are those of
-    the first occurrence of each filled value, as the reference locates them."""
-    key = F.concat(F.col(key_col).cast("string"), F.lit(f"#{seed}"))
-    slots = span_slot_values(key)
-    t_idx = _pick(key, "tpl", len(SPAN_TEMPLATES))
-    texts, ents = [], []
+    the first occurrence of each filled value, as the reference locates them.
+
+    Slot values are computed once into columns, then texts and offsets refer to those columns
+    (inlining the slot expressions into every template would multiply the generated code).
+    """
+    x = keys.select(F.col(key_col).alias("row_id"), F.concat(F.col(key_col).cast("string"), F.lit(f"#{seed}")).alias("_key"))
+    key = F.col("_key")
+    x = x.select("row_id", "_key", _digits(key, "n", 7).alias("_num"), _digits(key, "c", 16).alias("_dig"))
+    slots = span_slot_values(key, F.col("_num"), F.col("_dig"))
+    x = x.select("row_id", *[v.alias(f"_s_{k}") for k, v in slots.items()],
+                 _pick(key, "tpl", len(SPAN_TEMPLATES)).alias("_t"),
+                 (_pick(key, "class", 100) < int(round(pii_share * 100))).alias("_pii"),
+                 safe_text(key).alias("_safe"))
+    texts = []
     for tpl, labels in SPAN_TEMPLATES:
         text = F.lit(tpl)
         for lab in labels:
-            text = F.replace(text, F.lit("{" + lab + "}"), slots[lab])
+            text = F.replace(text, F.lit("{" + lab + "}"), F.col(f"_s_{lab}"))
         texts.append(text)
-        ents.append(F.array(*[F.struct((F.position(slots[lab], text) - 1).cast("int").alias("start"),
-                                       (F.position(slots[lab], text) - 1 + F.length(slots[lab])).cast("int").alias("end"),
-                                       F.lit(lab).alias("label")) for lab in labels]))
-    is_pii = _pick(key, "class", 100) < int(round(pii_share * 100))
-    text = F.when(is_pii, F.get(F.array(*texts), t_idx)).otherwise(safe_text(key))
-    ent = F.when(is_pii, F.get(F.array(*ents), t_idx)).otherwise(
+    x = x.withColumn("text", F.when(F.col("_pii"), F.get(F.array(*texts), F.col("_t"))).otherwise(F.col("_safe")))
+    ents = [F.array(*[F.struct((F.position(F.col(f"_s_{lab}"), F.col("text")) - 1).cast("int").alias("start"),
+                               (F.position(F.col(f"_s_{lab}"), F.col("text")) - 1 + F.length(F.col(f"_s_{lab}"))).cast("int").alias("end"),
+                               F.lit(lab).alias("label")) for lab in labels]) for _, labels in SPAN_TEMPLATES]
+    ent = F.when(F.col("_pii"), F.get(F.array(*ents), F.col("_t"))).otherwise(
         F.array().cast("array<struct<start:int,end:int,label:string>>"))
-    return keys.select(F.col(key_col).alias("row_id"), text.alias("text"), ent.alias("entities"))
+    return x.select("row_id", "text", ent.alias("entities"))

@@ -557,9 +557,11 @@ def align_labels(spark, sf):
 
 @register("b9_span_corpus")
 def span_corpus(spark, sf):
-    """B9/B10 -> B4: one span-annotated synthetic row per document id, converted to BIO rows."""
+    """B9/B10 -> K3 -> B4: one span-annotated synthetic row per document id, written as a table
+    (as the generator writes its corpus file), then converted to BIO rows."""
+    from ..session import materialize
     keys = read_table(spark, sf, "documents", ["doc_id"])
-    rows = bio_op.synthesize_spans(keys, "doc_id", seed=SEED)
+    rows = materialize(bio_op.synthesize_spans(keys, "doc_id", seed=SEED), "span-corpus")
     out = bio_op.spans_corpus_to_bio(rows)
     return out.select("row_id", "text", F.array_join("tags", " ").alias("tags"))
 

@@ -418,3 +418,11 @@ lab AS (SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(list_position({_LABELS}, la
         UNION ALL SELECT DISTINCT doc_id, 0, -100 FROM c
         UNION ALL SELECT DISTINCT doc_id, CAST(total + 1 AS INTEGER), -100 FROM c)
 SELECT doc_id AS row_id, i, label_id FROM lab WHERE label_id <> 0"""
+
+from .sql_gen import synthetic_ner_sql  # noqa: E402
+
+ORACLE["b8_synthetic_ner"] = synthetic_ner_sql(42)
+
+from .sql_gen import span_corpus_sql  # noqa: E402
+
+ORACLE["b9_span_corpus"] = span_corpus_sql(UW, UWS, 42)

@@ -1,0 +1,116 @@
+"""DuckDB replay of the seeded NER generator (md5 picks), for the generator's oracle."""
+
+from __future__ import annotations
+
+from ..operators import bio
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def lst(values) -> str:
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+def pick(key: str, salt: str, n: int) -> str:
+    return f"((('0x' || substr(md5({key} || {q('|' + salt)}), 1, 8))::BIGINT) % {n})"
+
+
+def choice(key: str, salt: str, values) -> str:
+    return f"({lst(values)})[{pick(key, salt, len(values))} + 1]"
+
+
+def rand_int(key: str, salt: str, lo: int, hi: int) -> str:
+    return f"CAST({pick(key, salt, hi - lo + 1)} + {lo} AS VARCHAR)"
+
+
+def synthetic_ner_sql(seed: int = 42) -> str:
+    key = f"(CAST(doc_id AS VARCHAR) || '#{seed}')"
+    fin = " || ".join(choice(key, f"fin{i}", list(bio.FIN_ALPHABET)) for i in range(7))
+    intl = (f"'+994 ' || {choice(key, 'op_i', bio.PHONE_OPS_INTL)} || ' ' || {rand_int(key, 'p1', 100, 999)} || ' ' || "
+            f"{rand_int(key, 'p2', 10, 99)} || ' ' || {rand_int(key, 'p3', 10, 99)}")
+    local = (f"{choice(key, 'op_l', bio.PHONE_OPS_LOCAL)} || '-' || {rand_int(key, 'p1', 100, 999)} || '-' || "
+             f"{rand_int(key, 'p2', 10, 99)} || '-' || {rand_int(key, 'p3', 10, 99)}")
+    phone = f"CASE WHEN {pick(key, 'phone_form', 2)} = 0 THEN {intl} ELSE {local} END"
+    sep = choice(key, "card_sep", [" ", "-"])
+    card = f" || {sep} || ".join(rand_int(key, f"c{i}", 1000, 9999) for i in range(4))
+    person = f"{choice(key, 'first', bio.FIRST_NAMES)} || ' ' || {choice(key, 'last', bio.LAST_NAMES)}"
+    tpl = choice(key, "template", bio.TEMPLATES)
+    text = f"replace(replace(replace(replace({tpl}, '{{PERSON}}', s_person), '{{FIN}}', s_fin), '{{PHONE}}', s_phone), '{{CARD}}', s_card)"
+    names = ["PERSON", "FIN", "PHONE", "CARD"]
+    firsts = ",\n       ".join(
+        f"(list_filter(range(1, greatest(len(toks) - len(e{i}) + 1, 1) + 1), "
+        f"lambda x: len(e{i}) > 0 AND x + len(e{i}) - 1 <= len(toks) AND toks[x:x + len(e{i}) - 1] = e{i}))[1] AS f{i}"
+        for i in range(4))
+    cases = " ".join(
+        f"WHEN f{i} IS NOT NULL AND j >= f{i} AND j < f{i} + len(e{i}) THEN "
+        f"CASE WHEN j = f{i} THEN 'B-{names[i]}' ELSE 'I-{names[i]}' END"
+        for i in (3, 2, 1, 0))
+    return f"""
+WITH s AS (SELECT doc_id, {person} AS s_person, {fin} AS s_fin, {phone} AS s_phone, {card} AS s_card FROM documents),
+g AS (SELECT doc_id AS row_id, {text} AS text, s_person, s_fin, s_phone, s_card FROM s),
+t AS (SELECT *, string_split(text, ' ') AS toks, string_split(s_person, ' ') AS e0, string_split(s_fin, ' ') AS e1,
+             string_split(s_phone, ' ') AS e2, string_split(s_card, ' ') AS e3 FROM g),
+h AS (SELECT *, {firsts} FROM t)
+SELECT row_id, text, array_to_string(list_transform(range(1, len(toks) + 1), lambda j: CASE {cases} ELSE 'O' END), ' ') AS tags
+FROM h"""
+
+
+def _digits(key: str, salt: str, n: int) -> str:
+    return " || ".join(rand_int(key, f"{salt}{i}", 0, 9) for i in range(n))
+
+
+def span_corpus_sql(uw: str, uws: str, seed: int = 42) -> str:
+    """Replay of ``synthesize_spans`` + ``spans_corpus_to_bio``: ``row_id, text, tags``."""
+    key = f"(CAST(doc_id AS VARCHAR) || '#{seed}')"
+    fin = " || ".join(choice(key, f"f{i}", list(bio.FIN_UPPER_DIGITS)) for i in range(7))
+    op = choice(key, "op", bio.SPAN_PHONE_OPS)
+    forms = [f"'+994' || substr(op, 2, 2) || num",
+             "'(' || op || ') ' || substr(num, 1, 3) || ' ' || substr(num, 4, 4)",
+             "op || '-' || substr(num, 1, 3) || '-' || substr(num, 4, 2) || '-' || substr(num, 6, 2)",
+             "op || ' ' || num"]
+    phone = f"([{', '.join(forms)}])[{pick(key, 'pform', 4)} + 1]"
+    spaced = " || ' ' || ".join(f"substr(digits, {4 * i + 1}, 4)" for i in range(4))
+    card = f"CASE WHEN {pick(key, 'cform', 2)} = 0 THEN digits ELSE {spaced} END"
+    person = f"{choice(key, 'first', bio.FIRST_NAMES)} || ' ' || {choice(key, 'last', bio.LAST_NAMES)}"
+    texts, ents = [], []
+    for tpl, labels in bio.SPAN_TEMPLATES:
+        t = q(tpl)
+        for lab in labels:
+            t = f"replace({t}, '{{{lab}}}', s_{lab.lower()})"
+        texts.append(t)
+        ents.append("[" + ", ".join(f"{{'start': strpos({t}, s_{lab.lower()}) - 1, 'end': strpos({t}, s_{lab.lower()}) - 1 + "
+                                    f"length(s_{lab.lower()}), 'label': '{lab}'}}" for lab in labels) + "]")
+    t_idx = pick(key, "tpl", len(bio.SPAN_TEMPLATES))
+    price = (f"{choice(key, 'brand', bio.SAFE_BRANDS)} || ' ' || {choice(key, 'prod', bio.SAFE_PRODUCTS)} || "
+             f"' modeli nağd ' || {rand_int(key, 'price', 100, 4000)} || ' AZN-ədir.'")
+    order = f"'Sifariş nömrəm #' || {rand_int(key, 'code', 100000, 999999)} || ', statusu nədir?'"
+    general = (f"(['Mağazanız saat ' || {rand_int(key, 'hour', 9, 22)} || ':00-da işləyir?', "
+               + ", ".join(q(x) for x in bio.SAFE_FIXED) + f"])[{pick(key, 'general', 4)} + 1]")
+    safe = f"([{price}, {order}, {general}])[{pick(key, 'scenario', 3)} + 1]"
+    is_pii = f"({pick(key, 'class', 100)} < 60)"
+    pieces = f"[{uw}]+|[^{uw}{uws}]|[{uws}]+"
+    return f"""
+WITH s0 AS (SELECT doc_id, {fin} AS s_fin, {op} AS op, {_digits(key, 'n', 7)} AS num, {_digits(key, 'c', 16)} AS digits,
+                   {person} AS s_person FROM documents),
+s AS (SELECT *, {phone} AS s_phone, {card} AS s_card FROM s0),
+g AS (SELECT doc_id AS row_id,
+             CASE WHEN {is_pii} THEN ([{', '.join(texts)}])[{t_idx} + 1] ELSE {safe} END AS text,
+             CASE WHEN {is_pii} THEN ([{', '.join(ents)}])[{t_idx} + 1] ELSE [] END AS ents FROM s),
+tp AS (SELECT row_id, regexp_extract_all(text, {q(pieces)}) AS pcs FROM g),
+tu AS (SELECT row_id, unnest(pcs) AS piece, generate_subscripts(pcs, 1) AS pi FROM tp),
+tw AS (SELECT *, NOT regexp_matches(piece, {q('^[' + uws + ']')}) AS is_tok,
+              coalesce(sum(length(piece)) OVER (PARTITION BY row_id ORDER BY pi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+       FROM tu),
+tok AS (SELECT row_id, sum(CASE WHEN is_tok THEN 1 ELSE 0 END) OVER (PARTITION BY row_id ORDER BY pi ROWS UNBOUNDED PRECEDING) - 1 AS ti,
+               s, s + length(piece) AS e, is_tok FROM tw),
+en AS (SELECT row_id, unnest(ents) AS x, generate_subscripts(ents, 1) AS eo FROM g WHERE len(ents) > 0),
+pr AS (SELECT t.row_id, t.ti, n.eo, n.x.label AS label, n.x.start AS ns, n.x."end" AS ne FROM tok t JOIN en n
+       ON t.row_id = n.row_id AND t.is_tok AND t.e > n.x.start AND t.s < n.x."end"),
+pf AS (SELECT *, min(ti) OVER (PARTITION BY row_id, eo) AS first_ti,
+              row_number() OVER (PARTITION BY row_id, ti ORDER BY ns DESC, ne DESC, eo DESC) AS rk FROM pr),
+tg AS (SELECT t.row_id, t.ti, coalesce(CASE WHEN p.ti = p.first_ti THEN 'B-' ELSE 'I-' END || p.label, 'O') AS tag
+       FROM tok t LEFT JOIN (SELECT * FROM pf WHERE rk = 1) p ON t.row_id = p.row_id AND t.ti = p.ti WHERE t.is_tok)
+SELECT g.row_id, g.text, coalesce((SELECT string_agg(tag, ' ' ORDER BY ti) FROM tg WHERE tg.row_id = g.row_id), '') AS tags
+FROM g"""
