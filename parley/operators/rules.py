@@ -59,8 +59,6 @@ REASON = {
 }
 # ---------------------------------------------------------------------------------------------
 
-RESULT_TYPE = "struct<score:int,probability:string,reasoning:string,evidence_snippet:string>"
-
 TRIGGER_LISTS = ["leak", "send_away", "hard_ask", "solution", "pii_warning", "empathy", "outcome_fail",
                  "paid", "ticket", "checking", "partial_registration"]
 EVIDENCE_LISTS = ["kr21_bad_evidence", "outcome_fail", "paid", "ticket_evidence", "checking",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_or_broken, fmt_segment
+from ..functions.text import blank_or_broken
 from .sequence import ordered_context
 
 ORDER = ["start", "end", "pos"]
@@ -97,6 +97,3 @@ def nest_calls(segments: DataFrame) -> DataFrame:
     s = F.struct(*[F.col(c) for c in ["start", "end", "pos", "speaker", "text"]])
     return segments.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("segments"))
 
-
-def evidence(segments_cols=("start", "end", "speaker", "text")) -> Column:
-    return fmt_segment(*segments_cols)

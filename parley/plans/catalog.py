@@ -61,10 +61,7 @@ TEXT_CANDIDATES = ["text", "content", "body", "article", "document", "sentence"]
 
 @register("s9_profile_documents")
 def profile_documents(spark, sf):
-    d = read_table(spark, sf, "documents")
-    first = F.min_by(F.substring("text", 1, 250), "doc_id")
-    return d.agg(F.count(F.lit(1)).alias("n_rows"), first.alias("preview")).select(
-        F.lit(",".join(d.columns)).alias("columns"), "n_rows", "preview")
+    return profile(read_table(spark, sf, "documents"), "text", 250, order_col="doc_id")
 
 
 @register("s5_first_text_pages")

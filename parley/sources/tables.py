@@ -43,8 +43,10 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "input")
     return df
 
 
-def profile(df: DataFrame, text_col: str, preview_chars: int = 250) -> DataFrame:
-    """Row count, column list and a preview of the first row's text, as one row."""
-    first = F.min_by(F.substring(F.col(text_col), 1, preview_chars), F.monotonically_increasing_id())
+def profile(df: DataFrame, text_col: str, preview_chars: int = 250, order_col: str | None = None) -> DataFrame:
+    """Row count, column list and a preview of the first row's text (by ``order_col``, else
+    file order), as one row."""
+    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    first = F.min_by(F.substring(F.col(text_col), 1, preview_chars), order)
     return df.agg(F.count(F.lit(1)).alias("n_rows"), first.alias("preview")).select(
         F.lit(",".join(df.columns)).alias("columns"), "n_rows", "preview")
