@@ -28,13 +28,22 @@ def register(name: str):
     return deco
 
 
+def conv_chunks(spark: SparkSession, sf: str) -> int:
+    """Split decision for the ordered scans over conversation segments: one segment per table row,
+    and a Parquet row count is answered from file metadata (no pass over the data)."""
+    from ..operators.sequence import chunk_count
+    return chunk_count(read_table(spark, sf, "conversations", ["conv_id"]).count(), spark)
+
+
 def conv_segments(spark: SparkSession, sf: str, numeric_id: bool = False) -> DataFrame:
-    return segments.conversation_segments(read_table(spark, sf, "conversations"), numeric_id=numeric_id)
+    return segments.conversation_segments(read_table(spark, sf, "conversations"), numeric_id=numeric_id,
+                                          chunks=conv_chunks(spark, sf))
 
 
 @register("r6_score_calls")
 def score_calls_long(spark, sf):
-    wide = rules.score_calls(conv_segments(spark, sf, numeric_id=True), TEST_LEXICON, role=AGENT_ROLE)
+    wide = rules.score_calls(conv_segments(spark, sf, numeric_id=True), TEST_LEXICON, role=AGENT_ROLE,
+                             chunks=conv_chunks(spark, sf))
     return rules.to_long(wide)
 
 
@@ -292,8 +301,9 @@ from ..operators import metrics as met  # noqa: E402
 
 def _two_configs(spark, sf):
     seg = conv_segments(spark, sf, numeric_id=True)
-    pred = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=60.0))
-    exp = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=30.0))
+    n = conv_chunks(spark, sf)
+    pred = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=60.0, chunks=n))
+    exp = rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, gap_s=30.0, chunks=n))
     return pred, exp
 
 
@@ -480,9 +490,9 @@ def _validated(spark, sf):
     from ..session import cut_lineage
     seg = conv_segments(spark, sf)
     # read by the answer derivation and by the merge: materialise once in the checkpoint folder
-    wide = cut_lineage(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE))
+    wide = cut_lineage(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE, chunks=conv_chunks(spark, sf)))
     answers = llm_op.answers_from_rules(rules.to_long(wide), seg, AGENT_ROLE)
-    return seg, wide, llm_op.validate_answers(llm_op.parse_answers(answers), seg)
+    return seg, wide, llm_op.validate_answers(llm_op.parse_answers(answers), seg, chunks=conv_chunks(spark, sf))
 
 
 @register("r11_llm_validation")
@@ -582,7 +592,8 @@ def explore_candidates(spark, sf):
 @register("k4_results_json")
 def results_json(spark, sf):
     """K4: scoring response records as JSON (results keyed by metric), read back with a typed schema."""
-    wide = rules.score_calls(conv_segments(spark, sf, numeric_id=True), TEST_LEXICON, role=AGENT_ROLE)
+    wide = rules.score_calls(conv_segments(spark, sf, numeric_id=True), TEST_LEXICON, role=AGENT_ROLE,
+                             chunks=conv_chunks(spark, sf))
     schema = ("struct<dataset_id:string,call_id:string,results:map<string,"
               "struct<score:int,probability:string,reasoning:string,evidence_snippet:string>>>")
     back = rules.results_json(wide).select(F.from_json("json", schema).alias("r"))
