@@ -138,10 +138,12 @@ def latency_means(log: DataFrame, backend: str, order: list[str], value: str, wa
 
 
 def speedups(means: DataFrame, backend: str, baseline: str) -> DataFrame:
-    """M8: ratio of the baseline's mean to each backend's mean (``nullif`` guards zero)."""
+    """M8 (+L11): ratio of the baseline's mean to each backend's mean (``nullif`` guards zero), the
+    report sorted by mean latency."""
     row = means.where(F.col(backend) == baseline).select("mean").first()  # one number
     base = F.lit(row["mean"] if row else None).cast("double")
-    return means.select(backend, "mean", F.round(base / F.nullif(F.col("mean"), F.lit(0.0)), 6).alias("speedup"))
+    return means.select(backend, "mean", F.round(base / F.nullif(F.col("mean"), F.lit(0.0)), 6).alias("speedup")) \
+        .orderBy("mean")
 
 
 def load_summary(log: DataFrame, ts: str, latency: str, failed: Column) -> DataFrame:

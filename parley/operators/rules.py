@@ -10,7 +10,8 @@ for a call that holds a large share of the rows), the scorer
   ``max``) that combine map-side, so a hot call costs one row per task before the shuffle,
 * evaluates the first-match-wins cascades as ``CASE`` expressions over the per-call row.
 
-A phrase in the joined agent text either lies inside one agent segment or crosses a boundary;
+The agent text of a call (N12/N13: agent segments' texts, lower-cased, joined by one space) is never
+built. A phrase in the joined agent text either lies inside one agent segment or crosses a boundary;
 a crossing match of a pattern of at most ``L`` characters lies inside
 ``tail(L chars before the boundary) + ' ' + head(L chars after)``, which is what ``ctx`` holds. So
 the keyword triggers are exact. Regex triggers (amount, technician visit) are tested per segment
