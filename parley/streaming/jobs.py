@@ -27,6 +27,12 @@ from ..sources import files as file_src
 SILENCE_GAP = "59 seconds 999999 microseconds"
 
 
+def write_epoch(df: DataFrame, base: str, epoch: int) -> None:
+    """Idempotent micro-batch sink: each epoch overwrites its own ``epoch=<id>`` folder, so a batch
+    that Spark replays after a failure replaces its earlier output instead of duplicating it."""
+    df.write.mode("overwrite").parquet(os.path.join(base, f"epoch={epoch}"))
+
+
 def payload_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -40,8 +46,8 @@ def score_stream(spark: SparkSession, folder: str, out_dir: str, checkpoint: str
     def per_batch(batch: DataFrame, epoch: int) -> None:
         calls, rejects = call_src.normalize_payloads(batch)
         wide = rules.score_calls(call_src.segments_long(calls), lexicon, role=role, calls=calls)
-        rules.to_long(wide).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(os.path.join(out_dir, "scores"))
-        rejects.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(os.path.join(out_dir, "rejects"))
+        write_epoch(rules.to_long(wide), os.path.join(out_dir, "scores"), epoch)
+        write_epoch(rejects, os.path.join(out_dir, "rejects"), epoch)
 
     w = payload_stream(spark, folder).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -95,16 +101,17 @@ def assemble_and_score(spark: SparkSession, segment_folder: str, schema, store:
     seg_store, done_store = os.path.join(store, "segments"), os.path.join(out_dir, "scores")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("append").parquet(seg_store)
-        allseg = spark.read.parquet(seg_store)
+        write_epoch(batch, seg_store, epoch)
+        allseg = spark.read.parquet(seg_store).drop("epoch")
         horizon = allseg.agg(F.max("ts")).first()[0]
         last = allseg.groupBy("call_id").agg(F.max("ts").alias("last_ts"))
         closed = last.where(F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS"))
         if os.path.exists(done_store):
-            closed = closed.join(spark.read.parquet(done_store).select("call_id").distinct(), "call_id", "left_anti")
+            done = spark.read.parquet(done_store).where(F.col("epoch") != epoch).select("call_id").distinct()
+            closed = closed.join(done, "call_id", "left_anti")
         segs = allseg.join(closed.select("call_id"), "call_id", "left_semi").drop("ts")
         wide = rules.score_calls(segs, lexicon, role=role)
-        rules.to_long(wide).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(done_store)
+        write_epoch(rules.to_long(wide), done_store, epoch)
 
     s = spark.readStream.schema(schema).parquet(segment_folder)
     return (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
@@ -119,8 +126,8 @@ def manifest_stream(spark: SparkSession, folder: str, out_dir: str, checkpoint:
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         acc, rej = file_src.audio_manifest(batch)
-        acc.write.mode("append").parquet(os.path.join(out_dir, "accepted"))
-        rej.write.mode("append").parquet(os.path.join(out_dir, "rejected"))
+        write_epoch(acc, os.path.join(out_dir, "accepted"), epoch)
+        write_epoch(rej, os.path.join(out_dir, "rejected"), epoch)
 
     return (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -156,3 +156,13 @@ def test_health_windows_drop_late_rows(spark):
     q.stop()
     rows = {r.w.start.hour: (r.n, round(r.fail_pct, 3)) for r in spark.sql("select * from health_late").collect()}
     assert rows[0] == (4, 25.0)   # the late 00:20 error row was dropped: 4 rows, 1 failure
+
+
+def test_epoch_sink_is_idempotent(spark):
+    out = _tmp()
+    df = spark.range(10).withColumnRenamed("id", "x")
+    jobs.write_epoch(df, os.path.join(out, "s"), 3)
+    jobs.write_epoch(df, os.path.join(out, "s"), 3)      # a replayed micro-batch
+    jobs.write_epoch(df.limit(4), os.path.join(out, "s"), 4)
+    back = spark.read.parquet(os.path.join(out, "s"))
+    assert back.count() == 14 and sorted(r.epoch for r in back.select("epoch").distinct().collect()) == [3, 4]
