@@ -152,7 +152,7 @@ mk1 AS (SELECT m.*, coalesce(lag(m.e) OVER (PARTITION BY m.doc_id ORDER BY m.s,
 mk AS (SELECT doc_id, regexp_replace(string_agg(CASE WHEN s > pe THEN substr(text, pe + 1, s - pe) ELSE '' END || '****', ''
                                                 ORDER BY s, e) || substr(max(text), arg_max(e, s) + 1),
                                      '\\*{{4,}}', '****', 'g') AS masked_text,
-              count(*) AS n_entities
+              CAST(count(*) AS INTEGER) AS n_entities
        FROM mk1 GROUP BY doc_id)"""
 
 ORACLE["b1_tokens"] = f"WITH {TOKENS_CTE}\nSELECT doc_id, ti, token, s, e FROM tok WHERE is_tok"
