@@ -18,7 +18,7 @@ def _edit(a, b):
 
 
 def test_wer_turns_bruteforce(spark):
-    rows = read_table(spark, SF001, "conversations").select("conv_id", "turn", "text").collect()
+    rows = read_table(spark, SF01, "conversations").select("conv_id", "turn", "text").collect()
     by = {}
     for r in rows:
         by.setdefault(r.conv_id, []).append((r.turn, r.text))
@@ -30,7 +30,7 @@ def test_wer_turns_bruteforce(spark):
             edits += _edit(ra, hb)
             words += len(ra)
             pairs += 1
-    got = entry.queries()["m5_wer_turns"](spark, SF001).first()
+    got = entry.queries()["m5_wer_turns"](spark, SF01).first()
     assert (got.edits, got.ref_words, got.n_pairs) == (edits, words, pairs)
     assert got.wer == round(edits / words, 6)
 
