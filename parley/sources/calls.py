@@ -173,3 +173,15 @@ def payloads_per_call(segments: DataFrame, max_chars: int = 1_000_000) -> DataFr
     body = F.struct(F.col("call_id").cast("string").alias("call_id"),
                     F.transform("_s", lambda x: x["seg"]).alias("segments"))
     return per.select(F.to_json(body).alias("value"))
+
+
+def expected_scores(payloads: DataFrame, v: str = "v",
+                    metrics=("KR2.1", "KR2.2", "KR2.3", "KR2.4", "KR2.5")) -> DataFrame:
+    """Labelled items ``{input, expected_output: {KR2.x: {score}}}`` unpivoted to
+    ``call_id, metric, score`` (N18 call id; a missing or non-integer expected score stays NULL)."""
+    raw = F.col(v)
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"),
+                              F.try_variant_get(raw, f"$.expected_output['{m}'].score", "int").alias("score"))
+                     for m in metrics])
+    return payloads.select(effective_call_id(raw).alias("call_id"), F.explode(rows).alias("x")).select(
+        "call_id", "x.metric", "x.score")

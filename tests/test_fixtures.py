@@ -191,3 +191,27 @@ def test_wer_example(spark):
 def test_ctc_decode(spark):
     df = spark.createDataFrame([([0, 3, 3, 0, 3, 1, 1, 2],)], "ids array<int>")
     assert df.select(models.ctc_greedy(F.col("ids"), ["_", "a", " ", "b"], blank=0)).first()[0] == "bba "
+
+
+def test_evaluate_labelled_dataset(spark, tmp_path):
+    """The labelled-dataset flow on the hand-derived calls: JSON array file -> scores -> accuracy."""
+    import json
+    from parley.operators.evaluation import evaluate_dataset
+    from parley.sources import calls as cl
+    items = []
+    for cid, segs in CALLS.items():
+        exp = {m: {"score": EXPECTED[cid][i][0]} for i, m in enumerate(rules.METRICS)}
+        if cid == "c5":
+            exp["KR2.3"]["score"] = 3          # one wrong label -> 64 / 65
+        items.append({"dataset_id": f"d-{cid}", "input": {"call_id": cid, "segments": [
+            {"speaker": sp, "text": tx, "start_time": a, "end_time": b} for a, b, sp, tx in segs]},
+            "expected_output": exp})
+    p = tmp_path / "eval.json"
+    p.write_text(json.dumps(items, ensure_ascii=False), encoding="utf-8")
+    out = evaluate_dataset(cl.read_payload_array(spark, str(p)))
+    acc = {r.metric: (r.correct, r.total, r.accuracy) for r in out["accuracy"].collect()}
+    assert acc["ALL"] == (64, 65, round(64 / 65, 4))
+    assert acc["KR2.3"] == (12, 13, round(12 / 13, 6)) and acc["KR2.1"] == (13, 13, 1.0)
+    mm = out["mismatches"].collect()
+    assert [(r.call_id, r.metric, r.score, r.expected) for r in mm] == [("c5", "KR2.3", 2, 3)]
+    assert out["rejects"].count() == 0
