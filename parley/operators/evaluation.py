@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..sources import calls as call_src
 from . import metrics, rules
@@ -11,13 +12,16 @@ from . import metrics, rules
 def evaluate_dataset(payloads: DataFrame, lexicon: dict | None = None, role: str = "operator",
                      debug_metric: str | None = None, max_mismatches: int = 50, **seq_kw) -> dict[str, DataFrame]:
     """``payloads``: one VARIANT row per labelled item (``read_payload_array``). Returns the
-    normalisation rejects, the long scores, the per-metric and overall agreement with the expected
+    normalisation rejects, the long scores, the JSON response per call, the per-metric and overall agreement with the expected
     scores (ROLLUP, overall rounded to 4 decimals) and at most ``max_mismatches`` disagreements
     (optionally one metric)."""
     calls, rejects = call_src.normalize_payloads(payloads)
     wide = rules.score_calls(call_src.segments_long(calls), lexicon, role=role, calls=calls, **seq_kw)
     scores = rules.to_long(wide)
     expected = call_src.expected_scores(payloads)
-    return {"rejects": rejects, "scores": scores,
+    # K4: one response record per call, echoing the dataset id when the payload carried one
+    ids = calls.groupBy("call_id").agg(F.max("dataset_id").alias("dataset_id"))
+    responses = rules.results_json(wide.join(ids, "call_id", "left"), F.col("dataset_id"))
+    return {"rejects": rejects, "scores": scores, "responses": responses,
             "accuracy": metrics.accuracy(scores, expected),
             "mismatches": metrics.mismatches(scores, expected, debug_metric, max_mismatches)}

@@ -215,3 +215,5 @@ def test_evaluate_labelled_dataset(spark, tmp_path):
     mm = out["mismatches"].collect()
     assert [(r.call_id, r.metric, r.score, r.expected) for r in mm] == [("c5", "KR2.3", 2, 3)]
     assert out["rejects"].count() == 0
+    resp = {r.call_id: json.loads(r.json) for r in out["responses"].collect()}
+    assert resp["c1"]["dataset_id"] == "d-c1" and resp["c1"]["results"]["KR2.5"]["score"] == 3
