@@ -93,25 +93,36 @@ def assemble_and_score(spark: SparkSession, segment_folder: str, schema, store:
                        trigger: dict | None = None):
     """T5: segments (``call_id, pos, speaker, text, start, end`` + event time ``ts``) arrive one by one.
 
-    Each trigger appends the new segments to ``store`` and scores the calls whose last segment is
-    older than the newest event time minus ``timeout_s`` and that were not scored before. Only
-    per-call maxima (partial aggregates) are computed to find them; the calls' segments are read
-    back from the store and scored by the batch scorer.
+    Each trigger appends the new segments to ``store`` (partitioned by event day, one idempotent
+    folder per epoch) and scores the calls whose last segment is older than the newest event time
+    minus ``timeout_s`` and that were not scored before. Finding them reads only the ``call_id`` and
+    ``ts`` columns (per-call min/max, partial aggregates); the closed calls' segments are then read
+    only from the day partitions at or after their earliest segment, and scored by the batch scorer.
+    No call is held in a state store.
     """
     seg_store, done_store = os.path.join(store, "segments"), os.path.join(out_dir, "scores")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        write_epoch(batch, seg_store, epoch)
-        allseg = spark.read.parquet(seg_store).drop("epoch")
+        (batch.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.mode("overwrite").partitionBy("day")
+         .parquet(os.path.join(seg_store, f"epoch={epoch}")))
+        allseg = spark.read.parquet(seg_store)
         horizon = allseg.agg(F.max("ts")).first()[0]
-        last = allseg.groupBy("call_id").agg(F.max("ts").alias("last_ts"))
-        closed = last.where(F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS"))
+        span = allseg.groupBy("call_id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+        closed = span.where(F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS"))
         if os.path.exists(done_store):
             done = spark.read.parquet(done_store).where(F.col("epoch") != epoch).select("call_id").distinct()
             closed = closed.join(done, "call_id", "left_anti")
-        segs = allseg.join(closed.select("call_id"), "call_id", "left_semi").drop("ts")
+        closed = closed.cache()  # small: one row per newly closed call, read twice below
+        first = closed.agg(F.min("first_ts")).first()[0]
+        if first is None:
+            closed.unpersist()
+            return
+        day0 = first.strftime("%Y%m%d")
+        segs = (allseg.where(F.col("day") >= day0).join(closed.select("call_id"), "call_id", "left_semi")
+                .drop("ts", "day", "epoch"))
         wide = rules.score_calls(segs, lexicon, role=role)
         write_epoch(rules.to_long(wide), done_store, epoch)
+        closed.unpersist()
 
     s = spark.readStream.schema(schema).parquet(segment_folder)
     return (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
