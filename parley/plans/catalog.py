@@ -399,6 +399,16 @@ def payload_scores(spark, sf):
     return rules.to_long(rules.score_calls(seg, TEST_LEXICON, role=AGENT_ROLE))
 
 
+@register("r6n_score_whole_calls")
+def score_whole_calls(spark, sf):
+    """Whole-call payloads (one per conversation, size-gated) scored row by row with array
+    expressions (nested layout, no shuffle in the scoring itself)."""
+    from ..operators.nested import score_nested
+    seg = conv_segments(spark, sf)
+    calls, _ = call_src.normalize_payloads(call_src.payloads_from_strings(call_src.payloads_per_call(seg), "value"))
+    return rules.to_long(score_nested(calls, TEST_LEXICON, role=AGENT_ROLE))
+
+
 @register("n1_payload_rejects")
 def payload_rejects(spark, sf):
     _, rejects = _payload_calls(spark, sf)

@@ -426,3 +426,5 @@ ORACLE["b8_synthetic_ner"] = synthetic_ner_sql(42)
 from .sql_gen import span_corpus_sql  # noqa: E402
 
 ORACLE["b9_span_corpus"] = span_corpus_sql(UW, UWS, 42)
+
+ORACLE["r6n_score_whole_calls"] = ORACLE["r6_score_calls"]

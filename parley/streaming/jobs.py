@@ -42,10 +42,15 @@ def payload_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
 
 def score_stream(spark: SparkSession, folder: str, out_dir: str, checkpoint: str, lexicon=None, role: str = "operator",
                  trigger: dict | None = None):
-    """Score payloads as they arrive; scores and rejects appended as Parquet."""
+    """Score payloads as they arrive; scores and rejects written per epoch as Parquet.
+
+    Each payload carries a complete transcript (one request), so it is scored inside its row by the
+    nested scorer: no shuffle per micro-batch."""
+    from ..operators.nested import score_nested
+
     def per_batch(batch: DataFrame, epoch: int) -> None:
         calls, rejects = call_src.normalize_payloads(batch)
-        wide = rules.score_calls(call_src.segments_long(calls), lexicon, role=role, calls=calls)
+        wide = score_nested(calls, lexicon, role=role)
         write_epoch(rules.to_long(wide), os.path.join(out_dir, "scores"), epoch)
         write_epoch(rejects, os.path.join(out_dir, "rejects"), epoch)
 

@@ -217,3 +217,29 @@ def test_evaluate_labelled_dataset(spark, tmp_path):
     assert out["rejects"].count() == 0
     resp = {r.call_id: json.loads(r.json) for r in out["responses"].collect()}
     assert resp["c1"]["dataset_id"] == "d-c1" and resp["c1"]["results"]["KR2.5"]["score"] == 3
+
+
+def test_nested_scorer_equals_long_form(spark):
+    """Whole-call rows scored with array expressions only = the long-form scorer (every branch)."""
+    from parley.operators.nested import score_nested
+    from parley.operators import segments as seg_op
+    seg = _calls(spark, CALLS)
+    nested = seg_op.nest_calls(seg)
+    a = sorted(tuple(r) for r in rules.to_long(score_nested(nested)).collect())
+    b = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg)).collect())
+    assert a == b
+
+
+def test_nested_scorer_on_payloads(spark):
+    """Complete-transcript payloads from conversations: nested scoring = long-form scoring."""
+    from conftest import SF01
+    from parley.operators.nested import score_nested
+    from parley.operators import segments as seg_op
+    from parley.sources import calls as cl
+    from parley.sources.lexicon import TEST_LEXICON
+    from parley.sources.tables import read_table
+    seg = seg_op.conversation_segments(read_table(spark, SF01, "conversations"))
+    calls, rej = cl.normalize_payloads(cl.payloads_from_strings(cl.payloads_per_call(seg), "value"))
+    a = sorted(tuple(r) for r in rules.to_long(score_nested(calls, TEST_LEXICON, role="assistant")).collect())
+    b = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg, TEST_LEXICON, role="assistant")).collect())
+    assert a == b and len(a) == 500
