@@ -10,13 +10,16 @@ from . import metrics, rules
 
 
 def evaluate_dataset(payloads: DataFrame, lexicon: dict | None = None, role: str = "operator",
-                     debug_metric: str | None = None, max_mismatches: int = 50, **seq_kw) -> dict[str, DataFrame]:
+                     debug_metric: str | None = None, max_mismatches: int = 50) -> dict[str, DataFrame]:
     """``payloads``: one VARIANT row per labelled item (``read_payload_array``). Returns the
     normalisation rejects, the long scores, the JSON response per call, the per-metric and overall agreement with the expected
     scores (ROLLUP, overall rounded to 4 decimals) and at most ``max_mismatches`` disagreements
     (optionally one metric)."""
+    from .nested import score_nested
+
     calls, rejects = call_src.normalize_payloads(payloads)
-    wide = rules.score_calls(call_src.segments_long(calls), lexicon, role=role, calls=calls, **seq_kw)
+    # each labelled item holds one whole call and is scored on its own, inside its row
+    wide = score_nested(calls, lexicon, role=role)
     scores = rules.to_long(wide)
     expected = call_src.expected_scores(payloads)
     # K4: one response record per call, echoing the dataset id when the payload carried one
