@@ -54,7 +54,7 @@ def llm_requests(segments: DataFrame, template: str = USER_TEMPLATE, max_chars:
     size = segments.groupBy("call_id").agg(F.sum(F.length("text") + F.length("speaker") + 64).alias("chars"))
     ok = size.where(F.col("chars") <= max_chars).select("call_id")
     oversized = size.where(F.col("chars") > max_chars)
-    seg = segments.join(ok, "call_id", "left_semi")
+    seg = segments.join(ok.hint("shuffle_hash"), "call_id", "left_semi")  # per-call table: no estimated broadcast
     s = F.struct(F.col("start").alias("_a"), F.col("end").alias("_b"), F.col("pos").alias("_c"),
                  F.struct("speaker", redact("text").alias("text"), "start", "end").alias("seg"))
     nested = seg.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("_s"))

@@ -166,7 +166,10 @@ def payloads_per_call(segments: DataFrame, max_chars: int = 1_000_000) -> DataFr
     collected).
     """
     size = segments.groupBy("call_id").agg(F.sum(F.length("text")).alias("chars"))
-    ok = segments.join(size.where(F.col("chars") <= max_chars).select("call_id"), "call_id", "left_semi")
+    # the size table has one row per call (grows with the data): a shuffle join, whose call_id
+    # partitioning the per-call assembly below reuses, instead of an estimated broadcast
+    ok = segments.join(size.where(F.col("chars") <= max_chars).select("call_id").hint("shuffle_hash"), "call_id",
+                       "left_semi")
     s = F.struct(F.col("start").alias("_a"), F.col("end").alias("_b"), F.col("pos").alias("_c"),
                  F.struct("speaker", "text", "start", "end").alias("seg"))
     per = ok.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("_s"))
