@@ -42,7 +42,7 @@ def spans_corpus_to_bio(df: DataFrame, id_col: str = "row_id", text_col: str = "
         F.col("x.start").cast("int").alias("s"), F.col("x.end").cast("int").alias("e"))
     tagged = entities_to_bio(tokens_with_offsets(docs), ents)
     per = tagged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ti", "token", "tag"))).alias("t"))
-    out = docs.join(per, "doc_id", "left").select(
+    out = docs.join(per.hint("shuffle_hash"), "doc_id", "left").select(  # co-partitioned per-row table
         F.col("doc_id").alias(id_col),
         F.coalesce(F.transform("t", lambda x: x["token"]), F.array().cast("array<string>")).alias("tokens"),
         F.coalesce(F.transform("t", lambda x: x["tag"]), F.array().cast("array<string>")).alias("tags"),

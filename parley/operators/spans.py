@@ -173,7 +173,7 @@ def mask_documents(docs: DataFrame, merged: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("s", "e", "label"))).alias("sp"))
     per = per.select("doc_id", F.transform("sp", lambda x: F.struct(x["label"].alias("label"), x["s"].alias("s"),
                                                                     x["e"].alias("e"))).alias("spans"))
-    j = docs.join(per, "doc_id", "left")
+    j = docs.join(per.hint("shuffle_hash"), "doc_id", "left")  # per-document spans: co-partitioned, never broadcast
     sp = F.coalesce(F.col("spans"), F.array().cast(SPAN_TYPE))
     extra = [c for c in docs.columns if c not in ("doc_id", "text")]
     return j.select("doc_id", "text", mask_text(F.col("text"), sp).alias("masked_text"),

@@ -544,7 +544,7 @@ def spans_to_bio_rows(spark, sf):
     docs = _doc_frame(spark, sf)
     ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    corpus = docs.join(ents, "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities")
+    corpus = docs.join(ents.hint("shuffle_hash"), "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities")
     out = bio_op.spans_corpus_to_bio(corpus)
     return out.select("row_id", F.size("tokens").alias("n_tokens"),
                       F.size(F.filter("tags", lambda t: t != "O")).alias("n_tagged"),
@@ -565,7 +565,7 @@ def align_labels(spark, sf):
     docs = _doc_frame(spark, sf)
     ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    rows = bio_op.spans_corpus_to_bio(docs.join(ents, "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities"))
+    rows = bio_op.spans_corpus_to_bio(docs.join(ents.hint("shuffle_hash"), "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities"))
     wid = bio_op.subword_ids(F.col("tokens"))
     lab = mdl.align_labels(F.col("wid"), F.col("tags"))
     return rows.withColumn("wid", wid).select("row_id", F.posexplode(lab).alias("i", "label_id")).where(
