@@ -28,11 +28,17 @@ def register(name: str):
     return deco
 
 
+_ROWS: dict[str, int] = {}
+
+
 def conv_chunks(spark: SparkSession, sf: str) -> int:
     """Split decision for the ordered scans over conversation segments: one segment per table row,
-    and a Parquet row count is answered from file metadata (no pass over the data)."""
+    and a Parquet row count is answered from file metadata (no pass over the data); counted once
+    per table path."""
     from ..operators.sequence import chunk_count
-    return chunk_count(read_table(spark, sf, "conversations", ["conv_id"]).count(), spark)
+    if sf not in _ROWS:
+        _ROWS[sf] = read_table(spark, sf, "conversations", ["conv_id"]).count()
+    return chunk_count(_ROWS[sf], spark)
 
 
 def conv_segments(spark: SparkSession, sf: str, numeric_id: bool = False) -> DataFrame:
