@@ -11,8 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import pii as pii_fn
+from ..functions.text import first_non_blank, normalize_ws
+from ..operators import bio as bio_op
+from ..operators import corpus as corp
+from ..operators import llm as llm_op
+from ..operators import metrics as met
+from ..operators import models as mdl
 from ..operators import rules, segments
+from ..operators import sentences as sent_op
+from ..operators import spans as span_op
+from ..operators import tokens as tok_op
+from ..sources import calls as call_src
+from ..sources import files as file_src
 from ..sources.lexicon import TEST_LEXICON
+from ..sources.tables import balanced, profile
 from ..sources.tables import read_table
 
 AGENT_ROLE = "assistant"
@@ -64,12 +77,6 @@ def score_distribution(spark, sf):
 
 
 # ------------------------------------------------------------------ text scans and normalisation
-from ..functions import pii as pii_fn  # noqa: E402
-from ..functions.text import first_non_blank, normalize_ws  # noqa: E402
-from ..operators import sentences as sent_op  # noqa: E402
-from ..operators import spans as span_op  # noqa: E402
-from ..operators import tokens as tok_op  # noqa: E402
-from ..sources.tables import balanced, profile  # noqa: E402
 
 TEXT_CANDIDATES = ["text", "content", "body", "article", "document", "sentence"]
 
@@ -223,7 +230,6 @@ def cascade_documents(spark, sf):
 
 
 # ------------------------------------------------------------------ corpus: samples, quotas, splits
-from ..operators import corpus as corp  # noqa: E402
 
 SEED = 42
 
@@ -302,7 +308,6 @@ def validation_split(spark, sf):
 
 
 # ------------------------------------------------------------------ evaluation metrics
-from ..operators import metrics as met  # noqa: E402
 
 
 def _two_configs(spark, sf):
@@ -385,7 +390,6 @@ def conformance(spark, sf):
 
 
 # ------------------------------------------------------------------ raw payload ingestion
-from ..sources import calls as call_src  # noqa: E402
 
 
 def _payload_calls(spark, sf):
@@ -427,7 +431,6 @@ def call_profile(spark, sf):
 
 
 # ------------------------------------------------------------------ models and decoding
-from ..operators import models as mdl  # noqa: E402
 
 HEAD = mdl.linear_head_weights(64, 2)
 CTC_VOCAB = ["_", "a", " ", "b", "c", "d", "e", "f"]
@@ -483,7 +486,6 @@ def train_guardrail(spark, sf):
 
 
 # ------------------------------------------------------------------ LLM answers as tables
-from ..operators import llm as llm_op  # noqa: E402
 
 LLM_MODEL = "offline-batch-scorer"
 
@@ -525,8 +527,6 @@ def llm_merge(spark, sf):
 
 
 # ------------------------------------------------------------------ files, BIO corpora
-from ..operators import bio as bio_op  # noqa: E402
-from ..sources import files as file_src  # noqa: E402
 
 
 @register("m7_table_sizes_mb")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from ..sources.lexicon import TEST_LEXICON
 from . import sql_rules
+from . import sql_text as st
+from ..operators.models import linear_head_weights
+from ..sources.lexicon import TEST_LEXICON
+from .sql_gen import span_corpus_sql
+from .sql_gen import synthetic_ner_sql
+from .sql_text import RE2, UW, UWS, ascii_view, count_of, has, norm_ws, q, spans_list
 
 AGENT_ROLE = "assistant"
 
@@ -18,8 +23,6 @@ HAVING metric IS NOT NULL OR score IS NULL
 """
 
 # ------------------------------------------------------------------ text scans and normalisation
-from .sql_text import (RE2, UW, UWS, ascii_view, count_of, has, norm_ws, q,  # noqa: E402
-                       spans_list)
 
 ORACLE["s9_profile_documents"] = """
 SELECT 'doc_id,text,lang,source,n_chars' AS columns, count(*) AS n_rows,
@@ -170,7 +173,6 @@ SELECT p.doc_id, p.pr >= 0.5 AS is_unsafe, round(p.pr, 6) AS guardrail_score,
 FROM p LEFT JOIN mk ON p.doc_id = mk.doc_id"""
 
 # ------------------------------------------------------------------ corpus: samples, quotas, splits
-from . import sql_text as st  # noqa: E402
 
 
 def _md5(expr: str, seed: int) -> str:
@@ -295,7 +297,6 @@ SELECT call_id, count(*) AS n_segments,
 FROM seg GROUP BY call_id"""
 
 # ------------------------------------------------------------------ models and decoding
-from ..operators.models import linear_head_weights  # noqa: E402
 
 _W = linear_head_weights(64, 2)
 _w0 = "[" + ", ".join(repr(float(x)) for x in _W[0]) + "]::DOUBLE[]"
@@ -419,11 +420,9 @@ lab AS (SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(list_position({_LABELS}, la
         UNION ALL SELECT DISTINCT doc_id, CAST(total + 1 AS INTEGER), -100 FROM c)
 SELECT doc_id AS row_id, i, label_id FROM lab WHERE label_id <> 0"""
 
-from .sql_gen import synthetic_ner_sql  # noqa: E402
 
 ORACLE["b8_synthetic_ner"] = synthetic_ner_sql(42)
 
-from .sql_gen import span_corpus_sql  # noqa: E402
 
 ORACLE["b9_span_corpus"] = span_corpus_sql(UW, UWS, 42)
 
