@@ -181,7 +181,10 @@ def ordered_context(df: DataFrame, key: str, order: Sequence[str], *, lags: Sequ
         carry_cols.append(_right(F.array_join(F.collect_list("_t").over(before), " "), tail_chars).alias("_ktail"))
     # At most one key straddles each of the len(points) split points, so this has <= len(points) rows.
     carry = summary.select(*carry_cols).where(F.col("_pc").isNotNull()).drop("_pc")
-    j = local.join(F.broadcast(carry), [key, "_chunk"], "left")
+    # fresh names for the join keys: the carry table derives from ``local`` (a self-join)
+    carry = carry.withColumnRenamed(key, "_ck").withColumnRenamed("_chunk", "_cc")
+    j = local.join(F.broadcast(carry), (local[key] == carry["_ck"]) & (local["_chunk"] == carry["_cc"]), "left") \
+        .drop("_ck", "_cc")
 
     first = F.col("_rn") == 1
     exprs = [F.when(first, F.col("_klast")[c]).otherwise(F.col(f"_l_{c}")).alias(f"prev_{c}") for c in lags]

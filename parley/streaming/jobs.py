@@ -74,12 +74,12 @@ def silence_sessions(events: DataFrame, key: str, ts: str, gap: str = SILENCE_GA
             .agg(F.count(F.lit(1)).alias("n_events"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")))
 
 
-def silence_gaps(sessions: DataFrame, key: str) -> DataFrame:
-    """T3 follow-up on the sessions table (batch): the silence between consecutive sessions of a key."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy("first_ts")
-    prev = F.lag("last_ts").over(w)
-    return sessions.select(key, prev.alias("silence_from"), F.col("first_ts").alias("silence_to")).where(
+def silence_gaps(sessions: DataFrame, key: str, **seq_kw) -> DataFrame:
+    """T3 follow-up on the sessions table (batch): the silence between consecutive sessions of a key,
+    with the skew-safe ordered scan (a key with most of the sessions is split into ranges)."""
+    from ..operators.sequence import ordered_context
+    x = ordered_context(sessions.select(key, "first_ts", "last_ts"), key, ["first_ts"], lags=["last_ts"], **seq_kw)
+    return x.select(key, F.col("prev_last_ts").alias("silence_from"), F.col("first_ts").alias("silence_to")).where(
         F.col("silence_from").isNotNull())
 
 

@@ -56,6 +56,9 @@ def test_silence_sessions_equal_lag(spark):
          .queryName("sessions_t3").outputMode("complete").start())
     q.processAllAvailable()
     n_sessions = spark.sql("select count(*) from sessions_t3").first()[0]
+    sessions = spark.sql("select user_id, first_ts, last_ts from sessions_t3")
+    n_plain = jobs.silence_gaps(sessions, "user_id", chunks=1).count()
+    n_split = jobs.silence_gaps(sessions, "user_id", chunks=6).count()
     q.stop()
     con = duckdb.connect()
     n_gaps, n_users = con.execute(f"""
@@ -63,6 +66,7 @@ def test_silence_sessions_equal_lag(spark):
                    FROM read_parquet('{SF01}/events.parquet'))
         SELECT count(*) FILTER (WHERE p IS NOT NULL AND epoch(ts) - epoch(p) >= 60), count(DISTINCT user_id) FROM e""").fetchall()[0]
     assert n_sessions == n_gaps + n_users
+    assert n_plain == n_split == n_gaps   # every silence >= 60 s is a gap between two sessions
 
 
 def test_health_windows_equal_batch(spark):
