@@ -52,7 +52,8 @@ SILENCE_EVIDENCE_TEXT = "[uzun sükut/gözləmə]"
 # ---------------------------------------------------------------------------------------------
 
 # Lexicon fitted to the invented en/fr/es/de vocabulary of the test tables, so that every rule
-# branch is populated there (word shares measured on conversations sf0.01).
+# branch that derived data can reach is populated there (word shares measured on conversations
+# sf0.01; branch counts checked on sf0.01 and sf0.1 - only "too short" cannot occur).
 TEST_LEXICON: dict[str, list[str]] = {
     "leak": [" los ", " para "],
     "empathy": [" les "],
@@ -64,9 +65,9 @@ TEST_LEXICON: dict[str, list[str]] = {
     "kr21_bad_evidence": [" est ", " dans ", " los ", " para "],
     "solution_evidence_extra": [],
     "outcome_fail": [" los ", " para ", " der "],
-    "paid": [" und "],
-    "ticket": [" von "],
-    "ticket_evidence": [" von "],
+    "paid": [" und ", " que ", " der "],
+    "ticket": [" les ", " est ", " von "],
+    "ticket_evidence": [" les ", " est ", " von "],
     "checking": [" for "],
     "kr25_bad_evidence": [" est ", " los "],
     "kr25_good_evidence": [" que ", " les ", " was "],

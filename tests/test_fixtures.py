@@ -243,3 +243,12 @@ def test_nested_scorer_on_payloads(spark):
     a = sorted(tuple(r) for r in rules.to_long(score_nested(calls, TEST_LEXICON, role="assistant")).collect())
     b = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg, TEST_LEXICON, role="assistant")).collect())
     assert a == b and len(a) == 500
+
+
+def test_registered_scoring_reaches_every_branch(spark):
+    """The registered scoring query populates every cascade outcome derived data can reach."""
+    import __spark_entry__ as entry
+    from conftest import SF01
+    inv = {v: k for k, v in rules.REASON.items()}
+    got = {inv[r.reasoning] for r in entry.queries()["r6_score_calls"](spark, SF01).select("reasoning").distinct().collect()}
+    assert set(rules.REASON) - got == {"too_short"}   # derived segments always last >= 0.5 s (c13 covers it)
