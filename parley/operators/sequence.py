@@ -48,7 +48,8 @@ def _enc_field(c: Column, dtype: str) -> Column:
             v = F.unix_date(c).cast("long")
         elif dtype in ("double", "float"):
             # micro-unit floor: monotone, coarser than the value (ties allowed); NaN sorts last
-            v = F.when(F.isnan(c), F.lit(9223372036854775807)).otherwise(
+            # NULL first (least/greatest would skip it and return the clamp bound)
+            v = F.when(c.isNull(), F.lit(None).cast("long")).when(F.isnan(c), F.lit(9223372036854775807)).otherwise(
                 F.floor(F.greatest(F.least(c.cast("double") * 1e6, F.lit(9.2e18)), F.lit(-9.2e18))).cast("long"))
         else:
             v = c.cast("long")

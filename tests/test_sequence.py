@@ -99,3 +99,19 @@ def test_split_path_in_other_callers(spark):
     v1 = llm.validate_answers(parsed, seg, chunks=1).select("call_id", "valid")
     v2 = llm.validate_answers(parsed, seg, chunks=6).select("call_id", "valid")
     assert _collect(v1, ["call_id", "valid"]) == _collect(v2, ["call_id", "valid"])
+
+
+def test_split_with_nulls_and_mixed_types(spark):
+    """NULL order values and string/double/timestamp sort fields: split path = plain path."""
+    conv = read_table(spark, SF01, "conversations")
+    df = conv.select(
+        (F.col("conv_id") % 3).alias("k"),
+        F.when(F.col("turn") % 5 == 0, F.lit(None)).otherwise(F.col("role")).alias("o1"),
+        F.when(F.col("turn") % 7 == 0, F.lit(None)).otherwise(F.length("text") / 7.0).alias("o2"),
+        F.timestamp_seconds(F.col("conv_id") * 1000 + F.col("turn")).alias("o3"),
+        F.col("conv_id"), F.col("turn"), F.length("text").alias("n"))
+    order = ["o1", "o2", "o3", "conv_id", "turn"]
+    a = ordered_context(df, "k", order, lags=["n"], sums=["n"], chunks=1)
+    b = ordered_context(df, "k", order, lags=["n"], sums=["n"], chunks=9)
+    cols = ["conv_id", "turn", "prev_n", "cum_n"]
+    assert _collect(a, cols) == _collect(b, cols)
