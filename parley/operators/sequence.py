@@ -7,12 +7,13 @@ which sends a whole call to one task: a call holding a third of all rows would b
 
 Here a group is split into contiguous *chunks* of the global (key, order) sort:
 
-1. (key, order) is encoded as one order-preserving string; a sample of at most one million such
-   keys picks ``n - 1`` split points, with ``n`` growing with the row count so that no chunk holds
-   more than about four million rows (a chunk is one window task);
-2. each row finds its chunk by binary search in one constant array of split points (an
-   ``aggregate`` over powers of two, log2(n) comparisons), so a hot key is spread over many chunks
-   and the expression size does not grow with ``n``; windows run per (key, chunk);
+1. a sample of at most one million (key, order) structs, sorted by Spark, picks ``n - 1`` split
+   points, with ``n`` growing with the row count so that no chunk holds more than about four
+   million rows (a chunk is one window task);
+2. each row finds its chunk by binary search in one constant ``array<struct>`` of split points (an
+   ``aggregate`` over powers of two, log2(n) struct comparisons - the same NULL-first, NaN-last
+   ordering as the window's sort), so a hot key is spread over many chunks and the expression size
+   does not grow with ``n``; windows run per (key, chunk);
 3. each chunk boundary cuts at most one key, so the "carry" table that feeds the first rows of a
    chunk with the state of the earlier chunks has at most ``n - 1`` rows: it is broadcast with that
    size bound, never the data.
@@ -34,61 +35,54 @@ def _right(c: Column, n: int) -> Column:
     return F.substring(c, -n, n)
 
 
-_MIN_LONG = -9223372036854775808
 _SAMPLE_CAP = 1_000_000
 
 
-def _enc_field(c: Column, dtype: str) -> Column:
-    """Order-preserving string for one sort field (non-strict where noted; chunking only needs
-    chunk numbers that never decrease along the sort order)."""
-    if dtype in ("bigint", "int", "smallint", "tinyint", "date", "timestamp", "timestamp_ntz", "double", "float"):
-        if dtype in ("timestamp", "timestamp_ntz"):
-            v = F.unix_micros(c.cast("timestamp"))
-        elif dtype == "date":
-            v = F.unix_date(c).cast("long")
-        elif dtype in ("double", "float"):
-            # micro-unit floor: monotone, coarser than the value (ties allowed); NaN sorts last
-            # NULL first (least/greatest would skip it and return the clamp bound)
-            v = F.when(c.isNull(), F.lit(None).cast("long")).when(F.isnan(c), F.lit(9223372036854775807)).otherwise(
-                F.floor(F.greatest(F.least(c.cast("double") * 1e6, F.lit(9.2e18)), F.lit(-9.2e18))).cast("long"))
-        else:
-            v = c.cast("long")
-        v = F.coalesce(v, F.lit(_MIN_LONG))          # nulls first, as the window sorts them
-        return F.lpad(F.hex(v.bitwiseXOR(F.lit(_MIN_LONG))), 16, "0")
-    # strings: escape U+0000 and terminate with two U+0000 so prefixes sort first
-    sv = F.coalesce(c.cast("string"), F.lit(""))
-    return F.concat(F.regexp_replace(sv, "\u0000", "\u0000\u0001"), F.lit("\u0000\u0000"))
+def _key_field(c: Column, dtype: str) -> Column:
+    """A sort field as a JSON-safe comparable value with the same order (NULLs stay NULL):
+    timestamps and dates as integer micros/days, everything else unchanged."""
+    if dtype in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp"))
+    if dtype == "date":
+        return F.unix_date(c)
+    return c
 
 
 def sort_key(df: DataFrame, cols: Sequence[str]) -> Column:
-    """One string whose byte order follows the (non-strict) order of ``struct(cols)``."""
+    """``struct(cols)`` with JSON-safe field types; Spark's struct ordering (NULLs first, NaN last,
+    per field in turn) is the order of an ascending sort on ``cols``."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return F.concat(*[_enc_field(F.col(c), types[c]) for c in cols])
+    return F.struct(*[_key_field(F.col(c), types[c]).alias(f"f{i}") for i, c in enumerate(cols)])
 
 
-def _split_points(df: DataFrame, key_col: str, n_chunks: int, seed: int, total: int) -> list[str]:
-    """n_chunks - 1 split points from a sample of at most _SAMPLE_CAP sort keys (driver-bounded)."""
+def _split_points(keyed: DataFrame, n_chunks: int, seed: int, total: int) -> list[tuple]:
+    """n_chunks - 1 split keys from a sample of at most _SAMPLE_CAP keys, sorted by Spark itself
+    (so NULL/NaN/collation order is exactly the window's); only the sample reaches the driver."""
     want = min(n_chunks * 64, _SAMPLE_CAP)
     frac = min(1.0, 1.5 * want / max(total, 1))
-    pts = sorted(r[0] for r in df.select(key_col).sample(False, frac, seed).limit(2 * want).collect())
+    pts = [tuple(r[0]) for r in keyed.select("_sk").sample(False, frac, seed).limit(2 * want)
+           .orderBy("_sk").collect()]
     if len(pts) < 2:
         return []
     step = len(pts) / n_chunks
-    out: list[str] = []
+    out: list[tuple] = []
     for i in range(1, n_chunks):
         p = pts[min(len(pts) - 1, int(i * step))]
-        if not out or p > out[-1]:
+        if not out or p != out[-1]:
             out.append(p)
     return out
 
 
-def chunk_column(key: Column, points: list[str]) -> Column:
-    """Number of split points <= ``key``: a binary search (``aggregate`` over powers of two) in one
-    constant array, so the expression stays the same size whatever the number of chunks."""
+def chunk_column(key: Column, key_type: str, points: list[tuple]) -> Column:
+    """Number of split keys <= ``key``: a binary search (``aggregate`` over powers of two) in one
+    constant ``array<struct>`` (parsed once from JSON and folded to a literal), compared with
+    Spark's struct ordering; the expression does not grow with the number of chunks."""
     if not points:
         return F.lit(0)
     import json as _json
-    arr = F.from_json(F.lit(_json.dumps(points)), "array<string>")   # folded to one array literal
+    names = [f"f{i}" for i in range(len(points[0]))]
+    doc = _json.dumps([dict(zip(names, p)) for p in points])
+    arr = F.from_json(F.lit(doc), f"array<{key_type}>")
     n = len(points)
     steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length(), -1, -1)])
     return F.aggregate(steps, F.lit(0), lambda acc, st: F.when(
@@ -127,17 +121,20 @@ def ordered_context(df: DataFrame, key: str, order: Sequence[str], *, lags: Sequ
         n = chunk_count(total, df.sparkSession, split_min_rows)
     else:
         n, total = chunks, None
-    points: list[str] = []
+    points: list[tuple] = []
     keyed = df
     if n > 1:
         keyed = df.withColumn("_sk", sort_key(df, sort_cols))
         if total is None:
             total = df.count()
-        points = _split_points(keyed, "_sk", n, seed, total)
+        points = _split_points(keyed, n, seed, total)
     split = bool(points)
 
-    base = (keyed.withColumn("_chunk", chunk_column(F.col("_sk"), points)).drop("_sk") if split
-            else df.withColumn("_chunk", F.lit(0)))
+    if split:
+        key_type = keyed.schema["_sk"].dataType.simpleString()
+        base = keyed.withColumn("_chunk", chunk_column(F.col("_sk"), key_type, points)).drop("_sk")
+    else:
+        base = df.withColumn("_chunk", F.lit(0))
     if tail:
         base = base.withColumn("_tv", _right(F.coalesce(F.col(tail), F.lit("")), tail_chars))
     # unsplit: partition by the key alone, so a later groupBy/window on the key reuses the exchange
