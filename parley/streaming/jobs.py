@@ -95,41 +95,57 @@ def health_windows(log: DataFrame, ts: str, latency: str, failed, window: str =
 
 def assemble_and_score(spark: SparkSession, segment_folder: str, schema, store: str, out_dir: str,
                        checkpoint: str, timeout_s: float = 300.0, lexicon=None, role: str = "operator",
-                       trigger: dict | None = None):
+                       trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """T5: segments (``call_id, pos, speaker, text, start, end`` + event time ``ts``) arrive one by one.
 
     Each trigger appends the new segments to ``store`` (partitioned by event day, one idempotent
-    folder per epoch) and scores the calls whose last segment is older than the newest event time
-    minus ``timeout_s`` and that were not scored before. Finding them reads only the ``call_id`` and
-    ``ts`` columns (per-call min/max, partial aggregates); the closed calls' segments are then read
-    only from the day partitions at or after their earliest segment, and scored by the batch scorer.
-    No call is held in a state store.
+    folder per epoch) and merges the batch's per-call (first, last) event times into a small call
+    summary (one row per call, checkpointed in the shared folder; min/max make a replayed batch
+    harmless; after a driver restart it is rebuilt once from the store's two narrow columns).
+    Calls whose last segment is older than the newest event time minus ``timeout_s`` and that were
+    not scored before are read back only from the day partitions at or after their first segment
+    and scored by the batch scorer. No call is held in a state store.
     """
+    from ..session import cut_lineage
+
     seg_store, done_store = os.path.join(store, "segments"), os.path.join(out_dir, "scores")
+    memo: dict[str, DataFrame] = {}
+
+    def spans(df: DataFrame) -> DataFrame:
+        return df.groupBy("call_id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         (batch.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.mode("overwrite").partitionBy("day")
          .parquet(os.path.join(seg_store, f"epoch={epoch}")))
-        allseg = spark.read.parquet(seg_store)
-        horizon = allseg.agg(F.max("ts")).first()[0]
-        span = allseg.groupBy("call_id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-        closed = span.where(F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS"))
+        if "summary" in memo:
+            merged = memo["summary"].unionByName(spans(batch))
+        else:  # first batch of this driver: rebuild from the store (two narrow columns)
+            merged = spans(spark.read.parquet(seg_store).select("call_id", "ts"))
+        summary = cut_lineage(spans_of_spans(merged))
+        memo["summary"] = summary
+        horizon = summary.agg(F.max("last_ts")).first()[0]
+        closed = summary.where(F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS"))
         if os.path.exists(done_store):
             done = spark.read.parquet(done_store).where(F.col("epoch") != epoch).select("call_id").distinct()
             closed = closed.join(done, "call_id", "left_anti")
-        closed = closed.cache()  # small: one row per newly closed call, read twice below
+        closed = cut_lineage(closed)  # small: one row per newly closed call, read twice below
         first = closed.agg(F.min("first_ts")).first()[0]
         if first is None:
-            closed.unpersist()
             return
         day0 = first.strftime("%Y%m%d")
+        allseg = spark.read.parquet(seg_store)
         segs = (allseg.where(F.col("day") >= day0).join(closed.select("call_id"), "call_id", "left_semi")
                 .drop("ts", "day", "epoch"))
         wide = rules.score_calls(segs, lexicon, role=role)
         write_epoch(rules.to_long(wide), done_store, epoch)
-        closed.unpersist()
 
-    s = spark.readStream.schema(schema).parquet(segment_folder)
+    def spans_of_spans(df: DataFrame) -> DataFrame:
+        return df.groupBy("call_id").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    s = r.parquet(segment_folder)
     return (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 

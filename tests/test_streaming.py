@@ -90,9 +90,13 @@ def test_assemble_and_score_equals_batch(spark):
     # event time: a fixed origin plus the segment end; calls are spread apart by conversation id
     seg = seg.withColumn("ts", F.timestamp_seconds(F.col("call_id").cast("long") * 100000 + F.col("end")))
     src, store, out = _tmp(), _tmp(), _tmp()
-    seg.repartition(3).write.mode("overwrite").parquet(os.path.join(src, "in"))
+    # segments arrive in time order, one file per trigger: three micro-batches, summary merged twice
+    cid = F.col("call_id").cast("long")
+    for lo, hi in [(0, 7), (7, 14), (14, 1000)]:
+        seg.where((cid >= lo) & (cid < hi)).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
     q = jobs.assemble_and_score(spark, os.path.join(src, "in"), seg.schema, store, out,
-                                os.path.join(out, "_ck"), timeout_s=600, lexicon=TEST_LEXICON, role="assistant")
+                                os.path.join(out, "_ck"), timeout_s=600, lexicon=TEST_LEXICON, role="assistant",
+                                max_files_per_trigger=1)
     q.awaitTermination(300)
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "scores")).drop("epoch").collect())
     last_call = seg.agg(F.max_by("call_id", "ts")).first()[0]
