@@ -102,9 +102,9 @@ def assemble_and_score(spark: SparkSession, segment_folder: str, schema, store:
     folder per epoch) and merges the batch's per-call (first, last) event times into a small call
     summary (one row per call, checkpointed in the shared folder; min/max make a replayed batch
     harmless; after a driver restart it is rebuilt once from the store's two narrow columns).
-    Calls whose last segment is older than the newest event time minus ``timeout_s`` and that were
-    not scored before are read back only from the day partitions at or after their first segment
-    and scored by the batch scorer. No call is held in a state store.
+    Calls whose last segment is older than the newest event time minus ``timeout_s`` and not yet
+    flagged as scored in the summary are read back only from the day partitions at or after their
+    first segment and scored by the batch scorer. No call is held in a state store.
     """
     from ..session import cut_lineage
 
@@ -112,35 +112,40 @@ def assemble_and_score(spark: SparkSession, segment_folder: str, schema, store:
     memo: dict[str, DataFrame] = {}
 
     def spans(df: DataFrame) -> DataFrame:
-        return df.groupBy("call_id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+        return df.groupBy("call_id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+                                         F.lit(False).alias("scored"))
+
+    def merge(df: DataFrame) -> DataFrame:
+        return df.groupBy("call_id").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+                                         F.bool_or("scored").alias("scored"))
+
+    def rebuild(epoch: int) -> DataFrame:
+        """After a (re)start: spans from the store, scored flags from epochs before this one (a
+        replayed epoch recomputes and overwrites its own output)."""
+        base = spans(spark.read.parquet(seg_store).select("call_id", "ts"))
+        if not os.path.exists(done_store):
+            return base
+        done = (spark.read.parquet(done_store).where(F.col("epoch") < epoch).select("call_id").distinct()
+                .withColumn("_d", F.lit(True)))
+        return base.join(done, "call_id", "left").select(
+            "call_id", "first_ts", "last_ts", F.coalesce(F.col("_d"), F.lit(False)).alias("scored"))
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         (batch.withColumn("day", F.date_format("ts", "yyyyMMdd")).write.mode("overwrite").partitionBy("day")
          .parquet(os.path.join(seg_store, f"epoch={epoch}")))
-        if "summary" in memo:
-            merged = memo["summary"].unionByName(spans(batch))
-        else:  # first batch of this driver: rebuild from the store (two narrow columns)
-            merged = spans(spark.read.parquet(seg_store).select("call_id", "ts"))
-        summary = cut_lineage(spans_of_spans(merged))
-        memo["summary"] = summary
+        merged = memo["summary"].unionByName(spans(batch)) if "summary" in memo else rebuild(epoch)
+        summary = cut_lineage(merge(merged))
         horizon = summary.agg(F.max("last_ts")).first()[0]
-        closed = summary.where(F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS"))
-        if os.path.exists(done_store):
-            done = spark.read.parquet(done_store).where(F.col("epoch") != epoch).select("call_id").distinct()
-            closed = closed.join(done, "call_id", "left_anti")
-        closed = cut_lineage(closed)  # small: one row per newly closed call, read twice below
+        quiet = F.col("last_ts") < F.lit(horizon) - F.expr(f"INTERVAL {int(timeout_s * 1e6)} MICROSECONDS")
+        closed = cut_lineage(summary.where(~F.col("scored") & quiet))   # small; read twice below
         first = closed.agg(F.min("first_ts")).first()[0]
-        if first is None:
-            return
-        day0 = first.strftime("%Y%m%d")
-        allseg = spark.read.parquet(seg_store)
-        segs = (allseg.where(F.col("day") >= day0).join(closed.select("call_id"), "call_id", "left_semi")
-                .drop("ts", "day", "epoch"))
-        wide = rules.score_calls(segs, lexicon, role=role)
-        write_epoch(rules.to_long(wide), done_store, epoch)
-
-    def spans_of_spans(df: DataFrame) -> DataFrame:
-        return df.groupBy("call_id").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+        if first is not None:
+            day0 = first.strftime("%Y%m%d")
+            segs = (spark.read.parquet(seg_store).where(F.col("day") >= day0)
+                    .join(closed.select("call_id"), "call_id", "left_semi").drop("ts", "day", "epoch"))
+            write_epoch(rules.to_long(rules.score_calls(segs, lexicon, role=role)), done_store, epoch)
+            summary = cut_lineage(summary.withColumn("scored", F.col("scored") | (~F.col("scored") & quiet)))
+        memo["summary"] = summary
 
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:

@@ -174,3 +174,31 @@ def test_epoch_sink_is_idempotent(spark):
     jobs.write_epoch(df.limit(4), os.path.join(out, "s"), 4)
     back = spark.read.parquet(os.path.join(out, "s"))
     assert back.count() == 14 and sorted(r.epoch for r in back.select("epoch").distinct().collect()) == [3, 4]
+
+
+def test_assemble_survives_restart(spark):
+    """Stop after two files, restart from the checkpoint with a third: the rebuilt summary keeps
+    scored calls from being scored twice; the union equals batch scoring."""
+    conv = read_table(spark, SF001, "conversations")
+    seg = segments.conversation_segments(conv)
+    seg = seg.withColumn("ts", F.timestamp_seconds(F.col("call_id").cast("long") * 100000 + F.col("end")))
+    src, store, out = _tmp(), _tmp(), _tmp()
+    cid = F.col("call_id").cast("long")
+    files = [(0, 7), (7, 14), (14, 1000)]
+
+    def run():
+        q = jobs.assemble_and_score(spark, os.path.join(src, "in"), seg.schema, store, out, os.path.join(out, "_ck"),
+                                    timeout_s=600, lexicon=TEST_LEXICON, role="assistant", max_files_per_trigger=1)
+        q.awaitTermination(300)
+
+    for lo, hi in files[:2]:
+        seg.where((cid >= lo) & (cid < hi)).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
+    run()
+    lo, hi = files[2]
+    seg.where((cid >= lo) & (cid < hi)).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
+    run()
+    got = [tuple(r) for r in spark.read.parquet(os.path.join(out, "scores")).drop("epoch").collect()]
+    last_call = seg.agg(F.max_by("call_id", "ts")).first()[0]
+    want = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg.drop("ts"), TEST_LEXICON, role="assistant"))
+                  .where(F.col("call_id") != last_call).collect())
+    assert sorted(got) == want and len(got) == len(set(got))
