@@ -130,3 +130,38 @@ def test_tokens_offsets_match_python(spark):
     for r in d.collect():
         want = [(i, m.group(0), m.start(), m.end()) for i, m in enumerate(tok_re.finditer(r.text or ""))]
         assert sorted(got.get(r.doc_id, [])) == want
+
+
+def test_quorum_check():
+    from parley.operators.corpus import quorum_check
+    with pytest.raises(RuntimeError, match="No UNSAFE"):
+        quorum_check(0, 5000)
+    with pytest.raises(RuntimeError, match="enough SAFE"):
+        quorum_check(2000, 999)                      # below the 1,000 floor
+    with pytest.raises(RuntimeError, match="enough SAFE"):
+        quorum_check(10000, 5999)                    # below 0.6 * n_unsafe
+    quorum_check(10000, 6000)
+    quorum_check(10, 6, floor=0)                     # the 60 % rule still applies without a floor
+    with pytest.raises(RuntimeError, match="enough SAFE"):
+        quorum_check(10, 5, floor=0)
+
+
+def test_prompt_check():
+    from parley.operators.llm import USER_TEMPLATE, check_prompt
+    assert "{{transcript_json}}" in USER_TEMPLATE
+    check_prompt({"system": "s", "user": "u"})
+    with pytest.raises(ValueError, match="dict"):
+        check_prompt(["system", "user"])
+    with pytest.raises(ValueError, match="'system' and 'user'"):
+        check_prompt({"system": "s"})
+
+
+def test_table_sizes_and_manifest_queries(spark):
+    import __spark_entry__ as entry
+    from conftest import SF001
+    got = {r.file: r.size_mb for r in entry.queries()["m7_table_sizes_mb"](spark, SF001).collect()}
+    want = {f: round(os.path.getsize(os.path.join(SF001, f)) / (1024 * 1024), 2)
+            for f in os.listdir(SF001) if os.path.getsize(os.path.join(SF001, f)) > 0}
+    assert got == want
+    rej = {r.reason: r.n_files for r in entry.queries()["s7_file_manifest"](spark, SF001).collect()}
+    assert rej == {"unsupported file type": len(want), "accepted": 0}
