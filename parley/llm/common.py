@@ -52,10 +52,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
 def lower_ascii(text: str) -> str:
     """Lower-case A-Z only; every other character stays."""
-    return text.lower() if text.isascii() else text.translate(_AZ)
-
-
-_AZ = {c: c + 32 for c in range(65, 91)}
+    return text.encode().lower().decode()
 
 
 def fold(doc_id, modulus: int) -> int:
