@@ -4,10 +4,11 @@ Words are maximal runs of ASCII digits, letters and non-ASCII characters of the
 lower-cased. Base phrases count where their words stand consecutively. Notices are searched with up to
 ``errors`` character edits in the text's words joined by single spaces:
 
-1. pigeonhole: a notice is split into ``errors`` + 1 pieces; whatever the edits, one piece stays intact, so
-   a multi-pattern search for the pieces finds every possible place;
-2. verify: around each seed the notice can only lie in a window of its own length plus the edits on
-   either side; the ``regex`` library matches it there with bounded errors (``{e<=k}``, best match).
+1. pigeonhole: a notice is split into ``errors`` + 2 pieces; whatever the edits, two pieces stay intact and
+   shift against each other by ``errors`` at most, so a multi-pattern search for such pairs of pieces
+   finds every possible place;
+2. verify: around such a pair the notice can only lie in a window of its own length plus the edits on
+   either side; windows with too few of its 3-grams to hold it go, the ``regex`` library matches it there with bounded errors (``{e<=0}``, ``{e<=1}``, ... up to the limit, so that the best match wins).
 
 A notice's score is 1 - edits / length; the row's score is the highest of its notices (1 for a base
 phrase), 0 without any.
@@ -64,8 +65,8 @@ def allowed_errors(notice: str, share: float = ERROR_SHARE) -> int:
 
 
 def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
-    """(offset, piece): ``errors`` + 1 parts of nearly equal length."""
-    n, k = len(notice), errors + 1
+    """(offset, piece): ``errors`` + 2 parts of nearly equal length."""
+    n, k = len(notice), errors + 2
     cuts = [n * i // k for i in range(k + 1)]
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:])]
 
@@ -79,45 +80,46 @@ class Scanner:
             for notice in texts:
                 k = allowed_errors(notice, share)
                 number = len(self.notices)
-                pattern = regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}")
-                self.notices.append((label, notice, k, pattern))
+                bounded = [regex.compile(f"(?:{regex.escape(notice)}){{e<={e}}}") for e in range(k + 1)]
+                grams = [notice[i:i + 3] for i in range(len(notice) - 2)]
+                self.notices.append((label, notice, k, bounded, grams))
                 for at, piece in pieces(notice, k):
                     by_piece.setdefault(piece, []).append((number, at))
         for piece, places in by_piece.items():
             self._seeds.add_word(piece, (len(piece), places))
         self._seeds.make_automaton()
 
-    def windows(self, joined: str) -> list[tuple[int, int, int]]:
-        """(notice, lo, hi): stretches of the joined words that may hold a notice, every place in one of them.
+    def windows(self, joined: str) -> set[tuple[int, int, int]]:
+        """(notice, lo, hi): stretches of the joined words that may hold a notice; every place is in one.
 
-        Near windows merge up to twice the notice's length, so a window stays short in any text.
+        Two pieces that agree on where the notice begins (within the errors) open a window around it.
         """
-        done, open_ = [], {}
+        out, recent = set(), {}
         for last, (size, places) in self._seeds.iter(joined):
             seed = last - size + 1
             for number, at in places:
-                _, notice, k, _ = self.notices[number]
-                lo, hi = max(0, seed - at - k), seed - at + len(notice) + k
-                old = open_.get(number)
-                if old and old[0] <= lo <= old[1] and hi - old[0] <= 2 * (len(notice) + 2 * k):
-                    open_[number] = (old[0], max(old[1], hi))
-                else:
-                    if old:
-                        done.append((number, *old))
-                    open_[number] = (lo, hi)
-        return done + [(number, *w) for number, w in open_.items()]
+                _, notice, k, _, _ = self.notices[number]
+                line = seed - at  # where the notice would begin
+                near = [(x, y) for x, y in recent.get(number, ()) if x >= seed - len(notice) - 2 * k]
+                if any(y != at and abs(x - line) <= k for x, y in near):
+                    out.add((number, max(0, line - 2 * k), line + len(notice) + 2 * k))
+                near.append((line, at))
+                recent[number] = near
+        return out
 
     def matches(self, joined: str) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, edits) in the joined words; of overlapping ones of a notice the best."""
         found: dict[int, list] = {}
         for number, lo, hi in self.windows(joined):
-            todo = [(lo, min(hi, len(joined)))]
-            while todo:  # a best match first, then what lies on either side of it
-                lo, hi = todo.pop()
-                m = self.notices[number][3].search(joined, lo, hi)
-                if m and m.end() > m.start():
-                    found.setdefault(number, []).append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                    todo += [(lo, m.start()), (m.end(), hi)]
+            _, notice, k, bounded, grams = self.notices[number]
+            window = joined[lo:hi]
+            # an edit spoils three 3-grams at most
+            if sum(g in window for g in grams) < len(grams) - 3 * k:
+                continue
+            # the bound rises from 0, so the first match has the fewest edits in the window
+            m = next(filter(None, (p.search(window) for p in bounded)), None)
+            if m:
+                found.setdefault(number, []).append((lo + m.start(), lo + m.end(), sum(m.fuzzy_counts)))
         out = []
         for number, own in found.items():
             kept: list[tuple[int, int, int]] = []
@@ -143,11 +145,11 @@ class Scanner:
                 word, seen = word + padded.count(" ", seen, at), at
                 places.append((word, label))
                 at = padded.find(spaced, at + 1)
-        hits, spans = [], None
-        for number, start, end, edits in self.matches(joined):
-            label, notice, _, _ = self.notices[number]
+        hits, spans, first, seen = [], None, 0, 0
+        for start, end, edits, number in sorted((*m[1:], m[0]) for m in self.matches(joined)):
+            label, notice, *_ = self.notices[number]
             spans = spans or [m.span() for m in _word_spans(text)]
-            first = joined.count(" ", 0, start)
+            first, seen = first + joined.count(" ", seen, start), start
             last = first + joined.count(" ", start, max(start, end - 1))
             hits.append(Hit(label, spans[first][0], spans[min(last, len(spans) - 1)][1], first, edits, 1 - edits / len(notice)))
         return len(words), places, hits

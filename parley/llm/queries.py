@@ -5,13 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, licenses, quality, simhash, token_counts, url_filter
 from .common import read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: rules of the URL contract
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+#: words of host labels that mark spam hosts
+SPAM_WORDS = ["spam", "casino", "pills", "bets", "ads", "adult"]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL against the fixed rules; where none fits, against the spam hosts of the table."""
+    pages = read_columns(spark, sf_dir, "pages", ["page_id", "url"])
+    judged = url_filter.filter_urls(pages, spark.createDataFrame(URL_RULES, "rule string, verdict string"))
+    own = url_filter.filter_urls(pages.select("url").distinct(), url_filter.spam_hosts(pages, SPAM_WORDS))
+    blocked = own.where("rule is not null").select("host", F.col("rule").alias("spam_host")).distinct()
+    out = judged.join(blocked, "host", "left")
+    return out.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull() & F.col("spam_host").isNotNull(), "block")
+                      .otherwise(F.col("verdict")).alias("verdict"), "spam_host")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document, boundary-crossing tokens by majority of characters."""
     return token_counts.token_counts(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -22,9 +40,33 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), keep_ids=False)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and short notices (up to 12 % edits) of every document."""
+    return licenses.scan(read_columns(spark, sf_dir, "documents", ["doc_id", "text"])).drop("spans")
+
+
+BASE_FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and verdict of every document; the cascade runs in measured order."""
+    out = quality.judge(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), keep=BASE_FIGURES)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return out.select("doc_id", *BASE_FIGURES, failed.alias("base_failed"), (~failed & F.col("rejected_by").isNull()).alias("kept"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, at most 3 differing bits."""
+    return simhash.near_duplicates(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_license_scan": op5_license_scan,
+    "op7_quality": op7_quality,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
