@@ -19,19 +19,19 @@ def read_columns(spark: SparkSession, sf_dir: str, table: str, columns: list[str
 
 
 def blocks(batches: Iterable[pa.RecordBatch], text_col: str = "text",
-           max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into slices of about ``max_bytes`` of text (a longer text is a slice of its own).
+           max_bytes: int = BLOCK_BYTES, max_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of about ``max_bytes`` of text (a longer text is a slice of its own)
+    and at most ``max_rows`` rows.
 
     Working memory of a task then follows the block, not the Arrow batch.
     """
     for b in batches:
         if b.num_rows == 0:
             continue
-        n = np.asarray(pc.fill_null(pc.binary_length(b.column(text_col)), 0), dtype=np.int64) + 64
-        # +64 per row keeps slices of empty texts bounded too
+        n = np.asarray(pc.fill_null(pc.binary_length(b.column(text_col)), 0), dtype=np.int64)
         cuts, total = [0], 0
         for i, x in enumerate(n.tolist()):
-            if total and total + x > max_bytes:
+            if i > cuts[-1] and (total + x > max_bytes or i - cuts[-1] >= max_rows):
                 cuts.append(i)
                 total = 0
             total += x

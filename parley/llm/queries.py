@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, quality, simhash, token_counts, url_filter
+from . import bpe, language, licenses, quality, simhash, token_counts, toxicity, url_filter
 from .common import read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,18 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_columns(spark, sf_dir, "documents", ["doc_id", "text"])).drop("spans")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Trained on the labelled documents whose crc32 remainder by 5 is not 0."""
+    docs = read_columns(spark, sf_dir, "documents", ["doc_id", "text"])
+    return toxicity.train(docs, read_columns(spark, sf_dir, "labels", ["doc_id", "toxic"]).where(_fold(5) != 0))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    out = toxicity.score(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), toxicity_model(spark, sf_dir))
+    return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 BASE_FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -55,6 +67,19 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *BASE_FIGURES, failed.alias("base_failed"), (~failed & F.col("rejected_by").isNull()).alias("kept"))
 
 
+def _fold(modulus: int):
+    """crc32 of the id's text modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; prototypes from the labelled documents of the other folds."""
+    docs = read_columns(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    model = language.train(docs.where(_fold(3) != 1))
+    out = language.predict(docs, model)
+    return out.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, at most 3 differing bits."""
     return simhash.near_duplicates(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -65,7 +90,9 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_license_scan": op5_license_scan,
+    "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op8_language": op8_language,
     "op10_simhash": op10_simhash,
 }
 
