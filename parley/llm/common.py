@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2_000_000
 
@@ -58,3 +59,40 @@ def lower_ascii(text: str) -> str:
 def fold(doc_id, modulus: int) -> int:
     """crc32 of the id's decimal text, modulo ``modulus`` (null ids hash as the empty text)."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus
+
+
+def without(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """The columns of ``df`` but for those of the given names (in any case): new columns replace them."""
+    gone = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def free_name(names: Iterable[str], name: str) -> str:
+    """``name`` with as many underscores as it takes to differ from ``names``."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def annotate(docs: DataFrame, start: Callable[[], Callable[[list[str]], dict[str, pa.Array]]], added: str,
+             text_col: str = "text") -> DataFrame:
+    """``docs`` with further columns computed from each text, in one pass and without a shuffle.
+
+    ``start`` is called once a task and returns the function from a block of texts to the added columns, whose
+    schema is ``added``. They replace columns of the same names.
+    """
+    from pyspark.sql.types import StructType
+
+    more = StructType.fromDDL(added)
+    keep = without(docs, more.names)
+    source = free_name([*keep, *more.names], "text")
+
+    def run(batches):
+        work = start()
+        for b in blocks(batches, source):
+            new = work(texts_of(b, source))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(new[f] for f in more.names)], names=[*keep, *more.names])
+
+    src = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).cast("string").alias(source))
+    return src.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), *more.fields]))

@@ -13,8 +13,8 @@ the word before; n_repeat_words: words that lie in 8-word windows found twice or
 Words and windows are compared by 64-bit hashes (a collision inside one text is needed to err).
 
 Defined results: a null text has no words and, like an empty one, all figures 0, so the word minimum
-rejects it; repeated rows get equal verdicts; columns of ``docs`` are kept, figure columns are
-added under their own names (a clash raises ``ValueError``).
+rejects it; repeated rows get equal verdicts; columns of ``docs`` are kept, the
+added ones replace those of the same names.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import without
+
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -134,16 +136,17 @@ def _with_figures(df: DataFrame, figures: Sequence[str], have: set[str], guard:
 
 
 def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
-    own = {*STEPS, *(s for steps in STEPS.values() for s in steps), "_text", "rejected_by"}
-    if clash := sorted(own & {c.lower() for c in docs.columns}):
-        raise ValueError(f"columns {clash} are computed here; rename them in the input")
-    return docs.withColumn("_text", F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    """The whole input row under one name, so that no working column can clash with it."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
+
+
+def _unpacked(df: DataFrame, docs: DataFrame, added: Sequence[str]) -> DataFrame:
+    return df.select(*(F.col("_row")[c].alias(c) for c in without(docs, added)), *added)
 
 
 def figures(docs: DataFrame, names: Sequence[str] = tuple(STEPS), text_col: str = "text") -> DataFrame:
     """Adds the named figures for every row."""
-    df = _with_figures(_prepared(docs, text_col), names, set(), None)
-    return df.select(*docs.columns, *names)
+    return _unpacked(_with_figures(_prepared(docs, text_col), names, set(), None), docs, names)
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text",
@@ -185,7 +188,7 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "tex
         df = _with_figures(df, r.figures, have, open_)
         df = df.withColumn("rejected_by", F.when(open_, F.when(F.expr(r.rejects), F.lit(r.name)))
                            .otherwise(F.col("rejected_by")))
-    return df.select(*docs.columns, *keep, "rejected_by")
+    return _unpacked(df, docs, [*keep, "rejected_by"])
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text", keep: Sequence[str] = (),

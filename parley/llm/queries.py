@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, licenses, quality, simhash, token_counts, toxicity, url_filter
+from . import bpe, ctw, decontaminate, language, licenses, quality, simhash, token_counts, toxicity, url_filter
 from .common import read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), keep_ids=False)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item it holds, copied or edited."""
+    return decontaminate.find_leaks(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                    read_columns(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and short notices (up to 12 % edits) of every document."""
     return licenses.scan(read_columns(spark, sf_dir, "documents", ["doc_id", "text"])).drop("spans")
@@ -53,7 +59,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
-    out = toxicity.score(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), toxicity_model(spark, sf_dir))
+    out = toxicity.score(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), toxicity_model(spark, sf_dir)).drop("text")
     return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -80,6 +86,14 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree score and word base of every document; the model learns from the other nine folds."""
+    docs = read_columns(spark, sf_dir, "documents", ["doc_id", "text"])
+    out = ctw.score(docs, _fold(10) != 0)
+    return out.select("doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                      "bits_per_byte")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, at most 3 differing bits."""
     return simhash.near_duplicates(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -89,10 +103,12 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_decontaminate": op4_decontaminate,
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
+    "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
 }
 

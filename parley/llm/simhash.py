@@ -23,7 +23,7 @@ Components: smallest label over links, alternating star contraction with checkpo
 
 Defined results: null and empty texts have fingerprint zero and link like any other; fewer words
 than a shingle hash the whole sequence; repeated ids are repeated rows with one component; only the
-id and text columns are read. Ids must be integers; a null id is no label and gets the component's.
+id and text columns are read. A null id is no label: its row gets the smallest id linked, or null.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, lower_ascii, texts_of
+from .common import annotate, blocks, free_name, lower_ascii, texts_of
 from ..session import cut_lineage
 
 RADIUS = 3
@@ -198,11 +198,27 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFra
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, ``fingerprint`` as 16 hex digits, ``component_id``: smallest id reachable by links)."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    classes = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("node")))
-    found = links(classes)
-    by_fp = classes.select(F.col("fp").alias("a"), F.col("node").alias("na"))
-    edges = (found.join(by_fp, "a").join(by_fp.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b")))
-    comp = components(classes.select("node"), edges)
-    labelled = classes.join(comp, "node").select("fp", "label")
-    return fps.join(labelled, "fp", "left").select(
-        id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("label").alias("component_id"))
+    classes = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("least")))
+    comp = components(classes.select(F.col("fp").alias("node")), links(classes)).withColumnRenamed("node", "fp")
+    labelled = classes.join(comp, "fp")
+    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_fp = cut_lineage(labelled.join(named, "label").select("fp", "component_id"))
+    return fps.join(of_fp, "fp", "left").select(
+        id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` that carry their component's id, one row for each id. Rows without an id stay where
+    no row with an id is linked to them (they cannot be told apart, so all of them stay)."""
+    dup = cut_lineage(near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle))
+    stay = cut_lineage(dup.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("rows")))
+    kept = docs.join(stay.select(id_col), id_col, "left_semi").select(*docs.columns)
+    if not stay.where("rows > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col])
+    lone = dup.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
+    if not lone.isEmpty():
+        name = free_name(docs.columns, "fp")
+        marked = annotate(docs.where(F.col(id_col).isNull()), lambda: lambda texts: {
+            name: pa.array([f"{x:016x}" for x in fingerprints_of(texts, shingle).tolist()], pa.string())}, f"{name} string", text_col)
+        kept = kept.union(marked.join(lone.withColumnRenamed("fingerprint", name), name, "left_semi").select(*docs.columns))
+    return kept

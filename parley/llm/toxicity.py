@@ -15,7 +15,7 @@ document it is in.
 Training uses at most ``max_docs`` labelled documents (those with the smallest hash of the id); everything
 is scored. Defined results: null, empty and wordless texts get the score of a document without any match;
 without both classes among the training rows all scores are 0; a repeated label row of an id counts
-once, toxic if any says so; only the named columns are read.
+once, toxic if any says so; all columns of the scored table are kept.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, texts_of
+from .common import annotate, blocks, texts_of
 
 P = 3
 DECAY = 0.6
@@ -293,14 +293,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_docs:
     return fit(landmarks, np.array([v for v, _ in rows]), np.array([t for _, t in rows], dtype=bool))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ``score``) for every row, from the whole text. No shuffle."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with the score of every row's whole text. No shuffle."""
 
-    def run(batches):
+    def start():
         pool = Pool(list(model.landmarks))
-        for b in blocks(batches, "text"):
-            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "score": pa.array(model.score(pool.values(texts_of(b))))})
+        return lambda texts: {name: pa.array(model.score(pool.values(texts)))}
 
-    src = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    return src.mapInArrow(run, f"id {id_type}, score double").withColumnRenamed("id", id_col)
+    return annotate(docs, start, f"{name} double", text_col)

@@ -16,7 +16,7 @@ equal lengths the one with the longer host).
 Defined results: host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased, path what follows up to ``?``, ``#`` or the end; null URLs and URLs without ``://`` have
 both empty and fit no rule; repeated rows get equal results; all columns of ``urls`` are kept
-(``host``, ``path``, ``rule``, ``verdict`` are added; a clash raises ``ValueError``).
+(``host``, ``path``, ``rule``, ``verdict`` replace columns of these names).
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import without
 
 SHARD_RULES = 250_000
 PART_KEYS = 250_000
@@ -107,12 +108,11 @@ def lookup(keys: DataFrame, rules: DataFrame, n_rules: int) -> DataFrame:
 
 def filter_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """Adds ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``. ``rules``: (rule, verdict)."""
-    if clash := {"host", "path", "rule", "verdict"} & {c.lower() for c in urls.columns}:
-        raise ValueError(f"columns {sorted(clash)} are computed here; rename them in the input")
     rules = cut_lineage(normalise_rules(rules))
     # number of rules and the lengths of their paths (distinct lengths: at most MAX_RULE_PATH + 1)
     size = rules.agg(F.count("*").alias("n"), F.collect_set("path_len").alias("lengths")).first()
-    rows = urls.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
+    own = without(urls, ["host", "path", "rule", "verdict"])
+    rows = urls.select(F.struct(*own).alias("_row"), host_of(urls[url_col]).alias("host"), path_of(urls[url_col]).alias("path"))
     places = rows.where("host <> ''").select("host", "path").distinct()
     suffixes = F.transform(F.sequence(F.lit(1), F.size(F.split("host", "[.]"))),
                            lambda i: F.array_join(F.slice(F.split("host", "[.]"), i, 1 << 20), "."))
@@ -128,7 +128,8 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default
             .agg(F.max(F.struct(F.char_length("key").alias("n"), "host_len", F.col("key").alias("rule"), "verdict")).alias("best"))
             .select("host", "path", "best.rule", "best.verdict"))
     out = rows.join(cut_lineage(best), ["host", "path"], "left")
-    return out.select(*urls.columns, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    return out.select(*(F.col("_row")[c].alias(c) for c in own), "host", "path", "rule",
+                      F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 def spam_hosts(urls: DataFrame, words: list[str], url_col: str = "url") -> DataFrame:
