@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import without
 
 WINDOW = 8
@@ -155,7 +156,7 @@ def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "te
 
     The sample (a bounded read of the first partitions) only ranks the rules.
     """
-    sample = docs.select(docs[text_col].alias("text")).limit(sample_rows)
+    sample = cut_lineage(docs.select(docs[text_col].alias("text")).limit(sample_rows))
     rows = sample.count()
     if not rows:
         return {r.name: (1.0, 0.0) for r in rules}

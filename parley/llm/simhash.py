@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import annotate, blocks, free_name, lower_ascii, texts_of
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffle_partitions
 
 RADIUS = 3
 SHINGLE = 3
@@ -154,10 +154,13 @@ def links(distinct: DataFrame) -> DataFrame:
     met = keys.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("key")
     # the small sides are checkpointed: both join inputs are then plain shuffles, which AQE can split when skewed
     open_ = keys.join(cut_lineage(met), "key", "left_semi").select("fp").distinct()
-    ball = cut_lineage(open_).mapInArrow(_ball, "fp bigint, variant bigint, flips tinyint")
-    centre = ball.groupBy("variant").agg(F.min(F.struct("flips", "fp")).alias("c"), F.max("fp").alias("hi"),
-                                         F.min("fp").alias("lo"))
-    centre = cut_lineage(centre.where("c.flips <= 1 and lo <> hi").select("variant", F.col("c.fp").alias("a")))
+    # a row becomes up to 1057: spread them first
+    open_ = cut_lineage(open_.repartition(shuffle_partitions(distinct.sparkSession), "fp"))
+    ball = open_.mapInArrow(_ball, "fp bigint, variant bigint, flips tinyint")
+    centre = ball.groupBy("variant").agg(F.coalesce(F.min(F.when(F.col("flips") == 0, F.col("fp"))),
+                                                    F.min(F.when(F.col("flips") == 1, F.col("fp")))).alias("a"),
+                                         F.max("fp").alias("hi"), F.min("fp").alias("lo"))
+    centre = cut_lineage(centre.where("a is not null and lo <> hi").select("variant", "a"))
     star = ball.select("variant", F.col("fp").alias("b")).join(centre, "variant").where("a <> b")
     pairs = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
