@@ -27,8 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), "text")  # no column of the verdict can clash
-    return quality.judge(packed).where("rejected_by is null").select("row.*")
+    return quality.keep_good(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,10 @@ n_lines: \\n-split lines with a word; n_dup_lines: those equal to an earlier one
 the word before; n_repeat_words: words that lie in 8-word windows found twice or more in the text.
 Words and windows are compared by 64-bit hashes (a collision inside one text is needed to err).
 
+A filter over a figure would be pushed below the steps that compute it, each of them copied into the place
+where it is used. Verdicts therefore pass through ``when(monotonically_increasing_id() >= 0, ...)``, always true, but not a
+condition that Spark may move.
+
 Defined results: a null text has no words and, like an empty one, all figures 0, so the word minimum
 rejects it; repeated rows get equal verdicts; columns of ``docs`` are kept, the
 added ones replace those of the same names.
@@ -189,7 +193,21 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "tex
         df = _with_figures(df, r.figures, have, open_)
         df = df.withColumn("rejected_by", F.when(open_, F.when(F.expr(r.rejects), F.lit(r.name)))
                            .otherwise(F.col("rejected_by")))
-    return _unpacked(df, docs, [*keep, "rejected_by"])
+    return _unpacked(df.withColumn("rejected_by", F.when(F.monotonically_increasing_id() >= 0, F.col("rejected_by"))), docs, [*keep, "rejected_by"])
+
+
+def sieve(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that no rule rejects; each rule reads only what the ones before it have left."""
+    df = _prepared(docs, text_col)
+    for r in rules:
+        df = _with_figures(df, r.figures, set(), None).withColumn("_stays", F.when(F.monotonically_increasing_id() >= 0, ~F.expr(r.rejects)))
+        df = df.where("_stays").select("_row", "_text")
+    return df.select("_row.*")
+
+
+def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text", sample_rows: int = 2000) -> DataFrame:
+    """``sieve`` in measured order."""
+    return sieve(docs, order_rules(rules, estimate(docs, rules, text_col, sample_rows)), text_col)
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text", keep: Sequence[str] = (),
