@@ -101,6 +101,8 @@ class Kernel:
     @staticmethod
     def _masks(words: list[str]) -> np.ndarray:
         """Letters of each (non-empty) word as 64 bits, by code point modulo 64."""
+        if not words:
+            return np.zeros(0, dtype=np.uint64)
         point = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         at = np.cumsum([0] + [len(w) for w in words[:-1]])
         return np.bitwise_or.reduceat(np.uint64(1) << (point & np.uint32(63)).astype(np.uint64), at)
