@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -71,3 +73,10 @@ def sentence_pieces(text_norm: Column, enders: str = ".!?") -> Column:
     """Split normalised text after a sentence end followed by whitespace."""
     cls = "".join("\\" + ch if ch in ".?!" else ch for ch in enders)
     return F.split(text_norm, f"(?<=[{cls}]) ")
+
+
+def digits_to_double(c: Column) -> Column:
+    """A run of decimal digits of any script (with ``.``) as a double; anything else is NULL."""
+    zeros = [cp for cp in range(0x110000) if unicodedata.decimal(chr(cp), None) == 0]
+    foreign = "".join(chr(z + d) for z in zeros if z != 48 for d in range(10))
+    return F.translate(c, foreign, "0123456789" * (len(foreign) // 10)).try_cast("double")

@@ -38,30 +38,29 @@ DEFAULT_REASONING = "LLM qiymətləndirməsi"
 def check_prompt(prompt: dict) -> dict:
     """R9 loader check: a mapping with ``system`` and ``user`` keys."""
     if not isinstance(prompt, dict):
-        raise ValueError("Prompt yaml must be a dict with system/user keys")
-    if "system" not in prompt or "user" not in prompt:
-        raise ValueError("Prompt yaml must contain 'system' and 'user'")
+        raise ValueError(f"a prompt is a mapping, not {type(prompt).__name__}")
+    if lacking := sorted({"system", "user"} - prompt.keys()):
+        raise ValueError(f"the prompt lacks {lacking}")
     return prompt
 
 
-def llm_requests(segments: DataFrame, template: str = USER_TEMPLATE, max_chars: int = 200_000) -> tuple[DataFrame, DataFrame]:
-    """``(requests, oversized)``. A request holds the whole redacted call as JSON in the prompt.
+def llm_requests(segments: DataFrame, template: str = USER_TEMPLATE, part_chars: int = 200_000, **seq_kw) -> DataFrame:
+    """Request rows ``call_id, part, system, user``; every call is there, whatever its size.
 
-    A prompt is bounded by the model's context, so calls whose text exceeds ``max_chars`` are not
-    assembled at all (they keep the rule scores, as any failed LLM call does); their sizes come
-    from a partial aggregate, so no oversized call is ever collected.
+    A prompt is bounded by the model's context: a call whose redacted segments fill more than
+    ``part_chars`` characters becomes several requests, numbered from 0 in segment order, each with whole
+    segments only. Parts are cut by a running sum in the skew-safe ordered scan, so no task collects
+    more than one part.
     """
-    size = segments.groupBy("call_id").agg(F.sum(F.length("text") + F.length("speaker") + 64).alias("chars"))
-    ok = size.where(F.col("chars") <= max_chars).select("call_id")
-    oversized = size.where(F.col("chars") > max_chars)
-    seg = segments.join(ok.hint("shuffle_hash"), "call_id", "left_semi")  # per-call table: no estimated broadcast
+    seg = segments.withColumn("_n", F.length("text") + F.length("speaker") + 64)
+    seg = ordered_context(seg, "call_id", ORDER, sums=["_n"], **seq_kw)
+    part = F.floor((F.col("cum__n") - F.col("_n")) / F.lit(part_chars)).cast("int")
     s = F.struct(F.col("start").alias("_a"), F.col("end").alias("_b"), F.col("pos").alias("_c"),
                  F.struct("speaker", redact("text").alias("text"), "start", "end").alias("seg"))
-    nested = seg.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("_s"))
+    nested = seg.groupBy("call_id", part.alias("part")).agg(F.array_sort(F.collect_list(s)).alias("_s"))
     body = F.to_json(F.struct(F.col("call_id"), F.transform("_s", lambda x: x["seg"]).alias("segments")))
-    req = nested.select("call_id", F.lit(SYSTEM_PROMPT).alias("system"),
-                        F.replace(F.lit(template), F.lit("{{transcript_json}}"), body).alias("user"))
-    return req, oversized
+    return nested.select("call_id", "part", F.lit(SYSTEM_PROMPT).alias("system"),
+                         F.replace(F.lit(template), F.lit("{{transcript_json}}"), body).alias("user"))
 
 
 def _py_str(x: Column) -> Column:

@@ -83,8 +83,9 @@ def numpy_linear_head(weights: Sequence[Sequence[float]]) -> Callable:
 
 
 def frames(vec: Column, width: int, n_frames: int | None = None) -> Column:
-    """Cut a flat score vector into consecutive rows of ``width`` scores (frames or tokens)."""
-    n = F.floor(F.size(vec) / width) if n_frames is None else F.lit(n_frames)
+    """Cut a flat score vector into consecutive rows of ``width`` scores (frames or tokens); the last one is
+    shorter where the width does not divide the size."""
+    n = F.ceil(F.size(vec) / width) if n_frames is None else F.lit(n_frames)
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(vec, i * width + 1, width))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import regex as rx
-from ..functions.text import contains_any, fmt_segment, py_float_str
+from ..functions.text import contains_any, digits_to_double, fmt_segment, py_float_str
 from ..sources.lexicon import DEFAULT_LEXICON, SILENCE_EVIDENCE_TEXT
 from .rules import EVIDENCE_LISTS, TRIGGER_LISTS, score_cascade
 
@@ -61,7 +61,7 @@ def nested_call_features(calls: DataFrame, lexicon: dict | None = None, role: st
 
     def marker(s: Column) -> Column:
         secs = F.regexp_extract(s["text"], marker_regex, 1)
-        return (secs != "") & (secs.cast("double") >= gap_s)
+        return (secs != "") & (digits_to_double(secs) >= gap_s)
     mk = F.get(F.filter(segs, marker), 0)
     cols.append(F.when(mk.isNotNull(), F.concat(F.lit("["), py_float_str(mk["start"]), F.lit("-"),
                                                 py_float_str(mk["end"]), F.lit("] "), mk["text"])).alias("e_marker"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import regex as rx
-from ..functions.text import contains_any, fmt_segment, py_float_str
+from ..functions.text import contains_any, digits_to_double, fmt_segment, py_float_str
 from ..sources.lexicon import (DEFAULT_LEXICON, NO_AGENT_EVIDENCE, SILENCE_EVIDENCE_TEXT,
                                max_pattern_chars)
 from .segments import ORDER, is_agent
@@ -115,7 +115,7 @@ def call_features(feats: DataFrame, lexicon: dict | None = None, gap_s: float =
     aggs.append(F.min_by(F.when(agent, lt), F.when(agent, ordkey)).alias("first_agent_lt"))
     aggs.append(F.bool_or(agent & contains_any(lt, lex["closing"])).alias("t_closing"))
     secs = F.regexp_extract(F.col("text"), marker_regex, 1)
-    marker = (secs != "") & (secs.cast("double") >= gap_s)
+    marker = (secs != "") & (digits_to_double(secs) >= gap_s)
     marker_ev = F.concat(F.lit("["), py_float_str("start"), F.lit("-"), py_float_str("end"), F.lit("] "),
                          F.col("text"))
     aggs.append(F.min_by(F.when(marker, marker_ev), F.when(marker, ordkey)).alias("e_marker"))
@@ -133,10 +133,10 @@ def score_cascade(cf: DataFrame, lexicon: dict | None = None, min_duration: floa
     c = F.col
     fallback = F.coalesce(c("first_agent_fmt"), F.lit(NO_AGENT_EVIDENCE))
     first = F.coalesce(c("first_agent_lt"), F.lit(""))
-    greeting = (contains_any(first, lex["greeting"])
-                | ((contains_any(first, lex["brand"])
-                    | first.rlike("(?U)" + "|".join(rf"\b{w}\b" for w in lex["brand_word"])))
-                   & contains_any(first, lex["invite"])))
+    brand = contains_any(first, lex["brand"])
+    if lex["brand_word"]:
+        brand = brand | first.rlike("(?U)" + "|".join(rf"\b\Q{w}\E\b" for w in lex["brand_word"]))
+    greeting = contains_any(first, lex["greeting"]) | (brand & contains_any(first, lex["invite"]))
     solution = c("t_solution") | c("t_solution_regex")
 
     kr21 = (F.when(c("t_leak") | c("t_send_away") | c("t_hard_ask"),

@@ -209,16 +209,17 @@ def cascade(docs: DataFrame, score: Column, threshold: float = 0.5, max_tokens:
     only the unsafe partition (co-partitioned by ``doc_id`` for the per-document steps), the pass-
     through branch only the safe one.
     """
-    from ..session import materialize, shuffle_partitions
+    from ..session import materialize
     from .tokens import tokens_with_offsets
 
-    n = partitions or shuffle_partitions(docs.sparkSession)
     scored = (docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), score.alias("guardrail_score"))
               .withColumn("is_unsafe", F.col("guardrail_score") >= threshold)
               .withColumn("_u", F.col("is_unsafe").cast("int")))
     # partition values come back typed as numbers, not booleans: partition on the 0/1 copy
     scored = materialize(scored, "cascade-scored", partition_by=["_u"])
-    unsafe = scored.where(F.col("_u") == 1).drop("_u").repartition(n, "doc_id")
+    unsafe = scored.where(F.col("_u") == 1).drop("_u")
+    # without a number AQE sizes the partitions
+    unsafe = unsafe.repartition(partitions, "doc_id") if partitions else unsafe.repartition("doc_id")
     toks = tokens_with_offsets(unsafe)
     truncated = None
     if max_tokens is not None:

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import regex as rx
 from ..functions.text import normalize_ws
-from ..session import shuffle_partitions
-
 # Python's str semantics: \w = letters, numbers, underscore; \s = str.isspace() characters.
 WORD, SPACE = rx.WORD_CLASS, rx.SPACE_CLASS
 PIECES = f"(?U)[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
@@ -22,11 +20,12 @@ PIECES = f"(?U)[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
 
 def doc_frame(df: DataFrame, id_col: str, text_col: str, partitions: int | None = None) -> DataFrame:
     """Co-partition text rows by id (one exchange); downstream per-id operators reuse it."""
-    n = partitions or shuffle_partitions(df.sparkSession)
     # rows without an id cannot be joined back; dropping them here also keeps every branch's
     # subtree identical (joins infer the same filter), so the one exchange is reused
-    return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .where(F.col("doc_id").isNotNull()).repartition(n, "doc_id")
+    rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
+        .where(F.col("doc_id").isNotNull())
+    # without a number AQE sizes the partitions to the data
+    return rows.repartition(partitions, "doc_id") if partitions else rows.repartition("doc_id")
 
 
 def tokens_with_offsets(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,6 @@ from ..operators import sentences as sent_op
 from ..operators import spans as span_op
 from ..operators import tokens as tok_op
 from ..sources import calls as call_src
-from ..sources import files as file_src
 from ..sources.lexicon import TEST_LEXICON
 from ..sources.tables import balanced, profile
 from ..sources.tables import read_table
@@ -78,6 +77,7 @@ def score_distribution(spark, sf):
 
 # ------------------------------------------------------------------ text scans and normalisation
 
+# fixed values: text column names in order of preference
 TEXT_CANDIDATES = ["text", "content", "body", "article", "document", "sentence"]
 
 
@@ -411,12 +411,14 @@ def payload_scores(spark, sf):
 
 @register("r6n_score_whole_calls")
 def score_whole_calls(spark, sf):
-    """Whole-call payloads (one per conversation, size-gated) scored row by row with array
-    expressions (nested layout, no shuffle in the scoring itself)."""
+    """Whole-call payloads (one per conversation) scored row by row with array expressions (nested
+    layout, no shuffle in the scoring itself); calls too large for one payload in long form. Every
+    call has its five rows."""
     from ..operators.nested import score_nested
-    seg = conv_segments(spark, sf)
-    calls, _ = call_src.normalize_payloads(call_src.payloads_from_strings(call_src.payloads_per_call(seg), "value"))
-    return rules.to_long(score_nested(calls, TEST_LEXICON, role=AGENT_ROLE))
+    whole, large = call_src.split_by_size(conv_segments(spark, sf))
+    calls, _ = call_src.normalize_payloads(call_src.payloads_from_strings(call_src.payloads_per_call(whole), "value"))
+    wide = score_nested(calls, TEST_LEXICON, role=AGENT_ROLE)
+    return rules.to_long(wide.unionByName(rules.score_calls(large, TEST_LEXICON, role=AGENT_ROLE)))
 
 
 @register("n1_payload_rejects")
@@ -459,9 +461,10 @@ def batch_predict(spark, sf):
 
 @register("d12_token_labels")
 def token_labels(spark, sf):
-    """The first 63 scores of each embedding as 7 tokens x 9 label scores -> argmax -> label."""
+    """All scores of each embedding as tokens of 9 label scores (the last one has what is left) ->
+    argmax -> label."""
     e = _emb(spark, sf)
-    rows = mdl.frames(F.slice("embedding", 1, 63), 9)
+    rows = mdl.frames("embedding", 9)
     tags = mdl.ids_to_labels(mdl.argmax_rows(rows))
     return e.select("vec_id", F.posexplode(tags).alias("t", "tag"))
 
@@ -494,14 +497,17 @@ LLM_MODEL = "offline-batch-scorer"
 def llm_requests(spark, sf):
     """One prompt per call with the redacted transcript JSON; read back out of the prompt text
     (segments count, redacted characters) to check the embedding round trip."""
-    req, _ = llm_op.llm_requests(conv_segments(spark, sf))
+    req = llm_op.llm_requests(conv_segments(spark, sf), chunks=conv_chunks(spark, sf))
     body = F.regexp_extract("user", r"(?s)Transcript \(JSON\):\n(\{.*\})\n\nTask:", 1)
     parsed = F.from_json(body, "struct<call_id:string,segments:array<struct<speaker:string,text:string,start:double,end:double>>>")
     x = req.select(parsed.alias("t"), F.col("user").startswith("Transcript (JSON):").alias("templated"))
-    return x.select(F.col("t.call_id").alias("call_id"), F.size("t.segments").alias("n_segments"),
-                    F.aggregate("t.segments", F.lit(0), lambda acc, sg: acc + F.length(sg["text"])).alias("redacted_chars"),
-                    F.aggregate("t.segments", F.lit(0.0), lambda acc, sg: acc + sg["end"] - sg["start"]).alias("talk_s"),
-                    "templated")
+    parts = x.select(F.col("t.call_id").alias("call_id"), F.size("t.segments").alias("n"),
+                     F.aggregate("t.segments", F.lit(0), lambda acc, sg: acc + F.length(sg["text"])).alias("chars"),
+                     F.aggregate("t.segments", F.lit(0.0), lambda acc, sg: acc + sg["end"] - sg["start"]).alias("s"),
+                     "templated")
+    return parts.groupBy("call_id").agg(
+        F.sum("n").alias("n_segments"), F.sum("chars").cast("int").alias("redacted_chars"), F.sum("s").alias("talk_s"),
+        F.bool_and("templated").alias("templated"))
 
 
 def _validated(spark, sf):
@@ -529,19 +535,11 @@ def llm_merge(spark, sf):
 # ------------------------------------------------------------------ files, BIO corpora
 
 
-@register("m7_table_sizes_mb")
-def table_sizes(spark, sf):
-    """M7 over the given tables' files (binaryFile listing; contents are not read)."""
-    return file_src.sizes_mb(file_src.list_files(spark, sf), by_directory=False).select(
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("file"), "size_mb")
-
-
-@register("s7_file_manifest")
-def file_manifest(spark, sf):
-    """S7 on the table folder: every parquet file is rejected as an unsupported audio type."""
-    acc, rej = file_src.audio_manifest(file_src.list_files(spark, sf))
-    return rej.groupBy("reason").agg(F.count(F.lit(1)).alias("n_files")).unionByName(
-        acc.agg(F.count(F.lit(1)).alias("n_files")).select(F.lit("accepted").alias("reason"), "n_files"))
+def _span_corpus(docs, ents):
+    """Every document with its spans, an empty array where it has none."""
+    none = F.array().cast("array<struct<start:int,end:int,label:string>>")
+    return docs.join(ents.hint("shuffle_hash"), "doc_id", "left").select(
+        F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities"))
 
 
 @register("b4_spans_to_bio_rows")
@@ -550,45 +548,25 @@ def spans_to_bio_rows(spark, sf):
     docs = _doc_frame(spark, sf)
     ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    corpus = docs.join(ents.hint("shuffle_hash"), "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities")
-    out = bio_op.spans_corpus_to_bio(corpus)
+    out = bio_op.spans_corpus_to_bio(_span_corpus(docs, ents))
     return out.select("row_id", F.size("tokens").alias("n_tokens"),
                       F.size(F.filter("tags", lambda t: t != "O")).alias("n_tagged"),
                       F.array_join(F.filter("tags", lambda t: t != "O"), " ").alias("tag_seq"))
 
 
-@register("b8_synthetic_ner")
-def synthetic_ner(spark, sf):
-    """B7/B8 (+B2, B5, B6): one template row per document id, whitespace-token BIO tags."""
-    keys = read_table(spark, sf, "documents", ["doc_id"])
-    out = bio_op.synthesize_ner(keys, "doc_id", seed=SEED)
-    return out.select("row_id", "text", F.array_join("tags", " ").alias("tags"))
-
-
 @register("b11_align_labels")
 def align_labels(spark, sf):
     """B11 on the BIO rows of b4: labels per sub-word piece (4-character pieces, special tokens -100)."""
     docs = _doc_frame(spark, sf)
     ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    rows = bio_op.spans_corpus_to_bio(docs.join(ents.hint("shuffle_hash"), "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities"))
+    rows = bio_op.spans_corpus_to_bio(_span_corpus(docs, ents))
     wid = bio_op.subword_ids(F.col("tokens"))
     lab = mdl.align_labels(F.col("wid"), F.col("tags"))
     return rows.withColumn("wid", wid).select("row_id", F.posexplode(lab).alias("i", "label_id")).where(
         F.col("label_id") != 0)
 
 
-@register("b9_span_corpus")
-def span_corpus(spark, sf):
-    """B9/B10 -> K3 -> B4: one span-annotated synthetic row per document id, written as a table
-    (as the generator writes its corpus file), then converted to BIO rows."""
-    from ..session import materialize
-    keys = read_table(spark, sf, "documents", ["doc_id"])
-    rows = materialize(bio_op.synthesize_spans(keys, "doc_id", seed=SEED), "span-corpus")
-    out = bio_op.spans_corpus_to_bio(rows)
-    return out.select("row_id", "text", F.array_join("tags", " ").alias("tags"))
-
-
 @register("l12_explore_candidates")
 def explore_candidates(spark, sf):
     """L12 over all documents: sentences (10..240, ellipsis enders), how many look like PII, and the

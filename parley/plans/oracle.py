@@ -6,8 +6,6 @@ from . import sql_rules
 from . import sql_text as st
 from ..operators.models import linear_head_weights
 from ..sources.lexicon import TEST_LEXICON
-from .sql_gen import span_corpus_sql
-from .sql_gen import synthetic_ner_sql
 from .sql_text import RE2, UW, UWS, ascii_view, count_of, has, norm_ws, q, spans_list
 
 AGENT_ROLE = "assistant"
@@ -120,11 +118,22 @@ tok AS (SELECT doc_id, CAST(sum(CASE WHEN is_tok THEN 1 ELSE 0 END) OVER (PARTIT
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS INTEGER) AS ti,
                piece AS token, CAST(s0 AS INTEGER) AS s, CAST(s0 + length(piece) AS INTEGER) AS e, is_tok
         FROM tw)"""
-ENTS_CTE = f"""
-el AS (SELECT doc_id, list_concat({spans_list('text', 'card', 'CARD')}, {spans_list('text', 'phone_strict', 'PHONE')},
-                                  {spans_list('text', 'fin7', 'FIN')}) AS l FROM documents),
-eu AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS eo FROM el),
-en AS (SELECT doc_id, eo, upper(x.label) AS label, x.s AS ns, x.e AS ne FROM eu)"""
+def _entities_cte(p: str, dets: list[tuple[str, str]]) -> str:
+    """Entities per document: the pieces between matches and the matches alternate, so a match begins
+    where the running lengths of the earlier ones end (once per match, nothing is searched again)."""
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS det, '{label}' AS label, unnest(m) AS m, unnest(g[1:len(m)]) AS g, generate_subscripts(m, 1) AS k "
+        f"FROM (SELECT doc_id, regexp_extract_all(a, {q(RE2[kind])}) AS m, string_split_regex(a, {q(RE2[kind])}) AS g FROM {p}av)"
+        for i, (kind, label) in enumerate(dets))
+    return f"""
+{p}av AS MATERIALIZED (SELECT doc_id, {ascii_view('text')} AS a FROM documents),
+{p}el AS ({found}),
+{p}eu AS (SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY doc_id, det ORDER BY k) AS upto FROM {p}el),
+{p}en AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY det, k) AS eo, upper(label) AS label,
+                 CAST(upto - length(m) AS INTEGER) AS ns, CAST(upto AS INTEGER) AS ne FROM {p}eu)"""
+
+
+ENTS_CTE = _entities_cte("", [("card", "CARD"), ("phone_strict", "PHONE"), ("fin7", "FIN")])
 TAGS_CTE = f"""{TOKENS_CTE},{ENTS_CTE},
 pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM tok t JOIN en n
        ON t.doc_id = n.doc_id AND t.is_tok AND t.e > n.ns AND t.s < n.ne),
@@ -309,7 +318,7 @@ ORACLE["d10_linear_head_softmax"] = f"WITH {_HEAD}\nSELECT vec_id, round(pr, 6)
 ORACLE["g3_batch_predict"] = f"WITH {_HEAD}\nSELECT vec_id, round(pr, 6) AS p_unsafe FROM p"
 _LABELS = "['O', 'B-FIN', 'I-FIN', 'B-CARD', 'I-CARD', 'B-PHONE', 'I-PHONE', 'B-PERSON', 'I-PERSON']"
 ORACLE["d12_token_labels"] = f"""
-WITH t AS (SELECT vec_id, r - 1 AS t, embedding[(r - 1) * 9 + 1:(r - 1) * 9 + 9] AS sc FROM embeddings, range(1, 8) AS g(r))
+WITH t AS (SELECT vec_id, r - 1 AS t, embedding[(r - 1) * 9 + 1:(r - 1) * 9 + 9] AS sc FROM embeddings, range(1, 9) AS g(r))
 SELECT vec_id, CAST(t AS INTEGER) AS t, coalesce(({_LABELS})[list_position(sc, list_max(sc))], 'O') AS tag FROM t"""
 ORACLE["g5_ctc_decode"] = """
 WITH f AS (SELECT vec_id, r - 1 AS fr, embedding[(r - 1) * 8 + 1:(r - 1) * 8 + 8] AS sc FROM embeddings, range(1, 9) AS g(r)),
@@ -346,7 +355,8 @@ FROM an LEFT JOIN vv ON an.call_id = vv.call_id"""
 ORACLE["b4_spans_to_bio_rows"] = f"""WITH {TAGS_CTE}
 SELECT tg.doc_id AS row_id, count(*) AS n_tokens, count(*) FILTER (WHERE tag <> 'O') AS n_tagged,
        coalesce(string_agg(tag, ' ' ORDER BY ti) FILTER (WHERE tag <> 'O'), '') AS tag_seq
-FROM tg WHERE tg.doc_id IN (SELECT doc_id FROM en) GROUP BY tg.doc_id"""
+FROM tg GROUP BY tg.doc_id
+UNION ALL SELECT doc_id, 0, 0, '' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM tg)"""
 
 _EXPLORE = "(" + " OR ".join(st.has("sentence", k) for k in ["fin_digit_first", "phone_strict", "card"]) + ")"
 ORACLE["l12_explore_candidates"] = f"""
@@ -364,11 +374,7 @@ ORACLE["k4_results_json"] = ORACLE["r6_score_calls"]
 
 
 def _tags_cte(p: str, dets: list[tuple[str, str]]) -> str:
-    lists = ", ".join(st.spans_list("text", k, lab) for k, lab in dets)
-    return f"""
-{p}el AS (SELECT doc_id, list_concat({lists}) AS l FROM documents),
-{p}eu AS (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS eo FROM {p}el),
-{p}en AS (SELECT doc_id, eo, upper(x.label) AS label, x.s AS ns, x.e AS ne FROM {p}eu),
+    return f"""{_entities_cte(p, dets)},
 {p}pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM tok t JOIN {p}en n
           ON t.doc_id = n.doc_id AND t.is_tok AND t.e > n.ns AND t.s < n.ne),
 {p}pf AS (SELECT *, min(ti) OVER (PARTITION BY doc_id, eo) AS first_ti,
@@ -409,7 +415,7 @@ FROM seg GROUP BY call_id"""
 
 ORACLE["b11_align_labels"] = f"""WITH {TAGS_CTE},
 t AS (SELECT tg.*, greatest(CAST(ceil(length(token) / 4.0) AS INTEGER), 1) AS np
-      FROM tg WHERE doc_id IN (SELECT doc_id FROM en)),
+      FROM tg),
 c AS (SELECT *, coalesce(sum(np) OVER (PARTITION BY doc_id ORDER BY ti ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                AS before, sum(np) OVER (PARTITION BY doc_id) AS total FROM t),
 p AS (SELECT doc_id, 1 + before + j AS i,
@@ -417,13 +423,12 @@ p AS (SELECT doc_id, 1 + before + j AS i,
       FROM (SELECT *, unnest(range(np)) AS j FROM c)),
 lab AS (SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(list_position({_LABELS}, lab) - 1 AS INTEGER) AS label_id FROM p
         UNION ALL SELECT DISTINCT doc_id, 0, -100 FROM c
-        UNION ALL SELECT DISTINCT doc_id, CAST(total + 1 AS INTEGER), -100 FROM c)
+        UNION ALL SELECT DISTINCT doc_id, CAST(total + 1 AS INTEGER), -100 FROM c
+        UNION ALL SELECT doc_id, unnest([0, 1]), -100 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM tg))
 SELECT doc_id AS row_id, i, label_id FROM lab WHERE label_id <> 0"""
 
 
-ORACLE["b8_synthetic_ner"] = synthetic_ner_sql(42)
 
 
-ORACLE["b9_span_corpus"] = span_corpus_sql(UW, UWS, 42)
 
 ORACLE["r6n_score_whole_calls"] = ORACLE["r6_score_calls"]

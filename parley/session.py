@@ -40,14 +40,16 @@ def build_session(master: str | None = None, app: str = "parley", shuffle_partit
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a private one only when the cluster names none."""
+    """The folder named by ``spark.checkpoint.dir``; a private one only in local mode, where it is unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="parley-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="parley-ckpt-")  # one machine: tests, local runs
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_or_broken, py_strip
+from ..session import cut_lineage
 
 SEGMENT_TYPE = "struct<pos:int,speaker:string,text:string,start:double,end:double,blank:boolean>"
 
@@ -93,7 +94,7 @@ def _segment(x: Column, i: Column) -> Column:
                     blank_or_broken(text).alias("blank"))
 
 
-def normalize_payloads(payloads: DataFrame, v: str = "v") -> tuple[DataFrame, DataFrame]:
+def normalize_payloads(payloads: DataFrame, v: str = "v", keep=()) -> tuple[DataFrame, DataFrame]:
     """N1-N8 (+S6): ``(calls, rejects)``.
 
     calls: ``call_id, dataset_id, segments ARRAY<SEGMENT_TYPE>, n_dropped, n_blank``;
@@ -109,7 +110,7 @@ def normalize_payloads(payloads: DataFrame, v: str = "v") -> tuple[DataFrame, Da
     reason = (F.when(~_is_obj(body), F.lit("payload is not an object"))
               .when(~ok_id, F.lit("Missing or invalid call_id"))
               .when(~ok_segs, F.lit("Missing or invalid segments list")))
-    x = payloads.select(raw.alias("_v"), body.alias("_b"), ds.alias("dataset_id"), cid.alias("call_id"),
+    x = payloads.select(*keep, raw.alias("_v"), body.alias("_b"), ds.alias("dataset_id"), cid.alias("call_id"),
                         F.try_variant_get(segs_v, "$", "array<variant>").alias("_arr"), reason.alias("reason"))
     rejects = x.where(F.col("reason").isNotNull()).select(F.to_json("_v").alias("payload"), "reason")
     good = x.where(F.col("reason").isNull())
@@ -118,7 +119,7 @@ def normalize_payloads(payloads: DataFrame, v: str = "v") -> tuple[DataFrame, Da
     segs = F.transform(objs, lambda p: _segment(p["x"], p["i"]))
     key = F.transform(segs, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), s["pos"].alias("c"), s.alias("s")))
     ordered = F.transform(F.array_sort(key), lambda k: k["s"])
-    calls = good.select("call_id", "dataset_id", ordered.alias("segments"),
+    calls = good.select(*keep, "call_id", "dataset_id", ordered.alias("segments"),
                         (F.size("_arr") - F.size(objs)).alias("n_dropped"))
     calls = calls.withColumn("n_blank", F.size(F.filter("segments", lambda s: s["blank"])))
     return calls, rejects
@@ -158,33 +159,38 @@ def payloads_from_conversations(conversations: DataFrame) -> DataFrame:
     return t.select(F.parse_json(js).alias("v"))
 
 
-def payloads_per_call(segments: DataFrame, max_chars: int = 1_000_000) -> DataFrame:
+def split_by_size(segments: DataFrame, max_chars: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """``(segments of calls a payload may hold whole, segments of larger calls)``; together all rows.
+
+    The sizes come from a partial aggregate; they are checkpointed, so both joins below are between plain
+    shuffles, which AQE can split when a call holds a large share of the rows.
+    """
+    large = cut_lineage(segments.groupBy("call_id").agg(F.sum(F.length("text")).alias("chars"))
+                        .where(F.col("chars") > max_chars).select("call_id"))
+    return segments.join(large, "call_id", "left_anti"), segments.join(large, "call_id", "left_semi")
+
+
+def payloads_per_call(segments: DataFrame) -> DataFrame:
     """One complete-transcript payload per call, ``{call_id, segments: [...]}`` as JSON text.
 
-    A payload carries a whole call, as the service contract does; calls larger than ``max_chars``
-    of text are left out (their sizes come from a partial aggregate first, so no oversized call is
-    collected).
+    A payload carries a whole call, as the service contract does; ``split_by_size`` first, where calls can
+    be of any size, and score the larger ones in long form.
     """
-    size = segments.groupBy("call_id").agg(F.sum(F.length("text")).alias("chars"))
-    # the size table has one row per call (grows with the data): a shuffle join, whose call_id
-    # partitioning the per-call assembly below reuses, instead of an estimated broadcast
-    ok = segments.join(size.where(F.col("chars") <= max_chars).select("call_id").hint("shuffle_hash"), "call_id",
-                       "left_semi")
     s = F.struct(F.col("start").alias("_a"), F.col("end").alias("_b"), F.col("pos").alias("_c"),
                  F.struct("speaker", "text", "start", "end").alias("seg"))
-    per = ok.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("_s"))
+    per = segments.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("_s"))
     body = F.struct(F.col("call_id").cast("string").alias("call_id"),
                     F.transform("_s", lambda x: x["seg"]).alias("segments"))
     return per.select(F.to_json(body).alias("value"))
 
 
-def expected_scores(payloads: DataFrame, v: str = "v",
-                    metrics=("KR2.1", "KR2.2", "KR2.3", "KR2.4", "KR2.5")) -> DataFrame:
+def expected_scores(payloads: DataFrame, v: str = "v", metrics=("KR2.1", "KR2.2", "KR2.3", "KR2.4", "KR2.5"),
+                    keep=()) -> DataFrame:
     """Labelled items ``{input, expected_output: {KR2.x: {score}}}`` unpivoted to
     ``call_id, metric, score`` (N18 call id; a missing or non-integer expected score stays NULL)."""
     raw = F.col(v)
     rows = F.array(*[F.struct(F.lit(m).alias("metric"),
                               F.try_variant_get(raw, f"$.expected_output['{m}'].score", "int").alias("score"))
                      for m in metrics])
-    return payloads.select(effective_call_id(raw).alias("call_id"), F.explode(rows).alias("x")).select(
-        "call_id", "x.metric", "x.score")
+    return payloads.select(*keep, effective_call_id(raw).alias("call_id"), F.explode(rows).alias("x")).select(
+        *keep, "call_id", "x.metric", "x.score")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,9 +124,15 @@ def assemble_and_score(spark: SparkSession, segment_folder: str, schema, store:
         """After a (re)start: spans from the store, scored flags from epochs before this one (a
         replayed epoch recomputes and overwrites its own output)."""
         base = spans(spark.read.parquet(seg_store).select("call_id", "ts"))
-        if not os.path.exists(done_store):
+        # a schema lets Spark list the folder in any file system; none written yet reads as no rows
+        written = spark.read.schema("call_id string, epoch long").option("ignoreMissingFiles", "true")
+        try:
+            done = written.parquet(done_store)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return base
-        done = (spark.read.parquet(done_store).where(F.col("epoch") < epoch).select("call_id").distinct()
+        done = (done.where(F.col("epoch") < epoch).select("call_id").distinct()
                 .withColumn("_d", F.lit(True)))
         return base.join(done, "call_id", "left").select(
             "call_id", "first_ts", "last_ts", F.coalesce(F.col("_d"), F.lit(False)).alias("scored"))

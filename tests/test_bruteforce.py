@@ -1,9 +1,7 @@
 """Queries without a SQL oracle, checked against straightforward Python on small driver tables."""
 
-import re
-
 import __spark_entry__ as entry
-from conftest import SF001, SF01
+from conftest import SF01
 from parley.sources.tables import read_table
 
 
@@ -35,39 +33,6 @@ def test_wer_turns_bruteforce(spark):
     assert got.wer == round(edits / words, 6)
 
 
-def _first_occurrence(tokens, ent, label):
-    tags = ["O"] * len(tokens)
-    k = len(ent)
-    for i in range(0, len(tokens) - k + 1):
-        if tokens[i:i + k] == ent:
-            tags[i] = f"B-{label}"
-            for j in range(1, k):
-                tags[i + j] = f"I-{label}"
-            return tags
-    return tags
-
-
-def test_synthetic_ner_tags_bruteforce(spark):
-    from pyspark.sql import functions as F
-    from parley.operators import bio
-    keys = read_table(spark, SF001, "documents", ["doc_id"])
-    out = bio.synthesize_ner(keys, "doc_id", seed=42)
-    key = F.concat(F.col("doc_id").cast("string"), F.lit("#42"))
-    slots = bio.slot_values(key)
-    vals = keys.select(F.col("doc_id").alias("row_id"), *[v.alias(k) for k, v in slots.items()])
-    got = {r.row_id: r for r in out.join(vals, "row_id").collect()}
-    assert len(got) == keys.count()
-    for r in got.values():
-        toks = r.text.split()
-        assert r.tokens == toks
-        tags = ["O"] * len(toks)
-        for name in ["PERSON", "FIN", "PHONE", "CARD"]:
-            add = _first_occurrence(toks, r[name].split(), name)
-            tags = [a if a != "O" else b for b, a in zip(tags, add)]
-        assert r.tags == tags
-        assert re.fullmatch(r"[A-Z0-9]{7}", r.FIN) and not set(r.FIN) & set("IO")
-
-
 def test_align_labels_bruteforce(spark):
     from parley.operators.spans import LABELS
     l2i = {lab: i for i, lab in enumerate(LABELS)}
@@ -81,7 +46,9 @@ def test_align_labels_bruteforce(spark):
     docs = tokens.doc_frame(read_table(spark, SF01, "documents", ["doc_id", "text"]), "doc_id", "text")
     ents = spans.regex_entities(docs).groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    corpus = bio.spans_corpus_to_bio(docs.join(ents, "doc_id").select(F.col("doc_id").alias("row_id"), "text", "entities"))
+    none = F.array().cast("array<struct<start:int,end:int,label:string>>")
+    corpus = bio.spans_corpus_to_bio(docs.join(ents, "doc_id", "left").select(
+        F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities")))
     for r in corpus.collect():
         wids = [None] + [i for i, w in enumerate(r.tokens) for _ in range(max(1, -(-len(w) // 4)))] + [None]
         labels, prev = [], None
