@@ -75,10 +75,10 @@ J_PHONE_NANP = java(PHONE_NANP)
 J_SILENCE_MARKER = java(SILENCE_MARKER, ignore_case=True)
 J_TECH_VISIT = java(TECH_VISIT, ignore_case=True)
 J_AMOUNT = java(AMOUNT)
-J_TOKEN = java(TOKEN)
+# The two searches over the joined agent text, cut where a segment boundary may fall.
+J_AMOUNT_OPEN = java(r"\b\d+\s*$")
+J_AMOUNT_CLOSE = java(r"^\s*manat\b")
+J_VISIT_OPEN = java(r"bu\s+gün(\s|$)", ignore_case=True)
+J_VISIT_CLOSE = java(r"texnik", ignore_case=True)
 J_MULTI_STAR = java(MULTI_STAR)
 
-
-def literal_alternation(words) -> str:
-    """One escaped alternation for a list of literal substrings (for a single ``rlike``)."""
-    return "|".join(re.escape(w) for w in words)

@@ -14,9 +14,12 @@ The agent text of a call (N12/N13: agent segments' texts, lower-cased, joined by
 built. A phrase in the joined agent text either lies inside one agent segment or crosses a boundary;
 a crossing match of a pattern of at most ``L`` characters lies inside
 ``tail(L chars before the boundary) + ' ' + head(L chars after)``, which is what ``ctx`` holds. So
-the keyword triggers are exact. Regex triggers (amount, technician visit) are tested per segment
-and on the same boundary context; with the default lexicon both are implied by the keywords
-``manat``/``texnik``, so the cascade is exact there too.
+the keyword triggers are exact. Where the tail or the head is cut, ``ctx`` has an underscore, so that a cut
+never looks like the end of a word. The regex triggers have no length limit; they are tested per segment,
+on ``ctx``, and by their parts: an amount whose number ends one segment and whose unit begins the next, and a
+visit whose day stands in an earlier segment than the technician (first and last place by partial
+aggregates). What is left open: a line break between day and technician, which the pattern's ``.`` would
+not cross, is not seen across segments.
 """
 
 from __future__ import annotations
@@ -78,12 +81,15 @@ def segment_features(segments: DataFrame, lexicon: dict | None = None, role: str
     L = max_pattern_chars(lex) + 1
     seg = segments.select("call_id", "pos", "speaker", "text", "start", "end",
                           is_agent(role).alias("agent"), F.lower("text").alias("lt"))
-    agent_rows = ordered_context(seg.where("agent"), "call_id", ORDER, tail="lt", tail_chars=L, **seq_kw)
-    others = seg.where(~F.col("agent")).withColumn("prev_tail", F.lit(None).cast("string"))
+    seg = seg.withColumn("number_open", F.col("agent") & F.col("lt").rlike(rx.J_AMOUNT_OPEN))
+    agent_rows = ordered_context(seg.where("agent"), "call_id", ORDER, tail="lt", tail_chars=L, lags=["number_open"], **seq_kw)
+    others = (seg.where(~F.col("agent")).withColumn("prev_tail", F.lit(None).cast("string"))
+              .withColumn("prev_number_open", F.lit(None).cast("boolean")))
     both = agent_rows.unionByName(others)
     both = ordered_context(both, "call_id", ORDER, lags=["end"], **seq_kw)
     ctx = F.when(F.col("prev_tail").isNotNull(),
-                 F.concat(F.col("prev_tail"), F.lit(" "), F.substring("lt", 1, L)))
+                 F.concat(F.when(F.length("prev_tail") >= L, "_").otherwise(""), F.col("prev_tail"), F.lit(" "),
+                          F.substring("lt", 1, L), F.when(F.length("lt") > L, "_").otherwise("")))
     return both.withColumn("ctx", ctx)
 
 
@@ -105,8 +111,12 @@ def call_features(feats: DataFrame, lexicon: dict | None = None, gap_s: float =
 
     aggs = [F.bool_or(trig(lex[name])).alias(f"t_{name}") for name in TRIGGER_LISTS]
     regex_hit = (lt.rlike(amount_regex) | lt.rlike(visit_regex)
-                 | F.coalesce(ctx.rlike(amount_regex) | ctx.rlike(visit_regex), F.lit(False)))
-    aggs.append(F.bool_or(agent & regex_hit).alias("t_solution_regex"))
+                 | F.coalesce(ctx.rlike(amount_regex) | ctx.rlike(visit_regex), F.lit(False))
+                 | (F.coalesce(F.col("prev_number_open"), F.lit(False)) & lt.rlike(rx.J_AMOUNT_CLOSE)))
+    day = agent & (lt.rlike(rx.J_VISIT_OPEN) | F.coalesce(ctx.rlike(rx.J_VISIT_OPEN), F.lit(False)))
+    first_day = F.min(F.when(day, ordkey))
+    last_visit = F.max(F.when(agent & lt.rlike(rx.J_VISIT_CLOSE), ordkey))
+    aggs.append((F.bool_or(agent & regex_hit) | F.coalesce(first_day < last_visit, F.lit(False))).alias("t_solution_regex"))
     aggs += [first_fmt(agent & contains_any(lt, lex[name])).alias(f"e_{name}") for name in EVIDENCE_LISTS]
     sol_seg = (contains_any(lt, lex["solution"] + lex.get("solution_evidence_extra", []))
                | F.col("text").rlike(visit_regex))

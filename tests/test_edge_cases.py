@@ -76,3 +76,15 @@ def test_word_errors_of_many_distinct_words(spark):
     assert metrics.word_edits(df).first()["edits"] == 2
     wide = spark.createDataFrame([("w0 w1", " ".join(a))], "ref string, hyp string")
     assert metrics.word_edits(wide.select(F.col("ref"), F.col("hyp"))).first()["edits"] == 69_998
+
+
+def test_patterns_of_any_length_across_segments(spark):
+    """The day and the technician far apart; a number that a cut must not shorten."""
+    far = [("a", 0, "operator", "bu gün sizə mütləq gələcək ustamız olacaq", 0.0, 5.0), ("a", 1, "operator", "texnik adı Elvin", 5.0, 9.0),
+           ("b", 0, "operator", "ref x12345678901234567890123456789012345678901234567890", 0.0, 5.0), ("b", 1, "operator", "manat", 5.0, 9.0),
+           ("c", 0, "operator", "cəmi 12345678901234567890123456789012345678901234567890", 0.0, 5.0), ("c", 1, "operator", "manat", 5.0, 9.0),
+           ("d", 0, "operator", "texnik adı Elvin", 0.0, 5.0), ("d", 1, "operator", "bu günlər bu gün", 5.0, 9.0)]
+    from parley.sources.lexicon import TEST_LEXICON
+    both_layouts(spark, far)
+    got = both_layouts(spark, far, TEST_LEXICON)
+    assert [got[(c, "KR2.1")][2] for c in "abcd"] == [3, 1, 3, 1]
