@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, decontaminate, language, licenses, quality, simhash, token_counts, toxicity, url_filter
+from . import bpe, ctw, decontaminate, language, licenses, quality, simhash, sql, token_counts, toxicity, url_filter
 from .common import read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,4 +112,7 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_url_filter": sql.url_filter(URL_RULES, SPAM_WORDS),
+    "op7_quality": sql.QUALITY,
+}
