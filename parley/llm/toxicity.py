@@ -33,7 +33,8 @@ from .common import annotate, blocks, texts_of
 P = 3
 DECAY = 0.6
 FLOOR = 0.5
-SHARED = 0.6  # a word with a smaller share of the landmark's letters has kernel 0
+SHARED = 0.6  # a word with a smaller share of the landmark's letters has kernel 0,
+SHARED_PAIRS = 0.3  # and so has one with a smaller share of its pairs of neighbouring letters
 LANDMARKS = 64
 CANDIDATES = 600
 MAX_DOCS = 20_000
@@ -47,11 +48,19 @@ _SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[\W_]{1,3}[^\W\d_]){2,}(?!\S)")
 _SIGNS = re.compile(r"[\W_]+")
 
 
+def tokens_of(text: str) -> list[str]:
+    """Lower-case words, signs inside kept; runs of single letters joined."""
+    return _TOKEN(_SPACED.sub(lambda m: _SIGNS.sub("", m[0]), text.lower()))
+
+
+def plain(token: str) -> str:
+    """A token without the signs inside."""
+    return token if token.isalnum() else _SIGNS.sub("", token)
+
+
 def words_of(text: str) -> list[str]:
     """Lower-case words without signs inside; runs of single letters joined."""
-    text = text.lower()
-    text = _SPACED.sub(lambda m: _SIGNS.sub("", m[0]), text)
-    return [w if w.isalnum() else _SIGNS.sub("", w) for w in _TOKEN(text)]
+    return list(map(plain, tokens_of(text)))
 
 
 def parts_of(word: str) -> list[str]:
@@ -69,20 +78,24 @@ def _codes(words: list[str]) -> np.ndarray:
     return out
 
 
-def subsequence_kernel(s: np.ndarray, t: np.ndarray, p: int = P, decay: float = DECAY) -> np.ndarray:
+def subsequence_kernel(s: np.ndarray, t: np.ndarray, p: int = P, decay: float = DECAY, kind=np.float64) -> np.ndarray:
     """Kernel of row i of ``s`` with row i of ``t`` (code points, 0 for padding), all rows at once."""
     n, lt = len(s), t.shape[1]
-    kp = [np.ones((lt + 1, n))] + [np.zeros((lt + 1, n)) for _ in range(p - 1)]
-    total = np.zeros(n)
+    decay = kind(decay)
+    kp = [np.ones((lt + 1, n), kind)] + [np.zeros((lt + 1, n), kind) for _ in range(p - 1)]
+    total = np.zeros(n, kind)
     st, tt = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T)
     for x in st:
-        match = (tt == x) & (x != 0)
-        total += (decay ** 2) * (match * kp[p - 1][:-1]).sum(axis=0)
+        match = ((tt == x) & (x != 0)).astype(kind)
+        match *= decay * decay
+        total += (match * kp[p - 1][:-1]).sum(axis=0)
         for i in range(p - 1, 0, -1):
             new = decay * kp[i]
-            run = np.zeros(n)
+            step = match * kp[i - 1][:-1]
+            run = np.zeros(n, kind)
             for j in range(lt):
-                run = decay * run + (decay ** 2) * match[j] * kp[i - 1][j]
+                run *= decay
+                run += step[j]
                 new[j + 1] += run
             kp[i] = new
     return total
@@ -95,17 +108,22 @@ class Kernel:
         self.landmarks = landmarks
         self._codes = _codes(landmarks)
         self._self = subsequence_kernel(self._codes, self._codes)
-        self._mask = self._masks(landmarks)
+        self._mask, self._pair_mask = self._masks(landmarks)
         self._need = np.ceil(SHARED * np.bitwise_count(self._mask)).astype(np.int64)
+        self._need_pairs = np.ceil(SHARED_PAIRS * np.bitwise_count(self._pair_mask)).astype(np.int64)
 
     @staticmethod
-    def _masks(words: list[str]) -> np.ndarray:
-        """Letters of each (non-empty) word as 64 bits, by code point modulo 64."""
+    def _masks(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters, and pairs of neighbours, of each (non-empty) word as 64 bits (by a code modulo 64)."""
         if not words:
-            return np.zeros(0, dtype=np.uint64)
-        point = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        at = np.cumsum([0] + [len(w) for w in words[:-1]])
-        return np.bitwise_or.reduceat(np.uint64(1) << (point & np.uint32(63)).astype(np.uint64), at)
+            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        point = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        size = np.array([len(w) for w in words])
+        at, one = np.cumsum(size) - size, np.uint64(1)
+        pair = np.zeros(len(point), dtype=np.uint64)
+        pair[:-1] = one << ((point[:-1] * np.uint64(31) + point[1:]) & np.uint64(63))
+        pair[np.cumsum(size) - 1] = 0  # a word's last letter has no neighbour
+        return np.bitwise_or.reduceat(one << (point & np.uint64(63)), at), np.bitwise_or.reduceat(pair, at)
 
     def pairs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, kernel) for the pairs at or above the floor."""
@@ -113,19 +131,21 @@ class Kernel:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
         found = []
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        masks = self._masks(words)
+        masks, pair_masks = self._masks(words)
         for c in range(0, len(order), 2048):
             ids = np.array(order[c:c + 2048])
             shared = np.bitwise_count(masks[ids][:, None] & self._mask[None, :])
             w, k = np.nonzero((shared >= self._need[None, :]) & (shared >= P))
+            near = np.bitwise_count(pair_masks[ids][w] & self._pair_mask[k]) >= self._need_pairs[k]
+            w, k = w[near], k[near]
             if not len(w):
                 continue
             used, w = np.unique(w, return_inverse=True)
             codes = _codes([words[i] for i in ids[used]])
-            own = subsequence_kernel(codes, codes)
+            own = subsequence_kernel(codes, codes, kind=np.float32)
             for d in range(0, len(w), 8192):
                 a, b = w[d:d + 8192], k[d:d + 8192]
-                value = subsequence_kernel(codes[a], self._codes[b]) / np.sqrt(np.maximum(own[a] * self._self[b], 1e-30))
+                value = subsequence_kernel(codes[a], self._codes[b], kind=np.float32) / np.sqrt(np.maximum(own[a] * self._self[b], 1e-30))
                 hit = value >= FLOOR
                 found.append((ids[used][a[hit]], b[hit], value[hit]))
         if not found:
@@ -146,7 +166,7 @@ class Pool:
         fresh = [w for w in words if w not in self._known]
         part, owner = [], []
         for w in fresh:
-            for x in parts_of(w):
+            for x in parts_of(plain(w)):
                 part.append(x)
                 owner.append(w)
         self._known.update(dict.fromkeys(fresh))
@@ -158,7 +178,7 @@ class Pool:
     def values(self, texts: list[str]) -> np.ndarray:
         """Documents x (landmarks + 1): sums over sentences of the nearest word's kernel; number of words."""
         out = np.zeros((len(texts), len(self.kernel.landmarks) + 1))
-        split = [words_of(t) for t in texts]
+        split = [tokens_of(t) for t in texts]
         every = set().union(*split)
         if len(every.difference(self._known)):
             self.learn(every)
@@ -169,7 +189,7 @@ class Pool:
                 continue
             for sentence in _SENTENCE(texts[row]):
                 best: dict[int, float] = {}
-                for w in words_of(sentence):
+                for w in tokens_of(sentence):
                     for k, v in (self._known.get(w) or {}).items():
                         best[k] = max(v, best.get(k, 0.0))
                 for k, v in best.items():
