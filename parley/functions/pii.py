@@ -84,28 +84,3 @@ def redact(text) -> Column:
     t = F.regexp_replace(col(text), rx.J_CARD, "[CARD_NUMBER]")
     t = F.regexp_replace(t, rx.J_NUM_3_4, "[NUM]")
     return F.regexp_replace(t, rx.J_FIN_REDACT, "[FIN_CODE]")
-
-
-def spans(text, pattern: str, label: str, group: int = 0) -> Column:
-    """Character spans ``array<struct<label,s,e>>`` (0-based, half-open) of all matches of ``pattern``.
-
-    Spark has no "all match positions" function: the matches (``regexp_extract_all``) and the
-    pieces between them (``split``) alternate, so a match starts at the summed lengths of the
-    earlier pieces and matches. The sums are over the match count of one text (small).
-    Only whole matches (``group`` 0) are supported for positions.
-    """
-    t = col(text)
-    m = F.regexp_extract_all(t, F.lit(pattern), 0)
-    gaps = F.transform(F.split(t, pattern, -1), lambda p: F.length(p))
-    mlen = F.transform(m, lambda v: F.length(v))
-    n = F.size(m)
-
-    def start(k: Column) -> Column:
-        a = F.aggregate(F.slice(gaps, 1, k + 1), F.lit(0), lambda acc, x: acc + x)
-        b = F.aggregate(F.slice(mlen, 1, k), F.lit(0), lambda acc, x: acc + x)
-        return a + b
-
-    idx = F.sequence(F.lit(0), n - 1)
-    out = F.transform(idx, lambda k: F.struct(F.lit(label).alias("label"), start(k).alias("s"),
-                                              (start(k) + F.get(mlen, k)).alias("e")))
-    return F.when(n > 0, out).otherwise(F.array().cast("array<struct<label:string,s:int,e:int>>"))

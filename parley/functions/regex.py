@@ -31,9 +31,6 @@ PHONE_STRICT = r"(\+994\s?\d{2}\s?\d{3}\s?\d{2}\s?\d{2})|(\b0\d{2}\s?\d{3}\s?\d{
 SILENCE_MARKER = r"\[(\d+)\s*saniyə\s*sük[üu]t\]"                   # case-insensitive, seconds in group 1
 TECH_VISIT = r"texnik\s+gələcək|bu\s+gün\s+.*texnik"                # case-insensitive
 AMOUNT = r"\b\d+\s*manat\b"
-SENTENCE_SPLIT = r"(?<=[.!?])\s+|\n+"
-SENTENCE_SPLIT_ELLIPSIS = r"(?<=[\.!\?…])\s+"
-TOKEN = r"\w+|[^\w\s]"
 MULTI_STAR = r"\*{4,}"
 # ---------------------------------------------------------------------------------------------
 

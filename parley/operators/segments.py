@@ -78,11 +78,6 @@ def call_profile(segments: DataFrame, role: str = "operator") -> DataFrame:
     )
 
 
-def grounding_pieces(segments: DataFrame) -> DataFrame:
-    """N14 piece per segment (``speaker: text``); the per-call text is their ordered join."""
-    return segments.withColumn("piece", F.concat(F.col("speaker"), F.lit(": "), F.col("text")))
-
-
 def explode_calls(calls: DataFrame) -> DataFrame:
     """N11 nested -> long: ``calls(call_id, segments ARRAY<STRUCT>)`` to one row per segment."""
     return calls.select("call_id", F.inline("segments"))
@@ -96,4 +91,3 @@ def nest_calls(segments: DataFrame) -> DataFrame:
     """
     s = F.struct(*[F.col(c) for c in ["start", "end", "pos", "speaker", "text"]])
     return segments.groupBy("call_id").agg(F.array_sort(F.collect_list(s)).alias("segments"))
-

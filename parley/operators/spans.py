@@ -98,17 +98,6 @@ def entities_to_bio(tokens: DataFrame, entities: DataFrame) -> DataFrame:
     return g.select("doc_id", "ti", "token", "s", "e", tag.alias("tag"))
 
 
-def ids_to_tags(ids: Column) -> Column:
-    """D12 on ids: label id -> label, unknown ids -> ``O``."""
-    labels = F.array(*[F.lit(x) for x in LABELS])
-    return F.transform(ids, lambda i: F.coalesce(F.get(labels, i), F.lit("O")))
-
-
-def argmax_ids(scores: Column) -> Column:
-    """Per token the index of the first maximum score (numpy ``argmax``)."""
-    return F.transform(scores, lambda row: F.array_position(row, F.array_max(row)) - 1)
-
-
 def bio_to_spans(tagged: DataFrame, tag_col: str = "tag") -> DataFrame:
     """BIO tokens (``doc_id, ti, s, e, tag``) to spans ``doc_id, label, s, e``.
 

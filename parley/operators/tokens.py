@@ -47,11 +47,6 @@ def tokens_with_offsets(docs: DataFrame) -> DataFrame:
                                     (F.col("s") + F.length("piece")).cast("int").alias("e"))
 
 
-def token_array(text) -> "F.Column":
-    """B1 without offsets, as one array column (``\\w+|[^\\w\\s]``)."""
-    return F.regexp_extract_all(text if not isinstance(text, str) else F.col(text), F.lit(f"(?U)[{WORD}]+|[^{WORD}{SPACE}]"), 0)
-
-
 def whitespace_tokens(text) -> "F.Column":
     """B2: Python ``str.split()``: split on whitespace runs, no empty tokens."""
     n = normalize_ws(text)

@@ -40,17 +40,11 @@ def register(name: str):
     return deco
 
 
-_ROWS: dict[str, int] = {}
-
-
 def conv_chunks(spark: SparkSession, sf: str) -> int:
     """Split decision for the ordered scans over conversation segments: one segment per table row,
-    and a Parquet row count is answered from file metadata (no pass over the data); counted once
-    per table path."""
+    and a Parquet row count is answered from file metadata (no pass over the data)."""
     from ..operators.sequence import chunk_count
-    if sf not in _ROWS:
-        _ROWS[sf] = read_table(spark, sf, "conversations", ["conv_id"]).count()
-    return chunk_count(_ROWS[sf], spark)
+    return chunk_count(read_table(spark, sf, "conversations", ["conv_id"]).count(), spark)
 
 
 def conv_segments(spark: SparkSession, sf: str, numeric_id: bool = False) -> DataFrame:
@@ -278,10 +272,9 @@ def subset_overlap(spark, sf):
     k_tr, k_ev = corp.subset_sizes(n, 0.1, 0.05)
     tr = corp.sample_exact(d, "doc_id", k_tr, SEED)
     ev = corp.sample_exact(d, "doc_id", k_ev, 123)
-    inter = ev.join(tr, "doc_id", "left_semi").count()
-    disjoint = ev.join(tr, "doc_id", "left_anti").count()
-    return d.sparkSession.createDataFrame([(k_tr, k_ev, inter, disjoint)],
-                                          "n_train long, n_eval long, n_overlap long, n_eval_disjoint long")
+    both = ev.join(tr.select("doc_id", F.lit(1).alias("t")), "doc_id", "left")
+    return both.agg(F.count("t").alias("n_overlap"), F.count_if(F.col("t").isNull()).alias("n_eval_disjoint")).select(
+        F.lit(k_tr).cast("long").alias("n_train"), F.lit(k_ev).cast("long").alias("n_eval"), "n_overlap", "n_eval_disjoint")
 
 
 def _corpus(spark, sf):

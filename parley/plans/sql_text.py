@@ -61,13 +61,6 @@ def spans_list(t: str, kind: str, label: str) -> str:
             f"{{'label': {q(label)}, 's': CAST({st}[i] AS INTEGER), 'e': CAST({st}[i] + {ln}[i] AS INTEGER)}})")
 
 
-def values_list(t: str, kind: str) -> str:
-    """Matched values cut from the original text."""
-    a = ascii_view(t)
-    st, ln = match_starts(a, RE2[kind]), match_lens(a, RE2[kind])
-    return f"list_transform(range(1, len({ln}) + 1), lambda i: substr({t}, {st}[i] + 1, {ln}[i]))"
-
-
 def count_of(t: str, kind: str) -> str:
     return f"len(regexp_extract_all({ascii_view(t)}, {q(RE2[kind])}))"
 
