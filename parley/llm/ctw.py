@@ -7,9 +7,12 @@ depths at once. A trained model predicts with the weights that the training data
 
     p(s) = (w p_KT(s) + (1 - w) p(longer context)),  w = KT(s) / (KT(s) + product over longer contexts)
 
-Contexts seen fewer times than the smallest power of two that leaves at most ``max_nodes`` of them share
-one estimator per shorter context ("the rest"), which also predicts for contexts never seen; the model
-that is sent to the tasks is bounded by that. All counts are taken over all training rows.
+Every context of the training rows has its node; a context never seen predicts 1/2. The grams (a byte and its
+``DEPTH`` bytes of context) of all rows are one table, dealt by the last ``TOP`` + 1 bytes of the context: all
+nodes of longer contexts lie within one such group (at most 256 ** (``DEPTH`` - ``TOP``) grams), so their weights
+and chances are computed group by group. Nodes of shorter contexts are at most 255 * 256 ** ``TOP``, a bound of the
+byte alphabet and not of the input; these go to the tasks. The result is a table of every gram's log probability.
+The values of about ``FREQUENT`` frequent grams go to the tasks that read the texts, all others are joined.
 
 Texts are their bytes with A-Z lower-cased, between bytes 0xFF that no UTF-8 text has: they fill the first
 contexts, and one marks the end, which is predicted too. So probabilities add up over all texts.
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,10 +41,10 @@ from ..session import cut_lineage, materialize
 from .common import blocks, lower_ascii, texts_of
 
 DEPTH = 4
-MAX_NODES = 1 << 21
+TOP = 2
+MAX_NODES = 1 << 21  # of ``tree_nodes``, which ``score`` does not use
 FREQUENT = 400_000
 EDGE = 0xFF
-CACHE_SIZE = 1_000_000
 _LOG2 = np.log(2)
 
 _words = re.compile(rb"[^\x20\x09-\x0D]+").findall
@@ -152,25 +156,39 @@ def build_tree(nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
     return Tree(tuple(keys[::-1]), tuple(own[::-1]), tuple(rest[::-1]), tuple(weight[::-1]))
 
 
-def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, n) over all rows of ``docs`` (text): grams (``g``) and word hashes (``w``), ends under hash 0."""
+def corpus_counts(docs: DataFrame, depth: int = DEPTH, training: Column | None = None) -> DataFrame:
+    """(kind, key, n, every) of grams (``g``) and word hashes (``w``, ends under hash 0) of ``docs`` (text).
+
+    ``n`` counts the rows where ``training`` holds (all without it), ``every`` counts all rows; grams come from all
+    rows, words from training rows only.
+    """
 
     def run(batches):
         for b in blocks(batches, "text"):
             texts = [lower_ascii(t).encode() for t in texts_of(b)]
-            gram, n = np.unique(grams(texts, depth)[1], return_counts=True)
-            words = Counter(w for t in texts for w in _words(t))
-            key = np.array([0, *map(word_hash, words)], dtype=np.int64)
-            count = np.array([len(texts), *words.values()], dtype=np.int64)
-            for kind, k, c in (("g", gram, n), ("w", key, count)):
-                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(k)), "key": pa.array(k), "n": pa.array(c.astype(np.int64))})
-
-    src = docs.select(docs["text"].cast("string").alias("text"))
-    return src.mapInArrow(run, "kind string, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+            use = np.asarray(b.column("use"), dtype=bool)
+            row, gram = grams(texts, depth)
+            gram, which, every = np.unique(gram, return_inverse=True, return_counts=True)
+            n = np.bincount(which[use[row]], minlength=len(gram))
+            learnt = [t for t, u in zip(texts, use) if u]
+            words = Counter(w for t in learnt for w in _words(t))
+            key = np.array([0, *map(word_hash, words)] if learnt else [], dtype=np.int64)
+            count = np.array([len(learnt), *words.values()] if learnt else [], dtype=np.int64)
+            for kind, k, c, e in (("g", gram, n, every), ("w", key, count, count)):
+                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(k), pa.string()), "key": pa.array(k),
+                                                  "n": pa.array(c.astype(np.int64)), "every": pa.array(e.astype(np.int64))})
+
+    use = F.lit(True) if training is None else F.coalesce(training, F.lit(False))
+    src = docs.select(docs["text"].cast("string").alias("text"), use.alias("use"))
+    return (src.mapInArrow(run, "kind string, key bigint, n bigint, every bigint")
+            .groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("every").alias("every")))
 
 
 def tree_nodes(counts: DataFrame, depth: int = DEPTH, max_nodes: int = MAX_NODES) -> list[tuple]:
-    """By depth, (keys, zeros, ones) of the nodes seen often enough; at most ``max_nodes`` in all."""
+    """By depth, (keys, zeros, ones) of the nodes seen often enough; at most ``max_nodes`` in all.
+
+    A pooled tree for a caller that wants a model of bounded size; ``score`` keeps every node.
+    """
     byte, context = F.col("key").bitwiseAND(F.lit(255)), F.shiftright("key", 8)
     bits = F.explode(F.sequence(F.lit(0), F.lit(7)))
     one = F.expr("(byte >> (7 - bit)) & 1")
@@ -201,8 +219,155 @@ def tree_nodes(counts: DataFrame, depth: int = DEPTH, max_nodes: int = MAX_NODES
     return [(node[d == i], a[d == i].astype(np.float64), b[d == i].astype(np.float64)) for i in range(depth + 1)]
 
 
+def shorter(node: np.ndarray, a: np.ndarray, b: np.ndarray, log_w: np.ndarray, d: int) -> tuple[np.ndarray, ...]:
+    """(keys, zeros, ones, sum of ``log_w``) of the nodes of depth ``d`` above nodes of depth ``d`` + 1."""
+    key, at = np.unique((node >> 8 & ((1 << 8 * d) - 1)) << 8 | node & 255, return_inverse=True)
+    return key, *(np.bincount(at, weights=x, minlength=len(key)) for x in (a, b, log_w))
+
+
+def mixed(a: np.ndarray, b: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(chance of a 1 by the node's own estimator, its weight, log weighted probability); ``below`` is the log of the
+    product over the longer contexts."""
+    kt = log_kt(a, b)
+    weight = 1 / (1 + np.exp(np.clip(below - kt, -700, 700)))
+    return (b + 0.5) / (a + b + 1.0), weight, np.logaddexp(kt, below) - _LOG2
+
+
+def bits_of(gram: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bits of the gram's byte before ``bit``, led by a 1; the bit itself)."""
+    byte = gram & 255
+    return (1 << bit) | (byte >> (8 - bit)), (byte >> (7 - bit)) & 1
+
+
+def _find(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``key`` are among the sorted ``keys``, and where those are)."""
+    if not len(keys):
+        return np.zeros(len(key), dtype=bool), np.zeros(0, dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    hit = keys[at] == key
+    return hit, at[hit]
+
+
+def longer_contexts(gram: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Of whole groups of grams (all that share ``top`` + 1 bytes of context) with their training counts.
+
+    (bit x gram: chance of a 1 by the contexts longer than ``top``; the nodes of depth ``top`` as of ``shorter``).
+    """
+    seen, context = n > 0, gram >> 8
+    chance, above = np.full((8, len(gram)), 0.5), []
+    for bit in range(8):
+        prefix, one = bits_of(gram, bit)
+        node, at = np.unique((context << 8 | prefix)[seen], return_inverse=True)
+        b = np.bincount(at, weights=(n * one)[seen], minlength=len(node))
+        a = np.bincount(at, weights=(n * (1 - one))[seen], minlength=len(node))
+        log_w = log_kt(a, b)
+        hit, i = _find(node, context << 8 | prefix)
+        chance[bit, hit] = ((b + 0.5) / (a + b + 1.0))[i]
+        for d in range(depth - 1, top, -1):
+            node, a, b, below = shorter(node, a, b, log_w, d)
+            own, weight, log_w = mixed(a, b, below)
+            hit, i = _find(node, (context & ((1 << 8 * d) - 1)) << 8 | prefix)
+            chance[bit, hit] = weight[i] * own[i] + (1 - weight[i]) * chance[bit, hit]
+        above.append(shorter(node, a, b, log_w, top))
+    return chance, tuple(np.concatenate(x) for x in zip(*above))
+
+
+def short_contexts(node: np.ndarray, a: np.ndarray, b: np.ndarray, below: np.ndarray, top: int) -> list[tuple[np.ndarray, ...]]:
+    """By depth from 0 to ``top``, (sorted keys, own chance, weight) from the nodes of depth ``top``."""
+    by = np.argsort(node)
+    node, a, b, below = node[by], a[by], b[by], below[by]
+    levels = []
+    for d in range(top, -1, -1):
+        own, weight, log_w = mixed(a, b, below)
+        levels.append((node, own, weight))
+        if d:
+            node, a, b, below = shorter(node, a, b, log_w, d - 1)
+    return levels[::-1]
+
+
+def log10_of(gram: np.ndarray, chance: np.ndarray, levels: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+    """log10 probability of the last byte of each gram: ``chance`` by the longer contexts under all shorter ones."""
+    total = np.zeros(len(gram))
+    for bit in range(8):
+        prefix, one = bits_of(gram, bit)
+        p, left = np.zeros(len(gram)), np.ones(len(gram))
+        for d, (keys, own, weight) in enumerate(levels):
+            hit, i = _find(keys, (gram >> 8 & ((1 << 8 * d) - 1)) << 8 | prefix)
+            p[hit] += left[hit] * weight[i] * own[i]
+            left[hit] *= 1 - weight[i]
+        p += left * chance[bit]
+        total += np.log10(np.where(one == 1, p, 1 - p))
+    return total
+
+
+def _groups(batches: Iterable[pa.RecordBatch], mask: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(gram, n, every) of sorted batches, cut where the group changes."""
+    held = (np.zeros(0, dtype=np.int64),) * 3
+    for batch in batches:
+        rows = tuple(np.concatenate([h, np.asarray(batch.column(c))]) for h, c in zip(held, ("key", "n", "every")))
+        group = rows[0] >> 8 & mask
+        cut = int(np.searchsorted(group, group[-1])) if len(group) else 0
+        held = tuple(x[cut:] for x in rows)
+        if cut:
+            yield tuple(x[:cut] for x in rows)
+    if len(held[0]):
+        yield held
+
+
+def gram_values(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, every, value): log10 probability of every gram of ``corpus_counts``, under all nodes of the training rows."""
+    if depth < 1:
+        raise ValueError("depth must be 1 or more")
+    top = min(TOP, depth - 1)
+    mask = (1 << 8 * (top + 1)) - 1
+    group = F.shiftright("key", 8).bitwiseAND(F.lit(mask))
+    dealt = cut_lineage(counts.where("kind = 'g'").select("key", "n", "every", group.alias("group")).repartition("group")
+                        .sortWithinPartitions("group", "key").drop("group"))
+
+    def nodes(batches):
+        for gram, n, _ in _groups(batches, mask):
+            node, a, b, below = longer_contexts(gram, n, depth, top)[1]
+            yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "a": pa.array(a, pa.float64()),
+                                              "b": pa.array(b, pa.float64()), "below": pa.array(below, pa.float64())})
+
+    # at most 255 * 256 ** top nodes
+    table = (dealt.mapInArrow(nodes, "node bigint, a double, b double, below double").groupBy("node")
+             .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("below").alias("below")).toArrow())
+    own = counts.sparkSession.sparkContext.broadcast(short_contexts(*(np.asarray(table.column(c)) for c in ("node", "a", "b", "below")), top))
+
+    def values(batches):
+        for gram, n, every in _groups(batches, mask):
+            value = log10_of(gram, longer_contexts(gram, n, depth, top)[0], own.value)
+            yield pa.RecordBatch.from_pydict({"key": pa.array(gram), "every": pa.array(every), "value": pa.array(value)})
+
+    return dealt.mapInArrow(values, "key bigint, every bigint, value double")
+
+
+def frequent_grams(values: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted keys, values) of the grams from a count on that leaves at most ``most``, found by a count per eighth of a
+    power of two (504 rows at most)."""
+    step = F.floor(F.log2("every") * 8)
+    least, left = 1 << 10, 0
+    for k, n in sorted(((r["k"], r["count"]) for r in values.groupBy(step.alias("k")).count().collect()), reverse=True):
+        left += n
+        if left > most:
+            break
+        least = k
+    table = values.where(step >= least).select("key", "value").toArrow()
+    order = np.argsort(np.asarray(table.column("key")))
+    return np.asarray(table.column("key"))[order], np.asarray(table.column("value"))[order]
+
+
+def _lists(row: np.ndarray, at: np.ndarray, key: np.ndarray, n: int) -> pa.ListArray:
+    """By row from 0 to ``n`` - 1, the distinct ``key[at]`` with how often they occur."""
+    pair, tf = np.unique(row * max(len(key), 1) + at, return_counts=True)
+    ends = np.searchsorted(pair, np.arange(n + 1) * max(len(key), 1))
+    found = pa.StructArray.from_arrays([pa.array(key[pair % max(len(key), 1)]), pa.array(tf.astype(np.int64))], ["key", "tf"])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), found)
+
+
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-          max_nodes: int = MAX_NODES, frequent: int = FREQUENT) -> DataFrame:
+          frequent: int = FREQUENT) -> DataFrame:
     """Every row of ``docs`` under a model of the rows where ``training`` holds.
 
     (id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10 probability of the text),
@@ -210,8 +375,9 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    counts = cut_lineage(corpus_counts(docs.where(training).select(docs[text_col].alias("text")), depth))
-    tree = spark.sparkContext.broadcast(build_tree(tree_nodes(counts, depth, max_nodes)))
+    counts = cut_lineage(corpus_counts(docs.select(docs[text_col].alias("text"), training.alias("use")), depth, F.col("use")))
+    values = materialize(gram_values(counts, depth), "ctw-grams")
+    often = spark.sparkContext.broadcast(frequent_grams(values, frequent))  # at most ``frequent`` pairs of numbers
     words = counts.where("kind = 'w'").select(F.col("key").alias("word"), F.col("n").alias("c"))
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_all, floor = int(total["n"]), float(total["n"]) + 0.1 * (total["v"] + 1)
@@ -220,22 +386,18 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     common = spark.sparkContext.broadcast((np.asarray(top.column("word"))[order], np.asarray(top.column("c"))[order]))
 
     def run(batches):
-        model, (word, c) = tree.value, common.value
+        (often_gram, often_value), (word, c) = often.value, common.value
         value = np.log10((c + 0.1) / floor)
-        seen, seen_log = np.zeros(0, dtype=np.int64), np.zeros(0)
         for b in blocks(batches, "text"):
             texts = [lower_ascii(t).encode() for t in texts_of(b)]
             n = len(texts)
             row, gram = grams(texts, depth)
             gram, which = np.unique(gram, return_inverse=True)
-            fresh = gram[~np.isin(gram, seen, assume_unique=True)]
-            if len(seen) + len(fresh) > CACHE_SIZE:
-                seen, seen_log, fresh = np.zeros(0, dtype=np.int64), np.zeros(0), gram
-            if len(fresh):
-                seen, seen_log = np.append(seen, fresh), np.append(seen_log, model.log10_of(fresh))
-                by = np.argsort(seen, kind="stable")
-                seen, seen_log = seen[by], seen_log[by]
-            log10 = np.bincount(row, weights=seen_log[np.searchsorted(seen, gram)][which], minlength=n)
+            hit, i = _find(often_gram, gram)
+            gram_log = np.zeros(len(gram))
+            gram_log[hit] = often_value[i]
+            log10 = np.bincount(row, weights=gram_log[which], minlength=n)
+            rare_grams = _lists(row[~hit[which]], which[~hit[which]], gram, n)
 
             split = [_words(t) for t in texts]
             distinct = list(set().union(*split))
@@ -250,24 +412,27 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
             base = np.bincount(of, weights=worth[flat], minlength=n)
             known = np.bincount(of, weights=have[flat], minlength=n).astype(np.int64)
             other = ~have[flat]
-            pair, tf = np.unique(of[other] * (len(distinct) + 1) + flat[other], return_counts=True)
-            ends = np.searchsorted(pair, np.arange(n + 1) * (len(distinct) + 1))
-            rest = pa.StructArray.from_arrays([pa.array(hashes[pair % (len(distinct) + 1)]), pa.array(tf.astype(np.int64))], ["word", "tf"])
+            rest = _lists(of[other], flat[other], hashes, n)
             yield pa.RecordBatch.from_pydict({
                 "id": b.column("id"), "n_tokens": pa.array(size.astype(np.int64)), "known": pa.array(known), "base": pa.array(base),
                 "score": pa.array(log10), "n_bytes": pa.array(np.array([len(t) + 1 for t in texts], dtype=np.int64)),
-                "rest": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), rest)})
+                "rest": rest, "grams": rare_grams})
 
     src = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     rows = src.mapInArrow(run, f"id {id_type}, n_tokens bigint, known bigint, base double, score double, n_bytes bigint, "
-                               "rest array<struct<word:bigint,tf:bigint>>")
+                               "rest array<struct<key:bigint,tf:bigint>>, grams array<struct<key:bigint,tf:bigint>>")
     # written once: the row numbers then stay what they are
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "ctw-rows")
-    rare = rows.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.tf")
-    worth = F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(floor)) * F.col("tf")
-    tail = (rare.join(words, "word", "left").groupBy("row")
-            .agg(F.sum(worth).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("more_known")))
-    out = rows.drop("rest").join(tail, "row", "left")
+    found = lambda c, gram: rows.select("row", F.explode(c).alias("r")).select("row", F.lit(gram).alias("gram"), "r.key", "r.tf")
+    known = (words.select(F.lit(False).alias("gram"), F.col("word").alias("key"), F.log10((F.col("c") + 0.1) / F.lit(floor)).alias("value"))
+             .union(values.select(F.lit(True), "key", "value")))
+    of_gram, worth = F.col("gram"), F.coalesce("value", F.log10(F.lit(0.1) / F.lit(floor))) * F.col("tf")
+    tail = (found("rest", False).union(found("grams", True)).join(known, ["gram", "key"], "left").groupBy("row")
+            .agg(F.sum(F.when(~of_gram, worth)).alias("more"),
+                 F.sum(F.when(~of_gram & F.col("value").isNotNull(), F.col("tf"))).alias("more_known"),
+                 F.sum(F.when(of_gram, F.col("value") * F.col("tf"))).alias("more_score")))
+    score = F.col("score") + F.coalesce("more_score", F.lit(0.0))
+    out = rows.drop("rest", "grams").join(tail, "row", "left")
     return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                       F.lit(n_all).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-                      "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))
+                      score.alias("score"), (-score / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))

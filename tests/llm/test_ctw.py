@@ -126,3 +126,28 @@ def test_odd_rows(odd, empty):
     untrained = ctw.score(odd, odd["doc_id"] > 1000).collect()
     assert {round(r["bits_per_byte"], 6) for r in untrained} == {8.0} and {r["train_tokens"] for r in untrained} == {0}
     assert ctw.score(empty, empty["doc_id"] > 0).count() == 0
+
+
+def test_every_context_is_kept_whatever_the_number_sent_to_the_tasks(spark, texts, monkeypatch):
+    """No node is pooled, also where a bounded tree would hold 60 nodes and where hardly any gram is sent to the tasks."""
+    pooled = ctw.tree_nodes
+    monkeypatch.setattr(ctw, "tree_nodes", lambda counts, depth, *_: pooled(counts, depth, 60))
+    some = texts[:12]
+    df = spark.createDataFrame([(i, t, k < 8) for k, (i, t) in enumerate(some)], "doc_id long, text string, train boolean")
+    want = brute_tree([lower(t) for _, t in some[:8]], 4)
+    for few in (3, 1 << 20):
+        got = {r["doc_id"]: r["score"] for r in ctw.score(df, df["train"], frequent=few).collect()}
+        for i, t in some:
+            assert abs(got[i] - want(lower(t))) < 1e-9 * abs(want(lower(t))), (few, i)
+
+
+def test_groups_cut_anywhere_give_the_same(spark, texts):
+    """The table of grams in one batch or in batches of three rows."""
+    import pyarrow as pa
+    row = sorted((int(g) >> 8 & 0xFFFFFF, int(g)) for g in set(ctw.grams([lower(t) for _, t in texts[:5]])[1].tolist()))
+    key = np.array([g for _, g in row])
+    batch = pa.RecordBatch.from_pydict({"key": key, "n": key % 3, "every": key % 3 + 1})
+    cut = list(ctw._groups([batch.slice(i, 3) for i in range(0, len(key), 3)], 0xFFFFFF))
+    assert np.array_equal(np.concatenate([g for g, _, _ in cut]), key)
+    groups = [set((g >> 8 & 0xFFFFFF).tolist()) for g, _, _ in cut]
+    assert sum(map(len, groups)) == len(set().union(*groups))
