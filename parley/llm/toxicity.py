@@ -44,13 +44,19 @@ CACHE_SIZE = 200_000
 
 _TOKEN = re.compile(r"[^\W_](?:\S*[^\W_])?").findall
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n").split
-_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[\W_]{1,3}[^\W\d_]){2,}(?!\S)")
+_SPACED = re.compile(r"(?<![^\W_])(?<![^\W_]\S)[^\W\d_](?:[\W_]{1,3}[^\W\d_]){2,}(?![^\W_])")
 _SIGNS = re.compile(r"[\W_]+")
 
 
+def joined(text: str) -> str:
+    """Lower-case text, runs of single letters joined: over the whole text, as signs and line breaks inside a run would
+    end a sentence."""
+    return _SPACED.sub(lambda m: _SIGNS.sub("", m[0]), text.lower())
+
+
 def tokens_of(text: str) -> list[str]:
     """Lower-case words, signs inside kept; runs of single letters joined."""
-    return _TOKEN(_SPACED.sub(lambda m: _SIGNS.sub("", m[0]), text.lower()))
+    return _TOKEN(joined(text))
 
 
 def plain(token: str) -> str:
@@ -178,7 +184,9 @@ class Pool:
     def values(self, texts: list[str]) -> np.ndarray:
         """Documents x (landmarks + 1): sums over sentences of the nearest word's kernel; number of words."""
         out = np.zeros((len(texts), len(self.kernel.landmarks) + 1))
-        split = [tokens_of(t) for t in texts]
+        texts = [joined(t) for t in texts]
+        # sentences end at white space, where tokens end too: those of a text are those of its sentences
+        split = [_TOKEN(t) for t in texts]
         every = set().union(*split)
         if len(every.difference(self._known)):
             self.learn(every)
@@ -189,8 +197,8 @@ class Pool:
                 continue
             for sentence in _SENTENCE(texts[row]):
                 best: dict[int, float] = {}
-                for w in tokens_of(sentence):
-                    for k, v in (self._known.get(w) or {}).items():
+                for w in _TOKEN(sentence):
+                    for k, v in (get(w) or {}).items():
                         best[k] = max(v, best.get(k, 0.0))
                 for k, v in best.items():
                     out[row, k] += v

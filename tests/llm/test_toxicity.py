@@ -33,6 +33,20 @@ def test_gaps_and_signs_are_tolerated():
         assert pool.values([text])[0][0] > 0.5, text
 
 
+def test_spaced_words_before_any_sign_alone_in_a_task():
+    forms = ("idiot", "i d i o t", "i.d.i.o.t", "i. d. i. o. t", "i-d-i-o-t", "i * d * i * o * t", "i\nd\ni\no\nt", "(i d i o t)", "idi*ot")
+    for form in forms:
+        for end in ("", ".", "!", "?", ",", "?!", " go", ". go", "! go", "? go", ", go", ".\nGo"):
+            alone = toxicity.Pool(["idiot"]).values([f"you are an {form}{end}"])[0][0]
+            assert alone > 0.99, (form, end)
+
+
+def test_tokens_of_sentences_are_those_of_the_text(texts):
+    for t in [t for _, t in texts[:200]] + ["so w.e. i d i o t! a b. c\nd e.f. g?!x y z...", "don't u r a, e.g. i. d?\u2028i o t"]:
+        whole = toxicity.joined(t)
+        assert toxicity.tokens_of(t) == [w for x in toxicity._SENTENCE(whole) for w in toxicity._TOKEN(x)]
+
+
 def test_sentences_are_pooled_by_their_nearest_word():
     pool = toxicity.Pool(["idiot"])
     assert np.isclose(pool.values(["idiot idiot idiot."])[0][0], 1)
