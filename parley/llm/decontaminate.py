@@ -21,7 +21,7 @@ than ``N``; documents are read whole; repeated rows of either table give repeate
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,7 @@ class Items:
     first: np.ndarray  # by seed, where its places begin
     item: np.ndarray  # by place
     at: np.ndarray  # by place: word of the item
+    rare: np.ndarray | None = None  # by seed; all are without it
 
     def gram_codes(self, words: np.ndarray) -> np.ndarray:
         """n-gram numbers of a row of word numbers; -1 where a word is unknown."""
@@ -89,16 +90,26 @@ def _places(items: Items, flat: np.ndarray, item: np.ndarray, at: np.ndarray) ->
     return Items(items.ids, items.codes, items.vocabulary, grams, np.append(first, len(flat)), item[order], at[order])
 
 
+def _some(items: Items, keep: np.ndarray) -> Items:
+    return _places(items, np.repeat(items.grams, np.diff(items.first))[keep], items.item[keep], items.at[keep])
+
+
 def keep_rare(items: Items, df: np.ndarray, most: float) -> Items:
-    """The places of seeds with a document count up to ``most``, and the rarest half of each item's."""
+    """The places of seeds with a document count from 1 to ``most``, and the rarest half of each item's that occur."""
     count = np.repeat(df, np.diff(items.first))
-    order = np.lexsort((items.at, count, items.item))
+    present = count > 0
+    order = np.lexsort((items.at, count, ~present, items.item))
     rank = np.empty(len(order), dtype=np.int64)
     sizes = np.bincount(items.item, minlength=len(items.ids))
     rank[order] = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    keep = (count <= most) | (2 * rank < sizes[items.item])
-    flat = np.repeat(items.grams, np.diff(items.first))
-    return _places(items, flat[keep], items.item[keep], items.at[keep])
+    found = np.bincount(items.item[present], minlength=len(items.ids))
+    return _some(items, present & ((count <= most) | (2 * rank < found[items.item])))
+
+
+def mark_rare(items: Items, df: np.ndarray, most: float) -> Items:
+    """All seeds that occur in a document, with the rare ones marked."""
+    found = _some(items, np.repeat(df, np.diff(items.first)) > 0)
+    return replace(found, rare=np.isin(found.grams, keep_rare(items, df, most).grams))
 
 
 def seeds_in(items: Items, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,23 +130,37 @@ def slack(n_words: int) -> int:
     return n_words // 2 + 3
 
 
-def windows(items: Items, place: np.ndarray, seed: np.ndarray) -> list[tuple[int, int, int]]:
-    """(item, first word, last word + 1) of a document to align."""
+def windows(items: Items, place: np.ndarray, seed: np.ndarray) -> list[tuple[int, int, int, bool]]:
+    """(item, first word, last word + 1, whether a rare seed is in it) of a document."""
     reps = np.diff(items.first)[seed]
     total = int(reps.sum())
     if not total:
         return []
     j = np.repeat(items.first[seed], reps) + np.arange(total) - np.repeat(np.cumsum(reps) - reps, reps)
     item, line = items.item[j], np.repeat(place, reps) - items.at[j]
+    rare = np.ones(total, dtype=bool) if items.rare is None else np.repeat(items.rare[seed], reps)
     out, last = [], None
-    for i, x in sorted(set(zip(item.tolist(), line.tolist()))):
+    for i, x, r in sorted(set(zip(item.tolist(), line.tolist(), rare.tolist()))):
         n = len(items.codes[i])
         if last and last[0] == i and x - last[1] <= slack(n):
-            last[2] = x
+            last[2:] = x, last[3] or r
         else:
-            last = [i, x, x]
+            last = [i, x, x, r]
             out.append(last)
-    return [(i, max(0, lo - slack(len(items.codes[i]))), hi + len(items.codes[i]) + slack(len(items.codes[i]))) for i, lo, hi in out]
+    return [(i, max(0, lo - slack(len(items.codes[i]))), hi + len(items.codes[i]) + slack(len(items.codes[i])), r) for i, lo, hi, r in out]
+
+
+def most_matches(code: np.ndarray, words: np.ndarray) -> int:
+    """Words that two rows have in common, repeated ones counted: no alignment has more matches."""
+    word, n = np.unique(code, return_counts=True)
+    at = np.minimum(np.searchsorted(word, words), len(word) - 1)
+    have = np.bincount(at[word[at] == words], minlength=len(word))
+    return int(np.minimum(n, have).sum())
+
+
+def can_reach(code: np.ndarray, words: np.ndarray, min_score: float) -> bool:
+    """Whether a window may align at the score; items that are aligned in parts always may."""
+    return len(code) > MAX_ITEM_WORDS or most_matches(code, words) >= min_score * len(code)
 
 
 def align(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,17 +231,28 @@ def leaks_in(items: Items, texts: list[str], min_score: float) -> list[tuple[int
             if s >= min_score:
                 old = best.get((d, i))
                 top = old[:3] if old and (-old[0], old[1]) <= (-s, x) else [s, x, y]
-                best[(d, i)] = [*top, (old[3] if old else 0) + 1]
+                best[(d, i)] = [*top, [*(old[3] if old else []), (x, y)]]
         pending.clear()
 
     for doc, text in enumerate(texts):
         codes, place, seed = seeds_in(items, words_of(text))
-        for i, lo, hi in windows(items, place, seed):
+        for i, lo, hi, rare in windows(items, place, seed):
+            if not rare and not can_reach(items.codes[i], codes[lo:hi], min_score):
+                continue
             pending.append((doc, i, lo, codes[lo:hi]))
             if len(pending) == 10_000:
                 settle()
     settle()
-    return [(d, i, s, x, y, n) for (d, i), (s, x, y, n) in sorted(best.items())]
+    return [(d, i, s, x, y, _apart(spans)) for (d, i), (s, x, y, spans) in sorted(best.items())]
+
+
+def _apart(spans: list[tuple[int, int]]) -> int:
+    """Number of places, overlapping ones counted as one: two windows may hold the same copy."""
+    n, end = 0, -1
+    for x, y in sorted(spans):
+        n += x >= end
+        end = max(end, y)
+    return n
 
 
 def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
@@ -229,7 +265,7 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> list[DataFrame
 
 
 def _prepare(docs: DataFrame, block: DataFrame, text_col: str, n_docs: int, rare_share: float) -> Items:
-    """A block's items (collected: bounded by the block) with their rare seeds, counted over all documents."""
+    """A block's items (collected: bounded by the block) with the seeds that occur, rare ones marked, counted over all documents."""
     table = block.orderBy("id", "text").toArrow()
     items = index_items(table.column("id").to_pylist(), table.column("text").to_pylist())
 
@@ -245,7 +281,7 @@ def _prepare(docs: DataFrame, block: DataFrame, text_col: str, n_docs: int, rare
                .groupBy("seed").agg(F.sum("n").alias("n")).toArrow())
     df = np.zeros(len(items.grams), dtype=np.int64)
     df[np.asarray(counted.column("seed"))] = np.asarray(counted.column("n"))
-    return keep_rare(items, df, rare_share * n_docs)
+    return mark_rare(items, df, rare_share * n_docs)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",

@@ -88,6 +88,32 @@ def test_rare_seeds_leave_every_item_some():
     assert set(kept.item.tolist()) == {0, 1} and len(kept.at) < len(items.at)
 
 
+def test_edited_copies_in_many_documents_and_in_small_tables(spark):
+    """Every fifth word of an item changed, in 1 % of 3,000 documents and in one and two of 200."""
+    rng = random.Random(3)
+    item = [f"w{i}" for i in range(40)]
+    copy = " ".join(f"x{i}" if i % 5 == 4 else w for i, w in enumerate(item))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for n, copies in ((3000, 30), (200, 1), (200, 2)):
+        docs = [(i, " ".join(f"f{rng.randrange(500)}" for _ in range(20)) + (f" {copy} and more" if i < copies else "")) for i in range(n)]
+        rows = dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+        assert sorted(r["doc_id"] for r in rows) == list(range(copies))
+        assert all(abs(r["score"] - 0.7) < 0.02 and r["n_places"] == 1 for r in rows)
+
+
+def test_words_in_common_bound_the_alignment():
+    rng = random.Random(7)
+    for _ in range(300):
+        a, b = ([rng.randrange(8) for _ in range(rng.randrange(1, 15))] for _ in range(2))
+        assert brute_align(a, b) <= 2 * dc.most_matches(np.array(a), np.array(b)) <= 2 * min(len(a), len(b))
+
+
+def test_seeds_that_occur_nowhere_take_no_place_among_the_rare():
+    items = dc.index_items([1], ["a b c d e f g h"])
+    df = np.array([0, 0, 0, 100, 100, 100])
+    assert len(dc.keep_rare(items, df, 5).at) == 2 and len(dc.mark_rare(items, df, 5).grams) == 3
+
+
 def test_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "two words"), (4, "alpha beta gamma delta alpha beta"), (4, "alpha beta gamma delta alpha beta"),
                                    (None, "no id at all")], "item_id long, text string")
