@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, decontaminate, language, licenses, quality, simhash, sql, token_counts, toxicity, url_filter
+from . import (bpe, ctw, decontaminate, filter_audit, language, licenses, line_dedup, quality, resample, simhash, sql, token_counts,
+               toxicity, url_filter)
 from .common import read_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of 20 words or more, drawn towards the benchmark; weights and scores of all."""
+    return resample.resample(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]),
+                             read_columns(spark, sf_dir, "benchmark", ["text"]), percent=10, min_words=20)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each of their 120 orders, for each language."""
+    return filter_audit.audit_filters(read_columns(spark, sf_dir, "documents", ["doc_id", "text", "lang"]),
+                                      read_columns(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more share."""
+    out = line_dedup.drop_shared_lines(read_columns(spark, sf_dir, "documents", ["doc_id", "text"]), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
@@ -110,9 +129,15 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
+    "op11_resample": op11_resample,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_url_filter": sql.url_filter(URL_RULES, SPAM_WORDS),
     "op7_quality": sql.QUALITY,
+    "op11_resample": sql.RESAMPLE,
+    "op12_filter_audit": sql.FILTER_AUDIT,
+    "op13_line_dedup": sql.LINE_DEDUP,
 }
