@@ -1,7 +1,9 @@
-"""Entities, BIO tags, spans, merging and masking (B3, D12-D17, G4), long form per document.
+"""Entities, BIO tags, spans, merging and masking (B3, D12-D17, G4), long form per text row.
 
-All inputs come from ``tokens.doc_frame`` (hash-partitioned by ``doc_id``); joins, windows and
-aggregates below are keyed by ``doc_id`` (plus finer keys), so no further exchange is planned.
+Inputs come from ``tokens.doc_frame``, spread by row number. Tokens meet entities in a join on (row, block of
+characters), so a text of any length and number of entities is linear work and its blocks go to several tasks;
+texts without an entity leave before they are cut into tokens. Windows and aggregates after it are
+keyed by the row (plus finer keys) and run on the few tokens inside entities.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pii
 from ..functions import regex as rx
+from .tokens import row_key, tokens_with_offsets
 
 # ---------------------------------------------------------------------------------------------
 # The token label set (id order matters: ids index into it).
@@ -33,16 +36,15 @@ def _match_row(d_i: int, label: str):
 
 
 def regex_entities(docs: DataFrame, detectors: dict[str, str] | None = None) -> DataFrame:
-    """Entity spans from regex detectors: ``doc_id, eo, label, s, e`` (``eo`` = detection order).
+    """Entity spans from regex detectors: the row key, ``eo, label, s, e`` (``eo`` = detection order).
 
     Positions in long form: the pieces between matches (``split``) and the matches
     (``regexp_extract_all``) alternate, so a match starts at the running sum of the earlier piece
-    and match lengths - a window per (document, detector), linear in the number of matches and,
+    and match lengths - a window per (row, detector), linear in the number of matches and,
     on ``doc_frame`` input, without another exchange.
     """
-    from pyspark.sql import Window
-
     det = detectors or TAGGER_DETECTORS
+    key = row_key(docs)
     arrs = []
     for d_i, (label, p) in enumerate(det.items()):
         m = F.regexp_extract_all(F.col("text"), F.lit(p), 0)
@@ -50,12 +52,12 @@ def regex_entities(docs: DataFrame, detectors: dict[str, str] | None = None) ->
         pairs = F.arrays_zip(F.slice(gaps, 1, F.size(m)).alias("g"), m.alias("m"))
         arrs.append(F.transform(pairs, _match_row(d_i, label)))
     # one projection, one explode: every detector reads the same (co-partitioned) rows once
-    x = docs.select("doc_id", F.explode(F.concat(*arrs)).alias("x")).select("doc_id", "x.*")
-    w = Window.partitionBy("doc_id", "det").orderBy("k")
+    x = docs.select(*key, F.explode(F.concat(*arrs)).alias("x")).select(*key, "x.*")
+    w = Window.partitionBy(key[0], "det").orderBy("k")
     before = F.coalesce(F.sum(F.col("gl") + F.col("ml")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    x = x.select("doc_id", "det", "label", "k", (before + F.col("gl")).cast("int").alias("s"), "ml")
-    wo = Window.partitionBy("doc_id").orderBy("det", "k")
-    return x.select("doc_id", (F.row_number().over(wo) - 1).cast("int").alias("eo"), "label", "s",
+    x = x.select(*key, "det", "label", "k", (before + F.col("gl")).cast("int").alias("s"), "ml")
+    wo = Window.partitionBy(key[0]).orderBy("det", "k")
+    return x.select(*key, (F.row_number().over(wo) - 1).cast("int").alias("eo"), "label", "s",
                     (F.col("s") + F.col("ml")).cast("int").alias("e"))
 
 
@@ -71,102 +73,169 @@ def gazetteer_entities(tokens: DataFrame, names: DataFrame, label: str = "PERSON
     side = F.broadcast(nm) if n <= broadcast_max_rows else nm
     t = tokens.withColumn("lt", F.lower("token"))
     return (t.join(side, "lt", "left_semi")
-            .select("doc_id", (F.lit(1_000_000) + F.col("ti")).alias("eo"), F.lit(label).alias("label"), "s", "e"))
+            .select(*row_key(tokens), (F.lit(1_000_000) + F.col("ti")).alias("eo"), F.lit(label).alias("label"), "s", "e"))
 
 
-def entities_to_bio(tokens: DataFrame, entities: DataFrame) -> DataFrame:
-    """Entities sorted by (start, end); tokens overlapping the half-open span get ``B-`` (first) then
-    ``I-``; a later entity overwrites an earlier one. Output ``doc_id, ti, token, s, e, tag``.
+#: characters of a block in the join of tokens and entities
+BLOCK = 64
+
+
+def _blocks(s: str, e: str) -> Column:
+    """Blocks of characters that [s, e) touches; the block of ``s`` where it is empty."""
+    return F.explode(F.sequence(F.floor(F.col(s) / BLOCK), F.floor((F.greatest(F.col(e) - 1, F.col(s))) / BLOCK)))
 
-    The join is an equi-join on ``doc_id`` (co-partitioned, no exchange) with the overlap test as
-    residual; it only evaluates token x entity pairs of one document. The entity side grows with
-    the data, so it is hinted to a per-partition hash join rather than left to an estimated broadcast.
+
+def overlaps(tokens: DataFrame, entities: DataFrame) -> DataFrame:
+    """All pairs of a token and an entity of the same text row that overlap (``t.e > n.s`` and ``t.s < n.e``).
+
+    Both sides are listed once for each block of characters they touch and joined on (row, block); a pair that
+    meets in several blocks is taken in the one where its overlap begins.
     """
-    t = tokens.alias("t")
-    n = entities.select("doc_id", F.col("eo").alias("n_eo"), F.upper("label").alias("n_label"),
-                        F.col("s").alias("n_s"), F.col("e").alias("n_e")).alias("n").hint("shuffle_hash")
-    cond = (F.col("t.doc_id") == F.col("n.doc_id")) & (F.col("t.e") > F.col("n.n_s")) & (F.col("t.s") < F.col("n.n_e"))
-    pairs = t.join(n, cond, "left").select("t.doc_id", "ti", "token", "s", "e", "n_eo", "n_label", "n_s", "n_e")
-    wf = Window.partitionBy("doc_id", "n_eo")
-    pairs = pairs.withColumn("first_ti", F.min("ti").over(wf))
-    key = F.struct("n_s", "n_e", "n_eo")
+    key = row_key(tokens)
+    t = tokens.select(*key, "ti", "token", "s", "e", _blocks("s", "e").alias("block"))
+    n = entities.select(F.col(key[0]).alias("n_key"), F.col("eo").alias("n_eo"), F.upper("label").alias("n_label"), F.col("s").alias("n_s"),
+                        F.col("e").alias("n_e"), _blocks("s", "e").alias("n_block"))
+    met = t.join(n, (F.col(key[0]) == F.col("n_key")) & (F.col("block") == F.col("n_block")) & (F.col("e") > F.col("n_s"))
+                 & (F.col("s") < F.col("n_e")) & (F.col("block") == F.floor(F.greatest("s", "n_s") / BLOCK)))
+    return met.select(*key, "ti", "token", "s", "e", "n_eo", "n_label", "n_s", "n_e")
+
+
+def entity_tags(tokens: DataFrame, entities: DataFrame) -> DataFrame:
+    """The tokens inside entities: the row key, ``ti, token, s, e, tag``.
+
+    B3: entities sorted by (start, end); tokens overlapping the half-open span get ``B-`` (first) then ``I-``; a later
+    entity overwrites an earlier one.
+    """
+    key = row_key(tokens)
+    pairs = overlaps(tokens, entities).repartition(key[0])  # what follows is keyed by the row
+    pairs = pairs.withColumn("first_ti", F.min("ti").over(Window.partitionBy(key[0], "n_eo")))
     win = F.struct("n_label", (F.col("ti") == F.col("first_ti")).alias("is_first"))
-    g = pairs.groupBy("doc_id", "ti", "token", "s", "e").agg(
-        F.max_by(F.when(F.col("n_eo").isNotNull(), win), F.when(F.col("n_eo").isNotNull(), key)).alias("w"))
-    tag = F.when(F.col("w").isNull(), F.lit("O")).otherwise(
-        F.concat(F.when(F.col("w.is_first"), F.lit("B-")).otherwise(F.lit("I-")), F.col("w.n_label")))
-    return g.select("doc_id", "ti", "token", "s", "e", tag.alias("tag"))
+    g = pairs.groupBy(*key, "ti", "token", "s", "e").agg(F.max_by(win, F.struct("n_s", "n_e", "n_eo")).alias("w"))
+    tag = F.concat(F.when(F.col("w.is_first"), F.lit("B-")).otherwise(F.lit("I-")), F.col("w.n_label"))
+    return g.select(*key, "ti", "token", "s", "e", tag.alias("tag"))
+
+
+def texts_with(docs: DataFrame, entities: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold an entity (co-partitioned, no exchange)."""
+    key = row_key(docs)[0]
+    # grows with the data: a per-partition hash join, whatever the estimated size
+    return docs.join(entities.select(key).distinct().hint("shuffle_hash"), key, "left_semi").select(*docs.columns)
+
+
+def detected_tags(docs: DataFrame, detectors: dict[str, str] | None = None) -> DataFrame:
+    """``entity_tags`` of the regex detectors; only texts with a match are cut into tokens."""
+    ents = regex_entities(docs, detectors)
+    return entity_tags(tokens_with_offsets(texts_with(docs, ents)), ents)
+
+
+def entities_to_bio(tokens: DataFrame, entities: DataFrame) -> DataFrame:
+    """B3 for every token: the row key, ``ti, token, s, e, tag``, with ``O`` outside entities."""
+    key = row_key(tokens)
+    hit = entity_tags(tokens, entities).select(F.col(key[0]).alias("n_key"), F.col("ti").alias("n_ti"), "tag").hint("shuffle_hash")
+    out = tokens.join(hit, (F.col(key[0]) == F.col("n_key")) & (F.col("ti") == F.col("n_ti")), "left")
+    return out.select(*key, "ti", "token", "s", "e", F.coalesce("tag", F.lit("O")).alias("tag"))
 
 
-def bio_to_spans(tagged: DataFrame, tag_col: str = "tag") -> DataFrame:
-    """BIO tokens (``doc_id, ti, s, e, tag``) to spans ``doc_id, label, s, e``.
+def bio_to_spans(tagged: DataFrame, tag_col: str = "tag", sparse: bool = False) -> DataFrame:
+    """BIO tokens (the row key, ``ti, s, e, tag``) to spans ``label, s, e`` with the row key.
 
     Tokens with offsets (0, 0) are skipped. ``O`` closes the open span; ``B-x`` opens one; ``I-x``
     extends an open ``x`` span and otherwise opens a new one. As islands: a span starts at every
     non-``O`` token that is ``B-`` or whose predecessor's type differs; a running count of starts
-    numbers the spans.
+    numbers the spans. ``sparse``: ``tagged`` has no ``O`` tokens (``entity_tags``); a gap in ``ti`` stands for them.
     """
+    key = row_key(tagged)
     x = tagged.where(~((F.col("s") == 0) & (F.col("e") == 0)))
-    w = Window.partitionBy("doc_id").orderBy("ti")
+    w = Window.partitionBy(key[0]).orderBy("ti")
     typ = F.when(F.col(tag_col).startswith("B-") | F.col(tag_col).startswith("I-"), F.substring(tag_col, 3, 1 << 20))
-    x = x.select("doc_id", "ti", "s", "e", F.col(tag_col).alias("tg"), typ.alias("typ"))
+    x = x.select(*key, "ti", "s", "e", F.col(tag_col).alias("tg"), typ.alias("typ"))
     prev_typ = F.lag("typ").over(w)
+    if sparse:
+        prev_typ = F.when(F.lag("ti").over(w) == F.col("ti") - 1, prev_typ)
     start = F.col("typ").isNotNull() & (F.col("tg").startswith("B-") | prev_typ.isNull() | (prev_typ != F.col("typ")))
     x = x.withColumn("st", start.cast("int"))
     x = x.withColumn("span_no", F.sum("st").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return (x.where(F.col("typ").isNotNull()).groupBy("doc_id", "span_no")
+    return (x.where(F.col("typ").isNotNull()).groupBy(*key, "span_no")
             .agg(F.first("typ").alias("label"), F.min_by("s", "ti").alias("s"), F.max_by("e", "ti").alias("e"))
             .drop("span_no"))
 
 
+def detected_spans(docs: DataFrame, detectors: dict[str, str] | None = None) -> DataFrame:
+    """D13 over ``doc_frame`` rows with the regex detectors."""
+    return bio_to_spans(detected_tags(docs, detectors), sparse=True)
+
+
 def merge_spans(spans: DataFrame) -> DataFrame:
     """Sort by (s, e); a span joins the previous group when ``s <= max(e so far) + 1``; mixed labels
     become ``PII``. Running max over preceding rows replaces the sequential loop."""
-    w = Window.partitionBy("doc_id").orderBy("s", "e", "label")
+    key = row_key(spans)
+    w = Window.partitionBy(key[0]).orderBy("s", "e", "label")
     prev_max = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
     x = spans.withColumn("new", (prev_max.isNull() | (F.col("s") > prev_max + 1)).cast("int"))
     x = x.withColumn("grp", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return (x.groupBy("doc_id", "grp")
+    return (x.groupBy(*key, "grp")
             .agg(F.when(F.count_distinct("label") > 1, F.lit("PII")).otherwise(F.first("label")).alias("label"),
                  F.min("s").alias("s"), F.max("e").alias("e"))
             .drop("grp"))
 
 
+#: characters of the pieces that a text is cut into before parts of it are taken
+PIECE = 2048
+
+
+def _over_pieces(text: Column, spans: Column, fn) -> Column:
+    """``fn(cut, spans)`` with ``cut(a, b)`` = characters a to b of the text.
+
+    ``substring`` walks from the first character, so taking a part for each of many spans would cost spans x text. The
+    text is cut into pieces once (the struct makes it a variable of the lambda) and a part is taken from its pieces.
+    """
+    def body(st):
+        def cut(a, b):
+            first = F.floor(a / PIECE).cast("int")
+            some = F.slice(st["pieces"], first + 1, F.floor((F.greatest(b, a + 1) - 1) / PIECE).cast("int") - first + 1)
+            return F.when(b > a, F.substring(F.array_join(some, ""), a - first * PIECE + 1, b - a)).otherwise(F.lit(""))
+        return fn(cut, st["spans"])
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+    return F.get(F.transform(F.array(F.struct(pieces.alias("pieces"), spans.alias("spans"))), body), 0)
+
+
 def mask_text(text: Column, spans: Column) -> Column:
     """Replace each span (sorted by start) by ``****`` and collapse runs of 4+ ``*``.
 
     Linear in the text: every output piece is ``text[prev.e : s] + '****'`` with ``prev`` the span
-    before it (as the reference's loop keeps ``last = e``), built independently by ``transform``
-    and joined once. Without spans the text is returned unchanged (no collapse).
+    before it, built independently by ``transform`` and joined once. Without spans the text is returned unchanged
+    (no collapse).
     """
-    def piece(sp, i):
-        prev_e = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["e"])
-        head = F.when(sp["s"] > prev_e, F.substring(text, prev_e + 1, sp["s"] - prev_e)).otherwise(F.lit(""))
-        return F.concat(head, F.lit(MASK))
+    def masked(cut, sps):
+        def piece(sp, i):
+            prev_e = F.when(i == 0, F.lit(0)).otherwise(F.get(sps, i - 1)["e"])
+            return F.concat(cut(prev_e, sp["s"]), F.lit(MASK))
+        return F.array_join(F.transform(sps, piece), "")
 
     last_e = F.get(spans, F.size(spans) - 1)["e"]
-    raw = F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, last_e + 1, 1 << 30))
+    raw = F.concat(_over_pieces(text, spans, masked), F.substring(text, last_e + 1, F.lit(1 << 30)))
     return F.when(F.coalesce(F.size(spans), F.lit(0)) == 0, text).otherwise(F.regexp_replace(raw, rx.J_MULTI_STAR, MASK))
 
 
 def span_texts(text: Column, spans: Column) -> Column:
     """D15 extracted entities: ``array<struct<label,text>>`` of the original text under each span."""
-    return F.transform(spans, lambda sp: F.struct(sp["label"].alias("label"),
-                                                  F.substring(text, sp["s"] + 1, sp["e"] - sp["s"]).alias("text")))
+    def texts(cut, sps):
+        return F.transform(sps, lambda sp: F.struct(sp["label"].alias("label"), cut(sp["s"], sp["e"]).alias("text")))
+
+    none = F.array().cast("array<struct<label:string,text:string>>")
+    return F.when(F.coalesce(F.size(spans), F.lit(0)) == 0, none).otherwise(_over_pieces(text, spans, texts))
 
 
 def mask_documents(docs: DataFrame, merged: DataFrame) -> DataFrame:
-    """D15 per document: ``doc_id, text, masked_text, entities`` plus any other columns of ``docs``
-    (spans per document are bounded by its text)."""
-    per = merged.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("s", "e", "label"))).alias("sp"))
-    per = per.select("doc_id", F.transform("sp", lambda x: F.struct(x["label"].alias("label"), x["s"].alias("s"),
-                                                                    x["e"].alias("e"))).alias("spans"))
-    j = docs.join(per.hint("shuffle_hash"), "doc_id", "left")  # per-document spans: co-partitioned, never broadcast
+    """D15 for every text: the columns of ``docs``, ``masked_text, entities`` (spans of a text are bounded by it)."""
+    key = row_key(docs)[0]
+    per = merged.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("s", "e", "label"))).alias("sp"))
+    per = per.select(F.col(key).alias("n_key"), F.transform("sp", lambda x: F.struct(
+        x["label"].alias("label"), x["s"].alias("s"), x["e"].alias("e"))).alias("spans"))
+    j = docs.join(per.hint("shuffle_hash"), F.col(key) == F.col("n_key"), "left")  # per-row spans: co-partitioned, never broadcast
     sp = F.coalesce(F.col("spans"), F.array().cast(SPAN_TYPE))
-    extra = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return j.select("doc_id", "text", mask_text(F.col("text"), sp).alias("masked_text"),
-                    span_texts(F.col("text"), sp).alias("entities"), *extra)
+    return j.select(*docs.columns, mask_text(F.col("text"), sp).alias("masked_text"), span_texts(F.col("text"), sp).alias("entities"))
 
 
 def softmax_p1(logit0: Column, logit1: Column) -> Column:
@@ -185,7 +254,7 @@ def regex_guardrail_logits(text: Column) -> tuple[Column, Column]:
 
 def cascade(docs: DataFrame, score: Column, threshold: float = 0.5, max_tokens: int | None = None,
             names: DataFrame | None = None, detectors: dict[str, str] | None = None,
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, write_scores: bool = False) -> DataFrame:
     """D16 (+D11, D17): score every row; only rows with ``p >= threshold`` are tokenised, tagged,
     merged and masked; safe rows pass through untouched. Output
     ``doc_id, is_unsafe, guardrail_score, masked_text, entities, truncated``.
@@ -193,41 +262,40 @@ def cascade(docs: DataFrame, score: Column, threshold: float = 0.5, max_tokens:
     ``score`` is a probability column over ``docs`` (e.g. ``softmax_p1`` of model logits).
     ``max_tokens`` inspects only the first tokens (flagged as ``truncated``).
 
-    The guardrail (in general a model) runs once per row: scored rows are written as a Parquet
-    table in the shared checkpoint folder, partitioned by ``is_unsafe``; the extractor branch reads
-    only the unsafe partition (co-partitioned by ``doc_id`` for the per-document steps), the pass-
-    through branch only the safe one.
+    Safe rows go straight from the scan to the output; unsafe ones are spread by row number for the per-text
+    steps. Both branches evaluate ``score``. With ``write_scores`` (a model that costs more than a copy of the texts, or
+    whose scores may differ from run to run) scored rows are written once to the shared checkpoint folder,
+    partitioned by ``is_unsafe``, and each branch reads its own partition.
     """
     from ..session import materialize
-    from .tokens import tokens_with_offsets
+    from .tokens import doc_frame
 
     scored = (docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), score.alias("guardrail_score"))
-              .withColumn("is_unsafe", F.col("guardrail_score") >= threshold)
-              .withColumn("_u", F.col("is_unsafe").cast("int")))
-    # partition values come back typed as numbers, not booleans: partition on the 0/1 copy
-    scored = materialize(scored, "cascade-scored", partition_by=["_u"])
-    unsafe = scored.where(F.col("_u") == 1).drop("_u")
-    # without a number AQE sizes the partitions
-    unsafe = unsafe.repartition(partitions, "doc_id") if partitions else unsafe.repartition("doc_id")
-    toks = tokens_with_offsets(unsafe)
-    truncated = None
+              .withColumn("is_unsafe", F.coalesce(F.col("guardrail_score") >= threshold, F.lit(False))))
+    if write_scores:
+        # partition values come back typed as numbers, not booleans: partition on a 0/1 copy
+        scored = materialize(scored.withColumn("_u", F.col("is_unsafe").cast("int")), "cascade-scored", partition_by=["_u"])
+        unsafe, safe = scored.where(F.col("_u") == 1), scored.where(F.col("_u") == 0)
+    else:
+        unsafe, safe = scored.where("is_unsafe"), scored.where("not is_unsafe")
+    rows = doc_frame(unsafe.select(F.struct("doc_id", "guardrail_score").alias("doc"), "text"), "doc", "text", partitions)
+    rows = rows.select("row", F.col("doc_id.doc_id").alias("doc_id"), "text", F.col("doc_id.guardrail_score").alias("guardrail_score"))
+    ents = regex_entities(rows, detectors)
+    if names is None and max_tokens is None:
+        toks = tokens_with_offsets(texts_with(rows, ents))
+    else:
+        toks = tokens_with_offsets(rows)
+    truncated = F.lit(False)
     if max_tokens is not None:
-        n_tok = toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tok"))
-        truncated = n_tok.select("doc_id", (F.col("n_tok") > max_tokens).alias("truncated"))
+        n_tok = toks.groupBy("row").agg(F.count(F.lit(1)).alias("n_tok"))
+        rows = rows.join(n_tok.hint("shuffle_hash"), "row", "left")
+        truncated = F.coalesce(F.col("n_tok") > max_tokens, F.lit(False))
         toks = toks.where(F.col("ti") < max_tokens)
-    ents = regex_entities(unsafe, detectors)
     if names is not None:
         ents = ents.unionByName(gazetteer_entities(toks, names))
-    tagged = entities_to_bio(toks, ents)
-    merged = merge_spans(bio_to_spans(tagged))
-    out_unsafe = mask_documents(unsafe, merged)
-    if truncated is not None:
-        out_unsafe = out_unsafe.join(truncated, "doc_id", "left")
-    else:
-        out_unsafe = out_unsafe.withColumn("truncated", F.lit(False))
-    safe = scored.where(F.col("_u") == 0).select(
-        "doc_id", "text", F.col("text").alias("masked_text"),
-        F.array().cast("array<struct<label:string,text:string>>").alias("entities"),
-        "guardrail_score", "is_unsafe", F.lit(False).alias("truncated"))
+    merged = merge_spans(bio_to_spans(entity_tags(toks, ents), sparse=True))
     cols = ["doc_id", "is_unsafe", "guardrail_score", "masked_text", "entities", "truncated"]
-    return out_unsafe.select(*cols).unionByName(safe.select(*cols))
+    found = mask_documents(rows, merged).withColumn("truncated", truncated).withColumn("is_unsafe", F.lit(True))
+    rest = safe.select("doc_id", "is_unsafe", "guardrail_score", F.col("text").alias("masked_text"),
+                       F.array().cast("array<struct<label:string,text:string>>").alias("entities"), F.lit(False).alias("truncated"))
+    return found.select(*cols).unionByName(rest.select(*cols))

@@ -1,9 +1,9 @@
 """Tokenisation with character offsets (B1, B2) in long form.
 
-``doc_frame`` hash-partitions the text rows by their id once. ``explode`` keeps that partitioning,
-so every later per-document window, aggregate or join on the id (offsets, BIO tags, span islands,
-masking) runs without another exchange. A document's rows come from one input row, so these
-groups are bounded by the largest text, never by a key's share of the table.
+``doc_frame`` numbers the text rows (``row``) and spreads them by that number once. ``explode`` keeps that
+partitioning, so every later per-document window, aggregate or join on the row (offsets, span
+islands, masking) runs without another exchange. Groups are rows of the table, whatever their ids:
+repeated or null ids are rows of their own, and no id can gather more than one text in a group.
 """
 
 from __future__ import annotations
@@ -19,30 +19,36 @@ PIECES = f"(?U)[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
 
 
 def doc_frame(df: DataFrame, id_col: str, text_col: str, partitions: int | None = None) -> DataFrame:
-    """Co-partition text rows by id (one exchange); downstream per-id operators reuse it."""
-    # rows without an id cannot be joined back; dropping them here also keeps every branch's
-    # subtree identical (joins infer the same filter), so the one exchange is reused
-    rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .where(F.col("doc_id").isNotNull())
+    """``row, doc_id, text``: numbered text rows, spread by their number (one exchange); downstream operators
+    reuse it. The number is the row's place in ``df``, so ``df`` must give its rows in the same order when a task is
+    repeated: a scan with filters and projections does, a shuffled result should be written or checkpointed first."""
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # without a number AQE sizes the partitions to the data
-    return rows.repartition(partitions, "doc_id") if partitions else rows.repartition("doc_id")
+    return rows.repartition(partitions, "row") if partitions else rows.repartition("row")
+
+
+def row_key(df: DataFrame) -> list[str]:
+    """The columns that name a text row: ``row, doc_id`` of ``doc_frame``, else ``doc_id`` alone (then unique)."""
+    return [c for c in ("row", "doc_id") if c in df.columns]
 
 
 def tokens_with_offsets(docs: DataFrame) -> DataFrame:
     """B1: ``\\w+`` runs and single non-space symbols with 0-based half-open offsets.
 
-    Output ``doc_id, ti (0-based token index), token, s, e``. The text is cut into token and
+    Output: the row key, ``ti (0-based token index), token, s, e``. The text is cut into token and
     whitespace pieces (which tile it exactly); a running sum of piece lengths gives the offsets.
     """
-    p = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(PIECES), 0)).alias("pi", "piece"))
-    w = Window.partitionBy("doc_id").orderBy("pi")
+    key = row_key(docs)
+    p = docs.select(*key, F.posexplode(F.regexp_extract_all("text", F.lit(PIECES), 0)).alias("pi", "piece"))
+    w = Window.partitionBy(key[0]).orderBy("pi")
     is_tok = ~F.col("piece").rlike(f"(?U)^[{SPACE}]")
-    p = p.select("doc_id", "pi", "piece", is_tok.alias("is_tok"),
+    p = p.select(*key, "pi", "piece", is_tok.alias("is_tok"),
                  F.coalesce(F.sum(F.length("piece")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)).alias("s"),
                  (F.sum(is_tok.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1)
                  .alias("ti"))
-    return p.where("is_tok").select("doc_id", F.col("ti").cast("int").alias("ti"), F.col("piece").alias("token"),
+    return p.where("is_tok").select(*key, F.col("ti").cast("int").alias("ti"), F.col("piece").alias("token"),
                                     F.col("s").cast("int").alias("s"),
                                     (F.col("s") + F.length("piece")).cast("int").alias("e"))
 

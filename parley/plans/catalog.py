@@ -183,36 +183,32 @@ def _doc_frame(spark, sf):
 
 @register("b1_tokens")
 def tokens(spark, sf):
-    return tok_op.tokens_with_offsets(_doc_frame(spark, sf))
-
-
-def _tagged(spark, sf):
-    docs = _doc_frame(spark, sf)
-    return span_op.entities_to_bio(tok_op.tokens_with_offsets(docs), span_op.regex_entities(docs))
+    return tok_op.tokens_with_offsets(_doc_frame(spark, sf)).drop("row")
 
 
 @register("b3_bio_tags")
 def bio_tags(spark, sf):
-    return _tagged(spark, sf).where(F.col("tag") != "O").select("doc_id", "ti", "token", "tag")
+    """Every token of every document with its tag."""
+    docs = _doc_frame(spark, sf)
+    return span_op.entities_to_bio(tok_op.tokens_with_offsets(docs), span_op.regex_entities(docs)).select("doc_id", "ti", "token", "tag")
 
 
 @register("d13_bio_spans")
 def bio_spans(spark, sf):
-    return span_op.bio_to_spans(_tagged(spark, sf))
+    return span_op.detected_spans(_doc_frame(spark, sf)).drop("row")
 
 
 @register("d14_merged_spans")
 def merged_spans(spark, sf):
-    return span_op.merge_spans(span_op.bio_to_spans(_tagged(spark, sf)))
+    return span_op.merge_spans(span_op.detected_spans(_doc_frame(spark, sf))).drop("row")
 
 
 @register("d15_masked_documents")
 def masked_documents(spark, sf):
+    """Every document, masked where it holds an entity."""
     docs = _doc_frame(spark, sf)
-    merged = span_op.merge_spans(span_op.bio_to_spans(
-        span_op.entities_to_bio(tok_op.tokens_with_offsets(docs), span_op.regex_entities(docs))))
-    m = span_op.mask_documents(docs, merged)
-    return m.where(F.size("entities") > 0).select("doc_id", "masked_text", F.size("entities").alias("n_entities"))
+    m = span_op.mask_documents(docs, span_op.merge_spans(span_op.detected_spans(docs)))
+    return m.select("doc_id", "masked_text", F.size("entities").alias("n_entities"))
 
 
 @register("d16_cascade")
@@ -528,36 +524,30 @@ def llm_merge(spark, sf):
 # ------------------------------------------------------------------ files, BIO corpora
 
 
-def _span_corpus(docs, ents):
-    """Every document with its spans, an empty array where it has none."""
+def _bio_rows(spark, sf):
+    """Every document with its regex entity spans (an empty array where it has none), converted to BIO rows."""
+    docs = _doc_frame(spark, sf)
+    ents = span_op.regex_entities(docs).groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
     none = F.array().cast("array<struct<start:int,end:int,label:string>>")
-    return docs.join(ents.hint("shuffle_hash"), "doc_id", "left").select(
-        F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities"))
+    corpus = docs.join(ents.hint("shuffle_hash"), "row", "left").select(
+        "row", F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities"))
+    return bio_op.spans_corpus_to_bio(corpus)
 
 
 @register("b4_spans_to_bio_rows")
 def spans_to_bio_rows(spark, sf):
     """Documents with their regex entity spans as a span-annotated corpus, converted to BIO rows."""
-    docs = _doc_frame(spark, sf)
-    ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    out = bio_op.spans_corpus_to_bio(_span_corpus(docs, ents))
-    return out.select("row_id", F.size("tokens").alias("n_tokens"),
-                      F.size(F.filter("tags", lambda t: t != "O")).alias("n_tagged"),
-                      F.array_join(F.filter("tags", lambda t: t != "O"), " ").alias("tag_seq"))
+    return _bio_rows(spark, sf).select("row_id", F.size("tokens").alias("n_tokens"),
+                                       F.size(F.filter("tags", lambda t: t != "O")).alias("n_tagged"),
+                                       F.array_join(F.filter("tags", lambda t: t != "O"), " ").alias("tag_seq"))
 
 
 @register("b11_align_labels")
 def align_labels(spark, sf):
-    """B11 on the BIO rows of b4: labels per sub-word piece (4-character pieces, special tokens -100)."""
-    docs = _doc_frame(spark, sf)
-    ents = span_op.regex_entities(docs).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    rows = bio_op.spans_corpus_to_bio(_span_corpus(docs, ents))
-    wid = bio_op.subword_ids(F.col("tokens"))
-    lab = mdl.align_labels(F.col("wid"), F.col("tags"))
-    return rows.withColumn("wid", wid).select("row_id", F.posexplode(lab).alias("i", "label_id")).where(
-        F.col("label_id") != 0)
+    """B11 on the BIO rows of b4: the label of every sub-word piece (4-character pieces, special tokens -100)."""
+    rows = _bio_rows(spark, sf).withColumn("wid", bio_op.subword_ids(F.col("tokens")))
+    return rows.select("row_id", F.posexplode(mdl.align_labels(F.col("wid"), F.col("tags"))).alias("i", "label_id"))
 
 
 @register("l12_explore_candidates")

@@ -134,9 +134,14 @@ def _entities_cte(p: str, dets: list[tuple[str, str]]) -> str:
 
 
 ENTS_CTE = _entities_cte("", [("card", "CARD"), ("phone_strict", "PHONE"), ("fin7", "FIN")])
-TAGS_CTE = f"""{TOKENS_CTE},{ENTS_CTE},
-pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM tok t JOIN en n
-       ON t.doc_id = n.doc_id AND t.is_tok AND t.e > n.ns AND t.s < n.ne),
+# tokens and entities listed once for each block of 64 characters, met in the block where the overlap begins
+_PAIRS = """
+{p}tb AS (SELECT t.doc_id, ti, s, e, unnest(range(s // 64, (e - 1) // 64 + 1)) AS blk FROM tok t
+       WHERE is_tok AND t.doc_id IN (SELECT doc_id FROM {p}en)),
+{p}nb AS (SELECT *, unnest(range(ns // 64, greatest(ne - 1, ns) // 64 + 1)) AS blk FROM {p}en),
+{p}pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM {p}tb t JOIN {p}nb n ON t.doc_id = n.doc_id AND t.blk = n.blk
+       WHERE t.e > n.ns AND t.s < n.ne AND t.blk = greatest(t.s, n.ns) // 64)"""
+TAGS_CTE = f"""{TOKENS_CTE},{ENTS_CTE},{_PAIRS.format(p="")},
 pf AS (SELECT *, min(ti) OVER (PARTITION BY doc_id, eo) AS first_ti,
               row_number() OVER (PARTITION BY doc_id, ti ORDER BY ns DESC, ne DESC, eo DESC) AS rk FROM pr),
 tg AS (SELECT t.doc_id, t.ti, t.token, t.s, t.e,
@@ -168,10 +173,12 @@ mk AS (SELECT doc_id, regexp_replace(string_agg(CASE WHEN s > pe THEN substr(tex
        FROM mk1 GROUP BY doc_id)"""
 
 ORACLE["b1_tokens"] = f"WITH {TOKENS_CTE}\nSELECT doc_id, ti, token, s, e FROM tok WHERE is_tok"
-ORACLE["b3_bio_tags"] = f"WITH {TAGS_CTE}\nSELECT doc_id, ti, token, tag FROM tg WHERE tag <> 'O'"
+ORACLE["b3_bio_tags"] = f"WITH {TAGS_CTE}\nSELECT doc_id, ti, token, tag FROM tg"
 ORACLE["d13_bio_spans"] = f"WITH {SPANS_CTE}\nSELECT doc_id, label, s, e FROM sp"
 ORACLE["d14_merged_spans"] = f"WITH {MERGED_CTE}\nSELECT doc_id, label, s, e FROM mg"
-ORACLE["d15_masked_documents"] = f"WITH {MASK_CTE}\nSELECT doc_id, masked_text, n_entities FROM mk"
+ORACLE["d15_masked_documents"] = f"""WITH {MASK_CTE}
+SELECT d.doc_id, coalesce(mk.masked_text, d.text, '') AS masked_text, coalesce(n_entities, 0) AS n_entities
+FROM documents d LEFT JOIN mk ON d.doc_id = mk.doc_id"""
 _hits = "(" + " + ".join(count_of("text", k) for k in ["card", "phone_strict", "fin7", "email"]) + ")"
 ORACLE["d16_cascade"] = f"""WITH {MASK_CTE},
 sc AS (SELECT doc_id, text, CAST({_hits} AS DOUBLE) - 0.5 AS l1 FROM documents),
@@ -374,9 +381,7 @@ ORACLE["k4_results_json"] = ORACLE["r6_score_calls"]
 
 
 def _tags_cte(p: str, dets: list[tuple[str, str]]) -> str:
-    return f"""{_entities_cte(p, dets)},
-{p}pr AS (SELECT t.doc_id, t.ti, n.eo, n.label, n.ns, n.ne FROM tok t JOIN {p}en n
-          ON t.doc_id = n.doc_id AND t.is_tok AND t.e > n.ns AND t.s < n.ne),
+    return f"""{_entities_cte(p, dets)},{_PAIRS.format(p=p)},
 {p}pf AS (SELECT *, min(ti) OVER (PARTITION BY doc_id, eo) AS first_ti,
                  row_number() OVER (PARTITION BY doc_id, ti ORDER BY ns DESC, ne DESC, eo DESC) AS rk FROM {p}pr),
 {p}tg AS (SELECT t.doc_id, t.ti, t.s, t.e,
@@ -425,7 +430,7 @@ lab AS (SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(list_position({_LABELS}, la
         UNION ALL SELECT DISTINCT doc_id, 0, -100 FROM c
         UNION ALL SELECT DISTINCT doc_id, CAST(total + 1 AS INTEGER), -100 FROM c
         UNION ALL SELECT doc_id, unnest([0, 1]), -100 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM tg))
-SELECT doc_id AS row_id, i, label_id FROM lab WHERE label_id <> 0"""
+SELECT doc_id AS row_id, i, label_id FROM lab"""
 
 
 

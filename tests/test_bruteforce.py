@@ -33,35 +33,16 @@ def test_wer_turns_bruteforce(spark):
     assert got.wer == round(edits / words, 6)
 
 
-def test_align_labels_bruteforce(spark):
-    from parley.operators.spans import LABELS
-    l2i = {lab: i for i, lab in enumerate(LABELS)}
-    q = entry.queries()["b11_align_labels"](spark, SF01)
+def test_aligned_labels_of_every_piece(spark):
+    """A word's first piece has the id of its tag, its other pieces the id of the inside tag; special places -100."""
+    from parley.operators import spans
+    from parley.plans.catalog import _bio_rows
+    ids = {name: n for n, name in enumerate(spans.LABELS)}
+    inside = {name: ids[name.replace("B-", "I-")] for name in ids}
     got = {}
-    for r in q.collect():
-        got.setdefault(r.row_id, {})[r.i] = r.label_id
-    rows = entry.queries()["b4_spans_to_bio_rows"]
-    from pyspark.sql import functions as F
-    from parley.operators import bio, spans, tokens
-    docs = tokens.doc_frame(read_table(spark, SF01, "documents", ["doc_id", "text"]), "doc_id", "text")
-    ents = spans.regex_entities(docs).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
-    none = F.array().cast("array<struct<start:int,end:int,label:string>>")
-    corpus = bio.spans_corpus_to_bio(docs.join(ents, "doc_id", "left").select(
-        F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities")))
-    for r in corpus.collect():
-        wids = [None] + [i for i, w in enumerate(r.tokens) for _ in range(max(1, -(-len(w) // 4)))] + [None]
-        labels, prev = [], None
-        for w in wids:
-            if w is None:
-                labels.append(-100)
-            else:
-                tag = r.tags[w]
-                if w != prev:
-                    labels.append(l2i[tag])
-                else:
-                    labels.append(l2i["I-" + tag[2:]] if tag.startswith("B-") else l2i[tag])
-            prev = w
-        want = {i: v for i, v in enumerate(labels) if v != 0}
-        assert got.get(r.row_id, {}) == want
-    assert rows is not None
+    for r in entry.queries()["b11_align_labels"](spark, SF01).collect():
+        got.setdefault(r.row_id, []).append((r.i, r.label_id))
+    for r in _bio_rows(spark, SF01).collect():
+        pieces = [(ids[tag], [inside[tag]] * (-(-len(word) // 4) - 1)) for word, tag in zip(r.tokens, r.tags)]
+        want = [-100] + [x for first, more in pieces for x in (first, *more)] + [-100]
+        assert sorted(got[r.row_id]) == list(enumerate(want))

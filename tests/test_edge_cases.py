@@ -88,3 +88,23 @@ def test_patterns_of_any_length_across_segments(spark):
     both_layouts(spark, far)
     got = both_layouts(spark, far, TEST_LEXICON)
     assert [got[(c, "KR2.1")][2] for c in "abcd"] == [3, 1, 3, 1]
+
+
+def test_a_text_with_very_many_entities(spark):
+    """100,000 phone numbers in one text, next to repeated and null ids."""
+    from parley.operators import spans, tokens
+    one = "+994 50 123 45 67"
+    n = 100_000
+    rows = [(1, f"{one}; " * n), (2, "nothing here"), (2, f"call {one}"), (2, f"call {one}"), (None, f"{one} x"), (3, None)]
+    docs = tokens.doc_frame(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text")
+    masked = spans.mask_documents(docs, spans.merge_spans(spans.detected_spans(docs, {"PHONE": spans.rx.J_PHONE_STRICT})))
+    got = sorted(((r.doc_id, r.n, r.m) for r in masked.selectExpr("doc_id", "size(entities) as n", "masked_text as m").collect()), key=repr)
+    assert got == sorted([(1, n, "****; " * n), (2, 0, "nothing here"), (2, 1, "call ****"), (2, 1, "call ****"), (None, 1, "**** x"), (3, 0, "")], key=repr)
+
+
+def test_tokens_of_rows_with_one_id(spark):
+    from parley.operators import tokens
+    rows = [(1, "a b c"), (1, "d e"), (None, "f")]
+    docs = tokens.doc_frame(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text")
+    got = [(r.doc_id, r.ti, r.token) for r in tokens.tokens_with_offsets(docs).collect()]
+    assert sorted(got, key=repr) == sorted([(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (1, 0, "d"), (1, 1, "e"), (None, 0, "f")], key=repr)

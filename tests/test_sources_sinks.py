@@ -55,10 +55,10 @@ def test_jsonl_roundtrip_partitioned(spark):
 def span_rows(spark):
     """Documents of the smallest table with the spans the detectors find in them."""
     docs = tokens.doc_frame(spark.read.parquet(f"{SF001}/documents.parquet"), "doc_id", "text")
-    ents = spans.regex_entities(docs).groupBy("doc_id").agg(
+    ents = spans.regex_entities(docs).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end"), "label"))).alias("entities"))
     none = F.array().cast("array<struct<start:int,end:int,label:string>>")
-    return docs.join(ents, "doc_id", "left").select(F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities"))
+    return docs.join(ents, "row", "left").select(F.col("doc_id").alias("row_id"), "text", F.coalesce("entities", none).alias("entities"))
 
 
 def test_span_rows_roundtrip(spark):
