@@ -6,11 +6,11 @@
 * Join: a second pass looks up the documents' n-grams among the rare seeds by binary search. Seeds that
   agree on where the item begins open one window of the document around it.
 * Alignment: each window is aligned locally with its item, word by word (match 1, mismatch and gap
-  -1/2). The score is the best alignment over the item's number of words; pairs from ``MIN_SCORE`` on are
-  leaks. Edited copies keep enough intact n-grams to be found, and the alignment judges the rest.
+  -1/2), items of any length as a whole by rolling anti-diagonals. The score is the best alignment of one window
+  over the item's number of words; pairs from ``MIN_SCORE`` on are leaks. Edited copies keep enough intact n-grams to be found, and the alignment judges the rest.
 
-The items are a stated query set: they go to the tasks in blocks of at most ``BLOCK_SEEDS`` seeds, with two
-passes over the documents a block. Documents are never shuffled, so a passage in a third of all
+The items are a stated query set: they go to the tasks in blocks of about ``BLOCK_SEEDS`` seeds (a longer item is a
+block of its own), with two passes over the documents a block. Documents are never shuffled, so a passage in a third of all
 documents is spread like the documents are.
 
 Words are maximal runs of ASCII digits, letters and non-ASCII characters, A-Z lower-cased. Defined results:
@@ -34,7 +34,6 @@ N = 3
 RARE_SHARE = 0.002
 MIN_SCORE = 0.5
 BLOCK_SEEDS = 1_000_000
-MAX_ITEM_WORDS = 2000  # longer items are aligned in overlapping parts of this many words
 
 _words = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+").findall
 
@@ -54,40 +53,43 @@ class Items:
     first: np.ndarray  # by seed, where its places begin
     item: np.ndarray  # by place
     at: np.ndarray  # by place: word of the item
+    pairs: np.ndarray  # distinct beginnings of seeds, sorted: numbers of word pairs
     rare: np.ndarray | None = None  # by seed; all are without it
 
     def gram_codes(self, words: np.ndarray) -> np.ndarray:
-        """n-gram numbers of a row of word numbers; -1 where a word is unknown."""
+        """Numbers of the trigrams of a row of word numbers; -1 where its words are unknown or no item begins a
+        trigram with its first two. A pair's place among the known pairs keeps the numbers small for any vocabulary."""
         v = len(self.vocabulary)
         n = len(words) - N + 1
-        if n <= 0:
-            return np.zeros(0, dtype=np.int64)
-        key, known = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
-        for i in range(N):
-            part = words[i:n + i]
-            key = key * v + part
-            known &= part >= 0
-        return np.where(known, key, -1)
+        if n <= 0 or not len(self.pairs):
+            return np.full(max(n, 0), -1, dtype=np.int64)
+        out = np.full(n, -1, dtype=np.int64)
+        at = np.flatnonzero((words[:n] >= 0) & (words[1:n + 1] >= 0) & (words[2:] >= 0))
+        pair = words[at] * v + words[at + 1]
+        place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        known = self.pairs[place] == pair
+        out[at[known]] = place[known] * v + words[at[known] + 2]
+        return out
 
 
 def index_items(ids: list, texts: list[str]) -> Items:
     split = [words_of(t) for t in texts]
     vocabulary = {w: i for i, w in enumerate(sorted(set().union(*split)))} if split else {}
-    if len(vocabulary) >= 1 << 21:
-        raise ValueError("too many words in a block of items")
     codes = [np.array([vocabulary[w] for w in s], dtype=np.int64) for s in split]
-    empty = Items(ids, codes, vocabulary, *(np.zeros(0, dtype=np.int64) for _ in range(4)))
+    none = np.zeros(0, dtype=np.int64)
+    pairs = np.unique(np.concatenate([none, *(c[:-2] * len(vocabulary) + c[1:-1] for c in codes if len(c) >= N)]))
+    empty = Items(ids, codes, vocabulary, none, none, none, none, pairs)
     gram = [empty.gram_codes(c) for c in codes]
-    flat = np.concatenate([*gram, np.zeros(0, dtype=np.int64)])
+    flat = np.concatenate([*gram, none])
     item = np.repeat(np.arange(len(codes)), [len(g) for g in gram])
-    at = np.concatenate([*(np.arange(len(g)) for g in gram), np.zeros(0, dtype=np.int64)]).astype(np.int64)
+    at = np.concatenate([*(np.arange(len(g)) for g in gram), none]).astype(np.int64)
     return _places(empty, flat, item, at)
 
 
 def _places(items: Items, flat: np.ndarray, item: np.ndarray, at: np.ndarray) -> Items:
     order = np.argsort(flat, kind="stable")
     grams, first = np.unique(flat[order], return_index=True)
-    return Items(items.ids, items.codes, items.vocabulary, grams, np.append(first, len(flat)), item[order], at[order])
+    return Items(items.ids, items.codes, items.vocabulary, grams, np.append(first, len(flat)), item[order], at[order], items.pairs)
 
 
 def _some(items: Items, keep: np.ndarray) -> Items:
@@ -159,8 +161,8 @@ def most_matches(code: np.ndarray, words: np.ndarray) -> int:
 
 
 def can_reach(code: np.ndarray, words: np.ndarray, min_score: float) -> bool:
-    """Whether a window may align at the score; items that are aligned in parts always may."""
-    return len(code) > MAX_ITEM_WORDS or most_matches(code, words) >= min_score * len(code)
+    """Whether a window may align at the score."""
+    return most_matches(code, words) >= min_score * len(code)
 
 
 def align(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,25 +202,17 @@ def align(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 def _aligned(items: Items, tasks: list[tuple[int, int, int, np.ndarray]]):
-    """(document, item, score, first word, last word + 1) of (document, item, offset, words) to align."""
-    parts = []
-    for doc, i, lo, words in tasks:
-        code = items.codes[i]
-        for c in range(0, len(code), MAX_ITEM_WORDS):
-            parts.append((doc, i, lo, words, code[c:c + MAX_ITEM_WORDS], c))
-    parts.sort(key=lambda p: (len(p[4]), len(p[3])))
-    found: dict[tuple[int, int, int], list] = {}
+    """(document, item, score, first word, last word + 1) of each window (document, item, offset, words)."""
+    tasks = sorted(tasks, key=lambda t: (len(items.codes[t[1]]), len(t[3])))
     c = 0
-    while c < len(parts):
-        step = max(1, min(256, 2_000_000 // max(1, len(parts[c][4]) * 4)))
-        some = parts[c:c + step]
+    while c < len(tasks):
+        # as many windows at once as keep the rows of numbers small; a very long item is alone
+        step = max(1, min(256, 500_000 // max(1, len(items.codes[tasks[c][1]]), len(tasks[c][3]) // 4)))
+        some = tasks[c:c + step]
         c += step
-        for (doc, i, lo, _, code, _), s, x, y in zip(some, *(v.tolist() for v in align([p[4] for p in some], [p[3] for p in some]))):
-            got = found.setdefault((doc, i, lo), [0, None, 0])
-            got[0] += s
-            got[1] = lo + x if got[1] is None else min(got[1], lo + x)
-            got[2] = max(got[2], lo + y)
-    return [(doc, i, s / (2 * len(items.codes[i])), x, y) for (doc, i, _), (s, x, y) in found.items()]
+        found = align([items.codes[t[1]] for t in some], [t[3] for t in some])
+        for (doc, i, lo, _), s, x, y in zip(some, *(v.tolist() for v in found)):
+            yield doc, i, s / (2 * len(items.codes[i])), lo + x, lo + y
 
 
 def leaks_in(items: Items, texts: list[str], min_score: float) -> list[tuple[int, int, float, int, int, int]]:

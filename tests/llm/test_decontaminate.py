@@ -123,3 +123,50 @@ def test_odd_rows(spark, odd, empty):
     assert dc.find_leaks(odd, bench.where("false")).count() == 0
     assert dc.remove_leaking(odd, bench).count() == odd.count() - 2
     assert dc.remove_leaking(odd, bench).columns == odd.columns
+
+
+def whole_scores(docs, items):
+    """Best alignment of each item with each whole document, cell by cell."""
+    return {(d, i): brute_align(dc.words_of(t), dc.words_of(x)) / (2 * len(dc.words_of(t))) for d, x in docs for i, t in items if dc.words_of(t)}
+
+
+def test_equals_the_alignment_of_whole_documents(spark):
+    rng = random.Random(11)
+    filler = [f"f{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choices([f"w{k}" for k in range(60)], k=rng.randrange(6, 50)))) for i in range(8)]
+    docs = []
+    for d in range(60):
+        parts = []
+        for _ in range(rng.randrange(3)):
+            words = dc.words_of(rng.choice(items)[1])
+            a, b = sorted(rng.sample(range(len(words) + 1), 2))
+            parts += [rng.choices(filler, k=rng.randrange(12)), edited(words[a:b], rng.choice([0, 0.15]), rng, filler)]
+        docs.append((d, " ".join(w for p in parts for w in p)))
+    want = whole_scores(docs, items)
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in dc.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert all(want[k] >= v for k, v in got.items())  # a window never scores more than the document
+    sure = {k for k, v in want.items() if v >= 0.5 and v >= 4 / len(dc.words_of(dict(items)[k[1]]))}
+    assert got.keys() <= {k for k, v in want.items() if v >= 0.5}
+    assert len(got.keys() & sure) >= 0.97 * len(sure) and len(sure) > 15
+    assert sum(abs(want[k] - v) < 1e-9 for k, v in got.items()) >= 0.97 * len(got)
+
+
+def test_parts_of_an_item_in_two_places_are_not_added_up(spark):
+    item = [f"w{i}" for i in range(20)]
+    swapped = item[7:13] + ["f1", "f2"] + item[:6] + [f"z{i}" for i in range(30)]
+    long = [f"v{i}" for i in range(4001)]
+    halves = long[2000:] + long[:2000]
+    docs = [(1, " ".join(swapped)), (2, " ".join(["z"] * 40 + swapped)), (3, " ".join(halves)), (4, " ".join(["x"] * 9 + long))]
+    bench = [(1, " ".join(item)), (2, " ".join(long))]
+    got = sorted((r["doc_id"], r["item_id"], round(r["score"], 4), r["n_places"]) for r in dc.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect())
+    assert got == [(3, 2, round(2001 / 4001, 4), 1), (4, 2, 1.0, 1)]
+
+
+def test_seed_numbers_of_a_vast_vocabulary():
+    text = " ".join(f"w{i}" for i in range(2_200_000))
+    items = dc.index_items([1], [text])
+    assert len(items.grams) == 2_200_000 - 2
+    codes, place, seed = dc.seeds_in(items, ["a", *(f"w{i}" for i in range(2_199_000, 2_199_005)), "b"])
+    assert place.tolist() == [1, 2, 3] and len(codes) == 7
