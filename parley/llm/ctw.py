@@ -26,10 +26,8 @@ Defined results: null and empty texts are scored as an end alone; without traini
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +40,13 @@ from .common import blocks, lower_ascii, texts_of
 
 DEPTH = 4
 TOP = 2
-MAX_NODES = 1 << 21  # of ``tree_nodes``, which ``score`` does not use
 FREQUENT = 400_000
 EDGE = 0xFF
 _LOG2 = np.log(2)
 
-_words = re.compile(rb"[^\x20\x09-\x0D]+").findall
+def words_of(text: bytes) -> list[bytes]:
+    """Runs without ``[\\x20\\x09-\\x0D]``, the bytes that ``split`` takes for white space."""
+    return text.split()
 
 
 def word_hash(word: bytes) -> int:
@@ -85,75 +84,45 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
-@dataclass(frozen=True)
-class Tree:
-    """By depth: sorted node keys (context << 8 | bits so far, led by a 1) with the chance of a 1 by the node's own
-    estimator, by the rest of its longer contexts, and the weight of the own estimator."""
-
-    keys: tuple[np.ndarray, ...]
-    own: tuple[np.ndarray, ...]
-    rest: tuple[np.ndarray, ...]
-    weight: tuple[np.ndarray, ...]
-
-    def log10_of(self, gram: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each gram after the bytes before it."""
-        depth = len(self.keys) - 1
-        byte, context = gram & 255, gram >> 8
-        total = np.zeros(len(gram))
-        for bit in range(8):
-            prefix = (1 << bit) | (byte >> (8 - bit))
-            one = (byte >> (7 - bit)) & 1
-            found, at = [], []
-            for d in range(depth + 1):
-                key = (context & ((1 << 8 * d) - 1)) << 8 | prefix
-                i = np.minimum(np.searchsorted(self.keys[d], key), max(len(self.keys[d]) - 1, 0))
-                found.append(self.keys[d][i] == key if len(self.keys[d]) else np.zeros(len(gram), dtype=bool))
-                at.append(i)
-            p = np.full(len(gram), 0.5)
-            below = np.zeros(len(gram), dtype=bool)  # a longer context has been met
-            for d in range(depth, -1, -1):
-                hit = found[d]
-                i = at[d][hit]
-                if d == depth:
-                    p[hit] = self.own[d][i]
-                else:
-                    longer = np.where(below[hit], p[hit], self.rest[d][i])
-                    w = self.weight[d][i]
-                    p[hit] = w * self.own[d][i] + (1 - w) * longer
-                below |= hit
-            total += np.log10(np.where(one == 1, p, 1 - p))
-        return total
-
-
-def build_tree(nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
-    """``nodes``: by depth, keys with the counts of zeros and ones."""
-    keys, own, rest, weight = [], [], [], []
-    lower = None  # log weighted probabilities of the depth below, with its keys and counts
-    for d in range(len(nodes) - 1, -1, -1):
-        order = np.argsort(nodes[d][0], kind="stable")
-        key, a, b = (x[order] for x in nodes[d])
-        kt = log_kt(a, b)
-        chance = (b + 0.5) / (a + b + 1.0)
-        if lower is None:
-            log_w, other, w = kt, np.full(len(key), 0.5), np.ones(len(key))
-        else:
-            lk, lw, la, lb = lower
-            bits = np.int64(255)
-            parent = (lk >> 8 & ((1 << 8 * d) - 1)) << 8 | lk & bits
-            at = np.searchsorted(key, parent)
-            sums = lambda x: np.bincount(at, weights=x, minlength=len(key))
-            ra, rb = a - sums(la), b - sums(lb)  # counts of the contexts that are not nodes
-            product = sums(lw) + log_kt(ra, rb)
-            top = np.maximum(kt, product)
-            log_w = top + np.log(np.exp(kt - top) + np.exp(product - top)) - _LOG2
-            other = (rb + 0.5) / (ra + rb + 1.0)
-            w = 1 / (1 + np.exp(np.clip(product - kt, -700, 700)))
-        lower = key, log_w, a, b
-        keys.append(key)
-        own.append(chance.astype(np.float32))
-        rest.append(other.astype(np.float32))
-        weight.append(w.astype(np.float32))
-    return Tree(tuple(keys[::-1]), tuple(own[::-1]), tuple(rest[::-1]), tuple(weight[::-1]))
+def tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.diff(first, append=len(keys))
+
+
+class Lookup:
+    """Values of keys (0 or more) by open addressing: a key is found in one or two steps, without a search."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (2 * len(keys)).bit_length() + 1)
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits)
+        slot = self._first(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]  # of several one stays
+            put = self.keys[slot] == keys
+            self.values[slot[put]] = values[put]
+            keys, values, slot = keys[~put], values[~put], (slot[~put] + 1) & self.last
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each key is there, its value or 0)."""
+        slot = self._first(keys)
+        at = self.keys[slot]
+        hit = at == keys
+        value = np.where(hit, self.values[slot], 0.0)
+        left = np.flatnonzero(~hit & (at >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.last
+            at = self.keys[slot[left]]
+            same = at == keys[left]
+            hit[left[same]], value[left[same]] = True, self.values[slot[left[same]]]
+            left = left[~same & (at >= 0)]
+        return hit, value
 
 
 def corpus_counts(docs: DataFrame, depth: int = DEPTH, training: Column | None = None) -> DataFrame:
@@ -168,13 +137,16 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH, training: Column | None =
             texts = [lower_ascii(t).encode() for t in texts_of(b)]
             use = np.asarray(b.column("use"), dtype=bool)
             row, gram = grams(texts, depth)
-            gram, which, every = np.unique(gram, return_inverse=True, return_counts=True)
-            n = np.bincount(which[use[row]], minlength=len(gram))
+            of_training = use[row]
+            seen, n = tallied(gram[of_training])
+            unseen, every = tallied(gram[~of_training])
             learnt = [t for t, u in zip(texts, use) if u]
-            words = Counter(w for t in learnt for w in _words(t))
+            words = Counter()
+            for t in learnt:
+                words.update(words_of(t))
             key = np.array([0, *map(word_hash, words)] if learnt else [], dtype=np.int64)
             count = np.array([len(learnt), *words.values()] if learnt else [], dtype=np.int64)
-            for kind, k, c, e in (("g", gram, n, every), ("w", key, count, count)):
+            for kind, k, c, e in (("g", seen, n, n), ("g", unseen, np.zeros(len(unseen)), every), ("w", key, count, count)):
                 yield pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(k), pa.string()), "key": pa.array(k),
                                                   "n": pa.array(c.astype(np.int64)), "every": pa.array(e.astype(np.int64))})
 
@@ -184,41 +156,6 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH, training: Column | None =
             .groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("every").alias("every")))
 
 
-def tree_nodes(counts: DataFrame, depth: int = DEPTH, max_nodes: int = MAX_NODES) -> list[tuple]:
-    """By depth, (keys, zeros, ones) of the nodes seen often enough; at most ``max_nodes`` in all.
-
-    A pooled tree for a caller that wants a model of bounded size; ``score`` keeps every node.
-    """
-    byte, context = F.col("key").bitwiseAND(F.lit(255)), F.shiftright("key", 8)
-    bits = F.explode(F.sequence(F.lit(0), F.lit(7)))
-    one = F.expr("(byte >> (7 - bit)) & 1")
-    level = (counts.where("kind = 'g'").select(byte.alias("byte"), context.alias("context"), "n", bits.alias("bit"))
-             .select(F.expr("(context << 8) | (1L << bit) | (byte >> (8 - bit))").alias("node"), "n", one.alias("one"))
-             .groupBy("node").agg(F.sum(F.col("n") * (1 - F.col("one"))).alias("a"), F.sum(F.col("n") * F.col("one")).alias("b")))
-    parts = []
-    for d in range(depth, -1, -1):
-        level = cut_lineage(level)
-        parts.append(level.withColumn("d", F.lit(d)))
-        if d:
-            mask = (1 << 8 * (d - 1)) - 1
-            level = (level.select(F.expr(f"(((node >> 8) & {mask}L) << 8) | (node & 255)").alias("node"), "a", "b")
-                     .groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    size = every.groupBy((F.length(F.bin(F.col("a") + F.col("b"))) - 1).alias("k")).count().collect()  # 63 rows at most
-    least, left = 0, 0
-    for k, n in sorted(((r["k"], r["count"]) for r in size), reverse=True):
-        left += n
-        if left > max_nodes:
-            least = k + 1
-            break
-    # a node of depth 0 always stays, and a kept node's shorter contexts are kept too (their counts are larger)
-    table = every.where((F.col("a") + F.col("b") >= F.lit(1 << least)) | (F.col("d") == 0)).toArrow()
-    d, node, a, b = (np.asarray(table.column(c)) for c in ("d", "node", "a", "b"))
-    return [(node[d == i], a[d == i].astype(np.float64), b[d == i].astype(np.float64)) for i in range(depth + 1)]
-
-
 def shorter(node: np.ndarray, a: np.ndarray, b: np.ndarray, log_w: np.ndarray, d: int) -> tuple[np.ndarray, ...]:
     """(keys, zeros, ones, sum of ``log_w``) of the nodes of depth ``d`` above nodes of depth ``d`` + 1."""
     key, at = np.unique((node >> 8 & ((1 << 8 * d) - 1)) << 8 | node & 255, return_inverse=True)
@@ -386,20 +323,18 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     common = spark.sparkContext.broadcast((np.asarray(top.column("word"))[order], np.asarray(top.column("c"))[order]))
 
     def run(batches):
-        (often_gram, often_value), (word, c) = often.value, common.value
+        table, (word, c) = Lookup(*often.value), common.value
         value = np.log10((c + 0.1) / floor)
         for b in blocks(batches, "text"):
             texts = [lower_ascii(t).encode() for t in texts_of(b)]
             n = len(texts)
             row, gram = grams(texts, depth)
-            gram, which = np.unique(gram, return_inverse=True)
-            hit, i = _find(often_gram, gram)
-            gram_log = np.zeros(len(gram))
-            gram_log[hit] = often_value[i]
-            log10 = np.bincount(row, weights=gram_log[which], minlength=n)
-            rare_grams = _lists(row[~hit[which]], which[~hit[which]], gram, n)
-
-            split = [_words(t) for t in texts]
+            hit, worth = table.find(gram)
+            log10 = np.bincount(row, weights=worth, minlength=n)
+            rare, which = np.unique(gram[~hit], return_inverse=True)
+            rare_grams = _lists(row[~hit], which, rare, n)
+
+            split = [words_of(t) for t in texts]
             distinct = list(set().union(*split))
             number = dict(zip(distinct, range(1, len(distinct) + 1)))
             hashes = np.array([0, *map(word_hash, distinct)], dtype=np.int64)

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from parley.llm import ctw, queries
 from parley.llm.common import fold
@@ -81,12 +82,22 @@ def test_score_against_the_recursion(spark):
 
 def test_probabilities_of_the_next_byte_add_up(spark):
     df = docs_of(spark)
-    for most in (1 << 20, 60):  # the whole tree, and one with rare contexts pooled
-        tree = ctw.build_tree(ctw.tree_nodes(ctw.corpus_counts(df, 2), 2, most))
-        for context in (b"th", b"zz", b"\xff\xff"):
-            gram = np.array([context[0] << 16 | context[1] << 8 | x for x in range(256)])
-            assert abs((10 ** tree.log10_of(gram)).sum() - 1) < 1e-4
-    assert sum(len(k) for k in tree.keys) <= 60 + 255
+    asked = [c[0] << 16 | c[1] << 8 | x for c in (b"th", b"zz", b"\xff\xff") for x in range(256)]
+    counts = ctw.corpus_counts(df.where("train"), 2).union(spark.createDataFrame([("g", g, 0, 1) for g in asked], "kind string, key long, n long, every long"))
+    counts = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
+    value = {r["key"]: r["value"] for r in ctw.gram_values(counts, 2).collect()}
+    for context in range(0, len(asked), 256):
+        assert abs(sum(10 ** value[g] for g in asked[context:context + 256]) - 1) < 1e-9
+
+
+def test_lookup_finds_exactly_its_keys():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 5000):
+        keys = np.unique(rng.integers(0, 1 << 40, n))
+        table = ctw.Lookup(keys, keys * 0.5)
+        asked = np.concatenate([keys, rng.integers(0, 1 << 40, 1000), np.arange(50)])
+        hit, value = table.find(asked)
+        assert np.array_equal(hit, np.isin(asked, keys)) and np.array_equal(value, np.where(hit, asked * 0.5, 0))
 
 
 def brute_base(texts, training):
@@ -128,10 +139,8 @@ def test_odd_rows(odd, empty):
     assert ctw.score(empty, empty["doc_id"] > 0).count() == 0
 
 
-def test_every_context_is_kept_whatever_the_number_sent_to_the_tasks(spark, texts, monkeypatch):
-    """No node is pooled, also where a bounded tree would hold 60 nodes and where hardly any gram is sent to the tasks."""
-    pooled = ctw.tree_nodes
-    monkeypatch.setattr(ctw, "tree_nodes", lambda counts, depth, *_: pooled(counts, depth, 60))
+def test_every_context_is_kept_whatever_the_number_sent_to_the_tasks(spark, texts):
+    """No node is pooled, also where hardly any gram is sent to the tasks."""
     some = texts[:12]
     df = spark.createDataFrame([(i, t, k < 8) for k, (i, t) in enumerate(some)], "doc_id long, text string, train boolean")
     want = brute_tree([lower(t) for _, t in some[:8]], 4)
