@@ -198,30 +198,49 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFra
     return nodes.join(lab, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, ``fingerprint`` as 16 hex digits, ``component_id``: smallest id reachable by links)."""
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(id, ``fp``) of every row; (``fp``, ``component_id``, ``chosen``: whether it holds its component's smallest id, the
+    smallest fingerprint of those that do)."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
     classes = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("least")))
     comp = components(classes.select(F.col("fp").alias("node")), links(classes)).withColumnRenamed("node", "fp")
-    labelled = classes.join(comp, "fp")
-    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_fp = cut_lineage(labelled.join(named, "label").select("fp", "component_id"))
+    labelled = cut_lineage(classes.join(comp, "fp"))
+    # checkpointed: the join with a hot label has two plain shuffles then, which AQE can split
+    named = cut_lineage(labelled.groupBy("label").agg(F.min(F.when(F.col("least").isNotNull(), F.struct("least", "fp"))).alias("first")))
+    first = F.col("first")
+    return fps, cut_lineage(labelled.join(named, "label").select(
+        "fp", first["least"].alias("component_id"), F.coalesce(first["fp"] == F.col("fp"), F.lit(False)).alias("chosen")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(id, ``fingerprint`` as 16 hex digits, ``component_id``: smallest id reachable by links)."""
+    fps, of_fp = _components(docs, id_col, text_col, shingle)
     return fps.join(of_fp, "fp", "left").select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` that carry their component's id, one row for each id. Rows without an id stay where
-    no row with an id is linked to them (they cannot be told apart, so all of them stay)."""
-    dup = cut_lineage(near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle))
-    stay = cut_lineage(dup.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("rows")))
-    kept = docs.join(stay.select(id_col), id_col, "left_semi").select(*docs.columns)
-    if not stay.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    lone = dup.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
+    """One row of ``docs`` for each component: a row of its smallest id and, where that id has several texts in it, of
+    the smallest fingerprint. An id that stands in several components is told apart by the fingerprint. Rows without
+    an id stay where no row with an id is linked to them (they cannot be told apart, so all of them stay)."""
+    fps, of_fp = _components(docs.select(id_col, text_col), id_col, text_col, shingle)
+    stay = fps.join(of_fp.where("chosen"), "fp").where(F.col(id_col) == F.col("component_id")).select(id_col, "fp").distinct()
+    stay = cut_lineage(stay)
+    again = cut_lineage(fps.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("rows")).where("rows > 1").select(id_col))
+    ids = stay.select(id_col)
+    name = free_name(docs.columns, "fp")
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return annotate(rows, lambda: lambda texts: {name: pa.array(fingerprints_of(texts, shingle).view(np.int64))}, f"{name} bigint", text_col)
+
+    if again.isEmpty():
+        kept = docs.join(ids, id_col, "left_semi").select(*docs.columns)
+    else:
+        once = docs.join(again, id_col, "left_anti").join(ids, id_col, "left_semi").select(*docs.columns)
+        several = marked(docs.join(again, id_col, "left_semi").select(*docs.columns))
+        several = several.join(stay.withColumnRenamed("fp", name), [id_col, name], "left_semi").dropDuplicates([id_col, name])
+        kept = once.union(several.select(*docs.columns))
+    lone = of_fp.where("component_id is null").select(F.col("fp").alias(name))
     if not lone.isEmpty():
-        name = free_name(docs.columns, "fp")
-        marked = annotate(docs.where(F.col(id_col).isNull()), lambda: lambda texts: {
-            name: pa.array([f"{x:016x}" for x in fingerprints_of(texts, shingle).tolist()], pa.string())}, f"{name} string", text_col)
-        kept = kept.union(marked.join(lone.withColumnRenamed("fingerprint", name), name, "left_semi").select(*docs.columns))
+        kept = kept.union(marked(docs.where(F.col(id_col).isNull())).join(lone, name, "left_semi").select(*docs.columns))
     return kept

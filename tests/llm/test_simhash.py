@@ -96,3 +96,11 @@ def test_odd_rows(odd, empty):
     ids = sorted((r["doc_id"] or -1) for r in kept.collect())
     assert ids == [-1, 1, 4, 5, 7, 8]
     assert simhash.one_of_each(empty).count() == 0
+
+
+def test_one_row_of_each_component_where_ids_repeat(spark):
+    a, b, c = "alpha beta gamma delta epsilon zeta eta", "one two three four five six seven eight", "red green blue black white grey pink"
+    rows = [(1, a, "x"), (1, b, "x"), (2, b, "y"), (3, c, "z"), (1, a, "x"), (None, c, "n"), (None, "quite alone here now", "n"), (4, c, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = sorted((tuple(r) for r in simhash.one_of_each(docs).collect()), key=repr)
+    assert got == sorted([(1, a, "x"), (1, b, "x"), (3, c, "z"), (None, "quite alone here now", "n")], key=repr)
