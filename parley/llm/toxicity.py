@@ -169,9 +169,11 @@ class Kernel:
         i, j, k, weight = _Triples.of(n)
         feature = self._three[self._pair[x[:, i] * self._size + x[:, j]] * self._size + x[:, k]]
         row, col = np.nonzero(feature)
-        width = len(self._weights)
-        held = np.bincount(row * width + feature[row, col], weights=weight[col], minlength=len(words) * width)
-        return held.reshape(len(words), width) @ self._weights
+        out = np.zeros((len(words), len(self.landmarks)))
+        if len(row):
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            out[row[first]] = np.add.reduceat(self._weights[feature[row, col]] * weight[col][:, None], first, axis=0)
+        return out
 
     def pairs(self, words: list[str], floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, kernel) for the pairs at or above the floor (and above 0)."""
@@ -185,7 +187,7 @@ class Kernel:
                 continue
             # a word's own kernel is at least the sum of the squares of its weights: a bound that loses no pair
             least = (_Triples.of(n)[3] ** 2).sum()
-            step = max(1, min(4_000_000 // len(self._weights), 2_000_000 // len(_Triples.of(n)[0])))
+            step = max(1, 8_000_000 // (len(self.landmarks) * len(_Triples.of(n)[0])))  # as many words as fit in 64 MB
             for c in range(0, len(ids), step):
                 some = np.array(ids[c:c + step])
                 shared = self._shared([words[i] for i in some], n)
