@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import duckdb
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
@@ -84,25 +85,78 @@ def test_health_windows_equal_batch(spark):
     assert got == want and len(got) > 100
 
 
-def test_assemble_and_score_equals_batch(spark):
-    conv = read_table(spark, SF001, "conversations")
-    seg = segments.conversation_segments(conv)
-    # event time: a fixed origin plus the segment end; calls are spread apart by conversation id
-    seg = seg.withColumn("ts", F.timestamp_seconds(F.col("call_id").cast("long") * 100000 + F.col("end")))
-    src, store, out = _tmp(), _tmp(), _tmp()
-    # segments arrive in time order, one file per trigger: three micro-batches, summary merged twice
+class Calls:
+    """Segments of the smallest table's calls arriving in files, with the two queries of T5 over them."""
+
+    def __init__(self, spark):
+        self.spark, self.src, self.store, self.out = spark, _tmp(), _tmp(), _tmp()
+        seg = segments.conversation_segments(read_table(spark, SF001, "conversations"))
+        # event time: a fixed origin plus the segment end; calls are spread apart by conversation id
+        self.seg = seg.withColumn("ts", F.timestamp_seconds(F.col("call_id").cast("long") * 100000 + F.col("end")))
+        self.files = set()
+
+    def arrive(self, rows, day="2030-01-01"):
+        """One more file, dated later than the ones before."""
+        import glob
+        import time
+        rows.coalesce(1).write.mode("append").parquet(os.path.join(self.src, "in"))
+        new = set(glob.glob(os.path.join(self.src, "in", "*.parquet"))) - self.files
+        self.files |= new
+        at = time.mktime(time.strptime(day, "%Y-%m-%d")) + len(self.files)
+        for path in new:
+            os.utime(path, (at, at))
+
+    def run(self):
+        jobs.store_segments(self.spark, os.path.join(self.src, "in"), self.seg.schema, os.path.join(self.store, "s"), os.path.join(self.store, "_ck"),
+                            max_files_per_trigger=1).awaitTermination(300)
+        jobs.score_closed(self.spark, os.path.join(self.store, "s"), self.seg.schema, self.out, os.path.join(self.out, "_ck"), timeout_s=600,
+                          lexicon=TEST_LEXICON, role="assistant").awaitTermination(300)
+
+    def scores(self):
+        return sorted(tuple(r) for r in jobs.latest_scores(self.spark, self.out).collect())
+
+    def wanted(self, keep):
+        cols = jobs.latest_scores(self.spark, self.out).columns
+        long = rules.to_long(rules.score_calls(self.seg.drop("ts"), TEST_LEXICON, role="assistant"))
+        return sorted(tuple(r) for r in long.where(keep).select(*cols).collect())
+
+
+def test_late_segments_rescore_a_call_and_a_future_event_closes_nothing(spark):
+    c = Calls(spark)
     cid = F.col("call_id").cast("long")
-    for lo, hi in [(0, 7), (7, 14), (14, 1000)]:
-        seg.where((cid >= lo) & (cid < hi)).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
-    q = jobs.assemble_and_score(spark, os.path.join(src, "in"), seg.schema, store, out,
-                                os.path.join(out, "_ck"), timeout_s=600, lexicon=TEST_LEXICON, role="assistant",
-                                max_files_per_trigger=1)
-    q.awaitTermination(300)
-    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "scores")).drop("epoch").collect())
-    last_call = seg.agg(F.max_by("call_id", "ts")).first()[0]
-    want = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg.drop("ts"), TEST_LEXICON, role="assistant"))
-                  .where(F.col("call_id") != last_call).collect())
-    assert got == want
+    late = (cid == 3) & (F.col("pos") >= 2)
+    ahead = F.when((cid == 9) & (F.col("pos") == 0), F.timestamp_seconds(F.lit(4_000_000_000))).otherwise(F.col("ts"))
+    # arrived on 11 January: call 9 (of the 11th) has an event dated a century ahead, call 3 comes in two parts
+    c.arrive(c.seg.where((cid <= 9) & ~late).withColumn("ts", ahead), "1970-01-11")
+    c.run()
+    assert c.spark.read.schema("call_id string").parquet(os.path.join(c.store, "s")).where("call_id = 9").count() > 0
+    c.arrive(c.seg.where(cid == 9).limit(1), "1970-01-11")
+    c.run()
+    closed = {int(r[0]) for r in c.scores()}
+    assert 3 in closed and 9 not in closed
+    before = [r for r in c.scores() if r[0] == "3"]
+    c.arrive(c.seg.where(late), "1970-01-12")
+    c.run()
+    after = [r for r in c.scores() if r[0] == "3"]
+    assert after == [r for r in c.wanted(cid == 3)] and len(before) == len(after) == 5
+
+
+def test_restart_gives_equal_output(spark):
+    cid = F.col("call_id").cast("long")
+    files = [(0, 7), (7, 14), (14, 1000)]
+    results = []
+    for restart in (False, True):
+        c = Calls(spark)
+        for lo, hi in files:
+            c.arrive(c.seg.where((cid >= lo) & (cid < hi)))
+            if restart:
+                c.run()
+        c.run()
+        results.append(c.scores())
+    last = c.seg.agg(F.max(cid)).first()[0]
+    want = c.wanted(cid < last)
+    assert [{r[0] for r in x} ^ {r[0] for r in want} for x in results] == [set(), set()]
+    assert results[0] == results[1] == want
 
 
 def test_manifest_stream(spark):
@@ -119,26 +173,30 @@ def test_manifest_stream(spark):
     assert rej == [("c.txt", "unsupported file type")]
 
 
-def test_silence_gaps_stateful_equals_batch(spark):
-    conv = read_table(spark, SF01, "conversations")
+def test_silence_gaps_in_any_order_of_arrival(spark):
+    conv = read_table(spark, SF001, "conversations")
     seg = segments.conversation_segments(conv)
-    # event time = segment start on one shared clock (calls run concurrently); one file per turn range
+    # event time = segment start on one shared clock (calls run concurrently); files hold turns out of order
     seg = seg.withColumn("ts", F.timestamp_seconds(F.col("start")))
-    src, out = _tmp(), _tmp()
-    for lo, hi in [(0, 2), (2, 4), (4, 100)]:
-        seg.where((F.col("pos") >= lo) & (F.col("pos") < hi)).write.mode("append").parquet(os.path.join(src, "in"))
-    s = spark.readStream.schema(seg.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "in"))
-    q = (jobs.silence_gaps_stream(s).writeStream.format("parquet").option("path", os.path.join(out, "o"))
-         .option("checkpointLocation", os.path.join(out, "_ck")).outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(600)
-    got = sorted((r.call_id, round(r.silence_from, 3), round(r.silence_to, 3)) for r in spark.read.parquet(os.path.join(out, "o")).collect())
-    con = duckdb.connect()
-    pq = os.path.join(src, "in")
-    want = sorted((str(a), round(b, 3), round(c, 3)) for a, b, c in con.execute(f"""
-        WITH s AS (SELECT call_id, start, "end", pos, lag("end") OVER (PARTITION BY call_id ORDER BY start, "end", pos) AS pe
-                   FROM read_parquet('{pq}/*.parquet'))
-        SELECT call_id, pe, start FROM s WHERE start - pe >= 60""").fetchall())
-    assert got == want and len(got) > 100
+    end = spark.createDataFrame([("end", 0, "x", "", 1e6, 1e6)], "call_id string, pos int, speaker string, text string, start double, end double")
+    end = end.select(*(F.col(c).cast(seg.schema[c].dataType).alias(c) for c in seg.columns if c != "ts")).withColumn("ts", F.timestamp_seconds(F.col("start")))
+    got = []
+    for parts in ([(0, 100)], [(3, 100), (0, 1), (1, 3)]):
+        src, out = _tmp(), _tmp()
+        for lo, hi in parts:
+            rows = seg.where((F.col("pos") >= lo) & (F.col("pos") < hi))
+            rows.orderBy(F.xxhash64("pos", "call_id")).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
+        last = end.select(*seg.columns)
+        last.coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
+        s = spark.readStream.schema(seg.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "in"))
+        q = (jobs.silence_gaps_stream(s, watermark="3 hours").writeStream.format("parquet").option("path", os.path.join(out, "o"))
+             .option("checkpointLocation", os.path.join(out, "_ck")).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(600)
+        got.append(sorted((r.call_id, round(r.silence_from, 3), round(r.silence_to, 3)) for r in spark.read.parquet(os.path.join(out, "o")).collect()))
+    w = Window.partitionBy("call_id").orderBy("start", "end", "pos")
+    want = seg.withColumn("pe", F.lag("end").over(w)).where(F.col("start") - F.col("pe") >= 60)
+    want = sorted((r.call_id, round(r.pe, 3), round(r.start, 3)) for r in want.collect())
+    assert got[0] == got[1] == want and len(want) > 5
 
 
 def test_health_windows_drop_late_rows(spark):
@@ -174,31 +232,3 @@ def test_epoch_sink_is_idempotent(spark):
     jobs.write_epoch(df.limit(4), os.path.join(out, "s"), 4)
     back = spark.read.parquet(os.path.join(out, "s"))
     assert back.count() == 14 and sorted(r.epoch for r in back.select("epoch").distinct().collect()) == [3, 4]
-
-
-def test_assemble_survives_restart(spark):
-    """Stop after two files, restart from the checkpoint with a third: the rebuilt summary keeps
-    scored calls from being scored twice; the union equals batch scoring."""
-    conv = read_table(spark, SF001, "conversations")
-    seg = segments.conversation_segments(conv)
-    seg = seg.withColumn("ts", F.timestamp_seconds(F.col("call_id").cast("long") * 100000 + F.col("end")))
-    src, store, out = _tmp(), _tmp(), _tmp()
-    cid = F.col("call_id").cast("long")
-    files = [(0, 7), (7, 14), (14, 1000)]
-
-    def run():
-        q = jobs.assemble_and_score(spark, os.path.join(src, "in"), seg.schema, store, out, os.path.join(out, "_ck"),
-                                    timeout_s=600, lexicon=TEST_LEXICON, role="assistant", max_files_per_trigger=1)
-        q.awaitTermination(300)
-
-    for lo, hi in files[:2]:
-        seg.where((cid >= lo) & (cid < hi)).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
-    run()
-    lo, hi = files[2]
-    seg.where((cid >= lo) & (cid < hi)).coalesce(1).write.mode("append").parquet(os.path.join(src, "in"))
-    run()
-    got = [tuple(r) for r in spark.read.parquet(os.path.join(out, "scores")).drop("epoch").collect()]
-    last_call = seg.agg(F.max_by("call_id", "ts")).first()[0]
-    want = sorted(tuple(r) for r in rules.to_long(rules.score_calls(seg.drop("ts"), TEST_LEXICON, role="assistant"))
-                  .where(F.col("call_id") != last_call).collect())
-    assert sorted(got) == want and len(got) == len(set(got))
