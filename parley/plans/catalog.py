@@ -345,6 +345,24 @@ def entity_f1(spark, sf):
     return met.entity_f1(gold, pred)
 
 
+@register("m4_entity_f1_ids")
+def entity_f1_ids(spark, sf):
+    """M4 on label ids: the same two taggings as id arrays, a position of -100 before and after each document."""
+    from ..functions import regex as rxx
+    docs = _doc_frame(spark, sf)
+    toks = tok_op.tokens_with_offsets(docs)
+    alt = {"CARD": rxx.J_CARD, "PHONE": rxx.J_PHONE_LOOSE, "FIN": rxx.J_FIN_CALL}
+
+    def ids(detectors, name):
+        tagged = span_op.entities_to_bio(toks, span_op.regex_entities(docs, detectors))
+        per = tagged.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("ti", "tag"))), lambda x: x["tag"]).alias("tags"))
+        wid = F.concat(F.array(F.lit(None).cast("int")), F.sequence(F.lit(0), F.size("tags") - 1), F.array(F.lit(None).cast("int")))
+        return per.withColumn("wid", wid).select("row", mdl.align_labels(F.col("wid"), F.col("tags")).alias(name))
+
+    both = ids(None, "gold").join(ids(alt, "pred"), "row")
+    return met.entity_f1_ids(both, "gold", "pred")
+
+
 @register("m5_wer_turns")
 def wer_turns(spark, sf):
     """Corpus WER of each turn against the previous turn of the same conversation."""

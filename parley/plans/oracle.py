@@ -410,6 +410,22 @@ m AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS p,
 SELECT tp, n_pred, n_gold, round(p, 6) AS precision, round(r, 6) AS recall,
        round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1, round(acc, 6) AS accuracy FROM m"""
 
+ORACLE["m4_entity_f1_ids"] = ORACLE["m4_entity_f1"]
+
+# word edits row by row of the distance table: a list step for each word of one side, folded over the other
+ORACLE["m5_wer_turns"] = f"""
+WITH w AS (SELECT conv_id, turn, string_split({norm_ws('text')}, ' ') AS ws, {norm_ws('text')} AS t FROM conversations),
+l AS (SELECT conv_id, turn, CASE WHEN t = '' THEN [] ELSE ws END AS h,
+             lag(CASE WHEN t = '' THEN [] ELSE ws END) OVER (PARTITION BY conv_id ORDER BY turn) AS r,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM w),
+p AS (SELECT r, h FROM l WHERE k > 1),
+e AS (SELECT len(r) AS n, list_reduce(range(1, len(r) + 1), lambda prev, i:
+        list_reduce(range(1, len(h) + 1), lambda cur, j: list_append(cur,
+            least(cur[j] + 1, prev[j + 1] + 1, prev[j] + CASE WHEN r[i] = h[j] THEN 0 ELSE 1 END)), [CAST(i AS BIGINT)]),
+        range(0, len(h) + 1))[-1] AS d FROM p)
+SELECT CAST(sum(d) AS BIGINT) AS edits, CAST(sum(n) AS BIGINT) AS ref_words, count(*) AS n_pairs,
+       round(sum(d) / greatest(sum(n), 1), 6) AS wer FROM e"""
+
 _REDACT_SQL = ("regexp_replace(regexp_replace(regexp_replace(text, " + q(RE2['card']) + ", '[CARD_NUMBER]', 'g'), "
                + q(RE2['num34']) + ", '[NUM]', 'g'), '(?i)\\b([0-9][A-Z0-9]{6,8})\\b', '[FIN_CODE]', 'g')")
 ORACLE["r9_llm_requests"] = f"""
