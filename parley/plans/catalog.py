@@ -428,10 +428,21 @@ def score_whole_calls(spark, sf):
     return rules.to_long(wide.unionByName(rules.score_calls(large, TEST_LEXICON, role=AGENT_ROLE)))
 
 
+def _broken(spark, sf):
+    return call_src.normalize_payloads(call_src.broken_payloads(read_table(spark, sf, "conversations")), keep=("conv_id", "turn", "fault"))
+
+
 @register("n1_payload_rejects")
 def payload_rejects(spark, sf):
-    _, rejects = _payload_calls(spark, sf)
-    return rejects
+    """Payloads with faults derived by turn that are no call, with the reason."""
+    return _broken(spark, sf)[1].select("conv_id", "turn", "reason")
+
+
+@register("n3_broken_segments")
+def broken_segments(spark, sf):
+    """The segments of the others: dropped elements, odd speakers and texts, swapped, garbage, null and missing times."""
+    calls, _ = _broken(spark, sf)
+    return calls.select("conv_id", "turn", "fault", "call_id", "n_dropped", "n_blank", F.inline("segments"))
 
 
 @register("n7_call_profile")

@@ -302,7 +302,21 @@ FROM pc"""
 
 # ------------------------------------------------------------------ raw payload ingestion
 ORACLE["s6_payload_scores"] = ORACLE["r6_score_calls"]
-ORACLE["n1_payload_rejects"] = "SELECT CAST(NULL AS VARCHAR) AS payload, CAST(NULL AS VARCHAR) AS reason WHERE FALSE"
+_FAULTS = f"{sql_rules.segments_sql()}, f AS (SELECT CAST(call_id AS BIGINT) AS conv_id, CAST(pos AS BIGINT) AS turn, seg.*, " \
+          "CAST((CAST(call_id AS BIGINT) + pos) % 14 AS INTEGER) AS fault FROM seg)"
+ORACLE["n1_payload_rejects"] = f"""WITH {_FAULTS}
+SELECT conv_id, turn, CASE WHEN fault = 0 THEN 'payload is not an object' WHEN fault <= 3 THEN 'Missing or invalid call_id'
+                           ELSE 'Missing or invalid segments list' END AS reason
+FROM f WHERE fault <= 5"""
+_SPEAKER = """CASE fault WHEN 11 THEN '[''a'', 1, None, {''k'': "it''s"}]' WHEN 12 THEN 'True' ELSE speaker END"""
+ORACLE["n3_broken_segments"] = f"""WITH {_FAULTS},
+g AS (SELECT *, CASE WHEN fault IN (11, 12) THEN '' ELSE text END AS tx FROM f WHERE fault > 5)
+SELECT conv_id, turn, fault, call_id, CAST(CASE WHEN fault = 6 THEN 3 ELSE 0 END AS INTEGER) AS n_dropped,
+       CAST(CASE WHEN regexp_replace(tx, '^[{st.UWS}]+|[{st.UWS}]+$', '', 'g') IN ('', '.', '..', '...') THEN 1 ELSE 0 END AS INTEGER) AS n_blank,
+       CAST(CASE WHEN fault = 6 THEN 1 ELSE 0 END AS INTEGER) AS pos, {_SPEAKER} AS speaker, tx AS text,
+       CASE WHEN fault IN (8, 9, 10) THEN 0.0 ELSE start END AS start, CASE WHEN fault IN (8, 9, 10) THEN 0.0 ELSE "end" END AS "end",
+       regexp_replace(tx, '^[{st.UWS}]+|[{st.UWS}]+$', '', 'g') IN ('', '.', '..', '...') AS blank
+FROM g"""
 ORACLE["n7_call_profile"] = f"""
 WITH {sql_rules.segments_sql()}
 SELECT call_id, count(*) AS n_segments,

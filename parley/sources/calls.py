@@ -50,9 +50,26 @@ def _get(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$['{name}']", "variant")
 
 
+_JSON_PARTS = r'"(?:[^"\\]|\\.)*"|[^",:\[\]{}\s]+|[,:\[\]{}]'
+
+
+def py_container(json: Column) -> Column:
+    """A JSON list or object as Python writes it: ``['a', 1]``, ``{'k': None}`` (keys in the order of ``json``; a VARIANT
+    keeps them sorted). Strings are quoted as Python does, with backslashes, quotes and line breaks escaped."""
+    def part(p):
+        s = F.get(F.from_json(F.concat(F.lit("["), p, F.lit("]")), "array<string>"), 0)
+        esc = F.replace(F.replace(F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")),
+                        F.lit("\t"), F.lit("\\t"))
+        double = s.contains("'") & ~s.contains('"')
+        text = F.when(double, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
+        return (F.when(p.startswith('"'), text).when(p == "true", F.lit("True")).when(p == "false", F.lit("False"))
+                .when(p == "null", F.lit("None")).when(p == ",", F.lit(", ")).when(p == ":", F.lit(": ")).otherwise(p))
+    return F.array_join(F.transform(F.regexp_extract_all(json, F.lit(_JSON_PARTS), 0), part), "")
+
+
 def _py_str_or_empty(x: Column) -> Column:
-    """``str(x or "")`` for a VARIANT field: missing/null/false/0/'' -> '', strings as is,
-    true -> 'True', other numbers in Python's ``str`` form."""
+    """``str(x or "")`` for a VARIANT field: missing/null/false/0/''/[]/{} -> '', strings as is,
+    true -> 'True', other numbers in Python's ``str`` form, lists and objects as Python writes them."""
     t = _vtype(x)
     s = F.try_variant_get(x, "$", "string")
     d = F.try_variant_get(x, "$", "double")
@@ -62,6 +79,8 @@ def _py_str_or_empty(x: Column) -> Column:
             .when(t.isin("DOUBLE", "FLOAT") | t.startswith("DECIMAL"),
                   F.when(d == 0, F.lit("")).otherwise(d.cast("string")))
             .when(d == 0, F.lit(""))
+            .when(t.startswith("ARRAY") | t.startswith("OBJECT"),
+                  F.when(F.to_json(x).isin("[]", "{}"), F.lit("")).otherwise(py_container(F.to_json(x))))
             .otherwise(F.coalesce(s, F.to_json(x))))
 
 
@@ -98,7 +117,7 @@ def normalize_payloads(payloads: DataFrame, v: str = "v", keep=()) -> tuple[Data
     """N1-N8 (+S6): ``(calls, rejects)``.
 
     calls: ``call_id, dataset_id, segments ARRAY<SEGMENT_TYPE>, n_dropped, n_blank``;
-    rejects: ``payload (JSON text), reason``.
+    rejects: ``payload (JSON text), reason``. Both keep the columns of ``keep``.
     """
     raw = F.col(v)
     body, ds = unwrap(raw)
@@ -112,7 +131,7 @@ def normalize_payloads(payloads: DataFrame, v: str = "v", keep=()) -> tuple[Data
               .when(~ok_segs, F.lit("Missing or invalid segments list")))
     x = payloads.select(*keep, raw.alias("_v"), body.alias("_b"), ds.alias("dataset_id"), cid.alias("call_id"),
                         F.try_variant_get(segs_v, "$", "array<variant>").alias("_arr"), reason.alias("reason"))
-    rejects = x.where(F.col("reason").isNotNull()).select(F.to_json("_v").alias("payload"), "reason")
+    rejects = x.where(F.col("reason").isNotNull()).select(*keep, F.to_json("_v").alias("payload"), "reason")
     good = x.where(F.col("reason").isNull())
     indexed = F.transform("_arr", lambda el, i: F.struct(el.alias("x"), i.alias("i")))
     objs = F.filter(indexed, lambda p: _is_obj(p["x"]))
@@ -159,6 +178,35 @@ def payloads_from_conversations(conversations: DataFrame) -> DataFrame:
     return t.select(F.parse_json(js).alias("v"))
 
 
+def broken_payloads(conversations: DataFrame) -> DataFrame:
+    """One payload per turn with the faults that messy logs hold (``conv_id, turn, fault, v``), derived from the
+    ``conversations`` table: ``fault`` = (conv_id + turn) % 14.
+
+    0 no object; 1 no call id, 2 a number, 3 empty; 4 no segments, 5 an object; 6 elements that are no objects;
+    7 swapped times; 8 a time that is no number; 9 a null time beside its alias; 10 no times at all; 11 containers as speaker and
+    text; 12 a boolean speaker and a null text; 13 sound.
+    """
+    from ..operators.segments import derive_times
+    t = derive_times(conversations).withColumn("fault", ((F.col("conv_id") + F.col("turn")) % 14).cast("int"))
+    f, lit = F.col("fault"), F.lit
+    string = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    start, end = ((F.col(c) / 1000.0).cast("string") for c in ("start_ms", "end_ms"))
+    times = (F.when(f == 7, F.concat(lit('"start":'), end, lit(',"end":'), start))
+             .when(f == 8, F.concat(lit('"start":"soon","end":'), end))
+             .when(f == 9, F.concat(lit('"start":null,"start_time":'), start, lit(',"end":'), end))
+             .when(f == 10, lit('"note":1'))
+             .otherwise(F.concat(lit('"start_time":"'), start, lit('","end":'), end)))
+    who = (F.when(f == 11, lit("""["a",1,null,{"k":"it's"}]""")).when(f == 12, lit("true")).otherwise(string(F.col("role"))))
+    text = F.when(f == 11, lit("{}")).when(f == 12, lit("null")).otherwise(string(F.coalesce("text", lit(""))))
+    seg = F.concat(lit('{"speaker":'), who, lit(',"text":'), text, lit(","), times, lit("}"))
+    call = (F.when(f == 1, lit("")).when(f == 2, lit('"call_id":17,')).when(f == 3, lit('"call_id":"",'))
+            .otherwise(F.concat(lit('"call_id":"'), F.col("conv_id").cast("string"), lit('",'))))
+    segs = (F.when(f == 4, lit('"other":[]')).when(f == 5, F.concat(lit('"segments":'), seg))
+            .when(f == 6, F.concat(lit('"segments":[5,'), seg, lit(',"x",null]'))).otherwise(F.concat(lit('"segments":['), seg, lit("]"))))
+    js = F.when(f == 0, F.concat(lit("["), seg, lit("]"))).otherwise(F.concat(lit("{"), call, segs, lit("}")))
+    return t.select("conv_id", "turn", "fault", F.parse_json(js).alias("v"))
+
+
 def split_by_size(segments: DataFrame, max_chars: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """``(segments of calls a payload may hold whole, segments of larger calls)``; together all rows.
 

@@ -66,3 +66,12 @@ def test_payload_path_scores_equal_direct_scores(spark):
     a = sorted(tuple(r) for r in via_payload.collect())
     b = sorted(tuple(r) for r in direct.collect())
     assert a == b and len(a) > 0
+
+
+def test_containers_as_python_writes_them(spark):
+    import json
+    values = [[], {}, ["a"], {"k": [1, None, True, False, "it's"]}, ['say "x"', "a'b\"c", "back\\slash", "line\nbreak\ttab"], [[], {}], ["a, b: [c]"]]
+    rows = [(i, json.dumps({"call_id": "c", "segments": [{"speaker": v, "text": v}]})) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i int, s string").selectExpr("i", "parse_json(s) as v")
+    got = {r.i: r.segments[0].text for r in cl.normalize_payloads(df, keep=("i",))[0].collect()}
+    assert got == {i: str(v or "") for i, v in enumerate(values)}
