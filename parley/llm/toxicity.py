@@ -89,6 +89,11 @@ def _codes(words: list[str]) -> np.ndarray:
     return out
 
 
+def _same_size(words: list[str], n: int) -> np.ndarray:
+    """Code points of words of ``n`` letters each."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64).reshape(len(words), n)
+
+
 def subsequence_kernel(s: np.ndarray, t: np.ndarray, p: int = P, decay: float = DECAY, kind=np.float64) -> np.ndarray:
     """Kernel of row i of ``s`` with row i of ``t`` (code points, 0 for padding), all rows at once."""
     n, lt = len(s), t.shape[1]
@@ -136,8 +141,9 @@ class Kernel:
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
         letters = sorted(set().union(*landmarks))
-        self._points = np.array([ord(x) for x in letters], dtype=np.int64)
         size = self._size = len(letters) + 1  # letter 0: in no landmark
+        self._letter = np.zeros(max(map(ord, letters), default=0) + 2, dtype=np.int64)
+        self._letter[[ord(x) for x in letters]] = np.arange(1, size)
         codes = _codes(landmarks)
         self._self = subsequence_kernel(codes, codes) if landmarks else np.zeros(0)
         entries = []
@@ -154,26 +160,27 @@ class Kernel:
         three, row = np.unique((number + 1) * size + third, return_inverse=True)
         self._three = np.zeros((len(known) + 1) * size, dtype=np.int64)  # their number and a letter -> feature, 0 for none
         self._three[three] = np.arange(1, len(three) + 1)
-        self._weights = np.zeros((len(three) + 1, len(landmarks)))
-        np.add.at(self._weights, (row + 1, at), entries[:, 3])
+        # by feature, its landmarks and weights: entries self._first[f] to self._first[f + 1]
+        place, of = np.unique((row + 1) * len(landmarks) + at, return_inverse=True) if len(row) else (row, row)
+        self._weight, self._mark = np.bincount(of, weights=entries[:, 3], minlength=len(place)), place % max(len(landmarks), 1)
+        self._first = np.searchsorted(place // max(len(landmarks), 1), np.arange(len(three) + 2))
 
     def _letters(self, points: np.ndarray) -> np.ndarray:
-        if not len(self._points):
-            return np.zeros_like(points)
-        at = np.minimum(np.searchsorted(self._points, points), len(self._points) - 1)
-        return np.where(self._points[at] == points, at + 1, 0)
+        return self._letter[np.minimum(points, len(self._letter) - 1)]
 
     def _shared(self, words: list[str], n: int) -> np.ndarray:
         """Plain kernel of words of ``n`` letters with every landmark."""
-        x = self._letters(_codes(words))
+        x = self._letters(_same_size(words, n))
         i, j, k, weight = _Triples.of(n)
         feature = self._three[self._pair[x[:, i] * self._size + x[:, j]] * self._size + x[:, k]]
         row, col = np.nonzero(feature)
-        out = np.zeros((len(words), len(self.landmarks)))
-        if len(row):
-            first = np.flatnonzero(np.diff(row, prepend=-1))
-            out[row[first]] = np.add.reduceat(self._weights[feature[row, col]] * weight[col][:, None], first, axis=0)
-        return out
+        start = self._first[feature[row, col]]
+        reps = self._first[feature[row, col] + 1] - start
+        entry = np.repeat(start - (np.cumsum(reps) - reps), reps) + np.arange(int(reps.sum()))
+        marks = len(self.landmarks)
+        held = np.bincount(np.repeat(row * marks, reps) + self._mark[entry], weights=np.repeat(weight[col], reps) * self._weight[entry],
+                           minlength=len(words) * marks)
+        return held.reshape(len(words), marks)
 
     def pairs(self, words: list[str], floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, kernel) for the pairs at or above the floor (and above 0)."""
@@ -185,18 +192,19 @@ class Kernel:
         for n, ids in by_size.items() if self.landmarks else ():
             if n < P:
                 continue
-            # a word's own kernel is at least the sum of the squares of its weights: a bound that loses no pair
+            # a word's own kernel is at least the sum of the squares of its weights: bounds by it lose no pair
             least = (_Triples.of(n)[3] ** 2).sum()
             step = max(1, 8_000_000 // (len(self.landmarks) * len(_Triples.of(n)[0])))  # as many words as fit in 64 MB
             for c in range(0, len(ids), step):
                 some = np.array(ids[c:c + step])
                 shared = self._shared([words[i] for i in some], n)
-                near = np.flatnonzero((shared >= floor * (1 - 1e-9) * np.sqrt(least * self._self)).any(axis=1) & (shared > 0).any(axis=1))
+                near = np.flatnonzero(((shared >= floor * (1 - 1e-9) * np.sqrt(least * self._self)) & (shared > 0)).any(axis=1))
                 if len(near):
-                    codes = _codes([words[i] for i in some[near]])
+                    at = some[near]
+                    codes = _same_size([words[i] for i in at], n)
                     value = shared[near] / np.sqrt(np.maximum(subsequence_kernel(codes, codes)[:, None] * self._self, 1e-300))
                     a, b = np.nonzero((value >= floor) & (value > 0))
-                    found.append((some[near][a], b, value[a, b]))
+                    found.append((at[a], b, value[a, b]))
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def matrix(self, words: list[str]) -> np.ndarray:
@@ -241,12 +249,16 @@ class Pool:
         get = self._known.__getitem__
         for row, words in enumerate(split):
             out[row, -1] = len(words)
-            if not any(map(get, words)):
+            near = [w for w in set(words) if get(w)]
+            if not near:
                 continue
             for sentence in _SENTENCE(texts[row]):
+                here = [w for w in near if w in sentence]
+                if not here:
+                    continue
                 best: dict[int, float] = {}
-                for w in _TOKEN(sentence):
-                    for k, v in (get(w) or {}).items():
+                for w in set(_TOKEN(sentence)).intersection(here):
+                    for k, v in get(w).items():
                         best[k] = max(v, best.get(k, 0.0))
                 for k, v in best.items():
                     out[row, k] += v
