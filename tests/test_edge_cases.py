@@ -2,7 +2,6 @@
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import corpus, llm, metrics, nested, rules
@@ -63,11 +62,10 @@ def test_large_calls_are_scored_in_long_form(spark):
     assert rules.to_long(rules.score_calls(large)).count() == 5
 
 
-def test_first_k_needs_keys_that_tell_rows_apart(spark):
+def test_first_k_of_rows_that_the_keys_do_not_tell_apart(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,)], "k long")
     assert corpus.first_k(df, ["k"], 4).count() == 4
-    with pytest.raises(ValueError):
-        corpus.first_k(spark.createDataFrame([(1,)] * 60_000, "k long"), ["k"], 2)
+    assert corpus.first_k(spark.createDataFrame([(1,)] * 60_000, "k long"), ["k"], 2).count() == 2
 
 
 def test_word_errors_of_many_distinct_words(spark):
@@ -108,3 +106,17 @@ def test_tokens_of_rows_with_one_id(spark):
     docs = tokens.doc_frame(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text")
     got = [(r.doc_id, r.ti, r.token) for r in tokens.tokens_with_offsets(docs).collect()]
     assert sorted(got, key=repr) == sorted([(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (1, 0, "d"), (1, 1, "e"), (None, 0, "f")], key=repr)
+
+
+def test_samples_and_splits_of_repeated_keys(spark):
+    """Exactly k rows, also where rows of one key lie on both sides of the cut or all rows are alike."""
+    from parley.operators import corpus
+    many = spark.createDataFrame([(i % 10,) for i in range(50)], "id int").repartition(4)
+    same = spark.createDataFrame([(1,)] * 30, "id int").repartition(3)
+    for df, n in ((many, 50), (same, 30)):
+        for k in (1, 7, 20, n, n + 5):
+            assert corpus.sample_exact(df, "id", k, 42).count() == min(k, n)
+        split = corpus.split_exact(df, "id", 0.3, 42).groupBy("split").count().collect()
+        assert {r["split"]: r["count"] for r in split} == {"validation": int(n * 0.3), "train": n - int(n * 0.3)}
+    few = corpus._kth(same.selectExpr("cast(id as long) as a", "cast(id as long) as b"), ["a", "b"], 3, 4096, 5)
+    assert few == ((1, 1), True)
