@@ -26,6 +26,7 @@ from ..sources import calls as call_src
 from ..sources.lexicon import TEST_LEXICON
 from ..sources.tables import balanced, profile
 from ..sources.tables import read_table
+from ..streaming import jobs
 
 AGENT_ROLE = "assistant"
 
@@ -450,6 +451,30 @@ def call_profile(spark, sf):
     return segments.call_profile(conv_segments(spark, sf), role=AGENT_ROLE)
 
 
+# ------------------------------------------------------------------ event-time windows (batch form of the streams)
+
+
+def _timed_events(spark, sf):
+    return read_table(spark, sf, "events", ["user_id", "ts", "event_type", "value"]).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@register("t3_silence_sessions")
+def silence_sessions(spark, sf):
+    """Sessions of every user, a new one after 60 s of silence, with the silence before it."""
+    s = jobs.silence_sessions(_timed_events(spark, sf), "user_id", "ts").drop("s")
+    gaps = jobs.silence_gaps(s, "user_id").select("user_id", F.col("silence_to").alias("first_ts"), "silence_from")
+    out = s.join(gaps, ["user_id", "first_ts"], "left")
+    return out.select("user_id", F.unix_micros("first_ts").alias("first_us"), F.unix_micros("last_ts").alias("last_us"), "n_events",
+                      (F.unix_micros("first_ts") - F.unix_micros("silence_from")).alias("silence_us"))
+
+
+@register("t4_health_windows")
+def health_windows(spark, sf):
+    """T4: sliding windows of an hour, one each quarter of an hour."""
+    w = jobs.health_windows(_timed_events(spark, sf), "ts", "value", F.col("event_type") == "error", "1 hour", "15 minutes")
+    return w.select(F.unix_seconds("w.start").alias("start_s"), "n", F.round("fail_pct", 6).alias("fail_pct"), F.round("mean", 6).alias("mean"))
+
+
 # ------------------------------------------------------------------ models and decoding
 
 HEAD = mdl.linear_head_weights(64, 2)

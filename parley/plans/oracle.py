@@ -326,6 +326,17 @@ SELECT call_id, count(*) AS n_segments,
        round(sum(CASE WHEN contains(lower(speaker), 'assistant') THEN greatest(0.0, "end" - start) END), 6) AS agent_talk_s
 FROM seg GROUP BY call_id"""
 
+ORACLE["t3_silence_sessions"] = """
+WITH e AS (SELECT user_id, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
+g AS (SELECT *, sum(CASE WHEN p IS NULL OR us - p >= 60000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us) AS k FROM e)
+SELECT user_id, min(us) AS first_us, max(us) AS last_us, count(*) AS n_events, min(us) - min(p) FILTER (WHERE us - p >= 60000000) AS silence_us
+FROM g GROUP BY user_id, k"""
+ORACLE["t4_health_windows"] = """
+WITH w AS (SELECT CAST(floor(epoch_us(ts) / 900000000) AS BIGINT) * 900 - 900 * i AS start_s, event_type, value
+           FROM events, range(4) r(i))
+SELECT start_s, count(*) AS n, round(100.0 * count(*) FILTER (WHERE event_type = 'error') / count(*), 6) AS fail_pct, round(avg(value), 6) AS mean
+FROM w GROUP BY start_s"""
+
 # ------------------------------------------------------------------ models and decoding
 
 _W = linear_head_weights(64, 2)

@@ -84,14 +84,25 @@ def silence_gaps(sessions: DataFrame, key: str, **seq_kw) -> DataFrame:
         F.col("silence_from").isNotNull())
 
 
-def health_windows(log: DataFrame, ts: str, latency: str, failed, window: str = "1 hour",
-                   watermark: str = "2 hours") -> DataFrame:
-    """T4: per tumbling window: requests, failure %, mean and approximate p95 latency."""
-    return (log.withWatermark(ts, watermark).groupBy(F.window(ts, window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n"),
-                 (100.0 * F.count_if(failed) / F.count(F.lit(1))).alias("fail_pct"),
-                 F.avg(latency).alias("mean"),
-                 F.percentile_approx(latency, 0.95, 10000).alias("p95_approx")))
+def health_windows(log: DataFrame, ts: str, latency: str, failed, window: str = "1 hour", slide: str | None = None,
+                   watermark: str = "2 hours", k: int = 800) -> DataFrame:
+    """T4: per window: requests, failure %, mean and approximate p95 latency (``w, n, fail_pct, mean, p95_approx``).
+
+    The p95 comes from a mergeable quantile sketch (KLL of ``k``: rank error about 0.3 % at 800; exact up to k values).
+    With ``slide``, rows are reduced once to panes of that length, and each sliding window merges its panes, so a row is
+    not copied into every window that holds it. As a stream, sliding windows need append mode (two stateful steps).
+    """
+    rows = log.withWatermark(ts, watermark)
+    pane = rows.groupBy(F.window(ts, slide or window).alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(failed).alias("bad"), F.sum(F.col(latency).cast("double")).alias("total"),
+        F.count(latency).alias("known"), F.kll_sketch_agg_double(F.col(latency).cast("double"), k).alias("sketch"))
+    if slide:
+        pane = pane.groupBy(F.window(F.window_time("w"), window, slide).alias("w")).agg(
+            F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("total").alias("total"), F.sum("known").alias("known"),
+            F.kll_merge_agg_double("sketch").alias("sketch"))
+    return pane.select("w", "n", (100.0 * F.col("bad") / F.col("n")).alias("fail_pct"),
+                       F.when(F.col("known") > 0, F.col("total") / F.col("known")).alias("mean"),
+                       F.when(F.col("known") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.95).cast("double"))).alias("p95_approx"))
 
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

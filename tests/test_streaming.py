@@ -199,6 +199,33 @@ def test_silence_gaps_in_any_order_of_arrival(spark):
     assert got[0] == got[1] == want and len(want) > 5
 
 
+def test_sliding_windows_as_a_stream_and_their_percentile(spark):
+    """The stream equals the batch; p95 of the merged sketches lies within the stated rank error."""
+    schema = "ts timestamp, event_type string, value double"
+    ev = spark.range(40_000).select(F.timestamp_seconds(F.col("id") * 0.5).alias("ts"), F.lit("ok").alias("event_type"),
+                                    (F.xxhash64("id") % 100_000).cast("double").alias("value"))
+    src = _tmp()
+    last = spark.createDataFrame([(400_000, "ok", 1.0)], "s long, event_type string, value double").select(
+        F.timestamp_seconds("s").alias("ts"), "event_type", "value")
+    ev.union(last).coalesce(1).write.mode("overwrite").parquet(os.path.join(src, "in"))
+    s = spark.readStream.schema(schema).parquet(os.path.join(src, "in"))
+    q = (jobs.health_windows(s, "ts", "value", F.col("event_type") == "error", "1 hour", "15 minutes").writeStream.format("memory")
+         .queryName("health_sliding").outputMode("append").start())
+    q.processAllAvailable()
+    got = {r.w.start: (r.n, r.mean) for r in spark.sql("select * from health_sliding").collect()}
+    q.stop()
+    batch = jobs.health_windows(ev, "ts", "value", F.col("event_type") == "error", "1 hour", "15 minutes").collect()
+    assert got == {r.w.start: (r.n, r.mean) for r in batch} and len(got) == 26
+    plain = ev.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.floor(F.unix_seconds("ts") / 900) * 900 - 900 * i)).alias("s"), "value")
+    rows = {}
+    for r in plain.collect():
+        rows.setdefault(r.s, []).append(r.value)
+    for r in batch:
+        values = rows[int(r.w.start.timestamp())]
+        rank = sum(v <= r.p95_approx for v in values) / len(values)
+        assert abs(rank - 0.95) < 0.01, (r.w.start, rank)
+
+
 def test_health_windows_drop_late_rows(spark):
     """Append mode: a window is emitted once the watermark passes it; rows older than the watermark
     arriving later are dropped (complete mode would keep them)."""
