@@ -6,7 +6,7 @@ come back as a table ``(call_id, raw)`` holding the chat envelope JSON.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.pii import redact
@@ -99,8 +99,9 @@ def validate_answers(parsed: DataFrame, segments: DataFrame, **seq_kw) -> DataFr
     Each of the five keys must be an object with an int-castable score in 0..3; probability is
     upper-cased (other values -> LOW); empty reasoning gets the default text; a non-empty evidence
     must occur verbatim in the ``speaker: text`` pieces joined by spaces (N14). The containment is
-    tested per segment and across boundaries with the skew-safe ordered scan (tail of the length
-    of the longest evidence), so the joined text is never built.
+    tested per segment first. Evidence found in none may cross a boundary: only the segments of its calls are scanned
+    again in order, each with a tail of what was said before. Such calls are taken by length of their evidence (powers of
+    two, 31 at most), so a long answer lengthens the tails of calls with as long ones only; the joined text is never built.
     """
     # Staged projections: each VARIANT field is extracted once into its own column (lambdas and
     # collapsed projections would otherwise repeat the extraction per use).
@@ -137,21 +138,23 @@ def validate_answers(parsed: DataFrame, segments: DataFrame, **seq_kw) -> DataFr
     evid = (struct_ok.where("shape_ok").select("call_id", F.explode("items").alias("i"))
             .select("call_id", F.col("i.metric").alias("metric"), F.col("i.r.evidence_snippet").alias("ev"))
             .where(F.col("ev") != ""))
-    max_len = evid.agg(F.max(F.length("ev"))).first()[0] or 1
     pieces = segments.select("call_id", *ORDER, F.concat(F.col("speaker"), F.lit(": "), F.col("text")).alias("piece"))
-    if "chunks" not in seq_kw:
-        seq_kw["chunks"] = decide_chunks(pieces)
-    ctx = ordered_context(pieces, "call_id", ORDER, tail="piece", tail_chars=max_len, **seq_kw)
-    ctx = ctx.select("call_id", "piece", F.concat(F.coalesce(F.col("prev_tail"), F.lit("")), F.lit(" "),
-                                                  F.substring("piece", 1, max_len)).alias("ctx"),
-                     F.col("prev_tail").isNotNull().alias("has_prev"))
     # <= 5 evidences per call: the join multiplies a call's segments by at most 5
-    hit = (evid.join(ctx, "call_id")
-           .groupBy("call_id", "metric").agg(F.bool_or(F.col("piece").contains(F.col("ev"))
-                                                      | (F.col("has_prev") & F.col("ctx").contains(F.col("ev"))))
-                                             .alias("found")))
-    missing = hit.where(~F.col("found")).select("call_id").union(
-        evid.join(hit, ["call_id", "metric"], "left_anti").select("call_id")).distinct()
+    within = evid.join(pieces.select("call_id", "piece"), "call_id", "left").groupBy("call_id", "metric", "ev").agg(
+        F.coalesce(F.bool_or(F.col("piece").contains(F.col("ev"))), F.lit(False)).alias("found"))
+    size = F.ceil(F.log2(F.length("ev"))).cast("int")
+    open_ = cut_lineage(within.where(~F.col("found")).select("call_id", "metric", "ev", size.alias("size")))
+    missing = None
+    for (power,) in open_.select("size").distinct().collect():
+        some = open_.where(F.col("size") == power)
+        said = pieces.join(some.select("call_id").distinct(), "call_id", "left_semi")
+        kw = seq_kw if "chunks" in seq_kw else {**seq_kw, "chunks": decide_chunks(said)}
+        ctx = ordered_context(said, "call_id", ORDER, tail="piece", tail_chars=1 << power, **kw).where("prev_tail is not null")
+        ctx = ctx.select("call_id", F.concat("prev_tail", F.lit(" "), F.substring("piece", 1, 1 << power)).alias("ctx"))
+        part = some.join(ctx, "call_id", "left").groupBy("call_id", "metric").agg(
+            F.coalesce(F.bool_or(F.col("ctx").contains(F.col("ev"))), F.lit(False)).alias("found")).where(~F.col("found")).select("call_id")
+        missing = part if missing is None else missing.union(part)
+    missing = (open_.select("call_id").limit(0) if missing is None else missing).distinct()
     res = struct_ok.join(missing.withColumn("ungrounded", F.lit(True)), "call_id", "left")
     valid = F.col("shape_ok") & F.col("ungrounded").isNull()
     outs = [F.when(valid, F.col("items")[i]["r"]).alias(cn) for i, cn in enumerate(METRIC_COLS)]
@@ -175,17 +178,24 @@ def _json_str(c: Column) -> Column:
 
 def answers_from_rules(rule_long: DataFrame, segments: DataFrame, agent_role: str) -> DataFrame:
     """Answer envelopes derived from the data (stand-in for a model's output): scores as the rules,
-    evidence quoted as ``speaker: text head`` of the first agent segment; some calls carry the
-    faults the validator must catch (``[start-end]`` prefix, score 4, fractional score 2.7)."""
+    evidence quoted as the whole ``speaker: text`` of the first agent segment, in some calls across the boundary of the first
+    two segments; some carry the faults the validator must catch (``[start-end]`` prefix, words never said, score 4) or
+    accept (fractional score 2.7)."""
     first = (segments.where(F.lower("speaker").contains(agent_role.lower()))
-             .groupBy("call_id").agg(F.min_by(F.concat(F.col("speaker"), F.lit(": "), F.substring("text", 1, 40)),
-                                              F.struct(*ORDER)).alias("quote")))
-    r = rule_long.join(first, "call_id", "left")
+             .groupBy("call_id").agg(F.min_by(F.concat(F.col("speaker"), F.lit(": "), F.col("text")), F.struct(*ORDER)).alias("quote")))
+    # the end of a call's first segment and the beginning of its second (two rows a call and task leave the map side)
+    two = segments.withColumn("n", F.row_number().over(Window.partitionBy("call_id").orderBy(*ORDER))).where("n <= 2")
+    piece = F.concat(F.col("speaker"), F.lit(": "), F.col("text"))
+    across = two.groupBy("call_id").agg(F.concat(F.max(F.when(F.col("n") == 1, F.right(piece, F.lit(30)))), F.lit(" "),
+                                                 F.max(F.when(F.col("n") == 2, F.left(piece, F.lit(30))))).alias("across"))
+    r = rule_long.join(first, "call_id", "left").join(across, "call_id", "left")
     cid = F.col("call_id").cast("long")
     score = (F.when((cid % 7 == 0) & (F.col("metric") == "KR2.2"), F.lit("4"))
              .when((cid % 11 == 0) & (F.col("metric") == "KR2.5"), F.lit("2.7"))
              .otherwise(F.col("score").cast("string")))
     ev = (F.when((cid % 5 == 0) & (F.col("metric") == "KR2.3"), F.col("evidence_snippet"))
+          .when((cid % 4 == 1) & (F.col("metric") == "KR2.4"), F.coalesce(F.col("across"), F.lit("")))
+          .when((cid % 13 == 3) & (F.col("metric") == "KR2.1"), F.concat(F.col("quote"), F.lit(" never said")))
           .otherwise(F.coalesce(F.col("quote"), F.lit(""))))
     item = F.concat(_json_str(F.col("metric")), F.lit(': {"score": '), score, F.lit(', "reasoning": "", "probability": '),
                     _json_str(F.lower("probability")), F.lit(', "evidence_snippet": '), _json_str(ev), F.lit("}"))

@@ -365,12 +365,15 @@ _LLM_CTE = f"""
 sc AS ({sql_rules.score_sql(TEST_LEXICON, AGENT_ROLE)}),
 {sql_rules.segments_sql()},
 ft AS (SELECT call_id, string_agg(speaker || ': ' || text, ' ' ORDER BY start, "end", pos) AS full_text FROM seg GROUP BY call_id),
-qq AS (SELECT call_id, first(speaker || ': ' || substr(text, 1, 40) ORDER BY start, "end", pos)
-                         FILTER (WHERE contains(lower(speaker), 'assistant')) AS quote FROM seg GROUP BY call_id),
+so AS (SELECT *, speaker || ': ' || text AS piece, row_number() OVER (PARTITION BY call_id ORDER BY start, "end", pos) AS n FROM seg),
+qq AS (SELECT call_id, first(piece ORDER BY n) FILTER (WHERE contains(lower(speaker), 'assistant')) AS quote,
+              right(max(piece) FILTER (WHERE n = 1), 30) || ' ' || left(max(piece) FILTER (WHERE n = 2), 30) AS across FROM so GROUP BY call_id),
 an AS (SELECT sc.call_id, sc.metric, sc.score, sc.probability, sc.reasoning, sc.evidence_snippet,
               CASE WHEN CAST(sc.call_id AS BIGINT) % 7 = 0 AND sc.metric = 'KR2.2' THEN 4
                    WHEN CAST(sc.call_id AS BIGINT) % 11 = 0 AND sc.metric = 'KR2.5' THEN 2 ELSE sc.score END AS a_score,
               regexp_replace(CASE WHEN CAST(sc.call_id AS BIGINT) % 5 = 0 AND sc.metric = 'KR2.3' THEN sc.evidence_snippet
+                                  WHEN CAST(sc.call_id AS BIGINT) % 4 = 1 AND sc.metric = 'KR2.4' THEN coalesce(qq.across, '')
+                                  WHEN CAST(sc.call_id AS BIGINT) % 13 = 3 AND sc.metric = 'KR2.1' THEN qq.quote || ' never said'
                                   ELSE coalesce(qq.quote, '') END, '^[{st.UWS}]+|[{st.UWS}]+$', '', 'g') AS ev
        FROM sc LEFT JOIN qq ON sc.call_id = qq.call_id),
 vv AS (SELECT an.call_id, bool_and(a_score BETWEEN 0 AND 3 AND (ev = '' OR contains(ft.full_text, ev))) AS valid
