@@ -61,19 +61,45 @@ def regex_entities(docs: DataFrame, detectors: dict[str, str] | None = None) ->
                     (F.col("s") + F.col("ml")).cast("int").alias("e"))
 
 
+#: between the tokens of a name, in no text token
+_JOINT = "\u0001"
+
+
+def name_table(names: DataFrame) -> DataFrame:
+    """(``first``, ``name``, ``size``): names as their lower-case tokens joined, with the first one and their number."""
+    from .tokens import PIECES, SPACE
+    parts = F.filter(F.regexp_extract_all(F.lower(F.col(names.columns[0])), F.lit(PIECES), 0), lambda p: ~p.rlike(f"(?U)^[{SPACE}]"))
+    x = names.select(parts.alias("p")).where(F.size("p") > 0)
+    return x.select(F.get("p", 0).alias("first"), F.array_join("p", _JOINT).alias("name"), F.size("p").alias("size")).distinct()
+
+
 def gazetteer_entities(tokens: DataFrame, names: DataFrame, label: str = "PERSON",
-                       broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """Tokens whose lower-case form is in a name list become entities (G4 person part).
+                       broadcast_max_rows: int = 1_000_000, max_tokens: int = 8) -> DataFrame:
+    """Names of a list (first column; up to ``max_tokens`` tokens, case ignored) as entities (G4 person part).
 
-    The name list is broadcast only after its row count is checked against ``broadcast_max_rows``;
-    a larger list is joined by a shuffle on the lower-cased token.
+    A token that begins a name is joined with the runs of tokens after it, one for each length that names have; the
+    longest name at a token counts, and a name that begins inside an earlier one does not. The name list is
+    broadcast only after its row count is checked against ``broadcast_max_rows``; a larger one is joined by shuffles.
     """
-    nm = names.select(F.lower(F.col(names.columns[0])).alias("lt")).distinct()
-    n = nm.count()
-    side = F.broadcast(nm) if n <= broadcast_max_rows else nm
-    t = tokens.withColumn("lt", F.lower("token"))
-    return (t.join(side, "lt", "left_semi")
-            .select(*row_key(tokens), (F.lit(1_000_000) + F.col("ti")).alias("eo"), F.lit(label).alias("label"), "s", "e"))
+    key = row_key(tokens)
+    table = name_table(names)
+    sizes = sorted(r["size"] for r in table.select("size").distinct().collect())  # one number for each length
+    if sizes and sizes[-1] > max_tokens:
+        raise ValueError(f"a name has {sizes[-1]} tokens; raise max_tokens ({max_tokens})")
+    small = table.count() <= broadcast_max_rows
+    side = F.broadcast if small else (lambda df: df)
+    w = Window.partitionBy(key[0]).orderBy("ti")
+    t = tokens.select(*key, "ti", "s", "e", F.lower("token").alias("first"))
+    follow = [F.struct(F.lead("first", i).over(w).alias("t"), F.lead("e", i).over(w).alias("e")) for i in range(1, sizes[-1] if sizes else 1)]
+    t = t.withColumn("next", F.array(F.struct(F.col("first").alias("t"), F.col("e").alias("e")), *follow))
+    t = t.join(side(table.select("first").distinct()), "first", "left_semi")
+    runs = F.array(*[F.struct(F.lit(n).alias("size"), F.array_join(F.transform(F.slice("next", 1, n), lambda x: x["t"]), _JOINT).alias("name"),
+                              F.get("next", n - 1)["e"].alias("end")) for n in sizes] or [F.struct(F.lit(0).alias("size"), F.lit("").alias("name"), F.lit(0).alias("end"))])
+    x = t.select(*key, "ti", "s", F.explode(runs).alias("x")).select(*key, "ti", "s", "x.*").where(F.col("end").isNotNull())
+    x = x.join(side(table.select("name", "size")), ["name", "size"], "left_semi").groupBy(*key, "ti", "s").agg(F.max("size").alias("size"), F.max("end").alias("e"))
+    upto = F.max(F.col("ti") + F.col("size")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    x = x.withColumn("upto", upto).where(F.col("upto").isNull() | (F.col("ti") >= F.col("upto")))
+    return x.select(*key, (F.lit(1_000_000) + F.col("ti")).alias("eo"), F.lit(label).alias("label"), "s", "e")
 
 
 #: characters of a block in the join of tokens and entities

@@ -212,6 +212,15 @@ def masked_documents(spark, sf):
     return m.select("doc_id", "masked_text", F.size("entities").alias("n_entities"))
 
 
+@register("g4_person_names")
+def person_names(spark, sf):
+    """Names of several tokens as entities; the list is taken from the table ``benchmark`` (the first three words of each item)."""
+    words = F.split(normalize_ws("text"), " ")
+    names = read_table(spark, sf, "benchmark", ["text"]).select(F.array_join(F.slice(words, 1, 3), " ").alias("name"))
+    found = span_op.gazetteer_entities(tok_op.tokens_with_offsets(_doc_frame(spark, sf)), names)
+    return found.select("doc_id", "label", "s", "e")
+
+
 @register("d16_cascade")
 def cascade_documents(spark, sf):
     docs = balanced(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")

@@ -120,3 +120,17 @@ def test_samples_and_splits_of_repeated_keys(spark):
         assert {r["split"]: r["count"] for r in split} == {"validation": int(n * 0.3), "train": n - int(n * 0.3)}
     few = corpus._kth(same.selectExpr("cast(id as long) as a", "cast(id as long) as b"), ["a", "b"], 3, 4096, 5)
     assert few == ((1, 1), True)
+
+
+def test_names_of_several_tokens(spark):
+    """The longest name at a token, none inside another, across signs and cases, up to the end of the text."""
+    from parley.operators import spans, tokens
+    names = spark.createDataFrame([("Ana",), ("Ana Maria de Souza",), ("Maria",), ("O'Neil Ray",), ("de Souza Lima",), (None,), ("  ",)], "name string")
+    text = "ANA maria  de souza lima met Ana Maria, o'neil\nray and ana"
+    docs = tokens.doc_frame(spark.createDataFrame([(1, text), (2, "nobody"), (2, "Maria")], "doc_id int, text string"), "doc_id", "text")
+    toks = tokens.tokens_with_offsets(docs)
+    for bound in (1_000_000, 0):
+        found = spans.gazetteer_entities(toks, names, broadcast_max_rows=bound).collect()
+        got = sorted((r.doc_id, text[r.s:r.e] if r.doc_id == 1 else "Maria") for r in found)
+        assert got == sorted([(1, "ANA maria  de souza"), (1, "Ana"), (1, "Maria"), (1, "o'neil\nray"), (1, "ana"), (2, "Maria")])
+    assert spans.gazetteer_entities(toks, names.limit(0)).count() == 0
