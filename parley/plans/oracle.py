@@ -182,12 +182,12 @@ FROM documents d LEFT JOIN mk ON d.doc_id = mk.doc_id"""
 ORACLE["g4_person_names"] = f"""WITH {TOKENS_CTE},
 nm AS (SELECT DISTINCT list_filter(regexp_extract_all(lower(array_to_string((string_split({norm_ws('text')}, ' '))[1:3], ' ')), {q(_PIECES)}),
                                    lambda p: NOT regexp_matches(p, {q('^[' + UWS + ']')})) AS ps FROM benchmark),
-n AS (SELECT array_to_string(ps, chr(1)) AS name, len(ps) AS size FROM nm WHERE len(ps) > 0),
-d AS (SELECT doc_id, list(lower(token) ORDER BY ti) AS ts, list(s ORDER BY ti) AS ss, list(e ORDER BY ti) AS es FROM tok WHERE is_tok GROUP BY doc_id),
-z AS (SELECT DISTINCT size FROM n),
-r AS (SELECT doc_id, ts, ss, es, size, unnest(range(1, len(ts) - size + 2)) AS i FROM d, z WHERE len(ts) >= size),
-h AS (SELECT doc_id, i, ss[i] AS s, max(r.size) AS size, max(es[i + r.size - 1]) AS e
-      FROM r JOIN n ON n.size = r.size AND n.name = array_to_string(ts[i:i + r.size - 1], chr(1)) GROUP BY doc_id, i, ss[i]),
+n AS (SELECT ps AS name, len(ps) AS size, unnest(ps) AS token, generate_subscripts(ps, 1) - 1 AS k FROM nm WHERE len(ps) > 0),
+m AS (SELECT t.doc_id, n.name, n.size, t.ti - n.k AS i FROM tok t JOIN n ON t.is_tok AND lower(t.token) = n.token
+      GROUP BY t.doc_id, n.name, n.size, t.ti - n.k HAVING count(*) = n.size),
+o AS (SELECT doc_id, i, max(size) AS size FROM m GROUP BY doc_id, i),
+h AS (SELECT o.*, a.s, b.e FROM o JOIN tok a ON a.is_tok AND a.doc_id = o.doc_id AND a.ti = o.i
+      JOIN tok b ON b.is_tok AND b.doc_id = o.doc_id AND b.ti = o.i + o.size - 1),
 u AS (SELECT *, max(i + size) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto FROM h)
 SELECT doc_id, 'PERSON' AS label, s, e FROM u WHERE upto IS NULL OR i >= upto"""
 _hits = "(" + " + ".join(count_of("text", k) for k in ["card", "phone_strict", "fin7", "email"]) + ")"
