@@ -72,9 +72,9 @@ TEST_LEXICON: dict[str, list[str]] = {
     "kr25_bad_evidence": [" est ", " los "],
     "kr25_good_evidence": [" que ", " les ", " was "],
     "greeting": ["the"],
-    "brand": ["kontakt home"],
-    "brand_word": ["kontakt"],
-    "invite": ["buyur"],
+    "brand": ["acme store"],
+    "brand_word": ["acme"],
+    "invite": ["welcome in"],
     "closing": [" was "],
 }
 
