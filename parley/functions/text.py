@@ -64,9 +64,13 @@ def fmt_segment(start: ColumnOrName, end: ColumnOrName, speaker: ColumnOrName, t
                     col(speaker), F.lit(": "), col(text))
 
 
-def first_non_blank(columns: Sequence[ColumnOrName]) -> Column:
-    """First value that is a non-blank string, in the given column order (null if none)."""
-    return F.coalesce(*[F.when(py_strip(col(c)) != "", col(c)) for c in columns])
+def first_non_blank(columns: Sequence[ColumnOrName], required: bool = False) -> Column:
+    """First value that is a non-blank string, in the given column order. A row without one gives null, or ends the
+    job with the names of the columns looked at where ``required``."""
+    found = [F.when(py_strip(col(c)) != "", col(c)) for c in columns]
+    if required:
+        found.append(F.raise_error(F.lit(f"no text in any of the columns {', '.join(map(str, columns))}")).cast("string"))
+    return F.coalesce(*found)
 
 
 def sentence_pieces(text_norm: Column, enders: str = ".!?") -> Column:

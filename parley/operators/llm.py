@@ -6,7 +6,7 @@ come back as a table ``(call_id, raw)`` holding the chat envelope JSON.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.pii import redact
@@ -44,6 +44,16 @@ def check_prompt(prompt: dict) -> dict:
     return prompt
 
 
+def read_prompt(spark: SparkSession, path: str) -> dict:
+    """A prompt file (YAML or JSON with ``system`` and ``user``) from any file system that Spark reads."""
+    import yaml
+
+    rows = spark.read.text(path, wholetext=True).collect()  # one small file
+    if len(rows) != 1:
+        raise ValueError(f"{path} holds {len(rows)} files, a prompt is one")
+    return check_prompt(yaml.safe_load(rows[0][0]))
+
+
 def llm_requests(segments: DataFrame, template: str = USER_TEMPLATE, part_chars: int = 200_000, **seq_kw) -> DataFrame:
     """Request rows ``call_id, part, system, user``; every call is there, whatever its size.
 

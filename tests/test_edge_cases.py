@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import corpus, llm, metrics, nested, rules
@@ -134,3 +135,24 @@ def test_names_of_several_tokens(spark):
         got = sorted((r.doc_id, text[r.s:r.e] if r.doc_id == 1 else "Maria") for r in found)
         assert got == sorted([(1, "ANA maria  de souza"), (1, "Ana"), (1, "Maria"), (1, "o'neil\nray"), (1, "ana"), (2, "Maria")])
     assert spans.gazetteer_entities(toks, names.limit(0)).count() == 0
+
+
+def test_first_text_or_the_error(spark):
+    from parley.functions.text import first_non_blank
+    df = spark.createDataFrame([("a", " "), (" ", "b")], "x string, y string")
+    assert [r[0] for r in df.select(first_non_blank(["x", "y"], required=True)).collect()] == ["a", "b"]
+    none = spark.createDataFrame([(None, " ")], "x string, y string")
+    assert none.select(first_non_blank(["x", "y"])).first()[0] is None
+    with pytest.raises(Exception, match="no text in any of the columns x, y"):
+        none.select(first_non_blank(["x", "y"], required=True)).collect()
+
+
+def test_prompt_file(spark, tmp_path):
+    from parley.operators.llm import read_prompt
+    good = tmp_path / "p.yaml"
+    good.write_text("system: be fair\nuser: |\n  Transcript (JSON):\n  {{transcript_json}}\n", encoding="utf-8")
+    assert read_prompt(spark, str(good)) == {"system": "be fair", "user": "Transcript (JSON):\n{{transcript_json}}\n"}
+    bad = tmp_path / "q.yaml"
+    bad.write_text("system: only\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="user"):
+        read_prompt(spark, str(bad))
