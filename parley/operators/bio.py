@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .spans import entities_to_bio
-from .tokens import tokens_with_offsets
+from .spans import texts_to_bio
 
 
 def spans_corpus_to_bio(df: DataFrame, id_col: str = "row_id", text_col: str = "text",
@@ -27,7 +26,7 @@ def spans_corpus_to_bio(df: DataFrame, id_col: str = "row_id", text_col: str = "
     ents = src.select("row", "doc_id", F.posexplode("ents").alias("eo", "x")).select(
         "row", "doc_id", F.col("eo").cast("int").alias("eo"), F.col("x.label").alias("label"),
         F.col("x.start").cast("int").alias("s"), F.col("x.end").cast("int").alias("e"))
-    tagged = entities_to_bio(tokens_with_offsets(docs), ents)
+    tagged = texts_to_bio(docs, ents)
     per = tagged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("ti", "token", "tag"))).alias("t"))
     return docs.join(per.hint("shuffle_hash"), "row", "left").select(  # co-partitioned per-row table
         F.col("doc_id").alias(id_col),

@@ -148,6 +148,15 @@ def texts_with(docs: DataFrame, entities: DataFrame) -> DataFrame:
     return docs.join(entities.select(key).distinct().hint("shuffle_hash"), key, "left_semi").select(*docs.columns)
 
 
+def texts_to_bio(docs: DataFrame, entities: DataFrame) -> DataFrame:
+    """B3 for every token of every text: tokens of texts without an entity are ``O`` and skip the join."""
+    key = row_key(docs)[0]
+    held = entities.select(key).distinct().hint("shuffle_hash")
+    tagged = entities_to_bio(tokens_with_offsets(texts_with(docs, entities)), entities)
+    plain = tokens_with_offsets(docs.join(held, key, "left_anti").select(*docs.columns)).withColumn("tag", F.lit("O"))
+    return tagged.unionByName(plain)
+
+
 def detected_tags(docs: DataFrame, detectors: dict[str, str] | None = None) -> DataFrame:
     """``entity_tags`` of the regex detectors; only texts with a match are cut into tokens."""
     ents = regex_entities(docs, detectors)

@@ -191,7 +191,7 @@ def tokens(spark, sf):
 def bio_tags(spark, sf):
     """Every token of every document with its tag."""
     docs = _doc_frame(spark, sf)
-    return span_op.entities_to_bio(tok_op.tokens_with_offsets(docs), span_op.regex_entities(docs)).select("doc_id", "ti", "token", "tag")
+    return span_op.texts_to_bio(docs, span_op.regex_entities(docs)).select("doc_id", "ti", "token", "tag")
 
 
 @register("d13_bio_spans")
