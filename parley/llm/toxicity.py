@@ -249,15 +249,12 @@ class Pool:
         get = self._known.__getitem__
         for row, words in enumerate(split):
             out[row, -1] = len(words)
-            near = [w for w in set(words) if get(w)]
+            near = {w for w in set(words) if get(w)}
             if not near:
                 continue
             for sentence in _SENTENCE(texts[row]):
-                here = [w for w in near if w in sentence]
-                if not here:
-                    continue
                 best: dict[int, float] = {}
-                for w in set(_TOKEN(sentence)).intersection(here):
+                for w in near.intersection(_TOKEN(sentence)):
                     for k, v in get(w).items():
                         best[k] = max(v, best.get(k, 0.0))
                 for k, v in best.items():
