@@ -78,3 +78,8 @@ def test_entity_scores_equal_a_count_of_all_tokens(spark):
     r = metrics.entity_f1(gold, pred).first()
     assert (r.tp, r.n_pred, r.n_gold) == (len(a & b), len(b), len(a))
     assert r.accuracy == round(sum(x[4] == x[5] for x in rows) / len(rows), 6)
+
+
+def test_guardrail_scores_are_made_once(spark):
+    from parley.functions import regex as rx
+    assert rx.J_EMAIL not in _plan(spark, "d16_cascade")  # scored before, in the written table
